@@ -45,7 +45,7 @@ def cleaned_trips(spark: SparkSession, sf_dir: str) -> tr.Trips:
 # Shared SQL pieces
 # ---------------------------------------------------------------------------
 
-TRIPS_CTE = """
+TRIP_RAW_CTE = """
 trip_raw AS (
   SELECT event_id % 3 AS vendor_id,
          ts AS pickup_datetime,
@@ -54,7 +54,9 @@ trip_raw AS (
          CASE event_type WHEN 'click' THEN 1 WHEN 'view' THEN 2 WHEN 'error' THEN 3
                          WHEN 'signup' THEN 4 WHEN 'purchase' THEN 9 END AS payment_type,
          value AS fare_amount
-  FROM events),
+  FROM events)"""
+
+TRIPS_CTE = TRIP_RAW_CTE + """,
 trips AS (
   SELECT *, pickup_datetime AS pickup_dt,
          CAST(hour(pickup_datetime) AS INTEGER) AS hour,
@@ -109,7 +111,7 @@ enriched AS (
 # ---------------------------------------------------------------------------
 
 @register("p5_p8_time_parts", f"""
-WITH {TRIPS_CTE.replace('trips AS (', 'unused AS (')}
+WITH {TRIP_RAW_CTE}
 SELECT pickup_datetime AS pickup_dt, CAST(hour(pickup_datetime) AS INTEGER) AS hour,
        CAST(pickup_datetime AS DATE) AS date, strftime(pickup_datetime, '%Y-%m') AS month
 FROM trip_raw""")
@@ -274,3 +276,409 @@ def q_vendor_payment(spark, sf_dir):
     from tablescope.operators.explore import group_sizes
     return group_sizes(tr.enriched(cleaned_trips(spark, sf_dir), spark, cap=None),
                        ["vendor_name", "payment_name"])
+
+
+@register("a16_row_counts", f"""
+WITH {TRIP_RAW_CTE}
+SELECT COUNT(*) AS rows,
+       COUNT(*) FILTER (WHERE fare_amount BETWEEN 0.01 AND 500 AND trip_distance BETWEEN 0.01 AND 100
+                        AND passenger_count BETWEEN 1 AND 6) AS clean_rows
+FROM trip_raw""")
+def q_row_counts(spark, sf_dir):
+    from tablescope.operators.explore import row_counts
+    from tablescope.operators.quality import TRIP_DISTANCE_BOUNDS, TRIP_FARE_BOUNDS, TRIP_PASSENGER_BOUNDS
+    raw = trips(spark, sf_dir)
+    clean = (F.col("fare_amount").between(*TRIP_FARE_BOUNDS)
+             & F.col("trip_distance").between(*TRIP_DISTANCE_BOUNDS)
+             & F.col("passenger_count").between(*TRIP_PASSENGER_BOUNDS))
+    return row_counts(raw, clean_rows=clean)
+
+
+# ---------------------------------------------------------------------------
+# Generic table library (cleaning, summaries, top-N) on the TPC-H-like tables
+# ---------------------------------------------------------------------------
+
+def dirty_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``customer`` made dirty: raw names with spaces and capitals, padded
+    strings, every row twice (differently padded), and rows with a
+    negative balance blanked to all-null."""
+    c = table(spark, sf_dir, "customer")
+    keep = F.col("c_acctbal") >= 0
+
+    def copy(pad_l: str, pad_r: str) -> DataFrame:
+        return c.select(
+            F.when(keep, F.col("c_custkey")).alias(" CustKey"),
+            F.when(keep, F.concat(F.lit(pad_l), "c_name", F.lit(pad_r))).alias("Customer Name "),
+            F.when(keep, F.col("c_nationkey")).alias("Nation Key"),
+            F.when(keep, F.col("c_acctbal")).alias("Acct Bal"),
+            F.when(keep, F.concat(F.lit(pad_r), "c_mktsegment", F.lit(pad_l))).alias(" Mkt Segment"),
+        )
+    return copy("  ", " ").unionByName(copy("", "   "))
+
+
+DIRTY_SQL = """
+dirty AS (
+  SELECT CASE WHEN c_acctbal >= 0 THEN c_custkey END AS custkey,
+         CASE WHEN c_acctbal >= 0 THEN '  ' || c_name || ' ' END AS customer_name,
+         CASE WHEN c_acctbal >= 0 THEN c_nationkey END AS nation_key,
+         CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS acct_bal,
+         CASE WHEN c_acctbal >= 0 THEN ' ' || c_mktsegment || '  ' END AS mkt_segment
+  FROM customer
+  UNION ALL
+  SELECT CASE WHEN c_acctbal >= 0 THEN c_custkey END,
+         CASE WHEN c_acctbal >= 0 THEN c_name || '   ' END,
+         CASE WHEN c_acctbal >= 0 THEN c_nationkey END,
+         CASE WHEN c_acctbal >= 0 THEN c_acctbal END,
+         CASE WHEN c_acctbal >= 0 THEN '   ' || c_mktsegment END
+  FROM customer)"""
+
+ALL_NULL = ("custkey IS NULL AND customer_name IS NULL AND nation_key IS NULL "
+            "AND acct_bal IS NULL AND mkt_segment IS NULL")
+
+
+@register("p1_normalise_names", f"""
+WITH {DIRTY_SQL} SELECT * FROM dirty""")
+def q_normalise(spark, sf_dir):
+    from tablescope.functions.columns import normalise_columns
+    return normalise_columns(dirty_customers(spark, sf_dir))
+
+
+@register("p2_trim_strings", f"""
+WITH {DIRTY_SQL}
+SELECT custkey, trim(customer_name) AS customer_name, nation_key, acct_bal,
+       trim(mkt_segment) AS mkt_segment FROM dirty""")
+def q_trim(spark, sf_dir):
+    from tablescope.functions.columns import normalise_columns
+    from tablescope.operators.quality import trim_strings
+    return trim_strings(normalise_columns(dirty_customers(spark, sf_dir)))
+
+
+@register("f5_drop_all_null_rows", f"""
+WITH {DIRTY_SQL} SELECT * FROM dirty WHERE NOT ({ALL_NULL})""")
+def q_drop_null_rows(spark, sf_dir):
+    from tablescope.functions.columns import normalise_columns
+    from tablescope.operators.quality import drop_all_null_rows
+    return drop_all_null_rows(normalise_columns(dirty_customers(spark, sf_dir)))
+
+
+@register("a10_drop_duplicates", """
+SELECT DISTINCT * FROM (SELECT * FROM orders UNION ALL SELECT * FROM orders)""")
+def q_dedupe(spark, sf_dir):
+    from tablescope.operators.quality import drop_duplicate_rows
+    o = table(spark, sf_dir, "orders")
+    return drop_duplicate_rows(o.unionByName(o))
+
+
+CLEAN_SQL = f"""
+{DIRTY_SQL},
+cleaned AS (
+  SELECT DISTINCT custkey, trim(customer_name) AS customer_name, nation_key, acct_bal,
+         trim(mkt_segment) AS mkt_segment FROM dirty),
+kept AS (SELECT * FROM cleaned WHERE NOT ({ALL_NULL}))"""
+
+
+@register("a11_clean_dataframe", f"""
+WITH {CLEAN_SQL} SELECT * FROM kept""")
+def q_clean(spark, sf_dir):
+    from tablescope.operators.quality import clean_dataframe
+    return clean_dataframe(dirty_customers(spark, sf_dir))
+
+
+@register("f3_filter_by_value", """
+SELECT * FROM lineitem WHERE l_quantity >= 10 AND l_quantity <= 20""")
+def q_filter_value(spark, sf_dir):
+    from tablescope.operators.quality import filter_by_value
+    return filter_by_value(table(spark, sf_dir, "lineitem"), "l_quantity", 10, 20)
+
+
+@register("f4_filter_by_category", """
+SELECT * FROM lineitem WHERE l_returnflag IN ('A', 'R')""")
+def q_filter_category(spark, sf_dir):
+    from tablescope.operators.quality import filter_by_category
+    return filter_by_category(table(spark, sf_dir, "lineitem"), "l_returnflag", ["A", "R"])
+
+
+LINEITEM_NUM = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+                "l_extendedprice", "l_discount", "l_tax"]
+
+
+def summary_sql(cols: list[str]) -> str:
+    parts = []
+    for c in cols:
+        parts += [f"COUNT({c}) AS {c}_count", f"ROUND(CAST(SUM({c}) AS DOUBLE), 2) AS {c}_sum",
+                  f"ROUND(AVG({c}), 6) AS {c}_avg", f"MIN({c}) AS {c}_min", f"MAX({c}) AS {c}_max"]
+    return ", ".join(parts)
+
+
+def summary_digits(cols: list[str]) -> dict[str, int]:
+    return {**{f"{c}_sum": 2 for c in cols}, **{f"{c}_avg": 6 for c in cols}}
+
+
+@register("a7_summary_by_category", f"""
+SELECT l_returnflag, {summary_sql(LINEITEM_NUM)} FROM lineitem GROUP BY l_returnflag""")
+def q_summary(spark, sf_dir):
+    from tablescope.operators.aggregate import compute_summary
+    return rounded(compute_summary(table(spark, sf_dir, "lineitem"), "l_returnflag"),
+                   summary_digits(LINEITEM_NUM))
+
+
+ORDERS_NUM = ["o_orderkey", "o_custkey", "o_totalprice"]
+
+
+@register("a8_summary_ungrouped", f"""
+SELECT {summary_sql(ORDERS_NUM)} FROM orders""")
+def q_summary_flat(spark, sf_dir):
+    from tablescope.operators.aggregate import compute_summary
+    o = table(spark, sf_dir, "orders").select(*ORDERS_NUM, "o_orderdate")
+    return rounded(compute_summary(o), summary_digits(ORDERS_NUM))
+
+
+@register("a9_monthly_series", """
+SELECT strftime(CAST(o_orderdate AS DATE), '%Y-%m') AS month,
+       ROUND(CAST(SUM(o_orderkey) AS DOUBLE), 2) AS o_orderkey_total,
+       ROUND(CAST(SUM(o_custkey) AS DOUBLE), 2) AS o_custkey_total,
+       ROUND(SUM(o_totalprice), 2) AS o_totalprice_total,
+       COUNT(*) AS row_count
+FROM orders GROUP BY 1""")
+def q_monthly(spark, sf_dir):
+    from tablescope.operators.aggregate import compute_time_series
+    return rounded(compute_time_series(table(spark, sf_dir, "orders"), "o_orderdate"),
+                   {f"{c}_total": 2 for c in ORDERS_NUM})
+
+
+LINEITEM_COLS = LINEITEM_NUM + ["l_returnflag", "l_linestatus", "l_shipdate"]
+
+
+def order_all(cols: list[str], first: str | None = None) -> str:
+    head = [f"{first} DESC NULLS LAST"] if first else []
+    return ", ".join(head + [f"{c} ASC NULLS FIRST" for c in cols if c != first])
+
+
+@register("t1_top_n", f"""
+SELECT * FROM lineitem ORDER BY {order_all(LINEITEM_COLS, 'l_extendedprice')} LIMIT 20""")
+def q_top_n(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    return ranking.compute_top_n(li, 20, "l_extendedprice",
+                                 tiebreak=[c for c in li.columns if c != "l_extendedprice"])
+
+
+CLEAN_COLS = ["custkey", "customer_name", "nation_key", "acct_bal", "mkt_segment"]
+
+
+@register("l5_report_summary", f"""
+WITH {CLEAN_SQL}
+SELECT customer_name, {summary_sql(['custkey', 'nation_key', 'acct_bal'])}
+FROM kept GROUP BY customer_name""")
+def q_report_summary(spark, sf_dir):
+    from tablescope.plans.table_report import table_report
+    out = table_report(dirty_customers(spark, sf_dir))["summary"]
+    return rounded(out, summary_digits(["custkey", "nation_key", "acct_bal"]))
+
+
+@register("l5_report_top_n", f"""
+WITH {CLEAN_SQL}
+SELECT * FROM kept ORDER BY {order_all(CLEAN_COLS, 'custkey')} LIMIT 20""")
+def q_report_top(spark, sf_dir):
+    from tablescope.plans.table_report import table_report
+    return table_report(dirty_customers(spark, sf_dir))["top_n"]
+
+
+@register("l5_report_cleaned_sample", f"""
+WITH {CLEAN_SQL}
+SELECT * FROM kept ORDER BY {order_all(CLEAN_COLS)} LIMIT 5000""")
+def q_report_sample(spark, sf_dir):
+    from tablescope.plans.table_report import table_report
+    return table_report(dirty_customers(spark, sf_dir))["cleaned_sample"]
+
+
+# ---------------------------------------------------------------------------
+# Explorer
+# ---------------------------------------------------------------------------
+
+@register("f6_category_filters", """
+SELECT * FROM orders
+WHERE o_orderstatus IN ('F', 'O') AND o_orderpriority IN ('1-URGENT', '2-HIGH')""")
+def q_cat_filters(spark, sf_dir):
+    from tablescope.operators.explore import category_filters
+    return category_filters(table(spark, sf_dir, "orders"), {
+        "o_orderstatus": ["F", "O"], "o_orderpriority": ["1-URGENT", "2-HIGH"],
+        "o_custkey": []})
+
+
+@register("f7_range_filters", """
+SELECT * FROM orders WHERE o_totalprice BETWEEN 50000 AND 150000
+  AND o_custkey BETWEEN 100 AND 900""")
+def q_range_filters(spark, sf_dir):
+    from tablescope.operators.explore import range_filters
+    return range_filters(table(spark, sf_dir, "orders"), {
+        "o_totalprice": (50000, 150000), "o_custkey": (100, 900), "o_orderkey": (5, 5)})
+
+
+GROUP_KEYS = ["l_returnflag", "l_linestatus"]
+GROUP_COLS = ["l_quantity", "l_extendedprice", "l_discount"]
+GROUP_SQL = {
+    "sum": ("ROUND(COALESCE(SUM({c}), 0), 2)", 2),
+    "mean": ("ROUND(AVG({c}), 6)", 6),
+    "count": ("COUNT({c})", None),
+    "min": ("MIN({c})", None),
+    "max": ("MAX({c})", None),
+    "median": ("ROUND(MEDIAN({c}), 6)", 6),
+}
+
+
+def _group_query(func: str):
+    expr, digits = GROUP_SQL[func]
+    sql = (f"SELECT {', '.join(GROUP_KEYS)}, "
+           + ", ".join(f"{expr.format(c=c)} AS {c}" for c in GROUP_COLS)
+           + f" FROM lineitem WHERE {' AND '.join(k + ' IS NOT NULL' for k in GROUP_KEYS)}"
+           + f" GROUP BY {', '.join(GROUP_KEYS)}")
+
+    def q(spark, sf_dir):
+        from tablescope.operators.explore import group_aggregate
+        out = group_aggregate(table(spark, sf_dir, "lineitem"), GROUP_KEYS, GROUP_COLS, func)
+        return rounded(out, {c: digits for c in GROUP_COLS}) if digits else out
+    register(f"a12_groupby_{func}", sql)(q)
+
+
+for _f in GROUP_SQL:
+    _group_query(_f)
+
+
+@register("a13_distinct_counts", """
+SELECT 'p_name' AS "column", COUNT(DISTINCT p_name) AS n_distinct,
+       COUNT(DISTINCT p_name) <= 50 AS low_cardinality FROM part
+UNION ALL SELECT 'p_brand', COUNT(DISTINCT p_brand), COUNT(DISTINCT p_brand) <= 50 FROM part
+UNION ALL SELECT 'p_type', COUNT(DISTINCT p_type), COUNT(DISTINCT p_type) <= 50 FROM part""")
+def q_distinct_counts(spark, sf_dir):
+    from tablescope.operators.explore import distinct_counts
+    return distinct_counts(table(spark, sf_dir, "part"))
+
+
+@register("a14_distinct_values", """
+SELECT DISTINCT p_brand FROM part WHERE p_brand IS NOT NULL""")
+def q_distinct_values(spark, sf_dir):
+    from tablescope.operators.explore import distinct_values
+    return distinct_values(table(spark, sf_dir, "part"), "p_brand")
+
+
+@register("a15_numeric_bounds", " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", CAST(MIN({c}) AS DOUBLE) + 0.0 AS min, CAST(MAX({c}) AS DOUBLE) + 0.0 AS max FROM lineitem"
+    for c in LINEITEM_NUM))
+def q_bounds(spark, sf_dir):
+    from tablescope.operators.explore import numeric_bounds
+    return numeric_bounds(table(spark, sf_dir, "lineitem"))
+
+
+@register("a17_group_sizes", """
+SELECT o_orderstatus, o_orderpriority, COUNT(*) AS count FROM orders
+WHERE o_orderstatus IS NOT NULL AND o_orderpriority IS NOT NULL GROUP BY ALL""")
+def q_group_sizes(spark, sf_dir):
+    from tablescope.operators.explore import group_sizes
+    return group_sizes(table(spark, sf_dir, "orders"), ["o_orderstatus", "o_orderpriority"])
+
+
+def histogram_sql(color: str | None) -> str:
+    c_sel = f", {color}" if color else ""
+    return f"""
+WITH s AS (SELECT CAST(MIN(o_totalprice) AS DOUBLE) AS lo, CAST(MAX(o_totalprice) AS DOUBLE) AS hi FROM orders),
+b AS (
+  SELECT CASE WHEN hi = lo THEN 1
+              ELSE LEAST(CAST(FLOOR((CAST(o_totalprice AS DOUBLE) - lo) / (hi - lo) * 50.0) + 1 AS INTEGER), 50)
+         END AS bin, lo, hi{c_sel}
+  FROM orders, s WHERE o_totalprice IS NOT NULL)
+SELECT bin{c_sel}, COUNT(*) AS count,
+       lo + (hi - lo) / 50.0 * (bin - 1) AS bin_start, lo + (hi - lo) / 50.0 * bin AS bin_end
+FROM b GROUP BY bin, lo, hi{c_sel}"""
+
+
+@register("a19_histogram", histogram_sql(None))
+def q_hist(spark, sf_dir):
+    from tablescope.operators.explore import histogram
+    return histogram(table(spark, sf_dir, "orders"), "o_totalprice")
+
+
+@register("a19_histogram_by_color", histogram_sql("o_orderstatus"))
+def q_hist_color(spark, sf_dir):
+    from tablescope.operators.explore import histogram
+    return histogram(table(spark, sf_dir, "orders"), "o_totalprice", color="o_orderstatus")
+
+
+@register("a20_box_stats", """
+WITH base AS (SELECT o_orderpriority, o_totalprice AS y FROM orders
+              WHERE o_totalprice IS NOT NULL AND o_orderpriority IS NOT NULL),
+q AS (SELECT o_orderpriority, QUANTILE_CONT(y, 0.25) AS q1, QUANTILE_CONT(y, 0.5) AS median,
+             QUANTILE_CONT(y, 0.75) AS q3 FROM base GROUP BY 1),
+f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lo_f, q3 + 1.5 * (q3 - q1) AS hi_f FROM q)
+SELECT b.o_orderpriority, COUNT(*) AS n, MIN(y) AS min, MAX(y) AS max,
+       MIN(CASE WHEN y >= lo_f THEN y END) AS lower_whisker,
+       MAX(CASE WHEN y <= hi_f THEN y END) AS upper_whisker,
+       COUNT(*) FILTER (WHERE y < lo_f OR y > hi_f) AS n_outliers,
+       ROUND(ANY_VALUE(f.q1), 6) AS q1, ROUND(ANY_VALUE(f.median), 6) AS median,
+       ROUND(ANY_VALUE(f.q3), 6) AS q3
+FROM base b JOIN f USING (o_orderpriority) GROUP BY b.o_orderpriority""")
+def q_box(spark, sf_dir):
+    from tablescope.operators.explore import box_stats
+    out = box_stats(table(spark, sf_dir, "orders"), "o_totalprice", by="o_orderpriority")
+    return rounded(out, {"q1": 6, "median": 6, "q3": 6})
+
+
+@register("a21_share_of_total", """
+WITH g AS (SELECT o_orderpriority, CAST(SUM(o_totalprice) AS DOUBLE) AS o_totalprice
+           FROM orders GROUP BY 1)
+SELECT o_orderpriority, ROUND(o_totalprice, 2) AS o_totalprice,
+       ROUND(o_totalprice / SUM(o_totalprice) OVER (), 6) AS share FROM g""")
+def q_share(spark, sf_dir):
+    from tablescope.operators.explore import share_of_total
+    out = share_of_total(table(spark, sf_dir, "orders"), "o_orderpriority", "o_totalprice")
+    return rounded(out, {"o_totalprice": 2, "share": 6})
+
+
+@register("a22_bar_series", """
+SELECT l_returnflag, l_linestatus, SUM(l_quantity) AS l_quantity FROM lineitem GROUP BY ALL""")
+def q_bar(spark, sf_dir):
+    from tablescope.operators.explore import bar_series
+    return bar_series(table(spark, sf_dir, "lineitem"), "l_returnflag", "l_quantity", "l_linestatus")
+
+
+@register("p16_chart_projection", """
+SELECT o_orderdate, o_totalprice, o_orderstatus FROM orders""")
+def q_projection(spark, sf_dir):
+    from tablescope.operators.explore import chart_projection
+    return chart_projection(table(spark, sf_dir, "orders"), "o_orderdate", "o_totalprice",
+                            "o_orderstatus")
+
+
+@register("t5_sample_exact")
+def q_sample(spark, sf_dir):
+    from tablescope.operators.explore import sample_rows
+    return sample_rows(table(spark, sf_dir, "orders"), 3000, seed=7)
+
+
+EXPLORER_SPEC = dict(
+    categories={"o_orderstatus": ["F", "O"]}, ranges={"o_totalprice": (10000, 300000)},
+    group_by=["o_orderpriority"], aggregate=["o_totalprice", "o_custkey"], func="mean",
+    chart="pie", x="o_orderpriority", y="o_totalprice")
+
+EXPLORER_ROWS_SQL = """
+SELECT * FROM orders WHERE o_orderstatus IN ('F', 'O') AND o_totalprice BETWEEN 10000 AND 300000"""
+
+
+@register("l6_explorer_table", f"""
+SELECT o_orderpriority, ROUND(AVG(o_totalprice), 6) AS o_totalprice,
+       ROUND(AVG(o_custkey), 6) AS o_custkey
+FROM ({EXPLORER_ROWS_SQL}) WHERE o_orderpriority IS NOT NULL GROUP BY 1""")
+def q_explorer_table(spark, sf_dir):
+    from tablescope.plans.explorer import ExplorerSpec, explore
+    res = explore(table(spark, sf_dir, "orders"), ExplorerSpec(**EXPLORER_SPEC))
+    return rounded(res.table, {"o_totalprice": 6, "o_custkey": 6})
+
+
+@register("l6_explorer_chart", f"""
+WITH g AS (SELECT o_orderpriority, AVG(o_totalprice) AS o_totalprice
+           FROM ({EXPLORER_ROWS_SQL}) WHERE o_orderpriority IS NOT NULL GROUP BY 1)
+SELECT o_orderpriority, ROUND(o_totalprice, 4) AS o_totalprice,
+       ROUND(o_totalprice / SUM(o_totalprice) OVER (), 6) AS share FROM g""")
+def q_explorer_chart(spark, sf_dir):
+    from tablescope.plans.explorer import ExplorerSpec, explore
+    res = explore(table(spark, sf_dir, "orders"), ExplorerSpec(**EXPLORER_SPEC))
+    return rounded(res.chart, {"o_totalprice": 4, "share": 6})
