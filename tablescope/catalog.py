@@ -34,7 +34,12 @@ def register(key: str, sql: str | None = None):
 
 
 def rounded(df: DataFrame, digits: dict[str, int]) -> DataFrame:
-    return df.withColumns({c: F.round(c, d) for c, d in digits.items() if c in df.columns})
+    """Round for comparison. Averages and shares (4+ digits) are rounded
+    twice, first to ``d + 3`` digits, which absorbs summation-order noise
+    that would otherwise decide an exact tie (e.g. 1546.13 / 32)."""
+    def r(c: str, d: int) -> Column:
+        return F.round(F.round(c, d + 3), d) if d >= 4 else F.round(c, d)
+    return df.withColumns({c: r(c, d) for c, d in digits.items() if c in df.columns})
 
 
 def cleaned_trips(spark: SparkSession, sf_dir: str) -> tr.Trips:
@@ -139,7 +144,7 @@ def q_sanity(spark, sf_dir):
 
 @register("a1_fare_stats", f"""
 WITH {TRIPS_CTE}
-SELECT ROUND(AVG(fare_amount), 6) AS mean, ROUND(STDDEV_SAMP(fare_amount), 6) AS std FROM trips""")
+SELECT ROUND(ROUND(AVG(fare_amount), 9), 6) AS mean, ROUND(ROUND(STDDEV_SAMP(fare_amount), 9), 6) AS std FROM trips""")
 def q_fare_stats(spark, sf_dir):
     from tablescope.operators.quality import column_stats
     t = cleaned_trips(spark, sf_dir)
@@ -192,8 +197,8 @@ def q_running(spark, sf_dir):
 @register("a4_time_of_day_summary", f"""
 WITH {TRIPS_CTE}
 SELECT {session_case()} AS session, ROUND(SUM(fare_amount), 2) AS total_revenue,
-       ROUND(AVG(fare_amount), 6) AS avg_fare, COUNT(*) AS trip_count,
-       ROUND(AVG(trip_distance), 6) AS avg_distance
+       ROUND(ROUND(AVG(fare_amount), 9), 6) AS avg_fare, COUNT(*) AS trip_count,
+       ROUND(ROUND(AVG(trip_distance), 9), 6) AS avg_distance
 FROM trips GROUP BY 1""")
 def q_sessions(spark, sf_dir):
     return rounded(tr.sessions(cleaned_trips(spark, sf_dir)),
@@ -229,7 +234,7 @@ def q_pivot_long(spark, sf_dir):
 SERIES_SQL = f"""
 WITH {TRIPS_CTE}
 SELECT date, COUNT(*) AS trip_count, ROUND(SUM(fare_amount), 2) AS total_revenue,
-       ROUND(AVG(fare_amount), 6) AS avg_fare, ROUND(AVG(trip_distance), 6) AS avg_distance,
+       ROUND(ROUND(AVG(fare_amount), 9), 6) AS avg_fare, ROUND(ROUND(AVG(trip_distance), 9), 6) AS avg_distance,
        CAST(SUM(passenger_count) AS BIGINT) AS total_passengers
 FROM trips GROUP BY date"""
 
@@ -406,7 +411,7 @@ def summary_sql(cols: list[str]) -> str:
     parts = []
     for c in cols:
         parts += [f"COUNT({c}) AS {c}_count", f"ROUND(CAST(SUM({c}) AS DOUBLE), 2) AS {c}_sum",
-                  f"ROUND(AVG({c}), 6) AS {c}_avg", f"MIN({c}) AS {c}_min", f"MAX({c}) AS {c}_max"]
+                  f"ROUND(ROUND(AVG({c}), 9), 6) AS {c}_avg", f"MIN({c}) AS {c}_min", f"MAX({c}) AS {c}_max"]
     return ", ".join(parts)
 
 
@@ -518,11 +523,11 @@ GROUP_KEYS = ["l_returnflag", "l_linestatus"]
 GROUP_COLS = ["l_quantity", "l_extendedprice", "l_discount"]
 GROUP_SQL = {
     "sum": ("ROUND(COALESCE(SUM({c}), 0), 2)", 2),
-    "mean": ("ROUND(AVG({c}), 6)", 6),
+    "mean": ("ROUND(ROUND(AVG({c}), 9), 6)", 6),
     "count": ("COUNT({c})", None),
     "min": ("MIN({c})", None),
     "max": ("MAX({c})", None),
-    "median": ("ROUND(MEDIAN({c}), 6)", 6),
+    "median": ("ROUND(ROUND(MEDIAN({c}), 9), 6)", 6),
 }
 
 
@@ -613,8 +618,8 @@ SELECT b.o_orderpriority, COUNT(*) AS n, MIN(y) AS min, MAX(y) AS max,
        MIN(CASE WHEN y >= lo_f THEN y END) AS lower_whisker,
        MAX(CASE WHEN y <= hi_f THEN y END) AS upper_whisker,
        COUNT(*) FILTER (WHERE y < lo_f OR y > hi_f) AS n_outliers,
-       ROUND(ANY_VALUE(f.q1), 6) AS q1, ROUND(ANY_VALUE(f.median), 6) AS median,
-       ROUND(ANY_VALUE(f.q3), 6) AS q3
+       ROUND(ROUND(ANY_VALUE(f.q1), 9), 6) AS q1, ROUND(ROUND(ANY_VALUE(f.median), 9), 6) AS median,
+       ROUND(ROUND(ANY_VALUE(f.q3), 9), 6) AS q3
 FROM base b JOIN f USING (o_orderpriority) GROUP BY b.o_orderpriority""")
 def q_box(spark, sf_dir):
     from tablescope.operators.explore import box_stats
@@ -626,7 +631,7 @@ def q_box(spark, sf_dir):
 WITH g AS (SELECT o_orderpriority, CAST(SUM(o_totalprice) AS DOUBLE) AS o_totalprice
            FROM orders GROUP BY 1)
 SELECT o_orderpriority, ROUND(o_totalprice, 2) AS o_totalprice,
-       ROUND(o_totalprice / SUM(o_totalprice) OVER (), 6) AS share FROM g""")
+       ROUND(ROUND(o_totalprice / SUM(o_totalprice) OVER (), 9), 6) AS share FROM g""")
 def q_share(spark, sf_dir):
     from tablescope.operators.explore import share_of_total
     out = share_of_total(table(spark, sf_dir, "orders"), "o_orderpriority", "o_totalprice")
@@ -664,8 +669,8 @@ SELECT * FROM orders WHERE o_orderstatus IN ('F', 'O') AND o_totalprice BETWEEN
 
 
 @register("l6_explorer_table", f"""
-SELECT o_orderpriority, ROUND(AVG(o_totalprice), 6) AS o_totalprice,
-       ROUND(AVG(o_custkey), 6) AS o_custkey
+SELECT o_orderpriority, ROUND(ROUND(AVG(o_totalprice), 9), 6) AS o_totalprice,
+       ROUND(ROUND(AVG(o_custkey), 9), 6) AS o_custkey
 FROM ({EXPLORER_ROWS_SQL}) WHERE o_orderpriority IS NOT NULL GROUP BY 1""")
 def q_explorer_table(spark, sf_dir):
     from tablescope.plans.explorer import ExplorerSpec, explore
@@ -676,8 +681,8 @@ def q_explorer_table(spark, sf_dir):
 @register("l6_explorer_chart", f"""
 WITH g AS (SELECT o_orderpriority, AVG(o_totalprice) AS o_totalprice
            FROM ({EXPLORER_ROWS_SQL}) WHERE o_orderpriority IS NOT NULL GROUP BY 1)
-SELECT o_orderpriority, ROUND(o_totalprice, 4) AS o_totalprice,
-       ROUND(o_totalprice / SUM(o_totalprice) OVER (), 6) AS share FROM g""")
+SELECT o_orderpriority, ROUND(ROUND(o_totalprice, 7), 4) AS o_totalprice,
+       ROUND(ROUND(o_totalprice / SUM(o_totalprice) OVER (), 9), 6) AS share FROM g""")
 def q_explorer_chart(spark, sf_dir):
     from tablescope.plans.explorer import ExplorerSpec, explore
     res = explore(table(spark, sf_dir, "orders"), ExplorerSpec(**EXPLORER_SPEC))
