@@ -62,6 +62,10 @@ def _targets(ranked: DataFrame, keys: list[str], probs: Sequence[float]) -> Data
                     (F.col("_first") + F.col("_rank") - F.col("_off")).alias("_tid"))
 
 
+def default_name(col: str, p: float) -> str:
+    return f"{col}_q{p:g}".replace(".", "_")
+
+
 def _one_column(df: DataFrame, keys: list[str], col: str, probs: Sequence[float],
                 names: Mapping[tuple[str, float], str], seed: int) -> DataFrame:
     ranked = _ranked_values(df, keys, col, seed)
@@ -77,7 +81,7 @@ def _one_column(df: DataFrame, keys: list[str], col: str, probs: Sequence[float]
     pos = F.max("_pos")
     interp = F.when(hi_r == lo_r, lo).otherwise((hi_r - pos) * lo + (pos - lo_r) * hi)
     per_q = hits.groupBy(*keys, "_q").agg(interp.alias("_val"))
-    out = [F.max(F.when(F.col("_q") == i, F.col("_val"))).alias(names.get((col, p), f"{col}_q{p}"))
+    out = [F.max(F.when(F.col("_q") == i, F.col("_val"))).alias(names.get((col, p), default_name(col, p)))
            for i, p in enumerate(probs)]
     if keys:
         return per_q.groupBy(*keys).agg(*out)
@@ -91,7 +95,7 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
     quantile of each column in ``cols`` for each ``p`` in ``probs``.
 
     Output column names come from ``names[(col, p)]``, default
-    ``<col>_q<p>``. Nulls and NaN are ignored; a group with no value in a
+    ``<col>_q<p>`` with the dot as ``_`` (``v_q0_25``). Nulls and NaN are ignored; a group with no value in a
     column gets null for it.
     """
     keys, names = list(keys), dict(names or {})
@@ -110,8 +114,8 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
 
 def _join_on_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Left join on null-safe key equality, keys kept once."""
-    r = right.select(*[F.col(k).alias(f"_rk{i}") for i, k in enumerate(keys)],
-                     *[c for c in right.columns if c not in keys])
+    r = right.select(*[right[k].alias(f"_rk{i}") for i, k in enumerate(keys)],
+                     *[right[c] for c in right.columns if c not in keys])
     cond = None
     for i, k in enumerate(keys):
         c = left[k].eqNullSafe(r[f"_rk{i}"])

@@ -47,24 +47,47 @@ def null_spellings(df: DataFrame, na: Sequence[str] = NA_SPELLINGS) -> DataFrame
     for f in df.schema.fields:
         c = F.col(f.name)
         if isinstance(f.dataType, StringType):
-            exprs[f.name] = F.when(F.trim(c).isin(na_list), F.lit(None)).otherwise(c)
+            exprs[f.name] = F.when(c.isin(na_list), F.lit(None)).otherwise(c)
         elif isinstance(f.dataType, (DoubleType, FloatType)):
             exprs[f.name] = F.nanvl(c, F.lit(None).cast(f.dataType))
     return df.withColumns(exprs) if exprs else df
 
 
+def infer_text_types(df: DataFrame) -> DataFrame:
+    """Type text columns from their non-null values: whole numbers become
+    bigint, other numbers double, anything else stays text.
+
+    One aggregation over the data decides all columns (a single row of
+    counts reaches the driver), then one projection casts them.
+    """
+    text = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
+    if not text:
+        return df
+    aggs = []
+    for i, c in enumerate(text):
+        v = F.col(c)
+        aggs += [F.count(v).alias(f"n{i}"),
+                 F.count(v.try_cast("bigint")).alias(f"i{i}"),
+                 F.count(v.try_cast("double")).alias(f"d{i}")]
+    counts = df.agg(*aggs).first()
+    casts = {}
+    for i, c in enumerate(text):
+        n = counts[f"n{i}"]
+        if n and counts[f"i{i}"] == n:
+            casts[c] = F.col(c).try_cast("bigint")
+        elif n and counts[f"d{i}"] == n:
+            casts[c] = F.nanvl(F.col(c).try_cast("double"), F.lit(None).cast("double"))
+    return df.withColumns(casts) if casts else df
+
+
 def read_explorer_csv(spark: SparkSession, paths: str | Sequence[str], *,
-                      schema: StructType | str | None = None,
-                      infer_sample_ratio: float = 1.0) -> DataFrame:
-    """CSV for interactive exploration: header, typed columns, NA spellings
-    and NaN as null. Typing happens after the NA mapping, so a column of
-    numbers with ``"NA"`` holes becomes numeric."""
-    raw = (spark.read.option("header", True)
-                .option("inferSchema", schema is None)
-                .option("samplingRatio", infer_sample_ratio)
-                .option("nullValue", "")
-                .option("nanValue", "NaN"))
+                      schema: StructType | str | None = None) -> DataFrame:
+    """CSV for interactive exploration: header, NA spellings and NaN as
+    null, then numeric typing of the text columns (so a numeric column with
+    ``"NA"`` holes comes out numeric). Dates stay text unless ``schema``
+    says otherwise."""
+    reader = spark.read.option("header", True)
     if schema is not None:
-        raw = raw.schema(schema)
-    df = raw.csv(list(paths) if not isinstance(paths, str) else paths)
-    return null_spellings(df)
+        return null_spellings(reader.schema(schema).csv(list(paths) if not isinstance(paths, str) else paths))
+    raw = reader.csv(list(paths) if not isinstance(paths, str) else paths)
+    return infer_text_types(null_spellings(raw))
