@@ -183,9 +183,24 @@ OUTPUT_TITLES = {
 }
 
 
-def report_outputs(spark: SparkSession, t: Trips, shared_scan: bool = True) -> dict[str, DataFrame]:
+def report_columns(t: Trips) -> list[str]:
+    """Columns any output reads: role columns, time parts, name keys."""
+    df = t.df
+    want = ["date", "hour", "month", t.fare, t.distance, "trip_distance", "passenger_count",
+            t.group, find_role(df, "vendor"), find_role(df, "payment")]
+    return [c for c in dict.fromkeys(want) if c and c in df.columns]
+
+
+def prune(t: Trips) -> Trips:
+    return Trips(df=t.df.select(*report_columns(t)), fare=t.fare, distance=t.distance,
+                 group=t.group, has_time=t.has_time)
+
+
+def report_outputs(spark: SparkSession, t: Trips, shared_scan: bool = True,
+                   cube: DataFrame | None = None) -> dict[str, DataFrame]:
     """The seven outputs that apply to this table (missing roles skip an
-    output instead of failing the report)."""
+    output instead of failing the report). With ``shared_scan`` the grouped
+    outputs roll up ``cube`` (default: :func:`base_cube` of ``t``)."""
     out: dict[str, DataFrame] = {}
     if t.fare:
         out["outliers"] = outliers(t)
@@ -193,7 +208,7 @@ def report_outputs(spark: SparkSession, t: Trips, shared_scan: bool = True) -> d
         out["joined"] = enriched(t, spark)
         return out
     if shared_scan:
-        cube = base_cube(t).persist(StorageLevel.MEMORY_AND_DISK)
+        cube = base_cube(t) if cube is None else cube
         if t.fare and t.group:
             d = daily_from_cube(cube, t.group)
             out["ranked"] = ranked(t, d)
@@ -216,16 +231,28 @@ def report_outputs(spark: SparkSession, t: Trips, shared_scan: bool = True) -> d
 
 
 def run_trip_report(spark: SparkSession, source: DataFrame, out_dir: str,
-                    fmt: str = "csv") -> dict[str, int]:
+                    fmt: str = "csv",
+                    storage: StorageLevel | None = StorageLevel.MEMORY_AND_DISK) -> dict[str, int]:
     """Clean ``source``, write every applicable output under ``out_dir``
-    (one directory per output), return rows written per output."""
+    (one directory per output), return rows written per output.
+
+    The cleaned trips are pruned to the columns the outputs read and kept
+    at ``storage`` (None: every output re-reads the source, the better
+    choice when the source is columnar and much larger than the cluster's
+    memory and disk). Lost cache blocks are rebuilt from the source.
+    """
     from tablescope.sources.sinks import write_result
 
-    t = load_and_clean(source)
-    t.df.persist(StorageLevel.MEMORY_AND_DISK)
+    t = prune(load_and_clean(source))
+    cached = [t.df.persist(storage)] if storage is not None else []
     try:
-        outputs = report_outputs(spark, t)
+        cube = None
+        if t.has_time:
+            cube = base_cube(t).persist(StorageLevel.MEMORY_AND_DISK)
+            cached.append(cube)
+        outputs = report_outputs(spark, t, cube=cube)
         return {name: write_result(df, f"{out_dir.rstrip('/')}/{name}", fmt)
                 for name, df in outputs.items()}
     finally:
-        t.df.unpersist()
+        for df in cached:
+            df.unpersist()

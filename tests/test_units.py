@@ -327,3 +327,16 @@ def test_enriched_cap_and_columns(spark):
     assert len(got) == 3 and [r[1] for r in got] == [0, 1, 2]
     assert got[0][3:5] == ("Creative Mobile Technologies", "Cash")
     assert payment_lookup(spark).rows == 6
+
+
+def test_first_rows_threshold_path_is_exact(spark):
+    import random
+    rnd = random.Random(5)
+    data = [(rnd.randint(0, 300) if i % 17 else None, rnd.random()) for i in range(6000)]
+    df = spark.createDataFrame(data, "a int, b double")
+    want = sorted(data, key=lambda r: (r[0] is not None, r[0] if r[0] is not None else 0, r[1]))[:2500]
+    got = rows(R.first_rows(df, 2500, ["a", "b"]))
+    assert got == want
+    assert R.first_rows(df, 7000, ["a", "b"]).count() == 6000
+    strs = spark.createDataFrame([(str(i),) for i in range(3000)], "s string")
+    assert R.first_rows(strs, 1500, ["s"]).count() == 1500
