@@ -40,9 +40,16 @@ def category_filters(df: DataFrame, selections: Mapping[str, Sequence]) -> DataF
 
 def range_filters(df: DataFrame, ranges: Mapping[str, tuple]) -> DataFrame:
     """Conjunction of inclusive ranges ``lo <= x <= hi``; null rows drop.
-    A degenerate range (``lo >= hi``) is no filter, like a constant column
-    that offers no range to pick."""
-    preds = [F.col(c).between(lo, hi) for c, (lo, hi) in ranges.items() if lo < hi]
+
+    Only columns whose values vary get a range: for a constant (or all-null)
+    column the explorer offers none, so it filters nothing, not even nulls.
+    Whether a column varies is a scalar subquery over ``df`` (Spark merges
+    them into one aggregate), decided inside the plan.
+    """
+    preds = []
+    for c, (lo, hi) in ranges.items():
+        varies = df.select(F.coalesce(F.min(c) < F.max(c), F.lit(False))).scalar()
+        preds.append(~varies | F.col(c).between(lo, hi))
     return df.filter(_all(preds)) if preds else df
 
 
@@ -61,8 +68,6 @@ def _agg(func: str, c: str) -> Column:
         return F.min(c).alias(c)
     if func == "max":
         return F.max(c).alias(c)
-    if func == "median":
-        return F.median(c).alias(c)
     raise ValueError(f"unknown aggregate {func!r}; expected one of {AGG_FUNCS}")
 
 

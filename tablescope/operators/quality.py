@@ -116,7 +116,7 @@ def outliers(df: DataFrame, fare: str, passengers: str | None = "passenger_count
     if passengers is not None and passengers not in df.columns:
         passengers = None
     reason = outlier_reason(fare, sigma_threshold(df, fare, k), passengers)
-    flagged = df.withColumn("outlier_reason", reason).filter(F.col("outlier_reason").isNotNull())
+    flagged = keep_not_null(df.withColumn("outlier_reason", reason), "outlier_reason")
     return keep_existing(flagged, ["outlier_reason", fare, *extra])
 
 

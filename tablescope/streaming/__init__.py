@@ -1 +1,3 @@
-"""streaming"""
+"""Structured Streaming forms of the trip operators (the reference is batch
+only; these run the same cleaning and daily revenue over files that keep
+arriving)."""

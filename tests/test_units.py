@@ -281,9 +281,12 @@ def test_filter_by_category_empty_keeps_nothing(spark):
 
 
 def test_range_filters(spark):
-    df = spark.createDataFrame([(1.0,), (5.0,), (None,)], "x double")
+    df = spark.createDataFrame([(1.0, 7), (5.0, 7), (None, 7)], "x double, c int")
     assert X.range_filters(df, {"x": (0.0, 2.0)}).count() == 1
-    assert X.range_filters(df, {"x": (2.0, 2.0)}).count() == 3  # degenerate: no filter
+    assert X.range_filters(df, {"x": (1.0, 1.0)}).count() == 1
+    # constant column: no range to pick, nothing filtered (nulls kept too)
+    assert X.range_filters(df, {"c": (100, 200)}).count() == 3
+    assert X.range_filters(df, {"x": (0.0, 2.0), "c": (100, 200)}).count() == 1
     assert Q.filter_by_value(df, "x", min_val=2).count() == 1
     assert Q.filter_by_value(df, "x").count() == 3
 
@@ -340,3 +343,12 @@ def test_first_rows_threshold_path_is_exact(spark):
     assert R.first_rows(df, 7000, ["a", "b"]).count() == 6000
     strs = spark.createDataFrame([(str(i),) for i in range(3000)], "s string")
     assert R.first_rows(strs, 1500, ["s"]).count() == 1500
+
+
+def test_output_orders(spark):
+    df = spark.createDataFrame([(2, "b"), (None, "n"), (3, "c"), (1, "a")], "k int, s string")
+    assert [r.s for r in R.sort_desc(df, "k").collect()] == ["c", "b", "a", "n"]
+    assert [r.s for r in R.sort_asc(df, "k").collect()] == ["n", "a", "b", "c"]
+    sessions = A.time_of_day_summary(
+        spark.createDataFrame([(h, 1.0) for h in (8, 8, 12, 12, 12, 22)], "hour int, fare double"), "fare")
+    assert [r.trip_count for r in sessions.collect()] == [3, 2, 1]
