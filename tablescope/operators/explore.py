@@ -221,11 +221,12 @@ def box_stats(df: DataFrame, y: str, by: str | None = None) -> DataFrame:
 def share_of_total(df: DataFrame, x: str, y: str) -> DataFrame:
     """Sum of ``y`` per ``x`` and its fraction of the grand total.
 
-    The grand total is a scalar subquery over the grouped result, not an
-    unpartitioned window, so no single task sees every group.
+    The grand total is a scalar subquery over the input (partial sums, no
+    shuffle), not an unpartitioned window over the groups, so no single
+    task sees every group and the grouping runs once.
     """
     grouped = df.groupBy(x).agg(F.sum(y).cast("double").alias(y))
-    total = grouped.select(F.sum(y)).scalar()
+    total = df.select(F.sum(y).cast("double")).scalar()
     return grouped.withColumn("share", F.col(y) / total)
 
 

@@ -5,6 +5,9 @@ distinct value; a group holding a third of a 100 TB table would put all its
 distinct values into one task. Here the order statistics come from a
 global sort instead:
 
+When every group is small enough (checked by one aggregation), Spark's own
+``percentile`` is used instead. Otherwise:
+
 1. sort ``(keys, value, random tiebreak)``: range partitioning splits every
    group (and even a hot single value) across many tasks;
 2. number the sorted rows with ``monotonically_increasing_id`` (partition
@@ -66,50 +69,80 @@ def default_name(col: str, p: float) -> str:
     return f"{col}_q{p:g}".replace(".", "_")
 
 
-def _one_column(df: DataFrame, keys: list[str], col: str, probs: Sequence[float],
-                names: Mapping[tuple[str, float], str], seed: int) -> DataFrame:
-    ranked = _ranked_values(df, keys, col, seed)
-    targets = _targets(ranked, keys, probs)
-    side = F.broadcast(targets) if broadcastable(targets) else targets
-    hits = (ranked.select("_id", "_v")
-                  .join(side, F.col("_id") == F.col("_tid"), "inner")
-                  .select(*keys, "_q", "_side", "_rank", "_pos", "_v"))
-    lo = F.max(F.when(F.col("_side") == "lo", F.col("_v")))
-    hi = F.max(F.when(F.col("_side") == "hi", F.col("_v")))
-    lo_r = F.max(F.when(F.col("_side") == "lo", F.col("_rank")))
-    hi_r = F.max(F.when(F.col("_side") == "hi", F.col("_rank")))
-    pos = F.max("_pos")
-    interp = F.when(hi_r == lo_r, lo).otherwise((hi_r - pos) * lo + (pos - lo_r) * hi)
-    per_q = hits.groupBy(*keys, "_q").agg(interp.alias("_val"))
-    out = [F.max(F.when(F.col("_q") == i, F.col("_val"))).alias(names.get((col, p), default_name(col, p)))
-           for i, p in enumerate(probs)]
-    if keys:
-        return per_q.groupBy(*keys).agg(*out)
-    return per_q.agg(*out)
+# Groups up to this many rows use Spark's exact ``percentile`` (its per-group
+# value map then has a proven bound); larger groups use the sort path.
+MAX_IN_MEMORY_GROUP = 200_000
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
                     probs: Sequence[float], names: Mapping[tuple[str, float], str] | None = None,
-                    seed: int = 17) -> DataFrame:
+                    seed: int = 17, max_group_rows: int | None = MAX_IN_MEMORY_GROUP) -> DataFrame:
     """One row per group (``keys``, may be empty) with the exact ``p``
     quantile of each column in ``cols`` for each ``p`` in ``probs``.
 
     Output column names come from ``names[(col, p)]``, default
-    ``<col>_q<p>`` with the dot as ``_`` (``v_q0_25``). Nulls and NaN are ignored; a group with no value in a
-    column gets null for it.
+    ``<col>_q<p>`` with the dot as ``_`` (``v_q0_25``). Nulls and NaN are
+    ignored; a group with no value in a column gets null for it.
+
+    One aggregation first finds the largest group. When it holds at most
+    ``max_group_rows`` rows, Spark's exact ``percentile`` is used (its
+    per-group value map is then bounded); otherwise, or with
+    ``max_group_rows=None``, the sort path of this module runs, whose memory
+    per task does not depend on group sizes.
     """
-    keys, names = list(keys), dict(names or {})
-    parts = [_one_column(df, keys, c, probs, names, seed) for c in cols]
+    keys, cols, names = list(keys), list(cols), dict(names or {})
+    if max_group_rows is not None:
+        sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")) if keys else df.select(F.lit(1).alias("_n"))
+        biggest = (sizes.agg(F.max("_n")) if keys else sizes.agg(F.count("_n"))).first()[0] or 0
+        if biggest <= max_group_rows:
+            return _quantiles_in_memory(df, keys, cols, probs, names)
+    return _quantiles_by_sort(df, keys, cols, probs, names, seed)
+
+
+def _quantiles_in_memory(df: DataFrame, keys: list[str], cols: list[str],
+                         probs: Sequence[float], names: Mapping[tuple[str, float], str]) -> DataFrame:
+    ps = F.array(*[F.lit(float(p)) for p in probs])
+    aggs = []
+    for c in cols:
+        v = F.col(c).cast("double")
+        aggs.append(F.percentile(F.when(~F.isnan(v), v), ps).alias(f"_a_{c}"))
+    agg = df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
+    return agg.select(*keys, *[F.col(f"_a_{c}")[i].alias(names.get((c, p), default_name(c, p)))
+                               for c in cols for i, p in enumerate(probs)])
+
+
+def _quantiles_by_sort(df: DataFrame, keys: list[str], cols: list[str], probs: Sequence[float],
+                       names: Mapping[tuple[str, float], str], seed: int) -> DataFrame:
+    """Several columns are unpivoted into one (keys, column, value) stream,
+    so they share one sort and one checkpoint."""
+    if len(cols) == 1:
+        long = df.select(*keys, F.lit(0).alias("_c"), F.col(cols[0]).alias("_x"))
+    else:
+        pairs = [F.struct(F.lit(i).alias("_c"), F.col(c).cast("double").alias("_x"))
+                 for i, c in enumerate(cols)]
+        long = df.select(*keys, F.explode(F.array(*pairs)).alias("_s")).select(*keys, "_s._c", "_s._x")
+    gkeys = keys + ["_c"]
+    ranked = _ranked_values(long, gkeys, "_x", seed)
+    targets = _targets(ranked, gkeys, probs)
+    side = F.broadcast(targets) if broadcastable(targets) else targets
+    hits = (ranked.select("_id", "_v")
+                  .join(side, F.col("_id") == F.col("_tid"), "inner")
+                  .select(*gkeys, "_q", "_side", "_rank", "_pos", "_v"))
+    lo = F.max(F.when(F.col("_side") == "lo", F.col("_v")))
+    hi = F.max(F.when(F.col("_side") == "hi", F.col("_v")))
+    lo_r = F.max(F.when(F.col("_side") == "lo", F.col("_rank")))
+    hi_r = F.max(F.when(F.col("_side") == "hi", F.col("_rank")))
+    pos = F.max("_pos")
+    interp = F.when(hi_r == lo_r, lo).otherwise((hi_r - pos) * lo + (pos - lo_r) * hi)
+    per_q = hits.groupBy(*gkeys, "_q").agg(interp.alias("_val"))
+    out = [F.max(F.when((F.col("_c") == ci) & (F.col("_q") == qi), F.col("_val")))
+             .alias(names.get((c, p), default_name(c, p)))
+           for ci, c in enumerate(cols) for qi, p in enumerate(probs)]
     if not keys:
-        # one row each: later columns ride along as scalar subqueries
-        first = parts[0]
-        extra = {c: p.select(c).scalar() for p in parts[1:] for c in p.columns}
-        return first.withColumns(extra) if extra else first
+        return per_q.agg(*out)
+    result = per_q.groupBy(*keys).agg(*out)
     # every group appears, also one whose values are all null
-    result = df.select(*keys).dropDuplicates()
-    for p in parts:
-        result = _join_on_keys(result, p, keys)
-    return result
+    return _join_on_keys(df.select(*keys).dropDuplicates(), result, keys)
 
 
 def _join_on_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
