@@ -690,3 +690,22 @@ def q_explorer_chart(spark, sf_dir):
     from tablescope.plans.explorer import ExplorerSpec, explore
     res = explore(table(spark, sf_dir, "orders"), ExplorerSpec(**EXPLORER_SPEC))
     return rounded(res.chart, {"o_totalprice": 4, "share": 6})
+
+
+PART_NUM = ["p_partkey", "p_size", "p_retailprice"]
+
+
+@register("p4_summary_default_roles", f"""
+SELECT p_name, {summary_sql(PART_NUM)} FROM part GROUP BY p_name""")
+def q_summary_defaults(spark, sf_dir):
+    """No category given: the first string column (p_name) groups, every
+    numeric column (bigint, int, double) is a measure."""
+    from tablescope.operators.aggregate import compute_summary
+    return rounded(compute_summary(table(spark, sf_dir, "part")), summary_digits(PART_NUM))
+
+
+@register("t1_top_n_default_column", """
+SELECT * FROM orders ORDER BY o_orderkey DESC NULLS LAST LIMIT 20""")
+def q_top_n_default(spark, sf_dir):
+    """No sort column given: the first numeric column (o_orderkey, unique)."""
+    return ranking.compute_top_n(table(spark, sf_dir, "orders"))
