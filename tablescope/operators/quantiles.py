@@ -11,8 +11,9 @@ When every group is small enough (checked by one aggregation), Spark's own
 1. sort ``(keys, value, random tiebreak)``: range partitioning splits every
    group (and even a hot single value) across many tasks;
 2. number the sorted rows with ``monotonically_increasing_id`` (partition
-   index in the high bits, position in the low bits) and checkpoint, so the
-   numbering is fixed even if executors are lost later;
+   index in the high bits, position in the low bits) and write them once
+   as a table in the checkpoint folder, so the numbering is fixed even if
+   executors are lost later;
 3. count rows per (group, partition) - a table of about groups + partitions
    rows - and turn it into per-partition rank offsets with a window;
 4. the rows at the interpolation ranks are then known by id; fetch their
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablescope.operators.enrich import broadcastable
-from tablescope.session import ensure_checkpoint_dir
+from tablescope.session import ensure_checkpoint_dir, materialize
 
 _PART_BITS = 33  # monotonically_increasing_id: partition index << 33
 
@@ -39,7 +40,7 @@ def _ranked_values(df: DataFrame, keys: list[str], col: str, seed: int) -> DataF
     x = (df.select(*keys, F.col(col).cast("double").alias("_v"))
            .filter(F.col("_v").isNotNull() & ~F.isnan("_v")))
     ordered = x.orderBy(*keys, "_v", F.rand(seed))
-    return ordered.withColumn("_id", F.monotonically_increasing_id()).checkpoint(eager=True)
+    return materialize(ordered.withColumn("_id", F.monotonically_increasing_id()))
 
 
 def _targets(ranked: DataFrame, keys: list[str], probs: Sequence[float]) -> DataFrame:
@@ -114,7 +115,7 @@ def _quantiles_in_memory(df: DataFrame, keys: list[str], cols: list[str],
 def _quantiles_by_sort(df: DataFrame, keys: list[str], cols: list[str], probs: Sequence[float],
                        names: Mapping[tuple[str, float], str], seed: int) -> DataFrame:
     """Several columns are unpivoted into one (keys, column, value) stream,
-    so they share one sort and one checkpoint."""
+    so they share one sort and one written table."""
     if len(cols) == 1:
         long = df.select(*keys, F.lit(0).alias("_c"), F.col(cols[0]).alias("_x"))
     else:

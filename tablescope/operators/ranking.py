@@ -65,29 +65,42 @@ def compute_top_n(df: DataFrame, n: int = 20, sort_col: str | None = None,
 # in one task) is cheap enough: its final merge sees n rows per partition.
 SMALL_TOP_K = 1_000
 _THRESHOLD_TYPES = (NumericType, DateType, TimestampType, TimestampNTZType)
+# Approximate-quantile accuracy (rank error <= rows / accuracy) and the grid
+# of fractions evaluated in the same pass as the row count.
+_ACCURACY = 10_000
+_GRID = sorted({min(1.0, 2.0 / _ACCURACY * 2 ** i) for i in range(15)})
 
 
 def first_rows(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
     """The first ``n`` rows ordered by ``order`` (ascending, nulls first).
 
-    For a large ``n`` the rows are first narrowed to those whose leading
-    order column is at or below an approximate quantile that should hold
-    about ``1.5 n`` rows; the top-k merge then sees those candidates only,
-    not ``n`` rows from every partition. If the estimate falls short, the
-    plain top-k runs instead, so the result is exact either way.
+    Spark's top-k merges ``n`` rows from every partition in one task; for a
+    large ``n`` on a large table that is the bottleneck. So, for large
+    ``n``: one aggregation counts the rows and sketches quantiles of the
+    leading order column at a grid of fractions; the smallest fraction
+    above ``1.5 n / rows`` plus twice the sketch's rank error gives a cut
+    that keeps about ``1.5 n`` rows; those candidates are written once as a
+    table (two passes over the input in all) and the top-k runs on them. If
+    the candidates ever hold fewer than ``n`` rows the plain top-k runs, so
+    the result is exact either way.
     """
     sort = [F.asc_nulls_first(c) for c in order]
     lead = order[0]
     if n <= SMALL_TOP_K or not isinstance(df.schema[lead].dataType, _THRESHOLD_TYPES):
         return df.orderBy(*sort).limit(n)
-    total = df.count()
+    stats = df.agg(F.count(F.lit(1)).alias("rows"),
+                   F.percentile_approx(lead, _GRID, _ACCURACY).alias("cuts")).first()
+    total, cuts = stats["rows"], stats["cuts"]
     if total <= n:
         return df.orderBy(*sort)
-    frac = min(1.0, 1.5 * n / total + 1e-4)
-    cut = df.agg(F.percentile_approx(lead, frac, 10_000)).first()[0]
-    cand = df.filter(F.col(lead).isNull() | (F.col(lead) <= F.lit(cut)))
+    need = 1.5 * n / total + 2.0 / _ACCURACY
+    i = next((j for j, f in enumerate(_GRID) if f >= need), None)
+    if i is None or _GRID[i] >= 1.0 or cuts is None:
+        return df.orderBy(*sort).limit(n)
+    from tablescope.session import materialize
+    cand = materialize(df.filter(F.col(lead).isNull() | (F.col(lead) <= F.lit(cuts[i]))))
     if cand.count() < n:
-        cand = df
+        return df.orderBy(*sort).limit(n)
     return cand.orderBy(*sort).limit(n)
 
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, app: str = "tablescope",
@@ -56,3 +57,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     else:
         raise RuntimeError("set spark.checkpoint.dir to a shared (HDFS/object store) folder")
     return sc.getCheckpointDir()
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once as a Parquet table under the session's checkpoint
+    folder and read it back: the lineage is cut, later passes read the
+    compressed columns they need, and lost executors cost nothing."""
+    base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{base}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

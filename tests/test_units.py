@@ -352,3 +352,10 @@ def test_output_orders(spark):
     sessions = A.time_of_day_summary(
         spark.createDataFrame([(h, 1.0) for h in (8, 8, 12, 12, 12, 22)], "hour int, fare double"), "fare")
     assert [r.trip_count for r in sessions.collect()] == [3, 2, 1]
+
+
+def test_first_rows_prefilter_path(spark):
+    # n well below the row count: the quantile cut and candidate table are used
+    df = spark.range(0, 200_000).selectExpr("(id * 7919) % 200000 as a", "id as b")
+    got = [r.a for r in R.first_rows(df, 5_000, ["a", "b"]).collect()]
+    assert got == list(range(5_000))
