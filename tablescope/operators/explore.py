@@ -188,13 +188,16 @@ def box_stats(df: DataFrame, y: str, by: str | None = None) -> DataFrame:
     of points outside them. Quartiles are exact, linear interpolation."""
     from tablescope.operators.enrich import broadcastable
     from tablescope.operators.quantiles import exact_quantiles
+    from tablescope.session import materialize
 
     keys = [by] if by else []
     base = df.filter(F.col(y).isNotNull())
     if by:
         base = base.filter(F.col(by).isNotNull())
-    q = exact_quantiles(base, keys, [y], [0.25, 0.5, 0.75],
-                        names={(y, 0.25): "q1", (y, 0.5): "median", (y, 0.75): "q3"})
+    # one row per group, written once: the size check, the fence join and the
+    # final join all read it instead of recomputing the quartiles
+    q = materialize(exact_quantiles(base, keys, [y], [0.25, 0.5, 0.75],
+                                    names={(y, 0.25): "q1", (y, 0.5): "median", (y, 0.75): "q3"}))
     fences = q.withColumns({
         "lo_fence": F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")),
         "hi_fence": F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")),
@@ -243,19 +246,24 @@ def bar_series(df: DataFrame, x: str, y: str, color: str | None = None) -> DataF
 def sample_rows(df: DataFrame, k: int = SCATTER_SAMPLE, seed: int = 42) -> DataFrame:
     """Exactly ``min(k, n)`` rows drawn uniformly without replacement.
 
-    Every row gets a seeded random key and the ``k`` smallest keys win. To
-    keep the final merge small on many partitions, a first pass keeps only
-    keys below a threshold that holds ``k`` rows with overwhelming
-    probability; if it ever holds fewer, the plain top-``k`` is used, so the
-    result is exact either way.
+    Every row gets a seeded random key and the ``k`` smallest keys win.
+    Two passes: a count, then the rows whose key falls below a threshold
+    that holds ``k`` rows with overwhelming probability are written once as
+    a small table; the top-``k`` runs on that table, so its final merge
+    never sees ``k`` rows from every partition. If the table ever holds
+    fewer than ``k`` rows the plain top-``k`` runs, so the result is exact.
     """
+    from tablescope.session import materialize
+
     keyed = df.withColumn("_r", F.rand(seed))
     n = df.count()
     if n <= k:
-        return keyed.drop("_r")
+        return df
     frac = min(1.0, (k + 10.0 * (k ** 0.5) + 100.0) / n)
-    cut = keyed.filter(F.col("_r") < frac)
-    if frac < 1.0 and cut.count() < k:
+    if frac >= 1.0:
+        return keyed.orderBy("_r").limit(k).drop("_r")
+    cut = materialize(keyed.filter(F.col("_r") < frac))
+    if cut.count() < k:
         cut = keyed
     return cut.orderBy("_r").limit(k).drop("_r")
 
