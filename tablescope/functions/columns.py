@@ -102,10 +102,6 @@ def keep_existing(df: DataFrame, wanted: Iterable[str | None]) -> DataFrame:
     return df.select(*out)
 
 
-def as_double(c: str | Column) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).cast("double")
-
-
 def as_int_key(c: str | Column) -> Column:
     """Join-key cast that turns unparsable text into null instead of failing."""
     return (F.col(c) if isinstance(c, str) else c).try_cast("int")

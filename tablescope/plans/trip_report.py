@@ -14,7 +14,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablescope.functions.columns import find_role, group_role, keep_existing, normalise_columns
+from tablescope.functions.columns import (fill_zero, find_role, group_role, keep_existing,
+                                         normalise_columns)
 from tablescope.functions.labels import PIVOT_LABELS, SESSION_LABELS, time_of_day
 from tablescope.functions.timeparts import with_time_parts
 from tablescope.operators import aggregate, quality, ranking
@@ -158,7 +159,7 @@ def pivot_from_cube(cube: DataFrame) -> DataFrame:
     out = (cube.withColumn("session", time_of_day("hour", PIVOT_LABELS))
                .groupBy("hour").pivot("session", list(PIVOT_LABELS))
                .agg(F.round(F.sum("fare_sum"), 2)).orderBy("hour"))
-    return out.fillna(0, subset=list(PIVOT_LABELS))
+    return fill_zero(out, list(PIVOT_LABELS))
 
 
 def series_from_cube(cube: DataFrame, has_fare: bool) -> DataFrame:
