@@ -476,7 +476,7 @@ SELECT customer_name, {summary_sql(['custkey', 'nation_key', 'acct_bal'])}
 FROM kept GROUP BY customer_name""")
 def q_report_summary(spark, sf_dir):
     from tablescope.plans.table_report import table_report
-    out = table_report(dirty_customers(spark, sf_dir))["summary"]
+    out = table_report(dirty_customers(spark, sf_dir), outputs=("summary",))["summary"]
     return rounded(out, summary_digits(["custkey", "nation_key", "acct_bal"]))
 
 
@@ -485,7 +485,7 @@ WITH {CLEAN_SQL}
 SELECT * FROM kept ORDER BY {order_all(CLEAN_COLS, 'custkey')} LIMIT 20""")
 def q_report_top(spark, sf_dir):
     from tablescope.plans.table_report import table_report
-    return table_report(dirty_customers(spark, sf_dir))["top_n"]
+    return table_report(dirty_customers(spark, sf_dir), outputs=("top_n",))["top_n"]
 
 
 @register("l5_report_cleaned_sample", f"""
@@ -493,7 +493,7 @@ WITH {CLEAN_SQL}
 SELECT * FROM kept ORDER BY {order_all(CLEAN_COLS)} LIMIT 5000""")
 def q_report_sample(spark, sf_dir):
     from tablescope.plans.table_report import table_report
-    return table_report(dirty_customers(spark, sf_dir))["cleaned_sample"]
+    return table_report(dirty_customers(spark, sf_dir), outputs=("cleaned_sample",))["cleaned_sample"]
 
 
 # ---------------------------------------------------------------------------

@@ -15,23 +15,32 @@ TOP_N = 20
 SAMPLE_ROWS = 5_000
 
 
+OUTPUTS = ("summary", "time_series", "top_n", "cleaned_sample")
+
+
 def table_report(df: DataFrame, *, category_col: str | None = None,
                  date_col: str | None = None, top_col: str | None = None,
                  top_n: int = TOP_N, sample_rows: int = SAMPLE_ROWS,
+                 outputs: tuple[str, ...] = OUTPUTS,
                  persist: bool = False) -> dict[str, DataFrame]:
     """Outputs keyed ``summary``, ``time_series`` (when ``date_col`` is
-    given or a ``date`` column exists), ``top_n`` and ``cleaned_sample``.
+    given or a ``date`` column exists), ``top_n`` and ``cleaned_sample``;
+    only those named in ``outputs`` are built.
 
     ``persist=True`` keeps the cleaned table (after its de-duplicating
-    shuffle) for the four outputs; the caller unpersists it.
+    shuffle) for the outputs; the caller unpersists it.
     """
     cleaned = clean_dataframe(df)
     if persist:
         cleaned = cleaned.persist(StorageLevel.MEMORY_AND_DISK)
-    out = {"summary": compute_summary(cleaned, category_col)}
+    out = {}
+    if "summary" in outputs:
+        out["summary"] = compute_summary(cleaned, category_col)
     date_col = date_col or ("date" if "date" in cleaned.columns else None)
-    if date_col:
+    if date_col and "time_series" in outputs:
         out["time_series"] = compute_time_series(cleaned, date_col)
-    out["top_n"] = compute_top_n(cleaned, top_n, top_col, tiebreak=cleaned.columns)
-    out["cleaned_sample"] = cap_rows(cleaned, sample_rows, order=cleaned.columns)
+    if "top_n" in outputs:
+        out["top_n"] = compute_top_n(cleaned, top_n, top_col, tiebreak=cleaned.columns)
+    if "cleaned_sample" in outputs:
+        out["cleaned_sample"] = cap_rows(cleaned, sample_rows, order=cleaned.columns)
     return out

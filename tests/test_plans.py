@@ -10,10 +10,10 @@ from tablescope.sources.testdata import trips
 from tests.conftest import SMALL
 
 
-def plan(df) -> str:
+def plan(df, mode: str = "formatted") -> str:
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
-        df.explain("formatted")
+        df.explain(mode)
     return buf.getvalue()
 
 
@@ -68,3 +68,18 @@ def test_library_never_pulls_rows_to_the_driver():
         text = f.read_text()
         for bad in (".collect(", ".toPandas(", "localCheckpoint", ".rdd."):
             assert bad not in text, f"{bad} in {f}"
+
+
+def test_trip_path_stays_in_codegen(spark):
+    from tablescope.sources.testdata import trips
+    # AQE plans codegen stages at run time; inspect the static plan instead
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        p = plan(tr.time_series(tr.load_and_clean(trips(spark, SMALL))), "codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    # scan-side filter, JSON field, projection and partial aggregate fuse
+    assert "WholeStageCodegen subtrees" in p
+    assert re.search(r"\*\(\d+\) Generate json_tuple", p)
+    assert re.search(r"\*\(\d+\) HashAggregate\(keys=\[date", p)
+    assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
