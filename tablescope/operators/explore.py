@@ -14,6 +14,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from tablescope.functions.columns import numeric_columns, string_columns
 from tablescope.operators.quality import _all
@@ -165,8 +166,13 @@ def histogram(df: DataFrame, x: str, bins: int = HISTOGRAM_BINS,
     (bin[, color]). A constant column is one bin. Nulls are not counted.
 
     min and max are scalar subqueries (one small job), so the binning is a
-    plain projection followed by a partially aggregated count.
+    plain projection followed by a partially aggregated count. A
+    non-numeric ``x`` is counted per value instead, as a categorical
+    histogram does.
     """
+    if not isinstance(df.schema[x].dataType, NumericType):
+        keys = [x] + ([color] if color else [])
+        return df.filter(F.col(x).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("count"))
     lo = df.select(F.min(x).cast("double")).scalar()
     hi = df.select(F.max(x).cast("double")).scalar()
     xv = F.col(x).cast("double")

@@ -359,3 +359,25 @@ def test_first_rows_prefilter_path(spark):
     df = spark.range(0, 200_000).selectExpr("(id * 7919) % 200000 as a", "id as b")
     got = [r.a for r in R.first_rows(df, 5_000, ["a", "b"]).collect()]
     assert got == list(range(5_000))
+
+
+def test_explorer_every_chart(spark):
+    from tablescope.plans.explorer import CHARTS, ExplorerSpec, explore
+    df = spark.createDataFrame([("a", "u", float(i), i % 3) for i in range(30)] +
+                               [("b", "v", float(i) * 2, None) for i in range(10)] +
+                               [(None, "u", 5.0, 1)], "g string, c string, y double, n int")
+    base = dict(categories={"c": ["u", "v"]}, ranges={"y": (0.0, 100.0)})
+    table = explore(df, ExplorerSpec(**base)).table
+    assert table.count() == 41
+    grouped = explore(df, ExplorerSpec(**base, group_by=["g"], aggregate=["y", "n"], func="sum")).table
+    assert rows(grouped) == [("a", 435.0, 30), ("b", 90.0, 0)]  # null key dropped, sorted desc
+    sizes = {}
+    for kind in CHARTS:
+        res = explore(df, ExplorerSpec(**base, chart=kind, x="g", y="y", color="c"))
+        sizes[kind] = res.chart.count()
+    assert sizes["bar"] == 3 and sizes["line"] == 41 and sizes["area"] == 41
+    assert sizes["scatter"] == 41  # fewer rows than the 3,000-row sample
+    assert sizes["box"] == 2 and sizes["pie"] == 3 and sizes["histogram"] >= 2
+    assert explore(df, ExplorerSpec(chart="bar", x="g")).chart is None  # no y: no chart
+    with pytest.raises(ValueError):
+        explore(df, ExplorerSpec(chart="radar", x="g", y="y"))
