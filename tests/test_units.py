@@ -381,3 +381,20 @@ def test_explorer_every_chart(spark):
     assert explore(df, ExplorerSpec(chart="bar", x="g")).chart is None  # no y: no chart
     with pytest.raises(ValueError):
         explore(df, ExplorerSpec(chart="radar", x="g", y="y"))
+
+
+def test_approximate_options_are_close(spark):
+    li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    exact = {r[0]: r[1] for r in X.group_aggregate(li, ["l_returnflag"], ["l_extendedprice"], "median").collect()}
+    approx = {r[0]: r[1] for r in X.group_aggregate(li, ["l_returnflag"], ["l_extendedprice"], "median",
+                                                     approx=True).collect()}
+    assert exact.keys() == approx.keys()
+    for k in exact:
+        assert abs(exact[k] - approx[k]) <= 0.01 * exact[k]
+    d_exact = {r[0]: r[1] for r in X.distinct_counts(li, ["l_returnflag", "l_linestatus"]).collect()}
+    d_approx = {r[0]: r[1] for r in X.distinct_counts(li, ["l_returnflag", "l_linestatus"], approx=True).collect()}
+    assert d_exact == d_approx  # tiny cardinalities are counted exactly by the sketch
+    b1 = X.box_stats(li, "l_quantity", by="l_linestatus").orderBy("l_linestatus").collect()
+    b2 = X.box_stats(li, "l_quantity", by="l_linestatus", approx=True).orderBy("l_linestatus").collect()
+    for r1, r2 in zip(b1, b2):
+        assert r1["n"] == r2["n"] and abs(r1["median"] - r2["median"]) <= 1.0
