@@ -181,19 +181,21 @@ def histogram(df: DataFrame, x: str, bins: int = HISTOGRAM_BINS,
     if not isinstance(df.schema[x].dataType, NumericType):
         keys = [x] + ([color] if color else [])
         return df.filter(F.col(x).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("count"))
-    lo = df.select(F.min(x).cast("double")).scalar()
-    hi = df.select(F.max(x).cast("double")).scalar()
+    bounds = df.select(F.min(x).cast("double").alias("lo"), F.max(x).cast("double").alias("hi"))
+    # attach the bounds once; later expressions read the columns
+    rows = (df.filter(F.col(x).isNotNull())
+              .withColumns({"_lo": bounds.select("lo").scalar(), "_hi": bounds.select("hi").scalar()}))
+    lo, hi = F.col("_lo"), F.col("_hi")
     xv = F.col(x).cast("double")
     raw = (F.floor((xv - lo) / (hi - lo) * F.lit(float(bins))) + 1).cast("int")
     b = F.when(hi == lo, F.lit(1)).otherwise(F.least(raw, F.lit(bins)))
     keys = ["bin"] + ([color] if color else [])
     width = (hi - lo) / F.lit(float(bins))
-    return (df.filter(F.col(x).isNotNull()).withColumn("bin", b)
-              .groupBy(*keys).agg(F.count(F.lit(1)).alias("count"))
-              .withColumns({
-                  "bin_start": lo + width * (F.col("bin") - 1),
-                  "bin_end": lo + width * F.col("bin"),
-              }))
+    return (rows.withColumn("bin", b)
+                .groupBy(*keys, "_lo", "_hi").agg(F.count(F.lit(1)).alias("count"))
+                .select(*keys, "count",
+                        (lo + width * (F.col("bin") - 1)).alias("bin_start"),
+                        (lo + width * F.col("bin")).alias("bin_end")))
 
 
 def box_stats(df: DataFrame, y: str, by: str | None = None, approx: bool = False) -> DataFrame:
