@@ -76,32 +76,73 @@ def first_rows(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
 
     Spark's top-k merges ``n`` rows from every partition in one task; for a
     large ``n`` on a large table that is the bottleneck. So, for large
-    ``n``: one aggregation counts the rows and sketches quantiles of the
-    leading order column at a grid of fractions; the smallest fraction
-    above ``1.5 n / rows`` plus twice the sketch's rank error gives a cut
-    that keeps about ``1.5 n`` rows; those candidates are written once as a
-    table (two passes over the input in all) and the top-k runs on them. If
-    the candidates ever hold fewer than ``n`` rows the plain top-k runs, so
-    the result is exact either way.
+    ``n``, the rows that can be among the first ``n`` are narrowed first
+    (see :func:`_candidates`) and the top-k runs on those candidates only.
+    The result is exact; rows that tie on every order column are
+    interchangeable, as in any top-k.
     """
     sort = [F.asc_nulls_first(c) for c in order]
-    lead = order[0]
-    if n <= SMALL_TOP_K or not isinstance(df.schema[lead].dataType, _THRESHOLD_TYPES):
+    if n <= SMALL_TOP_K:
         return df.orderBy(*sort).limit(n)
-    stats = df.agg(F.count(F.lit(1)).alias("rows"),
-                   F.percentile_approx(lead, _GRID, _ACCURACY).alias("cuts")).first()
-    total, cuts = stats["rows"], stats["cuts"]
+    return _candidates(df, n, list(order)).orderBy(*sort).limit(n)
+
+
+def _thresholdable(df: DataFrame, col: str) -> bool:
+    return isinstance(df.schema[col].dataType, _THRESHOLD_TYPES)
+
+
+def _candidates(df: DataFrame, n: int, keys: list[str], hashed: bool = False) -> DataFrame:
+    """A small DataFrame that contains the first ``n`` rows of ``df`` in the
+    order ``keys`` (ascending, nulls first).
+
+    Per level: one aggregation counts rows and nulls of the leading key and
+    sketches its quantiles at a grid of fractions; the cut is the smallest
+    grid value holding about ``1.5 n`` rows (plus twice the sketch's rank
+    error). A second aggregation counts rows below and at the cut. Rows
+    below are few and written once as a table. If the block *at* the cut is
+    large (a hot value, say one date holding a third of all rows), only its
+    first ``n - below`` rows are needed: they are found the same way on the
+    next key. After the last key a hash of the row is the key; rows that
+    still tie are identical, so one of them is repeated.
+    """
+    from tablescope.session import materialize
+
+    if not keys:
+        if not hashed:
+            # 52-bit row hash: exact in the sketch, which works in doubles
+            with_hash = df.withColumn("_h", F.shiftright(F.xxhash64(*[F.col(c) for c in df.columns]), 12))
+            return _candidates(with_hash, n, ["_h"], hashed=True).drop("_h")
+        one = df.limit(1)
+        return one.select(F.explode(F.array_repeat(F.struct(*df.columns), n)).alias("_r")).select("_r.*")
+    lead, rest = keys[0], keys[1:]
+    if not _thresholdable(df, lead):
+        return df  # no sketch for this type: Spark's own top-k over df
+    c = F.col(lead)
+    stats = df.agg(F.count(F.lit(1)).alias("rows"), F.count_if(c.isNull()).alias("nulls"),
+                   F.percentile_approx(c, _GRID, _ACCURACY).alias("cuts")).first()
+    total, nulls, cuts = stats["rows"], stats["nulls"], stats["cuts"]
     if total <= n:
-        return df.orderBy(*sort)
-    need = 1.5 * n / total + 2.0 / _ACCURACY
+        return df
+    if nulls >= n:  # the first n rows all have a null lead: order them by the rest
+        return _candidates(df.filter(c.isNull()), n, rest, hashed)
+    need = (1.5 * n - nulls) / (total - nulls) + 2.0 / _ACCURACY
     i = next((j for j, f in enumerate(_GRID) if f >= need), None)
     if i is None or _GRID[i] >= 1.0 or cuts is None:
-        return df.orderBy(*sort).limit(n)
-    from tablescope.session import materialize
-    cand = materialize(df.filter(F.col(lead).isNull() | (F.col(lead) <= F.lit(cuts[i]))))
-    if cand.count() < n:
-        return df.orderBy(*sort).limit(n)
-    return cand.orderBy(*sort).limit(n)
+        return df
+    cut = F.lit(cuts[i])
+    below, at = c.isNull() | (c < cut), c == cut
+    counts = df.agg(F.count_if(below).alias("below"), F.count_if(at).alias("at")).first()
+    n_below, n_at = counts["below"], counts["at"]
+    if n_below >= n:
+        return materialize(df.filter(below))
+    if n_below + n_at < n:
+        # the sketch's cut fell short (e.g. a value a double cannot hold
+        # exactly): Spark's own top-k over all rows keeps the result exact
+        return df
+    if n_at <= 4 * n:
+        return materialize(df.filter(below | at))
+    head = materialize(df.filter(below))
+    return head.unionByName(_candidates(df.filter(at), n - n_below, rest, hashed))
 
 
 def cap_rows(df: DataFrame, n: int, order: Sequence[str] | None = None) -> DataFrame:

@@ -65,3 +65,36 @@ def test_both_quantile_paths_agree(spark):
     flat_a = exact_quantiles(df, [], ["v"], [0.5], max_group_rows=None).first()[0]
     flat_b = exact_quantiles(df, [], ["v"], [0.5]).first()[0]
     assert abs(flat_a - flat_b) < 1e-9
+
+
+def test_first_rows_with_a_hot_leading_value(spark):
+    from tablescope.operators.ranking import first_rows
+    # a third of the rows share the smallest date-like key; ties broken by b, then c
+    hot = [(0, (i * 7) % 9000, i % 5) for i in range(9000)]
+    cold = [(1 + i % 400, i, 0) for i in range(18000)]
+    nulls = [(None, i, 1) for i in range(300)]
+    data = hot + cold + nulls
+    df = spark.createDataFrame(data, "a int, b int, c int").repartition(6)
+    key = lambda r: (r[0] is not None, r[0] or 0, r[1], r[2])
+    for n in (1200, 4000):  # 1200: the hot block (9000 rows > 4n) is narrowed on b
+        want = sorted(data, key=key)[:n]
+        got = [tuple(r) for r in first_rows(df, n, ["a", "b", "c"]).collect()]
+        assert got == want, n
+
+
+def test_first_rows_identical_hot_rows(spark):
+    from tablescope.operators.ranking import first_rows
+    data = [(0, 0)] * 12000 + [(1, i) for i in range(3000)]
+    df = spark.createDataFrame(data, "a int, b int").repartition(4)
+    for n in (1500, 5000):  # 1500: narrowed on b, then on the row hash, then repeated
+        got = [tuple(r) for r in first_rows(df, n, ["a", "b"]).collect()]
+        assert got == [(0, 0)] * n, n
+
+
+def test_first_rows_key_beyond_double_precision(spark):
+    from tablescope.operators.ranking import first_rows
+    base = 2 ** 60
+    data = [(base + i * 3, i) for i in range(6000)]
+    df = spark.createDataFrame(data, "a bigint, b int").repartition(3)
+    got = [tuple(r) for r in first_rows(df, 1200, ["a", "b"]).collect()]
+    assert got == sorted(data)[:1200]
