@@ -5,8 +5,14 @@ distinct value; a group holding a third of a 100 TB table would put all its
 distinct values into one task. Here the order statistics come from a
 global sort instead:
 
-When every group is small enough (checked by one aggregation), Spark's own
-``percentile`` is used instead. Otherwise:
+Spark's ``percentile`` combines map-side into a value -> count map, so its
+memory per group is set by the group's *distinct values*, not its rows. It
+is used for every column whose groups are small enough: first by rows (one
+cheap aggregation); when some group is larger, by distinct values per group,
+estimated with HyperLogLog sketches in one more pass (no values shuffled).
+A column with few distinct values (a quantity, a discount) therefore stays
+on ``percentile`` however hot a group is. Only the remaining columns take
+the sort path:
 
 1. sort ``(keys, value, random tiebreak)``: range partitioning splits every
    group (and even a hot single value) across many tasks;
@@ -70,9 +76,14 @@ def default_name(col: str, p: float) -> str:
     return f"{col}_q{p:g}".replace(".", "_")
 
 
-# Groups up to this many rows use Spark's exact ``percentile`` (its per-group
-# value map then has a proven bound); larger groups use the sort path.
+# Groups up to this many rows, or up to this many distinct values of a
+# column, use Spark's exact ``percentile`` for that column (its per-group
+# value map then has a proven bound); other columns use the sort path.
 MAX_IN_MEMORY_GROUP = 200_000
+# Relative standard deviation of the distinct-value sketch, and the margin
+# (five standard deviations) by which an estimate must clear the bound.
+_HLL_RSD = 0.02
+_HLL_MARGIN = 1.0 + 5 * _HLL_RSD
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
@@ -85,19 +96,49 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
     ``<col>_q<p>`` with the dot as ``_`` (``v_q0_25``). Nulls and NaN are
     ignored; a group with no value in a column gets null for it.
 
-    One aggregation first finds the largest group. When it holds at most
-    ``max_group_rows`` rows, Spark's exact ``percentile`` is used (its
-    per-group value map is then bounded); otherwise, or with
-    ``max_group_rows=None``, the sort path of this module runs, whose memory
-    per task does not depend on group sizes.
+    Columns whose largest group holds at most ``max_group_rows`` rows or
+    distinct values use Spark's exact ``percentile``; the others (all of
+    them with ``max_group_rows=None``) use the sort path of this module,
+    whose memory per task does not depend on group sizes.
     """
     keys, cols, names = list(keys), list(cols), dict(names or {})
-    if max_group_rows is not None:
-        sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")) if keys else df.select(F.lit(1).alias("_n"))
-        biggest = (sizes.agg(F.max("_n")) if keys else sizes.agg(F.count("_n"))).first()[0] or 0
-        if biggest <= max_group_rows:
-            return _quantiles_in_memory(df, keys, cols, probs, names)
-    return _quantiles_by_sort(df, keys, cols, probs, names, seed)
+    if max_group_rows is None:
+        in_memory, by_sort = [], cols
+    else:
+        in_memory, by_sort = split_by_group_size(df, keys, cols, max_group_rows)
+    parts = []
+    if in_memory:
+        parts.append(_quantiles_in_memory(df, keys, in_memory, probs, names))
+    if by_sort:
+        parts.append(_quantiles_by_sort(df, keys, by_sort, probs, names, seed))
+    if len(parts) == 1:
+        return parts[0]
+    order = [names.get((c, p), default_name(c, p)) for c in cols for p in probs]
+    mem, srt = parts
+    if not keys:  # two one-row results: attach the second as scalar subqueries
+        return mem.withColumns({c: srt.select(c).scalar() for c in srt.columns}).select(*order)
+    return _join_on_keys(mem, srt, keys).select(*keys, *order)
+
+
+def split_by_group_size(df: DataFrame, keys: list[str], cols: list[str],
+                        bound: int) -> tuple[list[str], list[str]]:
+    """(columns for ``percentile``, columns for the sort path).
+
+    One aggregation finds the largest group; when it holds at most ``bound``
+    rows every column qualifies. Otherwise a second pass estimates, per
+    group and column, the distinct values (HyperLogLog: fixed-size sketches
+    merged map-side, no values shuffled); a column qualifies when its
+    largest estimate clears ``bound`` by a five-sigma margin.
+    """
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")) if keys else df.select(F.lit(1).alias("_n"))
+    biggest = (sizes.agg(F.max("_n")) if keys else sizes.agg(F.count("_n"))).first()[0] or 0
+    if biggest <= bound:
+        return list(cols), []
+    est = [F.approx_count_distinct(c, _HLL_RSD).alias(f"_d{i}") for i, c in enumerate(cols)]
+    per_group = df.groupBy(*keys).agg(*est) if keys else df.agg(*est)
+    top = per_group.agg(*[F.max(f"_d{i}") for i in range(len(cols))]).first()
+    small = [c for i, c in enumerate(cols) if (top[i] or 0) * _HLL_MARGIN <= bound]
+    return small, [c for c in cols if c not in small]
 
 
 def _quantiles_in_memory(df: DataFrame, keys: list[str], cols: list[str],

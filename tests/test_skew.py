@@ -5,7 +5,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tablescope.operators import explore as X
-from tablescope.operators.quantiles import _ranked_values, exact_quantiles
+from tablescope.operators.quantiles import _ranked_values, exact_quantiles, split_by_group_size
 
 
 def skewed(spark, n=30000):
@@ -38,13 +38,34 @@ def test_quantiles_exact_under_skew(spark):
     got = {r["k"]: (r["q1"], r["med"], r["q3"]) for r in exact_quantiles(
         df, ["k"], ["v"], [0.25, 0.5, 0.75],
         names={("v", 0.25): "q1", ("v", 0.5): "med", ("v", 0.75): "q3"},
-        max_group_rows=5000).collect()}  # the hot group exceeds the bound: sort path
+        # the hot group exceeds the bound in rows and in distinct values: sort path
+        max_group_rows=500).collect()}
     for k in ("hot", "k0", "k49"):
         vals = np.array([v for kk, v in data if kk == k])
         want = tuple(float(np.percentile(vals, p)) for p in (25, 50, 75))
         assert np.allclose(got[k], want, rtol=0, atol=1e-9), (k, got[k], want)
 
 
+def test_few_distinct_values_stay_in_memory_under_skew(spark):
+    # the hot group has 10,000 rows; "c" has 4 distinct values, "v" ~1,000
+    df, data = skewed(spark)
+    df = df.withColumn("c", (F.col("v") % 4).cast("int"))
+    assert split_by_group_size(df, ["k"], ["c", "v"], 5000) == (["c", "v"], [])
+    assert split_by_group_size(df, ["k"], ["c", "v"], 500) == (["c"], ["v"])
+    assert split_by_group_size(df, [], ["c", "v"], 500) == (["c"], ["v"])
+    names = {("c", 0.5): "c_med", ("v", 0.5): "v_med", ("v", 0.9): "v_p90", ("c", 0.9): "c_p90"}
+    mixed = exact_quantiles(df, ["k"], ["c", "v"], [0.5, 0.9], names=names, max_group_rows=500)
+    assert mixed.columns == ["k", "c_med", "c_p90", "v_med", "v_p90"]
+    got = {r["k"]: tuple(r)[1:] for r in mixed.collect()}
+    for k in ("hot", "k0", "k49"):
+        v = np.array([x for kk, x in data if kk == k])
+        want = (np.percentile(v % 4, 50), np.percentile(v % 4, 90), np.percentile(v, 50), np.percentile(v, 90))
+        assert np.allclose(got[k], want, rtol=0, atol=1e-9), (k, got[k], want)
+    flat = exact_quantiles(df, [], ["c", "v"], [0.5], max_group_rows=500).first()
+    v = np.array([x for _, x in data])
+    assert np.allclose(tuple(flat), (np.percentile(v % 4, 50), np.percentile(v, 50)), rtol=0, atol=1e-9)
+
+
 def test_dedupe_and_group_sizes_under_skew(spark):
     df, data = skewed(spark)
     assert df.dropDuplicates().count() == len(set(data))
