@@ -1,9 +1,8 @@
 """Exact quantiles per group without gathering a group in one task.
 
 Spark's built-in ``percentile``/``median`` keep, per group, a map of every
-distinct value; a group holding a third of a 100 TB table would put all its
-distinct values into one task. Here the order statistics come from a
-global sort instead:
+distinct value; a group holding a third of a 100 TB table and many distinct
+values would put them all into one task.
 
 Spark's ``percentile`` combines map-side into a value -> count map, so its
 memory per group is set by the group's *distinct values*, not its rows. It
@@ -11,8 +10,32 @@ is used for every column whose groups are small enough: first by rows (one
 cheap aggregation); when some group is larger, by distinct values per group,
 estimated with HyperLogLog sketches in one more pass (no values shuffled).
 A column with few distinct values (a quantity, a discount) therefore stays
-on ``percentile`` however hot a group is. Only the remaining columns take
-the sort path:
+on ``percentile`` however hot a group is.
+
+The remaining columns take the **selection path**, a few aggregation passes
+over the values, each with map-side partial aggregates only:
+
+1. every (group, column, p) target starts with the bracket "all values"; the
+   target ranks are ``floor`` and ``ceil`` of ``pos = (n - 1) * p``;
+2. one pass per round counts, per group and target, the values below and
+   inside the bracket and sketches the inside values at a grid of 1,001
+   fractions (``percentile_approx``); the next bracket is the pair of grid
+   values around the target ranks, widened by the sketch's error bound, so
+   each round shrinks a bracket about 300-fold (a 10^12-row group needs four);
+3. the round's table (one row per group) is written to the checkpoint
+   folder, so later rounds never recompute earlier ones, and the next round
+   first verifies the counts: ``below <= rank_lo`` and ``rank_hi < below +
+   inside``;
+4. once every bracket holds at most ``MAX_FETCH`` values or distinct
+   values (HyperLogLog estimate in the same pass; a hot value repeated
+   millions of times is one value), one more pass counts the bracket's
+   values per distinct value (map-side combined), runs the counts up in
+   value order within each (group, target) - a window over at most
+   ``MAX_FETCH`` rows - and takes the values at the two ranks, interpolated
+   as Spark's ``percentile`` does: ``(hi - pos) * v_lo + (pos - lo) * v_hi``.
+
+If a bracket ever fails verification, or the rounds run out, the **sort
+path** keeps the result exact:
 
 1. sort ``(keys, value, random tiebreak)``: range partitioning splits every
    group (and even a hot single value) across many tasks;
@@ -23,9 +46,7 @@ the sort path:
 3. count rows per (group, partition) - a table of about groups + partitions
    rows - and turn it into per-partition rank offsets with a window;
 4. the rows at the interpolation ranks are then known by id; fetch their
-   values with one join on the id and interpolate linearly, as Spark's
-   ``percentile`` does: ``(hi - pos) * v_lo + (pos - lo) * v_hi`` with
-   ``pos = (n - 1) * p``.
+   values with one join on the id and interpolate.
 """
 
 from __future__ import annotations
@@ -98,8 +119,8 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
 
     Columns whose largest group holds at most ``max_group_rows`` rows or
     distinct values use Spark's exact ``percentile``; the others (all of
-    them with ``max_group_rows=None``) use the sort path of this module,
-    whose memory per task does not depend on group sizes.
+    them with ``max_group_rows=None``) use the selection path of this
+    module, whose memory per task does not depend on group sizes.
     """
     keys, cols, names = list(keys), list(cols), dict(names or {})
     if max_group_rows is None:
@@ -110,7 +131,7 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
     if in_memory:
         parts.append(_quantiles_in_memory(df, keys, in_memory, probs, names))
     if by_sort:
-        parts.append(_quantiles_by_sort(df, keys, by_sort, probs, names, seed))
+        parts.append(_quantiles_by_selection(df, keys, by_sort, probs, names, seed=seed))
     if len(parts) == 1:
         return parts[0]
     order = [names.get((c, p), default_name(c, p)) for c in cols for p in probs]
@@ -122,7 +143,7 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
 
 def split_by_group_size(df: DataFrame, keys: list[str], cols: list[str],
                         bound: int) -> tuple[list[str], list[str]]:
-    """(columns for ``percentile``, columns for the sort path).
+    """(columns for ``percentile``, columns for the selection path).
 
     One aggregation finds the largest group; when it holds at most ``bound``
     rows every column qualifies. Otherwise a second pass estimates, per
@@ -187,6 +208,175 @@ def _quantiles_by_sort(df: DataFrame, keys: list[str], cols: list[str], probs: S
     return _join_on_keys(df.select(*keys).dropDuplicates(), result, keys)
 
 
+# Selection path: fraction grid of the in-bracket sketch, the sketch's
+# accuracy (rank error <= values / accuracy), the most values gathered per
+# target in the last pass, and the rounds before the sort path takes over.
+_GRID_STEPS = 1000
+_SKETCH_ACCURACY = 10_000
+_SKETCH_SLACK = 2.0 / _SKETCH_ACCURACY
+MAX_FETCH = 100_000
+_MAX_ROUNDS = 8
+
+
+def _grid():
+    """The sketch's fractions 0, 1/1000, ..., 1 as one array constant (parsed
+    once; a literal per fraction would make every plan 1,001 nodes wider)."""
+    fractions = ",".join(repr(i / _GRID_STEPS) for i in range(_GRID_STEPS + 1))
+    return F.from_json(F.lit(f"[{fractions}]"), "array<double>")
+
+
+def _long_values(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
+    """(keys, _c, _v): one row per non-null, non-NaN value of each column."""
+    pairs = [F.struct(F.lit(i).alias("_c"), F.col(c).cast("double").alias("_v"))
+             for i, c in enumerate(cols)]
+    long = df.select(*keys, F.inline(F.array(*pairs)))
+    return long.filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+
+
+def _ranks(p: float) -> tuple:
+    pos = (F.col("_n") - 1).cast("double") * F.lit(float(p))
+    return pos, F.floor(pos).cast("long"), F.ceil(pos).cast("long")
+
+
+def _inside(t: int):
+    a, b, v = F.col(f"_a{t}"), F.col(f"_b{t}"), F.col("_v")
+    return (a.isNull() | (v >= a)) & (b.isNull() | (v <= b))
+
+
+def _with_brackets(values: DataFrame, brackets: DataFrame | None, gkeys: list[str],
+                   n_targets: int) -> DataFrame:
+    """Attach each group's current brackets to its values (unbounded at
+    first). The bracket table has one row per group; it is broadcast when
+    its size is bounded, else joined by a shuffle (AQE splits a hot group)."""
+    if brackets is None:
+        none = F.lit(None).cast("double")
+        return values.withColumns({f"_{e}{t}": none for t in range(n_targets) for e in "ab"})
+    side = brackets.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(gkeys)],
+                           *[f"_{e}{t}" for t in range(n_targets) for e in "ab"])
+    side = F.broadcast(side) if broadcastable(side) else side
+    cond = None
+    for i, k in enumerate(gkeys):
+        c = values[k].eqNullSafe(side[f"_k{i}"])
+        cond = c if cond is None else cond & c
+    return values.join(side, cond, "inner").drop(*[f"_k{i}" for i in range(len(gkeys))])
+
+
+def _round(values: DataFrame, brackets: DataFrame | None, gkeys: list[str],
+           probs: Sequence[float], max_fetch: int) -> DataFrame:
+    """One pass: per group, the value count and, per target, the current
+    bracket, the values below and inside it, whether it holds the target
+    ranks, and the next (narrower) bracket. Written once as a table."""
+    nt = len(probs)
+    j = _with_brackets(values, brackets, gkeys, nt)
+    aggs = [F.count(F.lit(1)).alias("_n")]
+    for t in range(nt):
+        a = F.col(f"_a{t}")
+        aggs += [F.any_value(a).alias(f"_a{t}"), F.any_value(f"_b{t}").alias(f"_b{t}"),
+                 F.count_if(a.isNotNull() & (F.col("_v") < a)).alias(f"_lt{t}"),
+                 F.count_if(_inside(t)).alias(f"_in{t}"),
+                 F.approx_count_distinct(F.when(_inside(t), F.col("_v")), _HLL_RSD).alias(f"_d{t}"),
+                 F.percentile_approx(F.when(_inside(t), F.col("_v")), _grid(),
+                                     _SKETCH_ACCURACY).alias(f"_s{t}")]
+    r = j.groupBy(*gkeys).agg(*aggs)
+    cols = {}
+    for t, p in enumerate(probs):
+        _, lo, hi = _ranks(p)
+        lt, inn, sk = F.col(f"_lt{t}"), F.col(f"_in{t}"), F.col(f"_s{t}")
+        cols[f"_ok{t}"] = (lt <= lo) & (hi < lt + inn)
+        # few enough values, or few enough distinct values (a hot value
+        # repeated millions of times is one (value, count) pair), to gather
+        cols[f"_done{t}"] = ((inn <= F.lit(max_fetch))
+                             | (F.col(f"_d{t}") * F.lit(_HLL_MARGIN) <= F.lit(max_fetch)))
+        # grid cells around the local ranks, widened by the sketch's error
+        f_lo = F.try_divide((lo - lt).cast("double"), inn) - F.lit(_SKETCH_SLACK)
+        f_hi = F.try_divide((hi - lt + 1).cast("double"), inn) + F.lit(_SKETCH_SLACK)
+        i_lo = F.floor(f_lo * _GRID_STEPS).cast("int") - 1
+        i_hi = F.ceil(f_hi * _GRID_STEPS).cast("int") + 1
+        cols[f"_na{t}"] = F.when(i_lo >= 0, F.get(sk, i_lo)).otherwise(F.col(f"_a{t}"))
+        cols[f"_nb{t}"] = F.when(i_hi <= _GRID_STEPS, F.get(sk, i_hi)).otherwise(F.col(f"_b{t}"))
+    r = r.withColumns(cols).drop(*[f"_s{t}" for t in range(nt)])
+    return materialize(r)
+
+
+def _quantiles_by_selection(df: DataFrame, keys: list[str], cols: list[str], probs: Sequence[float],
+                            names: Mapping[tuple[str, float], str], seed: int = 17,
+                            max_fetch: int = MAX_FETCH, max_rounds: int = _MAX_ROUNDS) -> DataFrame:
+    """Exact quantiles by bracket narrowing (see the module docstring);
+    falls back to the sort path if a bracket fails verification."""
+    ensure_checkpoint_dir(df.sparkSession)
+    gkeys = keys + ["_c"]
+    nt = len(probs)
+    values = _long_values(df, keys, cols)
+    brackets = None
+    for _ in range(max_rounds):
+        r = _round(values, brackets, gkeys, probs, max_fetch)
+        flags = [F.min(F.col(f"_{f}{t}").cast("int")) for t in range(nt) for f in ("ok", "done")]
+        check = r.agg(F.count(F.lit(1)).alias("groups"), *flags).first()
+        if check["groups"] == 0:  # no values at all
+            return _pick(values, None, df, keys, cols, probs, names)
+        ok = all(check[1 + 2 * t] == 1 for t in range(nt))
+        done = all(check[2 + 2 * t] == 1 for t in range(nt))
+        if not ok:
+            return _quantiles_by_sort(df, keys, cols, probs, names, seed)
+        if done:
+            return _pick(values, r, df, keys, cols, probs, names)
+        brackets = r.select(*gkeys, *[F.col(f"_n{e}{t}").alias(f"_{e}{t}")
+                                      for t in range(nt) for e in "ab"])
+    return _quantiles_by_sort(df, keys, cols, probs, names, seed)
+
+
+def _pick(values: DataFrame, r: DataFrame | None, df: DataFrame, keys: list[str], cols: list[str],
+          probs: Sequence[float], names: Mapping[tuple[str, float], str]) -> DataFrame:
+    """Count each verified bracket's values per distinct value (at most
+    ``MAX_FETCH`` pairs per group and target, combined map-side), run the
+    counts up in value order inside each (group, target) and take the values
+    at the two ranks; interpolate between them."""
+    gkeys = keys + ["_c"]
+    nt = len(probs)
+    out_names = [names.get((c, p), default_name(c, p)) for c in cols for p in probs]
+    if r is None:  # every column is empty: one null per group
+        nulls = [F.lit(None).cast("double").alias(n) for n in out_names]
+        if not keys:
+            return df.sparkSession.range(1).select(*nulls)
+        return df.select(*keys).dropDuplicates().select(*keys, *nulls)
+    j = _with_brackets(values, r, gkeys, nt)
+    tags = F.array_compact(F.array(*[F.when(_inside(t), F.lit(t)) for t in range(nt)]))
+    pairs = (j.select(*gkeys, "_v", F.explode(tags).alias("_t"))
+              .groupBy(*gkeys, "_t", "_v").agg(F.count(F.lit(1)).alias("_w")))
+    run = Window.partitionBy(*gkeys, "_t").orderBy("_v").rowsBetween(Window.unboundedPreceding,
+                                                                       Window.currentRow)
+    pairs = pairs.withColumn("_end", F.sum("_w").over(run))
+    info = r.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(gkeys)], "_n",
+                    F.inline(F.array(*[F.struct(F.lit(t).alias("_ti"), F.col(f"_lt{t}").alias("_lt"),
+                                                F.lit(float(p)).alias("_p"))
+                                       for t, p in enumerate(probs)])))
+    info = F.broadcast(info) if broadcastable(info) else info
+    cond = pairs["_t"] == info["_ti"]
+    for i, k in enumerate(gkeys):
+        cond = cond & pairs[k].eqNullSafe(info[f"_k{i}"])
+    hit = pairs.join(info, cond, "inner")
+    pos = (F.col("_n") - 1).cast("double") * F.col("_p")
+    lo, hi = F.floor(pos).cast("long") - F.col("_lt"), F.ceil(pos).cast("long") - F.col("_lt")
+    start = F.col("_end") - F.col("_w")
+    hit = hit.select(*gkeys, "_t", "_v", pos.alias("_pos"), F.floor(pos).alias("_rlo"),
+                     F.ceil(pos).alias("_rhi"),
+                     ((start <= lo) & (lo < F.col("_end"))).alias("_is_lo"),
+                     ((start <= hi) & (hi < F.col("_end"))).alias("_is_hi"))
+    per_t = hit.filter(F.col("_is_lo") | F.col("_is_hi")).groupBy(*gkeys, "_t").agg(
+        F.max(F.when(F.col("_is_lo"), F.col("_v"))).alias("_vlo"),
+        F.max(F.when(F.col("_is_hi"), F.col("_v"))).alias("_vhi"),
+        F.max("_pos").alias("_pos"), F.max("_rlo").alias("_rlo"), F.max("_rhi").alias("_rhi"))
+    vlo, vhi, ps = F.col("_vlo"), F.col("_vhi"), F.col("_pos")
+    per_t = per_t.select(*gkeys, "_t", F.when(F.col("_rhi") == F.col("_rlo"), vlo).otherwise(
+        (F.col("_rhi") - ps) * vlo + (ps - F.col("_rlo")) * vhi).alias("_val"))
+    out = [F.max(F.when((F.col("_c") == ci) & (F.col("_t") == qi), F.col("_val"))).alias(n)
+           for (ci, qi), n in zip(((ci, qi) for ci in range(len(cols)) for qi in range(nt)), out_names)]
+    if not keys:
+        return per_t.agg(*out)
+    result = per_t.groupBy(*keys).agg(*out)
+    # every group appears, also one whose values are all null
+    return _join_on_keys(df.select(*keys).dropDuplicates(), result, keys)
+
 def _join_on_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Left join on null-safe key equality, keys kept once."""
     r = right.select(*[right[k].alias(f"_rk{i}") for i, k in enumerate(keys)],

@@ -5,7 +5,9 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tablescope.operators import explore as X
-from tablescope.operators.quantiles import _ranked_values, exact_quantiles, split_by_group_size
+from tablescope.operators import quantiles as Q
+from tablescope.operators.quantiles import (_quantiles_by_sort, _ranked_values, exact_quantiles,
+                                             split_by_group_size)
 
 
 def skewed(spark, n=30000):
@@ -66,6 +68,31 @@ def test_few_distinct_values_stay_in_memory_under_skew(spark):
     assert np.allclose(tuple(flat), (np.percentile(v % 4, 50), np.percentile(v, 50)), rtol=0, atol=1e-9)
 
 
+def test_selection_narrows_a_hot_group_exactly(spark, monkeypatch):
+    # brackets must narrow over several rounds (at most 300 values or
+    # distinct values gathered); the hot value 5.0 fills half the hot group,
+    # so only the distinct-value bound lets its bracket stop
+    def no_sort(*a, **k):
+        raise AssertionError("fell back to the sort path")
+    monkeypatch.setattr(Q, "_quantiles_by_sort", no_sort)
+    rounds = []
+    real_round = Q._round
+    monkeypatch.setattr(Q, "_round", lambda *a, **k: rounds.append(1) or real_round(*a, **k))
+    df, data = skewed(spark, n=6000)
+    df = df.withColumn("w", F.when(F.col("v") != 5.0, F.col("v") / 3))
+    probs = [0.0, 0.3, 0.5, 1.0]
+    got = {r[0]: r[1:] for r in Q._quantiles_by_selection(df, ["k"], ["v", "w"], probs, {},
+                                                           max_fetch=300).collect()}
+    assert len(rounds) >= 2
+    for k in ("hot", "k0", "k49"):
+        v = np.array([x for kk, x in data if kk == k])
+        w = v[v != 5.0] / 3
+        want = [np.percentile(v, p * 100) for p in probs] + [np.percentile(w, p * 100) for p in probs]
+        assert np.allclose(got[k], want, rtol=0, atol=1e-9), (k, got[k], want)
+    flat = Q._quantiles_by_selection(df, [], ["v"], [0.5], {}, max_fetch=300).first()[0]
+    assert abs(flat - np.percentile([x for _, x in data], 50)) < 1e-9
+
+
 def test_dedupe_and_group_sizes_under_skew(spark):
     df, data = skewed(spark)
     assert df.dropDuplicates().count() == len(set(data))
@@ -73,16 +100,17 @@ def test_dedupe_and_group_sizes_under_skew(spark):
     assert sizes["hot"] == 10000
 
 
-def test_both_quantile_paths_agree(spark):
+def test_all_quantile_paths_agree(spark):
     df, _ = skewed(spark, n=3000)
     df = df.withColumn("w", F.col("v") * 2 + 1)
-    a = exact_quantiles(df, ["k"], ["v", "w"], [0.1, 0.5, 0.9], max_group_rows=None)
-    b = exact_quantiles(df, ["k"], ["v", "w"], [0.1, 0.5, 0.9])
-    ra = {r[0]: r[1:] for r in a.collect()}
-    rb = {r[0]: r[1:] for r in b.collect()}
-    assert ra.keys() == rb.keys()
+    a = exact_quantiles(df, ["k"], ["v", "w"], [0.1, 0.5, 0.9], max_group_rows=None)  # selection
+    b = exact_quantiles(df, ["k"], ["v", "w"], [0.1, 0.5, 0.9])  # percentile
+    c = _quantiles_by_sort(df, ["k"], ["v", "w"], [0.1, 0.5, 0.9], {}, seed=5)
+    ra, rb, rc = ({r[0]: r[1:] for r in x.collect()} for x in (a, b, c))
+    assert ra.keys() == rb.keys() == rc.keys()
     for k in ra:
         assert np.allclose(ra[k], rb[k], rtol=0, atol=1e-9), k
+        assert np.allclose(rc[k], rb[k], rtol=0, atol=1e-9), k
     flat_a = exact_quantiles(df, [], ["v"], [0.5], max_group_rows=None).first()[0]
     flat_b = exact_quantiles(df, [], ["v"], [0.5]).first()[0]
     assert abs(flat_a - flat_b) < 1e-9
