@@ -267,6 +267,19 @@ def _round(values: DataFrame, brackets: DataFrame | None, gkeys: list[str],
     bracket, the values below and inside it, whether it holds the target
     ranks, and the next (narrower) bracket. Written once as a table."""
     nt = len(probs)
+    if brackets is None:
+        # first round: every bracket is "all values", so all targets share
+        # one count, one distinct-value sketch and one quantile sketch
+        r = values.groupBy(*gkeys).agg(
+            F.count(F.lit(1)).alias("_n"),
+            F.approx_count_distinct("_v", _HLL_RSD).alias("_d"),
+            F.percentile_approx("_v", _grid(), _SKETCH_ACCURACY).alias("_s"))
+        none = F.lit(None).cast("double")
+        shared = {}
+        for t in range(nt):
+            shared.update({f"_a{t}": none, f"_b{t}": none, f"_lt{t}": F.lit(0).cast("long"),
+                           f"_in{t}": F.col("_n"), f"_d{t}": F.col("_d"), f"_s{t}": F.col("_s")})
+        return _next_brackets(r.withColumns(shared).drop("_d", "_s"), probs, max_fetch)
     j = _with_brackets(values, brackets, gkeys, nt)
     aggs = [F.count(F.lit(1)).alias("_n")]
     for t in range(nt):
@@ -277,7 +290,13 @@ def _round(values: DataFrame, brackets: DataFrame | None, gkeys: list[str],
                  F.approx_count_distinct(F.when(_inside(t), F.col("_v")), _HLL_RSD).alias(f"_d{t}"),
                  F.percentile_approx(F.when(_inside(t), F.col("_v")), _grid(),
                                      _SKETCH_ACCURACY).alias(f"_s{t}")]
-    r = j.groupBy(*gkeys).agg(*aggs)
+    return _next_brackets(j.groupBy(*gkeys).agg(*aggs), probs, max_fetch)
+
+
+def _next_brackets(r: DataFrame, probs: Sequence[float], max_fetch: int) -> DataFrame:
+    """Verification flags and the next bracket of each target, from a
+    round's counts and sketches; written once as a table."""
+    nt = len(probs)
     cols = {}
     for t, p in enumerate(probs):
         _, lo, hi = _ranks(p)
@@ -340,6 +359,12 @@ def _pick(values: DataFrame, r: DataFrame | None, df: DataFrame, keys: list[str]
             return df.sparkSession.range(1).select(*nulls)
         return df.select(*keys).dropDuplicates().select(*keys, *nulls)
     j = _with_brackets(values, r, gkeys, nt)
+    # keep the values inside some bracket first (after narrowing, very few),
+    # then tag each with the targets whose bracket holds it
+    any_inside = _inside(0)
+    for t in range(1, nt):
+        any_inside = any_inside | _inside(t)
+    j = j.filter(any_inside)
     tags = F.array_compact(F.array(*[F.when(_inside(t), F.lit(t)) for t in range(nt)]))
     pairs = (j.select(*gkeys, "_v", F.explode(tags).alias("_t"))
               .groupBy(*gkeys, "_t", "_v").agg(F.count(F.lit(1)).alias("_w")))
