@@ -83,3 +83,29 @@ def test_trip_path_stays_in_codegen(spark):
     assert re.search(r"\*\(\d+\) Generate json_tuple", p)
     assert re.search(r"\*\(\d+\) HashAggregate\(keys=\[date", p)
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
+
+
+def test_quantile_selection_rounds_are_partial_aggregates(spark, monkeypatch):
+    """Each selection round is one scan with map-side partial aggregates
+    (count, distinct-value sketch, quantile sketch) and one hash shuffle of
+    per-group buffers: no range-partitioned sort of the values."""
+    from pyspark.sql import functions as F
+
+    from tablescope.operators import quantiles as Q
+    from tablescope.sources.testdata import table
+
+    seen = []
+    real = Q.materialize
+    monkeypatch.setattr(Q, "materialize", lambda d: seen.append(d) or real(d))
+    li = table(spark, SMALL, "lineitem")
+    out = Q._quantiles_by_selection(li, ["l_returnflag"], ["l_extendedprice"], [0.5], {},
+                                    max_fetch=200)
+    want = {r[0]: r[1] for r in li.groupBy("l_returnflag")
+            .agg(F.median("l_extendedprice")).collect()}
+    assert {r[0]: r[1] for r in out.collect()} == want
+    assert len(seen) >= 2  # at least one narrowing round after the first
+    for d in seen:
+        p = plan(d)
+        assert "rangepartitioning" not in p and "Sort " not in p
+        assert "partial_percentile_approx" in p and "partial_approx_count_distinct" in p
+        assert plan(d, "simple").count("Exchange hashpartitioning") == 1
