@@ -22,16 +22,22 @@ def table_report(df: DataFrame, *, category_col: str | None = None,
                  date_col: str | None = None, top_col: str | None = None,
                  top_n: int = TOP_N, sample_rows: int = SAMPLE_ROWS,
                  outputs: tuple[str, ...] = OUTPUTS,
-                 persist: bool = False) -> dict[str, DataFrame]:
+                 persist: bool = False, write_cleaned: bool = False) -> dict[str, DataFrame]:
     """Outputs keyed ``summary``, ``time_series`` (when ``date_col`` is
     given or a ``date`` column exists), ``top_n`` and ``cleaned_sample``;
     only those named in ``outputs`` are built.
 
-    ``persist=True`` keeps the cleaned table (after its de-duplicating
-    shuffle) for the outputs; the caller unpersists it.
+    The cleaned table costs a de-duplicating shuffle of the whole input.
+    By default every output recomputes it; ``write_cleaned=True`` writes it
+    once as a Parquet table in the checkpoint folder (lineage cut, survives
+    executor loss, outputs read only their columns), the choice for large
+    inputs; ``persist=True`` caches it instead (the caller unpersists it).
     """
     cleaned = clean_dataframe(df)
-    if persist:
+    if write_cleaned:
+        from tablescope.session import materialize
+        cleaned = materialize(cleaned)
+    elif persist:
         cleaned = cleaned.persist(StorageLevel.MEMORY_AND_DISK)
     out = {}
     if "summary" in outputs:
@@ -44,3 +50,15 @@ def table_report(df: DataFrame, *, category_col: str | None = None,
     if "cleaned_sample" in outputs:
         out["cleaned_sample"] = cap_rows(cleaned, sample_rows, order=cleaned.columns)
     return out
+
+
+def run_table_report(df: DataFrame, out_dir: str, fmt: str = "parquet", *,
+                     parallel: int = 4, **options) -> dict[str, int]:
+    """Clean ``df`` once (written to the checkpoint folder), write every
+    output of :func:`table_report` under ``out_dir`` (one directory each, up
+    to ``parallel`` at once) and return rows written per output.
+    ``options`` go to :func:`table_report`."""
+    from tablescope.sources.sinks import write_results
+
+    return write_results(table_report(df, write_cleaned=True, **options), out_dir, fmt,
+                         parallel=parallel)

@@ -233,16 +233,18 @@ def report_outputs(spark: SparkSession, t: Trips, shared_scan: bool = True,
 
 def run_trip_report(spark: SparkSession, source: DataFrame, out_dir: str,
                     fmt: str = "csv",
-                    storage: StorageLevel | None = StorageLevel.MEMORY_AND_DISK) -> dict[str, int]:
+                    storage: StorageLevel | None = StorageLevel.MEMORY_AND_DISK,
+                    parallel: int = 4) -> dict[str, int]:
     """Clean ``source``, write every applicable output under ``out_dir``
     (one directory per output), return rows written per output.
 
     The cleaned trips are pruned to the columns the outputs read and kept
     at ``storage`` (None: every output re-reads the source, the better
     choice when the source is columnar and much larger than the cluster's
-    memory and disk). Lost cache blocks are rebuilt from the source.
+    memory and disk). Lost cache blocks are rebuilt from the source. Up to
+    ``parallel`` outputs are written at once.
     """
-    from tablescope.sources.sinks import write_result
+    from tablescope.sources.sinks import write_results
 
     t = prune(load_and_clean(source))
     cached = [t.df.persist(storage)] if storage is not None else []
@@ -252,8 +254,7 @@ def run_trip_report(spark: SparkSession, source: DataFrame, out_dir: str,
             cube = base_cube(t).persist(StorageLevel.MEMORY_AND_DISK)
             cached.append(cube)
         outputs = report_outputs(spark, t, cube=cube)
-        return {name: write_result(df, f"{out_dir.rstrip('/')}/{name}", fmt)
-                for name, df in outputs.items()}
+        return write_results(outputs, out_dir, fmt, parallel=parallel)
     finally:
         for df in cached:
             df.unpersist()

@@ -27,3 +27,28 @@ def write_result(df: DataFrame, path: str, fmt: str = "csv", *,
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> int:
     return write_result(df, path, "csv", mode=mode)
+
+
+def write_results(outputs: dict[str, DataFrame], out_dir: str, fmt: str = "csv", *,
+                  parallel: int = 4, mode: str = "overwrite") -> dict[str, int]:
+    """Write independent outputs, one directory each under ``out_dir``;
+    return rows written per output, in the order given.
+
+    Up to ``parallel`` writes are submitted at once from driver threads (the
+    scheduler runs their jobs side by side, so one output's last tasks do
+    not leave the cluster idle); a cached input shared by several outputs
+    is computed once, since a cache block is built by one task while others
+    wait for it.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    base = out_dir.rstrip("/")
+
+    def one(name: str) -> int:
+        return write_result(outputs[name], f"{base}/{name}", fmt, mode=mode)
+
+    if parallel <= 1 or len(outputs) <= 1:
+        return {name: one(name) for name in outputs}
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        futures = {name: pool.submit(one, name) for name in outputs}
+        return {name: f.result() for name, f in futures.items()}

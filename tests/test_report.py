@@ -84,3 +84,27 @@ def test_run_writes_and_registry_finds(spark, tmp_out):
     back = load_output(spark, tmp_out, "sessions")
     assert back.count() == counts["sessions"]
     assert available_outputs(spark, tmp_out + "/nothing") == {}
+
+
+def test_parallel_writes_equal_sequential(spark, tmp_out):
+    par = tr.run_trip_report(spark, trips(spark, SMALL), tmp_out + "/par", parallel=4)
+    seq = tr.run_trip_report(spark, trips(spark, SMALL), tmp_out + "/seq", parallel=1)
+    assert par == seq and list(par) == list(seq)
+    for name in ("sessions", "pivot", "ranked"):
+        a = sorted(map(tuple, load_output(spark, tmp_out + "/par", name).collect()))
+        b = sorted(map(tuple, load_output(spark, tmp_out + "/seq", name).collect()))
+        assert a == b, name
+
+
+def test_table_report_runner_writes_cleaned_once(spark, tmp_out):
+    from tablescope.plans.table_report import run_table_report, table_report
+    from tablescope.sources.testdata import table
+
+    li = table(spark, SMALL, "lineitem")
+    opts = dict(category_col="l_returnflag", date_col="l_shipdate", top_col="l_extendedprice")
+    counts = run_table_report(li, tmp_out + "/tab", **opts)
+    lazy = table_report(li, **opts)
+    assert list(counts) == list(lazy)
+    assert counts == {k: v.count() for k, v in lazy.items()}
+    top = spark.read.parquet(tmp_out + "/tab/top_n")
+    assert sorted(map(tuple, top.collect())) == sorted(map(tuple, lazy["top_n"].collect()))
