@@ -4,13 +4,15 @@ Spark's built-in ``percentile``/``median`` keep, per group, a map of every
 distinct value; a group holding a third of a 100 TB table and many distinct
 values would put them all into one task.
 
-Spark's ``percentile`` combines map-side into a value -> count map, so its
-memory per group is set by the group's *distinct values*, not its rows. It
-is used for every column whose groups are small enough: first by rows (one
-cheap aggregation); when some group is larger, by distinct values per group,
-estimated with HyperLogLog sketches in one more pass (no values shuffled).
-A column with few distinct values (a quantity, a discount) therefore stays
-on ``percentile`` however hot a group is.
+One cheap aggregation first finds the largest group. When it holds at most
+``MAX_IN_MEMORY_GROUP`` rows, each group's values are gathered as one sorted
+array (primitive doubles) and indexed. Otherwise Spark's ``percentile`` is
+used where it is safe: it combines map-side into a value -> count map, so
+its memory per group is set by the group's *distinct values*, not its rows;
+these are estimated per group and column with HyperLogLog sketches in one
+more pass (no values shuffled). A column with few distinct values (a
+quantity, a discount) therefore stays on ``percentile`` however hot a group
+is.
 
 The remaining columns take the **selection path**, a few aggregation passes
 over the values, each with map-side partial aggregates only:
@@ -117,16 +119,21 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
     ``<col>_q<p>`` with the dot as ``_`` (``v_q0_25``). Nulls and NaN are
     ignored; a group with no value in a column gets null for it.
 
-    Columns whose largest group holds at most ``max_group_rows`` rows or
-    distinct values use Spark's exact ``percentile``; the others (all of
-    them with ``max_group_rows=None``) use the selection path of this
-    module, whose memory per task does not depend on group sizes.
+    When the largest group holds at most ``max_group_rows`` rows, every
+    column uses sorted per-group arrays; otherwise columns whose groups hold
+    at most that many distinct values use Spark's exact ``percentile`` and
+    the others (all of them with ``max_group_rows=None``) use the selection
+    path of this module, whose memory per task does not depend on group
+    sizes.
     """
     keys, cols, names = list(keys), list(cols), dict(names or {})
     if max_group_rows is None:
         in_memory, by_sort = [], cols
+    elif _largest_group(df, keys) <= max_group_rows:
+        # every group's values fit: gather each as one sorted array
+        return _quantiles_by_array(df, keys, cols, probs, names)
     else:
-        in_memory, by_sort = split_by_group_size(df, keys, cols, max_group_rows)
+        in_memory, by_sort = _split_by_distinct(df, keys, cols, max_group_rows)
     parts = []
     if in_memory:
         parts.append(_quantiles_in_memory(df, keys, in_memory, probs, names))
@@ -143,7 +150,7 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
 
 def split_by_group_size(df: DataFrame, keys: list[str], cols: list[str],
                         bound: int) -> tuple[list[str], list[str]]:
-    """(columns for ``percentile``, columns for the selection path).
+    """(columns for an in-memory method, columns for the selection path).
 
     One aggregation finds the largest group; when it holds at most ``bound``
     rows every column qualifies. Otherwise a second pass estimates, per
@@ -151,10 +158,20 @@ def split_by_group_size(df: DataFrame, keys: list[str], cols: list[str],
     merged map-side, no values shuffled); a column qualifies when its
     largest estimate clears ``bound`` by a five-sigma margin.
     """
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")) if keys else df.select(F.lit(1).alias("_n"))
-    biggest = (sizes.agg(F.max("_n")) if keys else sizes.agg(F.count("_n"))).first()[0] or 0
-    if biggest <= bound:
+    if _largest_group(df, keys) <= bound:
         return list(cols), []
+    return _split_by_distinct(df, keys, cols, bound)
+
+
+def _largest_group(df: DataFrame, keys: list[str]) -> int:
+    if not keys:
+        return df.select(F.count(F.lit(1))).first()[0] or 0
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return sizes.agg(F.max("_n")).first()[0] or 0
+
+
+def _split_by_distinct(df: DataFrame, keys: list[str], cols: list[str],
+                       bound: int) -> tuple[list[str], list[str]]:
     est = [F.approx_count_distinct(c, _HLL_RSD).alias(f"_d{i}") for i, c in enumerate(cols)]
     per_group = df.groupBy(*keys).agg(*est) if keys else df.agg(*est)
     top = per_group.agg(*[F.max(f"_d{i}") for i in range(len(cols))]).first()
@@ -162,6 +179,31 @@ def split_by_group_size(df: DataFrame, keys: list[str], cols: list[str],
     return small, [c for c in cols if c not in small]
 
 
+def _quantiles_by_array(df: DataFrame, keys: list[str], cols: list[str],
+                        probs: Sequence[float], names: Mapping[tuple[str, float], str]) -> DataFrame:
+    """Each group's values of a column as one sorted array (bounded by the
+    group-size check), indexed at the two ranks of each ``p`` and
+    interpolated as Spark's ``percentile`` does. Faster than ``percentile``
+    for mostly distinct values: primitive arrays instead of a boxed map."""
+    aggs = []
+    for i, c in enumerate(cols):
+        v = F.col(c).cast("double")
+        aggs.append(F.array_sort(F.collect_list(F.when(~F.isnan(v), v))).alias(f"_a{i}"))
+    agg = df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
+    out = []
+    for i, c in enumerate(cols):
+        arr = F.col(f"_a{i}")
+        n = F.size(arr)
+        for p in probs:
+            pos = (n - 1).cast("double") * F.lit(float(p))
+            lo, hi = F.floor(pos).cast("int"), F.ceil(pos).cast("int")
+            v_lo, v_hi = F.get(arr, lo), F.get(arr, hi)
+            val = (F.when(n == 0, F.lit(None).cast("double")).when(hi == lo, v_lo)
+                    .otherwise((hi.cast("double") - pos) * v_lo + (pos - lo.cast("double")) * v_hi))
+            out.append(val.alias(names.get((c, p), default_name(c, p))))
+    return agg.select(*keys, *out)
+
+
 def _quantiles_in_memory(df: DataFrame, keys: list[str], cols: list[str],
                          probs: Sequence[float], names: Mapping[tuple[str, float], str]) -> DataFrame:
     ps = F.array(*[F.lit(float(p)) for p in probs])

@@ -104,13 +104,14 @@ def test_all_quantile_paths_agree(spark):
     df, _ = skewed(spark, n=3000)
     df = df.withColumn("w", F.col("v") * 2 + 1)
     a = exact_quantiles(df, ["k"], ["v", "w"], [0.1, 0.5, 0.9], max_group_rows=None)  # selection
-    b = exact_quantiles(df, ["k"], ["v", "w"], [0.1, 0.5, 0.9])  # percentile
+    b = exact_quantiles(df, ["k"], ["v", "w"], [0.1, 0.5, 0.9])  # sorted arrays
     c = _quantiles_by_sort(df, ["k"], ["v", "w"], [0.1, 0.5, 0.9], {}, seed=5)
-    ra, rb, rc = ({r[0]: r[1:] for r in x.collect()} for x in (a, b, c))
-    assert ra.keys() == rb.keys() == rc.keys()
+    d = Q._quantiles_in_memory(df, ["k"], ["v", "w"], [0.1, 0.5, 0.9], {})  # percentile
+    ra, rb, rc, rd = ({r[0]: r[1:] for r in x.collect()} for x in (a, b, c, d))
+    assert ra.keys() == rb.keys() == rc.keys() == rd.keys()
     for k in ra:
-        assert np.allclose(ra[k], rb[k], rtol=0, atol=1e-9), k
-        assert np.allclose(rc[k], rb[k], rtol=0, atol=1e-9), k
+        for other in (ra, rc, rd):
+            assert np.allclose(other[k], rb[k], rtol=0, atol=1e-9), k
     flat_a = exact_quantiles(df, [], ["v"], [0.5], max_group_rows=None).first()[0]
     flat_b = exact_quantiles(df, [], ["v"], [0.5]).first()[0]
     assert abs(flat_a - flat_b) < 1e-9
