@@ -198,19 +198,30 @@ def histogram(df: DataFrame, x: str, bins: int = HISTOGRAM_BINS,
                         (lo + width * F.col("bin")).alias("bin_end")))
 
 
-def box_stats(df: DataFrame, y: str, by: str | None = None, approx: bool = False) -> DataFrame:
+def box_stats(df: DataFrame, y: str, by: str | None = None, approx: bool = False,
+              max_group_rows: int | None = None) -> DataFrame:
     """Box-plot numbers of ``y`` per ``by`` group: n, min, q1, median, q3,
     max, whiskers (furthest values within 1.5 IQR of the box) and the count
     of points outside them. Quartiles are exact, linear interpolation;
-    ``approx=True`` takes them from a one-pass quantile sketch."""
+    ``approx=True`` takes them from a one-pass quantile sketch.
+
+    When every group holds at most ``max_group_rows`` rows (default: the
+    quantile module's in-memory bound), one aggregation gathers each group's
+    values as a sorted array and everything is read off it; otherwise the
+    quartiles come from :func:`exact_quantiles` and a second pass finds the
+    whiskers against the fences.
+    """
     from tablescope.operators.enrich import broadcastable
-    from tablescope.operators.quantiles import exact_quantiles
+    from tablescope.operators.quantiles import MAX_IN_MEMORY_GROUP, _largest_group, exact_quantiles
     from tablescope.session import materialize
 
     keys = [by] if by else []
     base = df.filter(F.col(y).isNotNull())
     if by:
         base = base.filter(F.col(by).isNotNull())
+    bound = MAX_IN_MEMORY_GROUP if max_group_rows is None else max_group_rows
+    if not approx and _largest_group(base, keys) <= bound:
+        return _box_from_sorted(base, y, keys)
     # one row per group, written once: the size check, the fence join and the
     # final join all read it instead of recomputing the quartiles
     if approx:
@@ -244,6 +255,33 @@ def box_stats(df: DataFrame, y: str, by: str | None = None, approx: bool = False
     return stats.withColumns({c: q.select(c).scalar() for c in ("q1", "median", "q3")})
 
 
+def _box_from_sorted(base: DataFrame, y: str, keys: list[str]) -> DataFrame:
+    """Box statistics from one aggregation: count, min, max and each group's
+    values as a sorted array (bounded by the caller's group-size check)."""
+    from tablescope.operators.quantiles import sorted_array_quantile
+
+    v = F.col(y).cast("double")
+    aggs = [F.count(F.lit(1)).alias("n"), F.min(y).cast("double").alias("min"),
+            F.max(y).cast("double").alias("max"),
+            F.array_sort(F.collect_list(F.when(~F.isnan(v), v))).alias("_a")]
+    agg = base.groupBy(*keys).agg(*aggs) if keys else base.agg(*aggs)
+    arr = F.col("_a")
+    agg = agg.withColumns({"q1": sorted_array_quantile(arr, 0.25),
+                           "median": sorted_array_quantile(arr, 0.5),
+                           "q3": sorted_array_quantile(arr, 0.75)})
+    iqr = F.col("q3") - F.col("q1")
+    lo_f, hi_f = F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr
+    within_lo = F.filter(arr, lambda x: x >= lo_f)
+    within_hi = F.filter(arr, lambda x: x <= hi_f)
+    outside = F.filter(arr, lambda x: (x < lo_f) | (x > hi_f))
+    return agg.select(*keys, "n", "min", "max",
+                      F.get(within_lo, 0).alias("lower_whisker"),
+                      F.when(F.size(within_hi) > 0, F.get(within_hi, F.size(within_hi) - 1))
+                       .alias("upper_whisker"),
+                      F.size(outside).cast("long").alias("n_outliers"),
+                      "q1", "median", "q3")
+
+
 def share_of_total(df: DataFrame, x: str, y: str) -> DataFrame:
     """Sum of ``y`` per ``x`` and its fraction of the grand total.
 

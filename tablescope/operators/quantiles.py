@@ -190,18 +190,20 @@ def _quantiles_by_array(df: DataFrame, keys: list[str], cols: list[str],
         v = F.col(c).cast("double")
         aggs.append(F.array_sort(F.collect_list(F.when(~F.isnan(v), v))).alias(f"_a{i}"))
     agg = df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
-    out = []
-    for i, c in enumerate(cols):
-        arr = F.col(f"_a{i}")
-        n = F.size(arr)
-        for p in probs:
-            pos = (n - 1).cast("double") * F.lit(float(p))
-            lo, hi = F.floor(pos).cast("int"), F.ceil(pos).cast("int")
-            v_lo, v_hi = F.get(arr, lo), F.get(arr, hi)
-            val = (F.when(n == 0, F.lit(None).cast("double")).when(hi == lo, v_lo)
-                    .otherwise((hi.cast("double") - pos) * v_lo + (pos - lo.cast("double")) * v_hi))
-            out.append(val.alias(names.get((c, p), default_name(c, p))))
-    return agg.select(*keys, *out)
+    return agg.select(*keys, *[sorted_array_quantile(F.col(f"_a{i}"), p)
+                               .alias(names.get((c, p), default_name(c, p)))
+                               for i, c in enumerate(cols) for p in probs])
+
+
+def sorted_array_quantile(arr, p: float):
+    """The ``p`` quantile of an ascending array of doubles (null when it is
+    empty), interpolated as Spark's ``percentile`` does."""
+    n = F.size(arr)
+    pos = (n - 1).cast("double") * F.lit(float(p))
+    lo, hi = F.floor(pos).cast("int"), F.ceil(pos).cast("int")
+    v_lo, v_hi = F.get(arr, lo), F.get(arr, hi)
+    return (F.when(n == 0, F.lit(None).cast("double")).when(hi == lo, v_lo)
+             .otherwise((hi.cast("double") - pos) * v_lo + (pos - lo.cast("double")) * v_hi))
 
 
 def _quantiles_in_memory(df: DataFrame, keys: list[str], cols: list[str],

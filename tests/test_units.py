@@ -255,6 +255,26 @@ def test_even_median_and_quartiles(spark):
     assert flat["median"] == 2.5 and flat["n"] == 4 and flat["n_outliers"] == 1
 
 
+def test_box_from_sorted_arrays_equals_two_pass_box(spark):
+    import numpy as np
+    rng = np.random.default_rng(7)
+    data = [(f"g{i % 4}", float(rng.normal(0, 1) if i % 50 else rng.normal(0, 30)))
+            for i in range(2000)] + [("g0", None), (None, 1.0), ("g9", 5.0)]
+    df = spark.createDataFrame(data, "k string, v double")
+    for by in ("k", None):
+        one = X.box_stats(df, "v", by=by)  # every group within the bound: one pass
+        two = X.box_stats(df, "v", by=by, max_group_rows=0)  # quartiles, fences, second pass
+        assert one.columns == two.columns
+        a, b = rows(one, [by] if by else None), rows(two, [by] if by else None)
+        assert len(a) == len(b)
+        for ra, rb in zip(a, b):
+            assert np.allclose([x if x is not None else np.nan for x in ra[1 if by else 0:]],
+                               [x if x is not None else np.nan for x in rb[1 if by else 0:]],
+                               rtol=0, atol=1e-9, equal_nan=True), (ra, rb)
+    empty = df.filter("v > 1e9")
+    assert rows(X.box_stats(empty, "v")) == rows(X.box_stats(empty, "v", max_group_rows=0))
+
+
 def test_quantiles_without_keys_and_empty_group(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", None)], "k string, v double")
     assert rows(exact_quantiles(df, [], ["v"], [0.5])) == [(2.0,)]
