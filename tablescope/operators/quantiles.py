@@ -58,8 +58,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablescope.operators.enrich import broadcastable
-from tablescope.session import ensure_checkpoint_dir, materialize
+from tablescope.operators.enrich import MAX_BROADCAST_ROWS, broadcastable
+from tablescope.session import ensure_checkpoint_dir, materialize, materialize_observed
 
 _PART_BITS = 33  # monotonically_increasing_id: partition index << 33
 
@@ -288,7 +288,7 @@ def _inside(t: int):
 
 
 def _with_brackets(values: DataFrame, brackets: DataFrame | None, gkeys: list[str],
-                   n_targets: int) -> DataFrame:
+                   n_targets: int, groups: int | None = None) -> DataFrame:
     """Attach each group's current brackets to its values (unbounded at
     first). The bracket table has one row per group; it is broadcast when
     its size is bounded, else joined by a shuffle (AQE splits a hot group)."""
@@ -297,7 +297,8 @@ def _with_brackets(values: DataFrame, brackets: DataFrame | None, gkeys: list[st
         return values.withColumns({f"_{e}{t}": none for t in range(n_targets) for e in "ab"})
     side = brackets.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(gkeys)],
                            *[f"_{e}{t}" for t in range(n_targets) for e in "ab"])
-    side = F.broadcast(side) if broadcastable(side) else side
+    small = groups <= MAX_BROADCAST_ROWS if groups is not None else broadcastable(side)
+    side = F.broadcast(side) if small else side
     cond = None
     for i, k in enumerate(gkeys):
         c = values[k].eqNullSafe(side[f"_k{i}"])
@@ -306,10 +307,12 @@ def _with_brackets(values: DataFrame, brackets: DataFrame | None, gkeys: list[st
 
 
 def _round(values: DataFrame, brackets: DataFrame | None, gkeys: list[str],
-           probs: Sequence[float], max_fetch: int) -> DataFrame:
+           probs: Sequence[float], max_fetch: int,
+           groups: int | None = None) -> tuple[DataFrame, dict]:
     """One pass: per group, the value count and, per target, the current
     bracket, the values below and inside it, whether it holds the target
-    ranks, and the next (narrower) bracket. Written once as a table."""
+    ranks, and the next (narrower) bracket. Written once as a table; also
+    returns the group count and the least flags, observed by the write."""
     nt = len(probs)
     if brackets is None:
         # first round: every bracket is "all values", so all targets share
@@ -324,7 +327,7 @@ def _round(values: DataFrame, brackets: DataFrame | None, gkeys: list[str],
             shared.update({f"_a{t}": none, f"_b{t}": none, f"_lt{t}": F.lit(0).cast("long"),
                            f"_in{t}": F.col("_n"), f"_d{t}": F.col("_d"), f"_s{t}": F.col("_s")})
         return _next_brackets(r.withColumns(shared).drop("_d", "_s"), probs, max_fetch)
-    j = _with_brackets(values, brackets, gkeys, nt)
+    j = _with_brackets(values, brackets, gkeys, nt, groups)
     aggs = [F.count(F.lit(1)).alias("_n")]
     for t in range(nt):
         a = F.col(f"_a{t}")
@@ -337,7 +340,7 @@ def _round(values: DataFrame, brackets: DataFrame | None, gkeys: list[str],
     return _next_brackets(j.groupBy(*gkeys).agg(*aggs), probs, max_fetch)
 
 
-def _next_brackets(r: DataFrame, probs: Sequence[float], max_fetch: int) -> DataFrame:
+def _next_brackets(r: DataFrame, probs: Sequence[float], max_fetch: int) -> tuple[DataFrame, dict]:
     """Verification flags and the next bracket of each target, from a
     round's counts and sketches; written once as a table."""
     nt = len(probs)
@@ -358,7 +361,9 @@ def _next_brackets(r: DataFrame, probs: Sequence[float], max_fetch: int) -> Data
         cols[f"_na{t}"] = F.when(i_lo >= 0, F.get(sk, i_lo)).otherwise(F.col(f"_a{t}"))
         cols[f"_nb{t}"] = F.when(i_hi <= _GRID_STEPS, F.get(sk, i_hi)).otherwise(F.col(f"_b{t}"))
     r = r.withColumns(cols).drop(*[f"_s{t}" for t in range(nt)])
-    return materialize(r)
+    # the write job itself reports the group count and the flags
+    flags = {f"{f}{t}": F.min(F.col(f"_{f}{t}").cast("int")) for t in range(nt) for f in ("ok", "done")}
+    return materialize_observed(r, groups=F.count(F.lit(1)), **flags)
 
 
 def _quantiles_by_selection(df: DataFrame, keys: list[str], cols: list[str], probs: Sequence[float],
@@ -370,26 +375,24 @@ def _quantiles_by_selection(df: DataFrame, keys: list[str], cols: list[str], pro
     gkeys = keys + ["_c"]
     nt = len(probs)
     values = _long_values(df, keys, cols)
-    brackets = None
+    brackets, groups = None, None
     for _ in range(max_rounds):
-        r = _round(values, brackets, gkeys, probs, max_fetch)
-        flags = [F.min(F.col(f"_{f}{t}").cast("int")) for t in range(nt) for f in ("ok", "done")]
-        check = r.agg(F.count(F.lit(1)).alias("groups"), *flags).first()
-        if check["groups"] == 0:  # no values at all
+        r, check = _round(values, brackets, gkeys, probs, max_fetch, groups)
+        groups = check["groups"]
+        if groups == 0:  # no values at all
             return _pick(values, None, df, keys, cols, probs, names)
-        ok = all(check[1 + 2 * t] == 1 for t in range(nt))
-        done = all(check[2 + 2 * t] == 1 for t in range(nt))
-        if not ok:
+        if not all(check[f"ok{t}"] == 1 for t in range(nt)):
             return _quantiles_by_sort(df, keys, cols, probs, names, seed)
-        if done:
-            return _pick(values, r, df, keys, cols, probs, names)
+        if all(check[f"done{t}"] == 1 for t in range(nt)):
+            return _pick(values, r, df, keys, cols, probs, names, groups)
         brackets = r.select(*gkeys, *[F.col(f"_n{e}{t}").alias(f"_{e}{t}")
                                       for t in range(nt) for e in "ab"])
     return _quantiles_by_sort(df, keys, cols, probs, names, seed)
 
 
 def _pick(values: DataFrame, r: DataFrame | None, df: DataFrame, keys: list[str], cols: list[str],
-          probs: Sequence[float], names: Mapping[tuple[str, float], str]) -> DataFrame:
+          probs: Sequence[float], names: Mapping[tuple[str, float], str],
+          groups: int | None = None) -> DataFrame:
     """Count each verified bracket's values per distinct value (at most
     ``MAX_FETCH`` pairs per group and target, combined map-side), run the
     counts up in value order inside each (group, target) and take the values
@@ -402,7 +405,7 @@ def _pick(values: DataFrame, r: DataFrame | None, df: DataFrame, keys: list[str]
         if not keys:
             return df.sparkSession.range(1).select(*nulls)
         return df.select(*keys).dropDuplicates().select(*keys, *nulls)
-    j = _with_brackets(values, r, gkeys, nt)
+    j = _with_brackets(values, r, gkeys, nt, groups)
     # keep the values inside some bracket first (after narrowing, very few),
     # then tag each with the targets whose bracket holds it
     any_inside = _inside(0)
@@ -419,7 +422,8 @@ def _pick(values: DataFrame, r: DataFrame | None, df: DataFrame, keys: list[str]
                     F.inline(F.array(*[F.struct(F.lit(t).alias("_ti"), F.col(f"_lt{t}").alias("_lt"),
                                                 F.lit(float(p)).alias("_p"))
                                        for t, p in enumerate(probs)])))
-    info = F.broadcast(info) if broadcastable(info) else info
+    small = groups * nt <= MAX_BROADCAST_ROWS if groups is not None else broadcastable(info)
+    info = F.broadcast(info) if small else info
     cond = pairs["_t"] == info["_ti"]
     for i, k in enumerate(gkeys):
         cond = cond & pairs[k].eqNullSafe(info[f"_k{i}"])

@@ -67,3 +67,14 @@ def materialize(df: DataFrame) -> DataFrame:
     path = f"{base}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def materialize_observed(df: DataFrame, **metrics) -> tuple[DataFrame, dict]:
+    """:func:`materialize` that also returns aggregate ``metrics`` (name ->
+    aggregate column) of the written rows, computed by the same write job
+    (``DataFrame.observe``), not by a second pass."""
+    from pyspark.sql import Observation
+
+    obs = Observation(f"materialize_{uuid.uuid4().hex}")
+    observed = df.observe(obs, *[c.alias(n) for n, c in metrics.items()])
+    return materialize(observed), dict(obs.get)

@@ -95,8 +95,8 @@ def test_quantile_selection_rounds_are_partial_aggregates(spark, monkeypatch):
     from tablescope.sources.testdata import table
 
     seen = []
-    real = Q.materialize
-    monkeypatch.setattr(Q, "materialize", lambda d: seen.append(d) or real(d))
+    real = Q.materialize_observed
+    monkeypatch.setattr(Q, "materialize_observed", lambda d, **m: seen.append(d) or real(d, **m))
     li = table(spark, SMALL, "lineitem")
     out = Q._quantiles_by_selection(li, ["l_returnflag"], ["l_extendedprice"], [0.5], {},
                                     max_fetch=200)
