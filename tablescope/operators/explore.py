@@ -211,9 +211,9 @@ def box_stats(df: DataFrame, y: str, by: str | None = None, approx: bool = False
     quartiles come from :func:`exact_quantiles` and a second pass finds the
     whiskers against the fences.
     """
-    from tablescope.operators.enrich import broadcastable
+    from tablescope.operators.enrich import MAX_BROADCAST_ROWS
     from tablescope.operators.quantiles import MAX_IN_MEMORY_GROUP, _largest_group, exact_quantiles
-    from tablescope.session import materialize
+    from tablescope.session import materialize_observed
 
     keys = [by] if by else []
     base = df.filter(F.col(y).isNotNull())
@@ -222,8 +222,9 @@ def box_stats(df: DataFrame, y: str, by: str | None = None, approx: bool = False
     bound = MAX_IN_MEMORY_GROUP if max_group_rows is None else max_group_rows
     if not approx and _largest_group(base, keys) <= bound:
         return _box_from_sorted(base, y, keys)
-    # one row per group, written once: the size check, the fence join and the
-    # final join all read it instead of recomputing the quartiles
+    # one row per group, written once (the write also counts the groups,
+    # which decides the broadcast): the fence join and the final join read
+    # it instead of recomputing the quartiles
     if approx:
         qs = F.percentile_approx(F.col(y).cast("double"), [0.25, 0.5, 0.75], 10_000)
         agg = base.groupBy(*keys).agg(qs.alias("_q")) if keys else base.agg(qs.alias("_q"))
@@ -231,7 +232,7 @@ def box_stats(df: DataFrame, y: str, by: str | None = None, approx: bool = False
     else:
         quart = exact_quantiles(base, keys, [y], [0.25, 0.5, 0.75],
                                 names={(y, 0.25): "q1", (y, 0.5): "median", (y, 0.75): "q3"})
-    q = materialize(quart)
+    q, written = materialize_observed(quart, groups=F.count(F.lit(1)))
     fences = q.withColumns({
         "lo_fence": F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")),
         "hi_fence": F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")),
@@ -243,7 +244,7 @@ def box_stats(df: DataFrame, y: str, by: str | None = None, approx: bool = False
             F.max(F.when(yv <= F.col("hi_fence"), yv)).cast("double").alias("upper_whisker"),
             F.count_if((yv < F.col("lo_fence")) | (yv > F.col("hi_fence"))).alias("n_outliers")]
     if by:
-        side = F.broadcast(fences) if broadcastable(fences) else fences
+        side = F.broadcast(fences) if written["groups"] <= MAX_BROADCAST_ROWS else fences
         joined = base.join(side, by, "inner")
         stats = joined.groupBy(by).agg(*aggs)
         return stats.join(q, by, "inner")
