@@ -315,7 +315,7 @@ def sample_rows(df: DataFrame, k: int = SCATTER_SAMPLE, seed: int = 42) -> DataF
     never sees ``k`` rows from every partition. If the table ever holds
     fewer than ``k`` rows the plain top-``k`` runs, so the result is exact.
     """
-    from tablescope.session import materialize
+    from tablescope.session import materialize_observed
 
     keyed = df.withColumn("_r", F.rand(seed))
     n = df.count()
@@ -324,8 +324,8 @@ def sample_rows(df: DataFrame, k: int = SCATTER_SAMPLE, seed: int = 42) -> DataF
     frac = min(1.0, (k + 10.0 * (k ** 0.5) + 100.0) / n)
     if frac >= 1.0:
         return keyed.orderBy("_r").limit(k).drop("_r")
-    cut = materialize(keyed.filter(F.col("_r") < frac))
-    if cut.count() < k:
+    cut, written = materialize_observed(keyed.filter(F.col("_r") < frac), rows=F.count(F.lit(1)))
+    if written["rows"] < k:
         cut = keyed
     return cut.orderBy("_r").limit(k).drop("_r")
 
