@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablescope.llm import quality_rules
+from tablescope.llm import minhash_dedup, quality_rules
+from tablescope.llm.runtime import show_workers
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return show_workers(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +23,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_minhash_dedup": op3_minhash_dedup,
     "op9_quality_rules": op9_quality_rules,
 }
 
