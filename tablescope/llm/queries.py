@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tablescope.llm import minhash_dedup, quality_rules
+from tablescope.llm import bpe, minhash_dedup, quality_rules
 from tablescope.llm.runtime import show_workers
 
 
@@ -12,6 +13,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return show_workers(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip_digests(table(spark, sf_dir, "documents"),
+                                  public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
@@ -23,6 +29,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_byte_bpe": op2_byte_bpe,
     "op3_minhash_dedup": op3_minhash_dedup,
     "op9_quality_rules": op9_quality_rules,
 }
