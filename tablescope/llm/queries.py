@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tablescope.llm import bpe, minhash_dedup, quality_rules
+from tablescope.llm import bpe, minhash_dedup, packing, quality_rules
 from tablescope.llm.runtime import show_workers
 
 
@@ -22,6 +22,10 @@ def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
@@ -31,6 +35,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_minhash_dedup": op3_minhash_dedup,
+    "op4_best_fit_packing": op4_best_fit_packing,
     "op9_quality_rules": op9_quality_rules,
 }
 
