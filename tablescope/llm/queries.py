@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tablescope.llm import bpe, minhash_dedup, packing, quality_rules
+from tablescope.llm import bpe, minhash_dedup, packing, quality_rules, token_store
 from tablescope.llm.runtime import show_workers
 
 
@@ -26,6 +26,11 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shards = token_store.write_store(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return token_store.read_store(shards).withColumnRenamed("id", "doc_id")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
@@ -36,6 +41,7 @@ QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_minhash_dedup": op3_minhash_dedup,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op6_token_store": op6_token_store,
     "op9_quality_rules": op9_quality_rules,
 }
 
