@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tablescope.llm import bpe, minhash_dedup, packing, quality_rules, token_store
+from tablescope.llm import bpe, minhash_dedup, packing, quality_rules, token_store, topk
 from tablescope.llm.runtime import show_workers
 
 
@@ -26,6 +27,10 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
 def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = token_store.write_store(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return token_store.read_store(shards).withColumnRenamed("id", "doc_id")
@@ -41,8 +46,49 @@ QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_minhash_dedup": op3_minhash_dedup,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_exact_top_k": op5_exact_top_k,
     "op6_token_store": op6_token_store,
     "op9_quality_rules": op9_quality_rules,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_exact_top_k": """
+        WITH v AS (
+            SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+            SELECT a.vec_id AS query_id, b.vec_id, CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) AS BIGINT) AS score
+            FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
+        SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 10""",
+    "op9_quality_rules": rf"""
+        WITH t AS (
+            SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+        w AS (
+            SELECT r, doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+                   list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+            FROM t),
+        g AS (
+            SELECT r, unnest(range(1, len(words) - 3)) AS i,
+                   unnest(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))) AS win
+            FROM w WHERE len(words) >= 5),
+        d AS (SELECT r, i FROM (SELECT *, count(*) OVER (PARTITION BY r, win) AS n FROM g) WHERE n > 1),
+        c AS (SELECT r, count(DISTINCT i + k) AS n_repeat_words FROM d, range(0, 5) AS x(k) GROUP BY r),
+        m AS (
+            SELECT doc_id, len(words) AS n_words, len(array_to_string(words, '')) AS word_chars,
+                   len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols,
+                   len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+                   coalesce(n_repeat_words, 0) AS n_repeat_words, len(lines) AS n_lines,
+                   len(list_filter(words, lambda x: lower(x) IN ({", ".join(f"'{x}'" for x in quality_rules.STOP_WORDS)}))) AS n_stop
+            FROM w LEFT JOIN c USING (r)),
+        b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
+        SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+               CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+               CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+               NOT base_failed AND word_chars BETWEEN 2 * n_words AND 20 * n_words
+               AND n_symbols <= 0.25 * n_words AND (n_words < {quality_rules.SHARE_WORDS} OR n_stop >= 0.02 * n_words)
+               AND n_dup_lines <= 0.5 * n_lines AS kept
+        FROM b""",
+}
