@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablescope.llm import bpe, minhash_dedup, packing, quality_rules, token_store, topk
+from tablescope.llm import bpe, minhash_dedup, packing, quality_rules, token_store, topk, url_filter
 from tablescope.llm.runtime import show_workers
 
 
@@ -36,6 +36,19 @@ def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_store(shards).withColumnRenamed("id", "doc_id")
 
 
+# The rules that op7 judges by.
+URL_RULES = (
+    ("net/", "block"),
+    ("example.net/en/", "allow"),
+    ("example.com/de/", "block"),
+    ("org/fr/", "allow"),
+)
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
@@ -48,6 +61,7 @@ QUERIES = {
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_exact_top_k": op5_exact_top_k,
     "op6_token_store": op6_token_store,
+    "op7_url_filter": op7_url_filter,
     "op9_quality_rules": op9_quality_rules,
 }
 
@@ -63,6 +77,26 @@ ORACLE_SQL: dict[str, str] = {
             FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
         r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
         SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 10""",
+    "op7_url_filter": """
+        WITH u AS (
+            SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+            FROM pages),
+        p AS (
+            SELECT page_id,
+                   translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                             'abcdefghijklmnopqrstuvwxyz') AS host,
+                   regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+            FROM u),
+        r AS (
+            SELECT *, CASE
+                WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+                WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+                WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+                WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule
+            FROM p)
+        SELECT page_id, host, path, rule,
+               CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict
+        FROM r""",
     "op9_quality_rules": rf"""
         WITH t AS (
             SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
