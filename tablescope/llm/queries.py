@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablescope.llm import bpe, minhash_dedup, packing, quality_rules, token_store, topk, url_filter
+from tablescope.llm import bpe, minhash_dedup, packing, quality_rules, token_store, topk, url_filter, warc
 from tablescope.llm.runtime import show_workers
 
 
@@ -14,6 +14,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return show_workers(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.read_packages(warc.write_packages(table(spark, sf_dir, "pages")))
+    return records.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"),
                                   public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -56,6 +61,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_warc": op1_warc,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_minhash_dedup": op3_minhash_dedup,
     "op4_best_fit_packing": op4_best_fit_packing,
