@@ -4,13 +4,21 @@
 sf_dir)`` and returns a DataFrame that is written as Parquet and read again
 as the next one's ``docs``. All but the last return the columns of the input
 documents. ``run`` applies them to the ``documents`` table.
+
+Rows with null columns, empty texts, repeated rows and extra columns go
+through each stage as its operator defines: the quality rules reject a text
+without words, a document without an id duplicates nothing, rows that share an
+id are one document, and other columns are carried along.
 """
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tablescope.llm import quality_rules
+from tablescope.llm import minhash_dedup, packing, pii, quality_rules
+from tablescope.llm.runtime import show_workers
 from tablescope.session import materialize
 
 
@@ -19,8 +27,32 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality_rules.keep_good(docs)
 
 
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group linked by 80 % of shared five-word shingles, the document
+    with the smallest id stays."""
+    show_workers(spark)
+    found = minhash_dedup.near_duplicates(docs, words=5, percent=80)
+    gone = found.where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+
+
+def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data in the texts is replaced by its kind."""
+    show_workers(spark)
+    return pii.redact(docs)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' tokens, packed into sequences of at most 2048."""
+    show_workers(spark)
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 STAGES = [
     ("quality rules", quality_stage),
+    ("near duplicates", near_duplicate_stage),
+    ("personal data", personal_data_stage),
+    ("best-fit packing", packing_stage),
 ]
 
 #: The later stages (similarity classes, a sequence tagger, packing) have no
@@ -29,7 +61,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = show_workers(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)

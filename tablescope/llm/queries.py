@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablescope.llm import bpe, minhash_dedup, packing, quality_rules, token_store, topk, url_filter, warc
+from tablescope.llm import bpe, minhash_dedup, packing, pii, quality_rules, token_store, topk, url_filter, warc
 from tablescope.llm.runtime import show_workers
 
 
@@ -60,6 +60,10 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "n_repeat_words", "base_failed", "kept")
 
 
+def op10_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_byte_bpe": op2_byte_bpe,
@@ -69,6 +73,7 @@ QUERIES = {
     "op6_token_store": op6_token_store,
     "op7_url_filter": op7_url_filter,
     "op9_quality_rules": op9_quality_rules,
+    "op10_pii_crf": op10_pii_crf,
 }
 
 ORACLE_SQL: dict[str, str] = {
