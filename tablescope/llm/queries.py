@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablescope.llm import bpe, minhash_dedup, packing, pii, quality_rules, token_store, topk, url_filter, warc
+from tablescope.llm import bpe, chat, minhash_dedup, packing, pii, quality_rules, token_store, topk, url_filter, warc
 from tablescope.llm.runtime import show_workers
 
 
@@ -54,6 +54,12 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw transcripts of all conversations, parsed by a model of their rows."""
+    found = chat.raw_transcripts(table(spark, sf_dir, "conversations"))
+    return chat.parse(found.drop("role"), chat.fit(found))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
@@ -72,6 +78,7 @@ QUERIES = {
     "op5_exact_top_k": op5_exact_top_k,
     "op6_token_store": op6_token_store,
     "op7_url_filter": op7_url_filter,
+    "op8_chat_format": op8_chat_format,
     "op9_quality_rules": op9_quality_rules,
     "op10_pii_crf": op10_pii_crf,
 }
