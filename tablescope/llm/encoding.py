@@ -1,24 +1,154 @@
-"""Token ids of whole texts by a public tokenizer file, as raw little-endian
-bytes, inside Arrow tasks.
+"""Token ids of whole texts by a public tokenizer file, inside Arrow tasks.
 
-A text is cut at single blanks between other characters, where no pre-token
-of a byte-level vocabulary crosses; each distinct stretch is encoded once by
-the tokenizers library and its ids joined. A text that cannot be cut so is
-encoded as a whole. The memory of stretches is emptied at a size bound.
+Texts are cut at single blanks between other characters, where no pre-token of
+a byte-level vocabulary crosses. The stretches of a batch of texts become a
+dictionary array, so that each distinct one is looked up, or encoded by the
+tokenizers library, once; ids are then gathered for all texts at once. A text
+that cannot be cut so is encoded as a whole. The memory of stretches has a
+size bound, which changes no result.
 """
 
 from __future__ import annotations
 
 import os
+from array import array
+from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 
+#: Entries that the memory holds at most, and the longest key it takes.
 MEMO_ENTRIES, MEMO_KEY = 1 << 19, 64
+#: Bytes of text handled at once (one longer text alone).
+SLICE_BYTES = 1 << 23
 
 
-class TextEncoder:
-    """Ids of texts under one tokenizers file, special strings as plain text."""
+# How a plain byte-level pre-tokenizer shows itself, and what it splits by.
+_BYTE_LEVEL = "ByteLevel(add_prefix_space=False, trim_offsets=True, use_regex=True)"
+PRE_TOKEN = regex.compile(
+    r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
+
+
+def _shown_bytes() -> dict[int, str]:
+    """The characters that stand for bytes in byte-level vocabularies: visible
+    Latin-1 ones stand for themselves, the others for 256, 257 and so on."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+_SHOWN = _shown_bytes()
+
+
+def _bounded(memo: dict[str, bytes]) -> dict[str, bytes]:
+    """A full memory keeps its older half: frequent strings come first."""
+    return dict(islice(memo.items(), MEMO_ENTRIES // 2)) if len(memo) > MEMO_ENTRIES else memo
+
+
+def text_slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Ranges of rows with about SLICE_BYTES of text each."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    a = 0
+    while a < len(ends):
+        done = int(ends[a - 1]) if a else 0
+        b = max(a + 1, int(np.searchsorted(ends, done + SLICE_BYTES, side="right")))
+        yield a, b
+        a = b
+
+
+class StretchEncoder:
+    """Ids of texts, cut at blanks and gathered; a subclass says what the ids
+    of a pre-token and of whole texts are."""
+
+    def __init__(self, n_ids: int):
+        wide = n_ids > 1 << 16
+        self.dtype, self.code = np.dtype("<u4" if wide else "<u2"), "I" if wide else "H"
+        self.known: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+
+    def part_ids(self, part: str) -> list[int]:
+        """Ids of one pre-token."""
+        raise NotImplementedError
+
+    def whole_ids(self, texts: list[str]) -> list[list[int]]:
+        """Ids of whole texts."""
+        return [[i for part in PRE_TOKEN.findall(t) for i in self.part_ids(part)] for t in texts]
+
+    def _raw(self, texts: list[str]) -> list[bytes]:
+        code = self.code
+        return [array(code, ids).tobytes() for ids in self.whole_ids(texts)] if texts else []
+
+    def _parts(self, texts: list[str]) -> list[bytes]:
+        """Raw ids of short texts by pre-tokens: new stretches mostly combine
+        known words anew."""
+        ids_of, known, code, split = self.part_ids, self.parts, self.code, PRE_TOKEN.findall
+        out = []
+        for text in texts:
+            own = []
+            for part in split(text):
+                raw = known.get(part)
+                if raw is None:
+                    raw = array(code, ids_of(part)).tobytes()
+                    if len(part) <= MEMO_KEY:
+                        known[part] = raw
+                own.append(raw)
+            out.append(b"".join(own))
+        return out
+
+    def _stretches(self, texts: list[str]) -> list[bytes]:
+        """Raw ids of distinct stretches, each with a blank before it."""
+        found = list(map(self.known.get, texts))
+        todo = [t for t, raw in zip(texts, found, strict=True) if raw is None]
+        made = dict(zip(todo, self._parts([" " + t for t in todo]), strict=True))
+        out = [made[t] if raw is None else raw for t, raw in zip(texts, found, strict=True)]
+        self.known, self.parts = _bounded(self.known), _bounded(self.parts)
+        self.known.update((t, raw) for t, raw in made.items() if len(t) <= MEMO_KEY)
+        return out
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of each text (a null one is empty); pass a slice of
+        :func:`text_slices` at a time."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        if not len(texts):
+            return []
+        cut = pc.split_pattern(texts, " ")
+        bounds = np.asarray(cut.offsets, dtype=np.int64)
+        coded = cut.flatten().dictionary_encode()
+        at = np.array(coded.indices, dtype=np.int64)
+        stretch = coded.dictionary.to_pylist()
+        alone = np.array([bool(s) and not (s[0].isspace() or s[-1].isspace()) for s in stretch])
+        good = np.logical_and.reduceat(alone[at], bounds[:-1])
+        # The first stretch of a text has no blank before it: entries of their own.
+        heads, head_at = np.unique(at[bounds[:-1]], return_inverse=True)
+        raw = self._stretches([s if ok else "" for s, ok in zip(stretch, alone, strict=True)])
+        raw += self._raw([stretch[k] for k in heads])
+        at[bounds[:-1]] = len(stretch) + head_at
+        size = np.fromiter(map(len, raw), np.int64, len(raw)) // self.dtype.itemsize
+        ids, end = gathered(np.frombuffer(b"".join(raw), dtype=self.dtype), size, at)
+        ends = np.append(0, end)[bounds]
+        out = [ids[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        whole = np.flatnonzero(~good).tolist()
+        for i, own in zip(whole, self._raw(texts.take(pa.array(whole, pa.int64())).to_pylist()), strict=True):
+            out[i] = np.frombuffer(own, dtype=self.dtype)
+        return out
+
+
+def gathered(flat: np.ndarray, size: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The entries ``at`` of a table of runs (``flat`` cut by ``size``), one
+    after the other, and where each ends."""
+    first = np.cumsum(size) - size
+    each = size[at]
+    end = np.cumsum(each)
+    total = int(end[-1]) if len(end) else 0
+    return flat[np.repeat(first[at] - (end - each), each) + np.arange(total)], end
+
+
+class TextEncoder(StretchEncoder):
+    """Ids under one tokenizers file, special strings as plain text."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -26,45 +156,20 @@ class TextEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        super().__init__(self.tokenizer.get_vocab_size())
+        # A byte-level vocabulary without further steps: pre-tokens can be told apart here.
+        self.by_bytes = self.tokenizer.normalizer is None and str(self.tokenizer.pre_tokenizer) == _BYTE_LEVEL
 
-    def _raw(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype=self.dtype).tobytes() for e in found]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Raw ids of each text, as ``dtype``."""
-        if len(self.known) > MEMO_ENTRIES:
-            self.known.clear()
-        known, get = self.known, self.known.get
-        heads, tails, waiting, missing = [], [b""] * len(texts), [], set()
-        for i, text in enumerate(texts):
-            head, *rest = text.split(" ")
-            got = list(map(get, rest))
-            if None in got:
-                new = {p for p, raw in zip(rest, got, strict=True) if raw is None}
-                alone = not any(not p or p[0].isspace() or p[-1].isspace() for p in new)
-            else:
-                new, alone = (), True
-            if rest and not (alone and head and not head[-1].isspace()):
-                heads.append(text)
-                continue
-            heads.append(head)  # no blank before it, so not a stretch
-            if new:
-                missing |= new
-                waiting.append((i, rest))
-            else:
-                tails[i] = b"".join(got)
-        if missing:
-            todo = list(missing)
-            known.update(zip(todo, self._raw([" " + p for p in todo]), strict=True))
-            for i, rest in waiting:
-                tails[i] = b"".join(map(known.__getitem__, rest))
-            for p in todo:
-                if len(p) > MEMO_KEY:
-                    del known[p]
-        return [a + b for a, b in zip(self._raw(heads), tails, strict=True)] if texts else []
+    def part_ids(self, part: str) -> list[int]:
+        shown = part.encode().decode("latin-1").translate(_SHOWN)
+        return [t.id for t in self.model.tokenize(shown)]
+
+    def whole_ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _parts(self, texts: list[str]) -> list[bytes]:
+        return super()._parts(texts) if self.by_bytes else self._raw(texts)
 
 
 @lru_cache(maxsize=2)

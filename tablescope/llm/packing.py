@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablescope.llm.encoding import encoder
+from tablescope.llm.encoding import encoder, text_slices
 from tablescope.session import materialize
 
 PATTERN_PARTS = 3
@@ -43,16 +43,15 @@ _PIECES = "piece int, start long, length long, ids_crc32 long, task long, rank l
 def _cut(path: str, end_id: int, size: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
-        end = np.array([end_id], dtype=enc.dtype).tobytes()
+        end = np.array([end_id], dtype="<u4")
         task = TaskContext.get().partitionId()
         seen: dict[int, int] = defaultdict(int)
         for batch in batches:
-            for a in range(0, batch.num_rows, 512):
-                part = batch.slice(a, 512)
+            for a, b in text_slices(batch.column("text")):
+                part = batch.slice(a, b - a)
                 row, piece, start, length, crc, rank, values = [], [], [], [], [], [], []
-                raws = enc.encode([t or "" for t in part.column("text").to_pylist()])
-                for i, raw in enumerate(raws):
-                    ids = np.frombuffer(raw + end, dtype=enc.dtype).astype("<u4")
+                for i, own_ids in enumerate(enc.encode(part.column("text"))):
+                    ids = np.concatenate([own_ids, end])
                     at = 0
                     for k in range(-(-len(ids) // size)):
                         to = at + ((len(ids) - 1) % size + 1 if k == 0 else size)

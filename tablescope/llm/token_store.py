@@ -28,13 +28,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablescope.llm.encoding import encoder
+from tablescope.llm.encoding import encoder, text_slices
 from tablescope.llm.files import file_system, shared_folder
 from tablescope.llm.perfect_hash import PerfectHash, key_hashes, of_bytes, to_bytes
 from tablescope.session import materialize
 
-#: Ids in one shard at most, but for a longer document; texts encoded at once.
-SHARD_IDS, TEXTS = 1 << 26, 512
+#: Ids in one shard at most, but for a longer document.
+SHARD_IDS = 1 << 26
 #: Ids read at once.
 READ_IDS = 1 << 21
 
@@ -91,17 +91,17 @@ class _Shard:
 def _write(path: str, end_id: int, folder: str, shard_ids: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
-        end = np.array([end_id], dtype=enc.dtype).tobytes()
+        end = np.array([end_id], dtype=enc.dtype)
         task = TaskContext.get().partitionId()
         shard, number, last, occurrence = None, 0, object(), 0
         for batch in batches:
-            for a in range(0, batch.num_rows, TEXTS):
-                part = batch.slice(a, TEXTS)
-                raws = enc.encode([t or "" for t in part.column("text").to_pylist()])
-                for key, raw in zip(part.column("id").to_pylist(), raws, strict=True):
+            for a, b in text_slices(batch.column("text")):
+                part = batch.slice(a, b - a)
+                encoded = enc.encode(part.column("text"))
+                for key, own in zip(part.column("id").to_pylist(), encoded, strict=True):
                     occurrence = occurrence + 1 if key == last else 0
                     last = key
-                    ids = np.frombuffer(raw + end, dtype=enc.dtype)
+                    ids = np.concatenate([own, end])
                     if shard and shard.total and shard.total + len(ids) > shard_ids:
                         yield shard.close(enc.dtype.itemsize)
                         shard, number = None, number + 1
