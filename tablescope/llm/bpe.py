@@ -9,10 +9,10 @@ makes entries of its neighbours stale; those are skipped when they come up, by
 comparing the pair's present rank. A pre-token of n bytes makes at most 3n
 entries, so very long ones cost n log n.
 
-A text is cut by the pattern into pre-tokens; each is encoded alone. Blank-
-separated stretches repeat a lot, so their result is remembered, as is each
-pre-token's; both memories are emptied at a size bound and hold no long keys,
-which changes no result.
+A text is cut by the pattern into pre-tokens; each is encoded alone. Stretches
+between blanks repeat a lot, so :mod:`tablescope.llm.encoding` remembers their
+ids and those of pre-tokens, within a bound, and gathers the ids of many texts
+at once. Decoding gathers the tokens' bytes in the same way.
 
 Defined results: a null text is an empty one, with no ids. Repeated rows are
 each returned. Extra columns are ignored; an empty table gives an empty result.
@@ -22,17 +22,17 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heappop, heappush
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Entries that one memory holds at most, and the longest key it takes.
-MEMO_ENTRIES, MEMO_KEY = 1 << 19, 64
+from tablescope.llm.encoding import PRE_TOKEN, StretchEncoder, gathered, text_slices
 
 
 class RankQueue:
@@ -136,113 +136,92 @@ class BytePairs:
         return b"".join(map(self.byte_of.__getitem__, ids))
 
 
-class NotAlone(Exception):
-    """A stretch that may share a pre-token with a neighbour."""
-
-
-class Stretches(dict):
-    """Remembers what ``make`` gives for a stretch between single blanks.
-
-    With no white space at either end, a stretch with its leading blank is a
-    whole number of pre-tokens: none crosses into the next blank, as a blank
-    only begins a pre-token or stands among other white space.
-    """
-
-    def __init__(self, make: Callable[[str], object]):
-        super().__init__()
-        self.make = make
-
-    def __missing__(self, stretch: str):
-        if not stretch or stretch[0].isspace() or stretch[-1].isspace():
-            raise NotAlone
-        value = self.make(" " + stretch)
-        if len(stretch) <= MEMO_KEY:
-            if len(self) >= MEMO_ENTRIES:
-                self.clear()
-            self[stretch] = value
-        return value
-
-
 def load_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as lines:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-@lru_cache(maxsize=2)
-def _tools(path: str, pattern: str) -> tuple[BytePairs, Stretches, Callable[[str], tuple]]:
-    pairs = BytePairs(load_ranks(path), pattern)
-    known: dict[str, tuple[int, ...]] = {}
+class RankEncoder(StretchEncoder):
+    """Encoding and decoding of many texts under one rank file."""
+
+    def __init__(self, path: str, pattern: str):
+        self.pairs = BytePairs(load_ranks(path), pattern)
+        n = max(self.pairs.byte_of) + 1
+        super().__init__(n)
+        # the pattern that parts stretches safely; another one sees whole texts
+        self.by_stretch = pattern == PRE_TOKEN.pattern
+        tokens = [self.pairs.byte_of.get(i, b"") for i in range(n)]
+        self.size = np.array([len(t) for t in tokens])
+        self.flat = np.frombuffer(b"".join(tokens), dtype=np.uint8)
+        self.decimal = [str(i) for i in range(n)]
+
+    def part_ids(self, part: str) -> list[int]:
+        return self.pairs.encode_piece(part.encode())
+
+    def whole_ids(self, texts: list[str]) -> list[list[int]]:
+        return [self.pairs.encode(t) for t in texts]
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        if self.by_stretch:
+            return super().encode(texts)
+        return [np.array(ids, self.dtype) for ids in self.whole_ids([t or "" for t in texts.to_pylist()])]
+
+    def decode(self, ids: list[np.ndarray]) -> list[bytes]:
+        """The bytes of each sequence of ids."""
+        if not ids:
+            return []
+        joined = np.concatenate(ids).astype(np.int64)
+        if len(joined) and joined.min() < 0 or (self.size[joined] == 0).any():
+            raise ValueError("an id that the vocabulary lacks")
+        found, end = gathered(self.flat, self.size, joined)
+        ends = np.append(0, end)[np.append(0, np.cumsum([len(x) for x in ids]))]
+        raw = found.tobytes()
+        return [raw[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
 
-    def ids_of(text: str) -> tuple[int, ...]:
-        out: list[int] = []
-        for piece in pairs.pattern.findall(text):
-            got = known.get(piece)
-            if got is None:
-                got = tuple(pairs.encode_piece(piece.encode()))
-                if len(piece) <= MEMO_KEY:
-                    if len(known) >= MEMO_ENTRIES:
-                        known.clear()
-                    known[piece] = got
-            out += got
-        return tuple(out)
-
-    return pairs, Stretches(ids_of), ids_of
-
-
-def _text_ids(text: str, stretches: Stretches, ids_of: Callable[[str], tuple]) -> list[int]:
-    out: list[int] = []
-    first, *rest = text.split(" ")
-    if rest and first and not first[-1].isspace():
-        last = rest.pop()
-        if last and not last[0].isspace():
-            try:
-                out += ids_of(first)
-                for ids in map(stretches.__getitem__, rest):
-                    out += ids
-                out += ids_of(" " + last)
-                return out
-            except NotAlone:
-                pass
-    return list(ids_of(text))
+
+@lru_cache(maxsize=2)
+def rank_encoder(path: str, pattern: str) -> RankEncoder:
+    return RankEncoder(path, pattern)
 
 
 def _encode(path: str, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs, stretches, ids_of = _tools(path, pattern)
+        enc = rank_encoder(path, pattern)
         for batch in batches:
-            # few texts at a time, so that few id lists are held
-            for a in range(0, batch.num_rows, 256):
-                part = batch.slice(a, 256)
-                ids = [_text_ids(t or "", stretches, ids_of) for t in part.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), pa.array(ids, pa.list_(pa.int32()))], names=["id", "ids"])
+            for a, b in text_slices(batch.column("text")):
+                part = batch.slice(a, b - a)
+                ids = enc.encode(part.column("text"))
+                ends = np.append(0, np.cumsum([len(x) for x in ids])).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids).astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([part.column("id"), lists], names=["id", "ids"])
     return run
 
 
 def _digests(path: str, pattern: str):
-    encode = _encode(path, pattern)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs = _tools(path, pattern)[0]
-        for batch in encode(batches):
-            n, id_sha, text_sha = [], [], []
-            for ids in batch.column("ids"):
-                ids = ids.values.tolist()
-                n.append(len(ids))
-                id_sha.append(hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
-                text_sha.append(hashlib.sha256(pairs.decode(ids)).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(n, pa.int64()), pa.array(id_sha, pa.string()),
-                 pa.array(text_sha, pa.string())], names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        enc = rank_encoder(path, pattern)
+        decimal = enc.decimal.__getitem__
+        for batch in batches:
+            for a, b in text_slices(batch.column("text")):
+                part = batch.slice(a, b - a)
+                ids = enc.encode(part.column("text"))
+                id_sha = [hashlib.sha256(",".join(map(decimal, x.tolist())).encode()).hexdigest() for x in ids]
+                text_sha = [hashlib.sha256(raw).hexdigest() for raw in enc.decode(ids)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("id"), pa.array([len(x) for x in ids], pa.int64()), pa.array(id_sha, pa.string()),
+                     pa.array(text_sha, pa.string())], names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
     return run
 
 
 def _decode(path: str, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs = _tools(path, pattern)[0]
+        enc = rank_encoder(path, pattern)
         for batch in batches:
-            text = [pairs.decode(ids or []).decode("utf-8", "replace") for ids in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(text, pa.string())], names=["id", "text"])
+            for a in range(0, batch.num_rows, 256):
+                part = batch.slice(a, 256)
+                ids = [np.array(x or [], dtype=np.int64) for x in part.column("ids").to_pylist()]
+                text = [raw.decode("utf-8", "replace") for raw in enc.decode(ids)]
+                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(text, pa.string())], names=["id", "text"])
     return run
 
 
