@@ -1,7 +1,8 @@
 """Registered queries and their oracle SQL.
 
 Each query reads the shared test tables (``<sf_dir>/<table>.parquet``) in
-full and returns a lazy DataFrame. ``ORACLE_SQL`` holds, for the same key,
+full and returns a DataFrame (some run small jobs, or write intermediate
+tables to the checkpoint folder, while they are built). ``ORACLE_SQL`` holds, for the same key,
 an independent DuckDB statement over views of those tables. Column names
 match on both sides; money sums are rounded to 2 digits and averages /
 deviations / shares to 6 on both sides, because floating-point sums depend
@@ -50,6 +51,7 @@ def cleaned_trips(spark: SparkSession, sf_dir: str) -> tr.Trips:
 # Shared SQL pieces
 # ---------------------------------------------------------------------------
 
+# Fixed values in these statements: bounds, labels, names and lookup rows.
 TRIP_RAW_CTE = """
 trip_raw AS (
   SELECT event_id % 3 AS vendor_id,
@@ -262,15 +264,25 @@ def q_enriched(spark, sf_dir):
     return tr.enriched(cleaned_trips(spark, sf_dir), spark, cap=None)
 
 
+@register("l3_enriched_trips", f"""
+WITH {ENRICHED_CTE} SELECT * FROM enriched""")
+def q_enriched_all(spark, sf_dir):
+    return tr.report_outputs(spark, cleaned_trips(spark, sf_dir))["joined"]
+
+
+# T4, a row cap where the caller gives one.
+ROW_CAP = 50_000
+
+
 @register("l3_enriched_trips_capped", f"""
 WITH {ENRICHED_CTE}
 SELECT * FROM enriched
 ORDER BY date NULLS FIRST, hour NULLS FIRST, month NULLS FIRST, vendor_name NULLS FIRST,
          payment_name NULLS FIRST, fare_amount NULLS FIRST, trip_distance NULLS FIRST,
          passenger_count NULLS FIRST
-LIMIT {tr.ENRICHED_ROW_CAP}""")
+LIMIT {ROW_CAP}""")
 def q_enriched_capped(spark, sf_dir):
-    return tr.enriched(cleaned_trips(spark, sf_dir), spark)
+    return tr.enriched(cleaned_trips(spark, sf_dir), spark, cap=ROW_CAP)
 
 
 @register("a17_vendor_payment_sizes", f"""
@@ -488,12 +500,20 @@ def q_report_top(spark, sf_dir):
     return table_report(dirty_customers(spark, sf_dir), outputs=("top_n",))["top_n"]
 
 
+@register("l5_report_cleaned", f"""
+WITH {CLEAN_SQL} SELECT * FROM kept""")
+def q_report_cleaned(spark, sf_dir):
+    from tablescope.plans.table_report import table_report
+    return table_report(dirty_customers(spark, sf_dir), outputs=("cleaned",))["cleaned"]
+
+
 @register("l5_report_cleaned_sample", f"""
 WITH {CLEAN_SQL}
 SELECT * FROM kept ORDER BY {order_all(CLEAN_COLS)} LIMIT 5000""")
 def q_report_sample(spark, sf_dir):
     from tablescope.plans.table_report import table_report
-    return table_report(dirty_customers(spark, sf_dir), outputs=("cleaned_sample",))["cleaned_sample"]
+    cleaned = table_report(dirty_customers(spark, sf_dir), outputs=("cleaned",))["cleaned"]
+    return ranking.cap_rows(cleaned, 5_000, order=cleaned.columns)
 
 
 # ---------------------------------------------------------------------------
@@ -656,10 +676,17 @@ def q_projection(spark, sf_dir):
                             "o_orderstatus")
 
 
-@register("t5_sample_exact")
+@register("t5_sample_exact", """
+SELECT LEAST(3000, COUNT(*)) AS rows, LEAST(3000, COUNT(DISTINCT o_orderkey)) AS keys,
+       LEAST(3000, COUNT(*)) AS known FROM orders""")
 def q_sample(spark, sf_dir):
+    """What holds for any draw: its size, distinct keys, all of them orders."""
     from tablescope.operators.explore import sample_rows
-    return sample_rows(table(spark, sf_dir, "orders"), 3000, seed=7)
+    orders = table(spark, sf_dir, "orders")
+    drawn = sample_rows(orders, 3000, seed=7)
+    known = drawn.join(orders.select("o_orderkey"), "o_orderkey", "left_semi")
+    return drawn.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("o_orderkey").alias("keys")).withColumn(
+        "known", known.select(F.count(F.lit(1))).scalar())
 
 
 EXPLORER_SPEC = dict(
@@ -709,3 +736,180 @@ SELECT * FROM orders ORDER BY o_orderkey DESC NULLS LAST LIMIT 20""")
 def q_top_n_default(spark, sf_dir):
     """No sort column given: the first numeric column (o_orderkey, unique)."""
     return ranking.compute_top_n(table(spark, sf_dir, "orders"))
+
+
+# ---------------------------------------------------------------------------
+# Text values that do not parse, filters of a constant column
+# ---------------------------------------------------------------------------
+
+@register("f1_text_values", """
+SELECT event_id, value FROM events WHERE event_id % 7 <> 0 AND value BETWEEN 0.01 AND 500""")
+def q_sanity_text(spark, sf_dir):
+    from tablescope.operators.quality import TRIP_FARE_BOUNDS, sanity_filter
+    events = table(spark, sf_dir, "events")
+    text = events.withColumn("fare", F.when(F.col("event_id") % 7 == 0, "n/a").otherwise(F.col("value").cast("string")))
+    return sanity_filter(text, {"fare": TRIP_FARE_BOUNDS}).select("event_id", "value")
+
+
+@register("f3_text_values", """
+SELECT o_orderkey FROM orders WHERE o_orderkey % 5 <> 0 AND o_totalprice >= 100000""")
+def q_filter_text(spark, sf_dir):
+    from tablescope.operators.quality import filter_by_value
+    orders = table(spark, sf_dir, "orders")
+    text = orders.withColumn("price", F.when(F.col("o_orderkey") % 5 == 0, "12,5").otherwise(
+        F.col("o_totalprice").cast("string")))
+    return filter_by_value(text, "price", min_val=100000).select("o_orderkey")
+
+
+@register("a9_text_dates", """
+SELECT CASE WHEN o_orderkey % 9 <> 0 THEN strftime(o_orderdate, '%Y-%m') END AS month,
+       CAST(SUM(o_orderkey) AS DOUBLE) AS o_orderkey_total, COUNT(*) AS row_count
+FROM orders GROUP BY 1""")
+def q_monthly_text(spark, sf_dir):
+    from tablescope.operators.aggregate import compute_time_series
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    text = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.when(F.col("o_orderkey") % 9 == 0, "no date").otherwise(day).alias("day"))
+    return compute_time_series(text, "day")
+
+
+@register("l6_explorer_range_of_constant", """
+SELECT COUNT(*) AS rows FROM (SELECT *, CASE o_orderstatus WHEN 'P' THEN 2 ELSE 1 END AS kind FROM orders)
+WHERE o_orderstatus IN ('P') AND kind BETWEEN 0 AND 1""")
+def q_explorer_constant(spark, sf_dir):
+    """The category filter leaves one value of ``kind``, outside its range."""
+    from tablescope.plans.explorer import ExplorerSpec, explore
+    orders = table(spark, sf_dir, "orders").withColumn("kind", F.when(F.col("o_orderstatus") == "P", 2).otherwise(1))
+    spec = ExplorerSpec(categories={"o_orderstatus": ["P"]}, ranges={"kind": (0, 1)})
+    return explore(orders, spec).table.agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("t4_first_rows_text_key", """
+SELECT o_orderpriority, o_orderkey FROM orders
+ORDER BY o_orderpriority NULLS FIRST, o_orderkey NULLS FIRST LIMIT 2000""")
+def q_first_rows_text(spark, sf_dir):
+    cols = ["o_orderpriority", "o_orderkey"]
+    return ranking.first_rows(table(spark, sf_dir, "orders").select(*cols), 2000, cols)
+
+
+PRIORITY_SIZES = "SELECT o_orderpriority, COUNT(*) AS count FROM orders GROUP BY 1"
+
+
+def _numbered(df: DataFrame) -> DataFrame:
+    """The place of each row of a small sorted result."""
+    from pyspark.sql import Window
+    return df.withColumn("place", F.row_number().over(Window.orderBy(F.monotonically_increasing_id())))
+
+
+@register("t2_sorted_descending", f"""
+SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY count DESC) AS INTEGER) AS place FROM ({PRIORITY_SIZES})""")
+def q_sort_desc(spark, sf_dir):
+    from tablescope.operators.explore import category_frequency
+    return _numbered(ranking.sort_desc(category_frequency(table(spark, sf_dir, "orders"), "o_orderpriority"), "count"))
+
+
+@register("t3_sorted_ascending", f"""
+SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY o_orderpriority NULLS FIRST) AS INTEGER) AS place FROM ({PRIORITY_SIZES})""")
+def q_sort_asc(spark, sf_dir):
+    from tablescope.operators.explore import category_frequency
+    sizes = category_frequency(table(spark, sf_dir, "orders"), "o_orderpriority")
+    return _numbered(ranking.sort_asc(sizes, "o_orderpriority"))
+
+
+# ---------------------------------------------------------------------------
+# Sinks and sources: written to the checkpoint folder and read back
+# ---------------------------------------------------------------------------
+
+def _folder(spark: SparkSession) -> str:
+    import uuid
+
+    from tablescope.session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/results/{uuid.uuid4().hex}"
+
+
+@register("s1_s4_csv_round_trip", "SELECT * FROM orders")
+def q_csv(spark, sf_dir):
+    from tablescope.sources.files import read_csv
+    from tablescope.sources.sinks import write_csv
+    orders, path = table(spark, sf_dir, "orders"), _folder(spark)
+    write_csv(orders, path)
+    return read_csv(spark, path, schema=orders.schema)
+
+
+@register("s2_explorer_csv", """
+SELECT CASE WHEN o_orderkey % 3 <> 0 THEN o_orderkey END AS whole, o_totalprice AS number,
+       o_orderkey % 2 = 0 AS yes, CAST(o_orderkey AS VARCHAR) || 'd' AS code, CAST(NULL AS DOUBLE) AS nothing
+FROM orders""")
+def q_explorer_csv(spark, sf_dir):
+    from tablescope.sources.files import read_explorer_csv
+    from tablescope.sources.sinks import write_csv
+    key, path = F.col("o_orderkey"), _folder(spark)
+    write_csv(table(spark, sf_dir, "orders").select(
+        F.when(key % 3 == 0, "N/A").otherwise(key.cast("string")).alias("whole"),
+        F.col("o_totalprice").alias("number"), F.when(key % 2 == 0, "True").otherwise("False").alias("yes"),
+        F.concat(key.cast("string"), F.lit("d")).alias("code"), F.lit("NaN").alias("nothing")), path)
+    return read_explorer_csv(spark, path)
+
+
+@register("s5_table_export", "SELECT 'orders' AS name, COUNT(*) AS written, COUNT(*) AS rows FROM orders")
+def q_export(spark, sf_dir):
+    from tablescope.sources.files import read_parquet
+    from tablescope.sources.sinks import write_results
+    path = _folder(spark)
+    written = write_results({"orders": table(spark, sf_dir, "orders")}, path, "parquet")["orders"]
+    return read_parquet(spark, f"{path}/orders").agg(
+        F.lit("orders").alias("name"), F.lit(written).cast("long").alias("written"), F.count(F.lit(1)).alias("rows"))
+
+
+def _report_query(name: str, digits: dict[str, int]) -> QueryFn:
+    """One output of the written report, found and loaded by the registry."""
+    def run(spark, sf_dir):
+        from tablescope.sources.registry import available_outputs, load_output
+        path = _folder(spark)
+        tr.run_trip_report(spark, trips(spark, sf_dir), path, "parquet")
+        if name not in available_outputs(spark, path):
+            raise ValueError(f"the report lacks {name}")
+        return rounded(load_output(spark, path, name, "parquet"), digits)
+    return run
+
+
+for _name, _like, _digits in (
+        ("outliers", "a2_outliers", {}), ("ranked", "w1_rank_within_day", {"daily_revenue": 2}),
+        ("running_totals", "w2_w3_running_totals", {"daily_revenue": 2, "cumulative_revenue": 2}),
+        ("sessions", "a4_time_of_day_summary", {"total_revenue": 2, "avg_fare": 6, "avg_distance": 6}),
+        ("pivot", "a5_hour_session_pivot", {}),
+        ("time_series", "a6_daily_series", {"total_revenue": 2, "avg_fare": 6, "avg_distance": 6}),
+        ("joined", "l3_enriched_trips", {})):
+    register(f"l4_s6_report_{_name}", ORACLE_SQL[_like])(_report_query(_name, _digits))
+
+
+# ---------------------------------------------------------------------------
+# Results page
+# ---------------------------------------------------------------------------
+
+def _chart(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    from tablescope.plans.results_page import chart_rows
+    return chart_rows(tr.report_outputs(spark, cleaned_trips(spark, sf_dir)))[name]
+
+
+@register("n17_ranked_series", f"""
+WITH {DAILY_CTE} SELECT date, payment_type, ROUND(daily_revenue, 2) AS daily_revenue FROM daily""")
+def q_ranked_series(spark, sf_dir):
+    return rounded(_chart(spark, sf_dir, "ranked"), {"daily_revenue": 2})
+
+
+@register("n17_running_series", f"""
+WITH {DAILY_CTE}
+SELECT date, payment_type, ROUND(SUM(daily_revenue) OVER (
+  PARTITION BY payment_type ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 2) AS cumulative_revenue
+FROM daily""")
+def q_running_series(spark, sf_dir):
+    return rounded(_chart(spark, sf_dir, "running_totals"), {"cumulative_revenue": 2})
+
+
+@register("n17_session_bars", f"""
+WITH {TRIPS_CTE}
+SELECT {session_case()} AS session, COUNT(*) AS trip_count, ROUND(SUM(fare_amount), 2) AS total_revenue
+FROM trips GROUP BY 1""")
+def q_session_bars(spark, sf_dir):
+    return rounded(_chart(spark, sf_dir, "sessions"), {"total_revenue": 2})

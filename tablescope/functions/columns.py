@@ -10,7 +10,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, NumericType, StringType
+from pyspark.sql.types import DateType, DoubleType, FloatType, NumericType, StringType
 
 
 def normalise_name(name: str) -> str:
@@ -107,6 +107,29 @@ def as_int_key(c: str | Column) -> Column:
     return (F.col(c) if isinstance(c, str) else c).try_cast("int")
 
 
+def as_number(df: DataFrame, c: str) -> Column:
+    """Column ``c`` for comparison with numbers: text is cast, and text that
+    is no number becomes null instead of failing the job; others unchanged."""
+    col = F.col(c)
+    return col.try_cast("double") if isinstance(df.schema[c].dataType, StringType) else col
+
+
+def not_nan(df: DataFrame, c: str) -> Column:
+    """Column ``c`` with NaN as null (floating-point columns only): a missing
+    value, as everywhere in the library."""
+    col = F.col(c)
+    kind = df.schema[c].dataType
+    return F.nanvl(col, F.lit(None).cast(kind)) if isinstance(kind, (DoubleType, FloatType)) else col
+
+
+def internal(name: str, columns: Iterable[str]) -> str:
+    """``name``, lengthened until no column has it."""
+    taken = set(columns)
+    while name in taken:
+        name = "_" + name
+    return name
+
+
 def fill_zero(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Replace nulls with 0 in the given (value) columns only."""
     return df.fillna(0, subset=list(columns)) if columns else df

@@ -8,11 +8,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablescope.functions.columns import as_int_key
+from tablescope.session import materialize
 
 # A lookup side is broadcast only below this many rows (checked, not assumed).
 MAX_BROADCAST_ROWS = 200_000
 
 
+# ... and below this many bytes, by the optimizer's estimate of the plan.
+MAX_BROADCAST_BYTES = 256 << 20
+# A group is frequent when it holds more than one in FREQUENT of all rows: at
+# most FREQUENT groups can be, which bounds what is broadcast for them.
+FREQUENT = 1000
+
+
+def join_many_groups(rows: DataFrame, groups: DataFrame, key: str) -> DataFrame:
+    """Inner join of ``rows`` with ``groups`` (one row per ``key``, too many
+    to broadcast) that keeps a frequent group spread: its group row is
+    broadcast and its rows stay where they are; all others are shuffled."""
+    sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    total = rows.select(F.count(F.lit(1))).first()[0]
+    hot = F.broadcast(materialize(sizes.filter(F.col("__n") * FREQUENT > total).select(key)))
+    return (rows.join(F.broadcast(groups.join(hot, key, "left_semi")), key)
+                .unionByName(rows.join(hot, key, "left_anti").join(groups, key)))
+
+
 @dataclass(frozen=True)
 class Lookup:
     """A lookup table with a known row count (e.g. built from literals)."""
@@ -25,13 +44,15 @@ class Lookup:
 def broadcastable(lookup: Lookup | DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
     """True when the lookup side has a proven size bound.
 
-    A :class:`Lookup` carries its row count; for a plain DataFrame the bound
-    is checked with a ``limit(max_rows + 1)`` count, which stops reading as
-    soon as the bound is exceeded.
+    A :class:`Lookup` is built from literals by this library and carries its
+    row count. A plain DataFrame is counted (partial counts per task, one
+    number per task moves) unless the optimizer's size estimate already
+    exceeds the byte bound.
     """
     if isinstance(lookup, Lookup):
         return lookup.rows <= max_rows
-    return lookup.limit(max_rows + 1).count() <= max_rows
+    estimate = int(str(lookup._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return estimate <= MAX_BROADCAST_BYTES and lookup.count() <= max_rows
 
 
 def enrich(df: DataFrame, key_col: str, lookup: Lookup, *,

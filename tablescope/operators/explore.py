@@ -1,7 +1,8 @@
 """Interactive-explorer operators: filters, group-by, profiles and the data
-behind common charts, all as lazy Spark plans (nothing is pulled to the
-driver; only the small final result leaves the cluster when the caller
-acts).
+behind common charts, as Spark plans (no rows are pulled to the driver).
+Most are lazy; the range filters, exact quantiles, box statistics and exact
+samples run small jobs when they are built, to decide how to go on, and the
+last three write intermediate tables to the checkpoint folder.
 
 Null rules follow a dataframe-explorer's conventions, which differ from
 Spark's ``groupBy``: group keys that are null are dropped, and a sum over
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from tablescope.functions.columns import numeric_columns, string_columns
+from tablescope.functions.columns import as_number, internal, not_nan, numeric_columns, string_columns
 from tablescope.operators.quality import _all
 
 # Aggregate functions of the explorer group-by.
@@ -25,7 +26,6 @@ AGG_FUNCS = ("sum", "mean", "count", "min", "max", "median")
 # gets a membership filter; histograms use this many bins.
 LOW_CARDINALITY = 50
 HISTOGRAM_BINS = 50
-SCATTER_SAMPLE = 3000
 
 
 # ---------------------------------------------------------------------------
@@ -39,18 +39,29 @@ def category_filters(df: DataFrame, selections: Mapping[str, Sequence]) -> DataF
     return df.filter(_all(preds)) if preds else df
 
 
-def range_filters(df: DataFrame, ranges: Mapping[str, tuple]) -> DataFrame:
-    """Conjunction of inclusive ranges ``lo <= x <= hi``; null rows drop.
+def varying_columns(df: DataFrame, cols: Sequence[str]) -> list[str]:
+    """Those of ``cols`` whose values (nulls and NaN aside) are not all equal.
+    One small aggregation job over all of them; one row reaches the driver."""
+    if not cols:
+        return []
+    aggs = [F.coalesce(F.min(not_nan(df, c)) < F.max(not_nan(df, c)), F.lit(False)).alias(f"v{i}")
+            for i, c in enumerate(cols)]
+    row = df.agg(*aggs).first()
+    return [c for i, c in enumerate(cols) if row[i]]
+
+
+def range_filters(df: DataFrame, ranges: Mapping[str, tuple], table: DataFrame | None = None) -> DataFrame:
+    """Conjunction of inclusive ranges ``lo <= x <= hi``; null, NaN and text
+    that is no number drop.
 
     Only columns whose values vary get a range: for a constant (or all-null)
     column the explorer offers none, so it filters nothing, not even nulls.
-    Whether a column varies is a scalar subquery over ``df`` (Spark merges
-    them into one aggregate), decided inside the plan.
+    That is decided on ``table``, the table before any filter (default:
+    ``df``), by one small job when the filter is built, so that the filters
+    themselves are plain comparisons that reach the scan.
     """
-    preds = []
-    for c, (lo, hi) in ranges.items():
-        varies = df.select(F.coalesce(F.min(c) < F.max(c), F.lit(False))).scalar()
-        preds.append(~varies | F.col(c).between(lo, hi))
+    varying = varying_columns(df if table is None else table, list(ranges))
+    preds = [as_number(df, c).between(lo, hi) for c, (lo, hi) in ranges.items() if c in varying]
     return df.filter(_all(preds)) if preds else df
 
 
@@ -144,7 +155,8 @@ def numeric_bounds(df: DataFrame, cols: Sequence[str] | None = None) -> DataFram
     cols = list(cols) if cols is not None else numeric_columns(df)
     aggs = []
     for i, c in enumerate(cols):
-        aggs += [F.min(c).cast("double").alias(f"lo{i}"), F.max(c).cast("double").alias(f"hi{i}")]
+        value = not_nan(df, c).cast("double")
+        aggs += [F.min(value).alias(f"lo{i}"), F.max(value).alias(f"hi{i}")]
     agg = df.agg(*aggs)
     parts = [F.struct(F.lit(c).alias("column"), F.col(f"lo{i}").alias("min"),
                       F.col(f"hi{i}").alias("max")) for i, c in enumerate(cols)]
@@ -171,7 +183,8 @@ def chart_projection(df: DataFrame, x: str, y: str, color: str | None = None) ->
 def histogram(df: DataFrame, x: str, bins: int = HISTOGRAM_BINS,
               color: str | None = None) -> DataFrame:
     """Equal-width bins over [min, max] of ``x``, last bin closed; count per
-    (bin[, color]). A constant column is one bin. Nulls are not counted.
+    (bin[, color]). A constant column is one bin. Nulls and NaN are not
+    counted.
 
     min and max are scalar subqueries (one small job), so the binning is a
     plain projection followed by a partially aggregated count. A
@@ -181,28 +194,31 @@ def histogram(df: DataFrame, x: str, bins: int = HISTOGRAM_BINS,
     if not isinstance(df.schema[x].dataType, NumericType):
         keys = [x] + ([color] if color else [])
         return df.filter(F.col(x).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("count"))
-    bounds = df.select(F.min(x).cast("double").alias("lo"), F.max(x).cast("double").alias("hi"))
+    known = not_nan(df, x).cast("double")
+    bounds = df.select(F.min(known).alias("lo"), F.max(known).alias("hi"))
     # attach the bounds once; later expressions read the columns
-    rows = (df.filter(F.col(x).isNotNull())
-              .withColumns({"_lo": bounds.select("lo").scalar(), "_hi": bounds.select("hi").scalar()}))
-    lo, hi = F.col("_lo"), F.col("_hi")
+    n_lo, n_hi = internal("_lo", df.columns), internal("_hi", df.columns)
+    rows = (df.filter(not_nan(df, x).isNotNull())
+              .withColumns({n_lo: bounds.select("lo").scalar(), n_hi: bounds.select("hi").scalar()}))
+    lo, hi = F.col(n_lo), F.col(n_hi)
     xv = F.col(x).cast("double")
     raw = (F.floor((xv - lo) / (hi - lo) * F.lit(float(bins))) + 1).cast("int")
     b = F.when(hi == lo, F.lit(1)).otherwise(F.least(raw, F.lit(bins)))
     keys = ["bin"] + ([color] if color else [])
     width = (hi - lo) / F.lit(float(bins))
     return (rows.withColumn("bin", b)
-                .groupBy(*keys, "_lo", "_hi").agg(F.count(F.lit(1)).alias("count"))
+                .groupBy(*keys, n_lo, n_hi).agg(F.count(F.lit(1)).alias("count"))
                 .select(*keys, "count",
                         (lo + width * (F.col("bin") - 1)).alias("bin_start"),
                         (lo + width * F.col("bin")).alias("bin_end")))
 
 
 def box_stats(df: DataFrame, y: str, by: str | None = None, approx: bool = False,
-              max_group_rows: int | None = None) -> DataFrame:
+              max_group_rows: int | None = None, max_broadcast_groups: int | None = None) -> DataFrame:
     """Box-plot numbers of ``y`` per ``by`` group: n, min, q1, median, q3,
     max, whiskers (furthest values within 1.5 IQR of the box) and the count
-    of points outside them. Quartiles are exact, linear interpolation;
+    of points outside them. NaN is missing. Quartiles are exact, linear
+    interpolation;
     ``approx=True`` takes them from a one-pass quantile sketch.
 
     When every group holds at most ``max_group_rows`` rows (default: the
@@ -211,12 +227,12 @@ def box_stats(df: DataFrame, y: str, by: str | None = None, approx: bool = False
     quartiles come from :func:`exact_quantiles` and a second pass finds the
     whiskers against the fences.
     """
-    from tablescope.operators.enrich import MAX_BROADCAST_ROWS
+    from tablescope.operators.enrich import MAX_BROADCAST_ROWS, join_many_groups
     from tablescope.operators.quantiles import MAX_IN_MEMORY_GROUP, _largest_group, exact_quantiles
     from tablescope.session import materialize_observed
 
     keys = [by] if by else []
-    base = df.filter(F.col(y).isNotNull())
+    base = df.filter(not_nan(df, y).isNotNull())
     if by:
         base = base.filter(F.col(by).isNotNull())
     bound = MAX_IN_MEMORY_GROUP if max_group_rows is None else max_group_rows
@@ -244,8 +260,10 @@ def box_stats(df: DataFrame, y: str, by: str | None = None, approx: bool = False
             F.max(F.when(yv <= F.col("hi_fence"), yv)).cast("double").alias("upper_whisker"),
             F.count_if((yv < F.col("lo_fence")) | (yv > F.col("hi_fence"))).alias("n_outliers")]
     if by:
-        side = F.broadcast(fences) if written["groups"] <= MAX_BROADCAST_ROWS else fences
-        joined = base.join(side, by, "inner")
+        if written["groups"] <= (MAX_BROADCAST_ROWS if max_broadcast_groups is None else max_broadcast_groups):
+            joined = base.join(F.broadcast(fences), by, "inner")
+        else:
+            joined = join_many_groups(base, fences, by)
         stats = joined.groupBy(by).agg(*aggs)
         return stats.join(q, by, "inner")
     joined = base.withColumns({
@@ -286,13 +304,13 @@ def _box_from_sorted(base: DataFrame, y: str, keys: list[str]) -> DataFrame:
 def share_of_total(df: DataFrame, x: str, y: str) -> DataFrame:
     """Sum of ``y`` per ``x`` and its fraction of the grand total.
 
-    The grand total is a scalar subquery over the input (partial sums, no
-    shuffle), not an unpartitioned window over the groups, so no single
-    task sees every group and the grouping runs once.
+    The grand total is a scalar subquery over the grouped table, whose
+    shuffle Spark reuses: the input is scanned and grouped once, and no single
+    task sees every group. A total of zero gives a null share.
     """
     grouped = df.groupBy(x).agg(F.sum(y).cast("double").alias(y))
-    total = df.select(F.sum(y).cast("double")).scalar()
-    return grouped.withColumn("share", F.col(y) / total)
+    total = grouped.select(F.sum(y)).scalar()
+    return grouped.withColumn("share", F.try_divide(F.col(y), total))
 
 
 def bar_series(df: DataFrame, x: str, y: str, color: str | None = None) -> DataFrame:
@@ -305,7 +323,7 @@ def bar_series(df: DataFrame, x: str, y: str, color: str | None = None) -> DataF
 # Sampling and reshape
 # ---------------------------------------------------------------------------
 
-def sample_rows(df: DataFrame, k: int = SCATTER_SAMPLE, seed: int = 42) -> DataFrame:
+def sample_rows(df: DataFrame, k: int, seed: int = 42) -> DataFrame:
     """Exactly ``min(k, n)`` rows drawn uniformly without replacement.
 
     Every row gets a seeded random key and the ``k`` smallest keys win.
@@ -317,17 +335,18 @@ def sample_rows(df: DataFrame, k: int = SCATTER_SAMPLE, seed: int = 42) -> DataF
     """
     from tablescope.session import materialize_observed
 
-    keyed = df.withColumn("_r", F.rand(seed))
+    r = internal("_r", df.columns)
+    keyed = df.withColumn(r, F.rand(seed))
     n = df.count()
     if n <= k:
         return df
     frac = min(1.0, (k + 10.0 * (k ** 0.5) + 100.0) / n)
     if frac >= 1.0:
-        return keyed.orderBy("_r").limit(k).drop("_r")
-    cut, written = materialize_observed(keyed.filter(F.col("_r") < frac), rows=F.count(F.lit(1)))
+        return keyed.orderBy(r).limit(k).drop(r)
+    cut, written = materialize_observed(keyed.filter(F.col(r) < frac), rows=F.count(F.lit(1)))
     if written["rows"] < k:
         cut = keyed
-    return cut.orderBy("_r").limit(k).drop("_r")
+    return cut.orderBy(r).limit(k).drop(r)
 
 
 def wide_to_long(df: DataFrame, ids: Sequence[str], name_col: str, value_col: str,

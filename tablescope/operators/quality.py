@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from tablescope.functions.columns import keep_existing, normalise_columns
+from tablescope.functions.columns import as_number, keep_existing, normalise_columns
 from tablescope.functions.labels import outlier_reason
 
 # Sanity bounds of the trip report, inclusive.
@@ -22,10 +22,10 @@ def sanity_filter(df: DataFrame, bounds: Mapping[str | None, tuple[Any, Any]]) -
     """Keep rows with every bounded column inside its inclusive range.
 
     Columns that are absent (or ``None`` keys) are skipped; a null value
-    fails ``between`` and is dropped. One Filter node, pushed to the scan
-    where the column is a plain source column.
+    fails ``between`` and is dropped, and so does text that is no number. One
+    Filter node, pushed to the scan where the column is a plain source column.
     """
-    preds = [F.col(c).between(lo, hi) for c, (lo, hi) in bounds.items()
+    preds = [as_number(df, c).between(lo, hi) for c, (lo, hi) in bounds.items()
              if c and c in df.columns]
     return df.filter(_all(preds)) if preds else df
 
@@ -41,12 +41,15 @@ def keep_not_null(df: DataFrame, col: str) -> DataFrame:
 
 
 def filter_by_value(df: DataFrame, col: str, min_val=None, max_val=None) -> DataFrame:
-    """Inclusive range filter; either bound may be omitted."""
+    """Inclusive range filter; either bound may be omitted. With a numeric
+    bound, text that is no number is dropped like a null."""
+    numeric = any(isinstance(v, (int, float)) for v in (min_val, max_val))
+    value = as_number(df, col) if numeric else F.col(col)
     preds = []
     if min_val is not None:
-        preds.append(F.col(col) >= min_val)
+        preds.append(value >= min_val)
     if max_val is not None:
-        preds.append(F.col(col) <= max_val)
+        preds.append(value <= max_val)
     return df.filter(_all(preds)) if preds else df
 
 

@@ -54,11 +54,13 @@ path** keeps the result exact:
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablescope.operators.enrich import MAX_BROADCAST_ROWS, broadcastable
+from tablescope.operators.enrich import FREQUENT, MAX_BROADCAST_ROWS, broadcastable
 from tablescope.session import ensure_checkpoint_dir, materialize, materialize_observed
 
 _PART_BITS = 33  # monotonically_increasing_id: partition index << 33
@@ -291,19 +293,31 @@ def _with_brackets(values: DataFrame, brackets: DataFrame | None, gkeys: list[st
                    n_targets: int, groups: int | None = None) -> DataFrame:
     """Attach each group's current brackets to its values (unbounded at
     first). The bracket table has one row per group; it is broadcast when
-    its size is bounded, else joined by a shuffle (AQE splits a hot group)."""
+    its size is bounded; else frequent groups' rows are joined to a broadcast of
+    theirs (a bounded number), and the others by a shuffle."""
     if brackets is None:
         none = F.lit(None).cast("double")
         return values.withColumns({f"_{e}{t}": none for t in range(n_targets) for e in "ab"})
     side = brackets.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(gkeys)],
                            *[f"_{e}{t}" for t in range(n_targets) for e in "ab"])
     small = groups <= MAX_BROADCAST_ROWS if groups is not None else broadcastable(side)
-    side = F.broadcast(side) if small else side
-    cond = None
-    for i, k in enumerate(gkeys):
-        c = values[k].eqNullSafe(side[f"_k{i}"])
-        cond = c if cond is None else cond & c
-    return values.join(side, cond, "inner").drop(*[f"_k{i}" for i in range(len(gkeys))])
+    drop = [f"_k{i}" for i in range(len(gkeys))]
+
+    def joined(rows: DataFrame, part: DataFrame, how: str = "inner") -> DataFrame:
+        cond = None
+        for i, k in enumerate(gkeys):
+            c = rows[k].eqNullSafe(part[f"_k{i}"])
+            cond = c if cond is None else cond & c
+        return rows.join(part, cond, how)
+
+    if small:
+        return joined(values, F.broadcast(side)).drop(*drop)
+    total = brackets.select(F.sum("_n")).first()[0] or 0
+    hot = side.join(brackets.filter(F.col("_n") * FREQUENT > total)
+                    .select(*[F.col(k).alias(f"_h{i}") for i, k in enumerate(gkeys)]),
+                    reduce(and_, [F.col(f"_k{i}").eqNullSafe(F.col(f"_h{i}")) for i in range(len(gkeys))]), "left_semi")
+    rest = joined(values, F.broadcast(hot.select(*drop)), "left_anti")
+    return joined(values, F.broadcast(hot)).unionByName(joined(rest, side)).drop(*drop)
 
 
 def _round(values: DataFrame, brackets: DataFrame | None, gkeys: list[str],
@@ -385,7 +399,7 @@ def _quantiles_by_selection(df: DataFrame, keys: list[str], cols: list[str], pro
             return _quantiles_by_sort(df, keys, cols, probs, names, seed)
         if all(check[f"done{t}"] == 1 for t in range(nt)):
             return _pick(values, r, df, keys, cols, probs, names, groups)
-        brackets = r.select(*gkeys, *[F.col(f"_n{e}{t}").alias(f"_{e}{t}")
+        brackets = r.select(*gkeys, "_n", *[F.col(f"_n{e}{t}").alias(f"_{e}{t}")
                                       for t in range(nt) for e in "ab"])
     return _quantiles_by_sort(df, keys, cols, probs, names, seed)
 

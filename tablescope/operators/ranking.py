@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DateType, NumericType, StringType, TimestampNTZType, TimestampType
 
 from tablescope.functions.columns import numeric_columns
 
@@ -91,7 +91,7 @@ def _thresholdable(df: DataFrame, col: str) -> bool:
     return isinstance(df.schema[col].dataType, _THRESHOLD_TYPES)
 
 
-def _candidates(df: DataFrame, n: int, keys: list[str], hashed: bool = False) -> DataFrame:
+def _candidates(df: DataFrame, n: int, keys: list[str]) -> DataFrame:
     """A small DataFrame that contains the first ``n`` rows of ``df`` in the
     order ``keys`` (ascending, nulls first).
 
@@ -102,29 +102,33 @@ def _candidates(df: DataFrame, n: int, keys: list[str], hashed: bool = False) ->
     below are few and written once as a table. If the block *at* the cut is
     large (a hot value, say one date holding a third of all rows), only its
     first ``n - below`` rows are needed: they are found the same way on the
-    next key. After the last key a hash of the row is the key; rows that
-    still tie are identical, so one of them is repeated.
+    next key. Rows that tie on the last key too are interchangeable. A text
+    key is cut by its first bytes as a number, which keeps its order; texts
+    that agree in them are left to the final top-k.
     """
-    from tablescope.session import materialize
+    from tablescope.session import materialize, materialize_observed
 
     if not keys:
-        if not hashed:
-            # 52-bit row hash: exact in the sketch, which works in doubles
-            with_hash = df.withColumn("_h", F.shiftright(F.xxhash64(*[F.col(c) for c in df.columns]), 12))
-            return _candidates(with_hash, n, ["_h"], hashed=True).drop("_h")
-        one = df.limit(1)
-        return one.select(F.explode(F.array_repeat(F.struct(*df.columns), n)).alias("_r")).select("_r.*")
+        # all these rows tie on every key, so any n of them will do: a random
+        # few more than n, written once
+        draw = (1.2 * n + 100) / max(1, df.count())
+        drawn, written = materialize_observed(df.filter(F.rand(7) < draw), rows=F.count(F.lit(1)))
+        return drawn if written["rows"] >= n else df
     lead, rest = keys[0], keys[1:]
-    if not _thresholdable(df, lead):
-        return df  # no sketch for this type: Spark's own top-k over df
     c = F.col(lead)
+    if isinstance(df.schema[lead].dataType, StringType):
+        # six bytes: exact in a double, in the order of the bytes
+        c = F.conv(F.rpad(F.hex(F.substring(c.cast("binary"), 1, 6)), 12, "0"), 16, 10).cast("double")
+        rest = keys  # texts that share the bytes are still to be ordered
+    elif not _thresholdable(df, lead):
+        return df  # no sketch for this type: Spark's own top-k over df
     stats = df.agg(F.count(F.lit(1)).alias("rows"), F.count_if(c.isNull()).alias("nulls"),
                    F.percentile_approx(c, _GRID, _ACCURACY).alias("cuts")).first()
     total, nulls, cuts = stats["rows"], stats["nulls"], stats["cuts"]
     if total <= n:
         return df
     if nulls >= n:  # the first n rows all have a null lead: order them by the rest
-        return _candidates(df.filter(c.isNull()), n, rest, hashed)
+        return _candidates(df.filter(c.isNull()), n, keys[1:])
     need = (1.5 * n - nulls) / (total - nulls) + 2.0 / _ACCURACY
     i = next((j for j, f in enumerate(_GRID) if f >= need), None)
     if i is None or _GRID[i] >= 1.0 or cuts is None:
@@ -142,7 +146,9 @@ def _candidates(df: DataFrame, n: int, keys: list[str], hashed: bool = False) ->
     if n_at <= 4 * n:
         return materialize(df.filter(below | at))
     head = materialize(df.filter(below))
-    return head.unionByName(_candidates(df.filter(at), n - n_below, rest, hashed))
+    if rest is keys:  # a hot text prefix: its rows as they are
+        return head.unionByName(df.filter(at))
+    return head.unionByName(_candidates(df.filter(at), n - n_below, rest))
 
 
 def cap_rows(df: DataFrame, n: int, order: Sequence[str] | None = None) -> DataFrame:

@@ -1,5 +1,5 @@
 """Explorer query: filters -> optional group-by -> optional chart data, one
-lazy plan built from a small spec."""
+plan built from a small spec (range filters look at the table's bounds)."""
 
 from __future__ import annotations
 
@@ -24,6 +24,7 @@ class ExplorerSpec:
     x: str | None = None
     y: str | None = None
     color: str | None = None
+    sample: int | None = None  # rows of a scatter chart; None: all of them
 
 
 @dataclass
@@ -33,7 +34,8 @@ class ExplorerResult:
 
 
 def explore(df: DataFrame, spec: ExplorerSpec) -> ExplorerResult:
-    rows = ex.range_filters(ex.category_filters(df, spec.categories), spec.ranges)
+    # Which ranges apply is decided on the table before any filter.
+    rows = ex.range_filters(ex.category_filters(df, spec.categories), spec.ranges, table=df)
     table = rows
     if spec.group_by and spec.aggregate:
         table = ex.group_aggregate(rows, spec.group_by, spec.aggregate, spec.func)
@@ -52,7 +54,7 @@ def chart_data(df: DataFrame, spec: ExplorerSpec) -> DataFrame | None:
     if kind in ("line", "area"):
         return ex.chart_projection(df, x, y, color)
     if kind == "scatter":
-        return ex.chart_projection(ex.sample_rows(df), x, y, color)
+        return ex.chart_projection(df if spec.sample is None else ex.sample_rows(df, spec.sample), x, y, color)
     if kind == "histogram":
         return ex.histogram(df, x, color=color)
     if kind == "box":

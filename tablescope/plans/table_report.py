@@ -1,44 +1,46 @@
-"""Generic table report: clean a table, then summary, monthly series,
-top-N and a bounded cleaned sample, each a lazy DataFrame."""
+"""Generic table report: clean a table, then summary, monthly series, top-N
+and the cleaned rows, each a DataFrame over the cleaned table."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tablescope.operators.aggregate import compute_summary, compute_time_series
 from tablescope.operators.quality import clean_dataframe
-from tablescope.operators.ranking import cap_rows, compute_top_n
+from tablescope.operators.ranking import compute_top_n
+from tablescope.session import materialize, scratch
 
-# Rows of the top-N output and of the cleaned sample.
+# Fixed value: rows of the top-N output.
 TOP_N = 20
-SAMPLE_ROWS = 5_000
 
+OUTPUTS = ("summary", "time_series", "top_n", "cleaned")
 
-OUTPUTS = ("summary", "time_series", "top_n", "cleaned_sample")
+
+def row_sample(df: DataFrame, fraction: float) -> DataFrame:
+    """A uniform sample by row hash: the same rows each time, equal rows alike."""
+    bits = 20
+    key = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(1 << bits))
+    return df.filter(key < int(fraction * (1 << bits)))
 
 
 def table_report(df: DataFrame, *, category_col: str | None = None,
                  date_col: str | None = None, top_col: str | None = None,
-                 top_n: int = TOP_N, sample_rows: int = SAMPLE_ROWS,
-                 outputs: tuple[str, ...] = OUTPUTS,
-                 persist: bool = False, write_cleaned: bool = False) -> dict[str, DataFrame]:
+                 top_n: int = TOP_N, sample_fraction: float | None = None,
+                 outputs: tuple[str, ...] = OUTPUTS, write_cleaned: bool = True) -> dict[str, DataFrame]:
     """Outputs keyed ``summary``, ``time_series`` (when ``date_col`` is
-    given or a ``date`` column exists), ``top_n`` and ``cleaned_sample``;
-    only those named in ``outputs`` are built.
+    given or a ``date`` column exists), ``top_n`` and ``cleaned``; only those
+    named in ``outputs`` are built. ``cleaned`` is every cleaned row, or a
+    uniform sample of them if ``sample_fraction`` is given.
 
-    The cleaned table costs a de-duplicating shuffle of the whole input.
-    By default every output recomputes it; ``write_cleaned=True`` writes it
-    once as a Parquet table in the checkpoint folder (lineage cut, survives
-    executor loss, outputs read only their columns), the choice for large
-    inputs; ``persist=True`` caches it instead (the caller unpersists it).
+    The cleaned table costs a de-duplicating shuffle of the whole input, so
+    it is written once as a Parquet table in the checkpoint folder, from
+    which every output reads its columns; ``write_cleaned=False`` keeps all
+    lazy, and each output cleans anew.
     """
     cleaned = clean_dataframe(df)
     if write_cleaned:
-        from tablescope.session import materialize
         cleaned = materialize(cleaned)
-    elif persist:
-        cleaned = cleaned.persist(StorageLevel.MEMORY_AND_DISK)
     out = {}
     if "summary" in outputs:
         out["summary"] = compute_summary(cleaned, category_col)
@@ -47,18 +49,18 @@ def table_report(df: DataFrame, *, category_col: str | None = None,
         out["time_series"] = compute_time_series(cleaned, date_col)
     if "top_n" in outputs:
         out["top_n"] = compute_top_n(cleaned, top_n, top_col, tiebreak=cleaned.columns)
-    if "cleaned_sample" in outputs:
-        out["cleaned_sample"] = cap_rows(cleaned, sample_rows, order=cleaned.columns)
+    if "cleaned" in outputs:
+        out["cleaned"] = cleaned if sample_fraction is None else row_sample(cleaned, sample_fraction)
     return out
 
 
 def run_table_report(df: DataFrame, out_dir: str, fmt: str = "parquet", *,
                      parallel: int = 4, **options) -> dict[str, int]:
-    """Clean ``df`` once (written to the checkpoint folder), write every
-    output of :func:`table_report` under ``out_dir`` (one directory each, up
-    to ``parallel`` at once) and return rows written per output.
-    ``options`` go to :func:`table_report`."""
+    """Clean ``df`` once, write every output of :func:`table_report` under
+    ``out_dir`` (one directory each, up to ``parallel`` at once) and return
+    rows written per output. The cleaned table in the checkpoint folder is
+    deleted when the run ends. ``options`` go to :func:`table_report`."""
     from tablescope.sources.sinks import write_results
 
-    return write_results(table_report(df, write_cleaned=True, **options), out_dir, fmt,
-                         parallel=parallel)
+    with scratch(df.sparkSession):
+        return write_results(table_report(df, **options), out_dir, fmt, parallel=parallel)

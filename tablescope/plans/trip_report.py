@@ -12,19 +12,13 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tablescope.functions.columns import (fill_zero, find_role, group_role, keep_existing,
-                                         normalise_columns)
-from tablescope.functions.labels import PIVOT_LABELS, SESSION_LABELS, time_of_day
+from tablescope.functions.columns import find_role, group_role, keep_existing, normalise_columns
 from tablescope.functions.timeparts import with_time_parts
 from tablescope.operators import aggregate, quality, ranking
 from tablescope.operators.enrich import enrich
 from tablescope.sources.lookups import payment_lookup, vendor_lookup
 
-# Row cap of the enriched-trips output.
-ENRICHED_ROW_CAP = 50_000
-
 
 @dataclass
 class Trips:
@@ -64,10 +58,18 @@ def outliers(t: Trips) -> DataFrame:
     return quality.outliers(t.df, t.fare, passengers=t.passengers)
 
 
-def daily(t: Trips) -> DataFrame:
+def base_cube(t: Trips) -> DataFrame:
+    """Per (date, hour, group): the additive pieces every grouped output
+    needs. Its size is dates x 24 x groups, independent of the trip count."""
+    _require(t.has_time, "a pickup time column")
+    keys = ["date", "hour"] + ([t.group] if t.group else [])
+    return aggregate.trip_cube(t.df, keys, t.fare, t.distance, t.passengers)
+
+
+def daily(t: Trips, cube: DataFrame | None = None) -> DataFrame:
     _require(t.fare is not None and t.has_time and t.group is not None,
              "fare, pickup time or a payment/vendor column")
-    return aggregate.daily_by_group(t.df, t.fare, t.group)
+    return aggregate.daily_by_group(base_cube(t) if cube is None else cube, t.group)
 
 
 def ranked(t: Trips, daily_df: DataFrame | None = None) -> DataFrame:
@@ -83,23 +85,22 @@ def running(t: Trips, daily_df: DataFrame | None = None) -> DataFrame:
     })
 
 
-def sessions(t: Trips) -> DataFrame:
-    _require(t.has_time, "a pickup time column")
-    return aggregate.time_of_day_summary(t.df, t.fare)
+def sessions(t: Trips, cube: DataFrame | None = None) -> DataFrame:
+    return aggregate.time_of_day_summary(base_cube(t) if cube is None else cube)
 
 
-def pivot(t: Trips) -> DataFrame:
+def pivot(t: Trips, cube: DataFrame | None = None) -> DataFrame:
     _require(t.fare is not None and t.has_time, "fare or pickup time")
-    return aggregate.hour_session_pivot(t.df, t.fare)
+    return aggregate.hour_session_pivot(base_cube(t) if cube is None else cube)
 
 
-def time_series(t: Trips) -> DataFrame:
-    _require(t.has_time, "a pickup time column")
-    return aggregate.daily_series(t.df, t.fare, t.distance, t.passengers)
+def time_series(t: Trips, cube: DataFrame | None = None) -> DataFrame:
+    return aggregate.daily_series(base_cube(t) if cube is None else cube)
 
 
-def enriched(t: Trips, spark: SparkSession, cap: int | None = ENRICHED_ROW_CAP) -> DataFrame:
-    """Trips with vendor and payment names; at most ``cap`` rows."""
+def enriched(t: Trips, spark: SparkSession, cap: int | None = None) -> DataFrame:
+    """All trips with vendor and payment names; the first ``cap`` in column
+    order only if a cap is given."""
     df = t.df
     vendor = find_role(df, "vendor")
     payment = find_role(df, "payment")
@@ -107,81 +108,24 @@ def enriched(t: Trips, spark: SparkSession, cap: int | None = ENRICHED_ROW_CAP)
         df = enrich(df, vendor, vendor_lookup(spark))
     if payment:
         df = enrich(df, payment, payment_lookup(spark))
+    # The columns of the output.
     out = keep_existing(df, ["date", "hour", "month", "vendor_name", "payment_name",
                              t.fare, "trip_distance", "passenger_count"])
     return ranking.cap_rows(out, cap, order=out.columns) if cap else out
 
 
-# ---------------------------------------------------------------------------
-# Shared-scan report: one fine aggregate, four rollups.
-# ---------------------------------------------------------------------------
-
-def base_cube(t: Trips) -> DataFrame:
-    """Per (date, hour, group): the additive pieces every grouped output
-    needs. Its size is dates x 24 x groups, independent of the trip count."""
-    keys = ["date", "hour"] + ([t.group] if t.group else [])
-    aggs = [F.count(F.lit(1)).alias("n")]
-    if t.fare:
-        aggs += [F.sum(t.fare).cast("double").alias("fare_sum"),
-                 F.count(t.fare).alias("fare_n")]
-    if t.distance:
-        aggs += [F.sum(t.distance).cast("double").alias("dist_sum"),
-                 F.count(t.distance).alias("dist_n")]
-    if "trip_distance" in t.df.columns:
-        aggs += [F.sum("trip_distance").cast("double").alias("td_sum"),
-                 F.count("trip_distance").alias("td_n")]
-    if t.passengers:
-        aggs.append(F.sum(t.passengers).alias("pax_sum"))
-    return t.df.groupBy(*keys).agg(*aggs)
-
-
-def _avg(s: str, n: str):
-    return F.sum(s) / F.sum(n)
-
-
-def daily_from_cube(cube: DataFrame, group: str) -> DataFrame:
-    return cube.groupBy("date", group).agg(
-        F.sum("fare_sum").alias("daily_revenue"), F.sum("n").alias("trip_count"))
-
-
-def sessions_from_cube(cube: DataFrame, has_fare: bool) -> DataFrame:
-    aggs = []
-    if has_fare:
-        aggs += [F.sum("fare_sum").alias("total_revenue"), _avg("fare_sum", "fare_n").alias("avg_fare")]
-    aggs.append(F.sum("n").alias("trip_count"))
-    if "td_sum" in cube.columns:
-        aggs.append(_avg("td_sum", "td_n").alias("avg_distance"))
-    return (cube.withColumn("session", time_of_day("hour", SESSION_LABELS))
-                .groupBy("session").agg(*aggs).orderBy(F.desc("trip_count")))
-
-
-def pivot_from_cube(cube: DataFrame) -> DataFrame:
-    out = (cube.withColumn("session", time_of_day("hour", PIVOT_LABELS))
-               .groupBy("hour").pivot("session", list(PIVOT_LABELS))
-               .agg(F.round(F.sum("fare_sum"), 2)).orderBy("hour"))
-    return fill_zero(out, list(PIVOT_LABELS))
-
-
-def series_from_cube(cube: DataFrame, has_fare: bool) -> DataFrame:
-    aggs = [F.sum("n").alias("trip_count")]
-    if has_fare:
-        aggs += [F.sum("fare_sum").alias("total_revenue"), _avg("fare_sum", "fare_n").alias("avg_fare")]
-    if "dist_sum" in cube.columns:
-        aggs.append(_avg("dist_sum", "dist_n").alias("avg_distance"))
-    if "pax_sum" in cube.columns:
-        aggs.append(F.sum("pax_sum").alias("total_passengers"))
-    return cube.groupBy("date").agg(*aggs).orderBy("date")
-
-
-OUTPUT_TITLES = {
-    "outliers": "Outlier detection",
-    "ranked": "Daily revenue rank per payment type",
-    "running_totals": "Running revenue and trips per payment type",
-    "sessions": "Trips per time-of-day label",
-    "pivot": "Revenue by hour x time-of-day label",
-    "time_series": "Daily trips and revenue",
-    "joined": "Trips with vendor and payment names",
+# Output name -> (title, description).
+OUTPUTS = {
+    "outliers": ("Outlier detection", "Trips flagged by the first rule they meet: fare above mean + 3 standard "
+                 "deviations, fare below one, more than five passengers"),
+    "ranked": ("Daily revenue rank per payment type", "Revenue and trips per day and payment type, ranked within the day"),
+    "running_totals": ("Running revenue and trips per payment type", "Cumulative revenue and trips per payment type by day"),
+    "sessions": ("Trips per time-of-day label", "Revenue, average fare, trips and average distance per time of day"),
+    "pivot": ("Revenue by hour x time-of-day label", "Revenue per hour, one column per time of day, empty cells zero"),
+    "time_series": ("Daily trips and revenue", "Trips, revenue, average fare and distance, passengers per day"),
+    "joined": ("Trips with vendor and payment names", "Every cleaned trip with the names of its vendor and payment type"),
 }
+OUTPUT_TITLES = {name: title for name, (title, _) in OUTPUTS.items()}
 
 
 def report_columns(t: Trips) -> list[str]:
@@ -197,64 +141,50 @@ def prune(t: Trips) -> Trips:
                  group=t.group, has_time=t.has_time)
 
 
-def report_outputs(spark: SparkSession, t: Trips, shared_scan: bool = True,
-                   cube: DataFrame | None = None) -> dict[str, DataFrame]:
+def report_outputs(spark: SparkSession, t: Trips, cube: DataFrame | None = None,
+                   cap: int | None = None) -> dict[str, DataFrame]:
     """The seven outputs that apply to this table (missing roles skip an
-    output instead of failing the report). With ``shared_scan`` the grouped
-    outputs roll up ``cube`` (default: :func:`base_cube` of ``t``)."""
+    output instead of failing the report). The grouped outputs roll up
+    ``cube`` (default: :func:`base_cube` of ``t``); ``joined`` holds every
+    trip unless a ``cap`` is given."""
     out: dict[str, DataFrame] = {}
     if t.fare:
         out["outliers"] = outliers(t)
-    if not t.has_time:
-        out["joined"] = enriched(t, spark)
-        return out
-    if shared_scan:
+    if t.has_time:
         cube = base_cube(t) if cube is None else cube
         if t.fare and t.group:
-            d = daily_from_cube(cube, t.group)
-            out["ranked"] = ranked(t, d)
-            out["running_totals"] = running(t, d)
-        out["sessions"] = sessions_from_cube(cube, bool(t.fare))
-        if t.fare:
-            out["pivot"] = pivot_from_cube(cube)
-        out["time_series"] = series_from_cube(cube, bool(t.fare))
-    else:
-        if t.fare and t.group:
-            d = daily(t)
+            d = daily(t, cube)
             out["ranked"] = ranked(t, d)
             out["running_totals"] = running(t, d)
-        out["sessions"] = sessions(t)
+        out["sessions"] = sessions(t, cube)
         if t.fare:
-            out["pivot"] = pivot(t)
-        out["time_series"] = time_series(t)
-    out["joined"] = enriched(t, spark)
+            out["pivot"] = pivot(t, cube)
+        out["time_series"] = time_series(t, cube)
+    out["joined"] = enriched(t, spark, cap)
     return out
 
 
-def run_trip_report(spark: SparkSession, source: DataFrame, out_dir: str,
-                    fmt: str = "csv",
-                    storage: StorageLevel | None = StorageLevel.MEMORY_AND_DISK,
+def run_trip_report(spark: SparkSession, source: DataFrame, out_dir: str, fmt: str = "csv", *,
+                    storage: StorageLevel | None = None, cap: int | None = None,
                     parallel: int = 4) -> dict[str, int]:
     """Clean ``source``, write every applicable output under ``out_dir``
     (one directory per output), return rows written per output.
 
-    The cleaned trips are pruned to the columns the outputs read and kept
-    at ``storage`` (None: every output re-reads the source, the better
-    choice when the source is columnar and much larger than the cluster's
-    memory and disk). Lost cache blocks are rebuilt from the source. Up to
-    ``parallel`` outputs are written at once.
+    The cleaned trips are pruned to the columns the outputs read. The shared
+    aggregate is written once below the checkpoint folder and deleted when
+    the run ends; outliers and joined trips read the source again unless
+    ``storage`` says where to keep the trips. Up to ``parallel`` outputs are
+    written at once.
     """
+    from tablescope.session import materialize, scratch
     from tablescope.sources.sinks import write_results
 
     t = prune(load_and_clean(source))
-    cached = [t.df.persist(storage)] if storage is not None else []
+    cached = t.df.persist(storage) if storage is not None else None
     try:
-        cube = None
-        if t.has_time:
-            cube = base_cube(t).persist(StorageLevel.MEMORY_AND_DISK)
-            cached.append(cube)
-        outputs = report_outputs(spark, t, cube=cube)
-        return write_results(outputs, out_dir, fmt, parallel=parallel)
+        with scratch(spark):
+            cube = materialize(base_cube(t)) if t.has_time else None
+            return write_results(report_outputs(spark, t, cube, cap), out_dir, fmt, parallel=parallel)
     finally:
-        for df in cached:
-            df.unpersist()
+        if cached is not None:
+            cached.unpersist()

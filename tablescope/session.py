@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,18 +42,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     Taken from the context, else from ``spark.checkpoint.dir``. Only a
     local-mode session (tests) without either gets a fresh temporary
-    directory; on a cluster an unset directory is an error, because a
-    machine-local folder would not survive executor loss.
+    directory. On a cluster an unset directory is an error, and so is one on
+    the driver's own disk, unless the cluster is of this machine only.
     """
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - remote sessions: the server's conf applies
-        return spark.conf.get("spark.checkpoint.dir", "")
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder on the server") from None
+        return folder
     current = sc.getCheckpointDir()
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
+        if not _shared(conf_dir, sc.master):
+            raise RuntimeError(f"{conf_dir} is a folder of this machine: set spark.checkpoint.dir to a shared one, or "
+                               "write file:// and its full path if every executor sees it there")
         sc.setCheckpointDir(conf_dir)
     elif sc.master.startswith("local"):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="tablescope-ckpt-"))
@@ -59,12 +68,48 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def _shared(folder: str, master: str) -> bool:
+    """A folder of a local session, of a shared store, or stated in full as a
+    mounted one (``file://``); a bare path or ``file:/tmp`` on a cluster is not."""
+    if master.startswith("local"):
+        return True
+    if folder.startswith("file:"):
+        return folder.startswith("file://") and not folder.removeprefix("file://").startswith(tempfile.gettempdir() + "/")
+    return "://" in folder
+
+
+_scratch: ContextVar[list[str] | None] = ContextVar("tablescope_scratch", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables materialized inside the block are deleted when it ends. For runs
+    that write their results; DataFrames that read them are of no use after."""
+    made: list[str] = []
+    token = _scratch.set(made)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+        for path in made:
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once as a Parquet table under the session's checkpoint
     folder and read it back: the lineage is cut, later passes read the
-    compressed columns they need, and lost executors cost nothing."""
+    compressed columns they need, and lost executors cost nothing. Inside
+    :func:`scratch` the table lives until the block ends."""
     base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
     path = f"{base}/tables/{uuid.uuid4().hex}"
+    made = _scratch.get()
+    if made is not None:
+        made.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 

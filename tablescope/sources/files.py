@@ -53,9 +53,15 @@ def null_spellings(df: DataFrame, na: Sequence[str] = NA_SPELLINGS) -> DataFrame
     return df.withColumns(exprs) if exprs else df
 
 
+# Numbers as people write them; a cast alone would take "12d" for one.
+_WHOLE = r"^\s*[+-]?[0-9]+\s*$"
+_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$|^\s*[+-]?(inf|Inf|infinity|Infinity)\s*$"
+
+
 def infer_text_types(df: DataFrame) -> DataFrame:
     """Type text columns from their non-null values: whole numbers become
-    bigint, other numbers double, anything else stays text.
+    bigint, other plainly written numbers double, ``True``/``False`` boolean; a
+    column without values becomes double; anything else stays text.
 
     One aggregation over the data decides all columns (a single row of
     counts reaches the driver), then one projection casts them.
@@ -67,15 +73,20 @@ def infer_text_types(df: DataFrame) -> DataFrame:
     for i, c in enumerate(text):
         v = F.col(c)
         aggs += [F.count(v).alias(f"n{i}"),
-                 F.count(v.try_cast("bigint")).alias(f"i{i}"),
-                 F.count(v.try_cast("double")).alias(f"d{i}")]
+                 F.count(F.when(v.rlike(_WHOLE), v.try_cast("bigint"))).alias(f"i{i}"),
+                 F.count(F.when(v.rlike(_NUMBER), v.try_cast("double"))).alias(f"d{i}"),
+                 F.count_if(v.isin("True", "False")).alias(f"b{i}")]
     counts = df.agg(*aggs).first()
     casts = {}
     for i, c in enumerate(text):
         n = counts[f"n{i}"]
-        if n and counts[f"i{i}"] == n:
+        if not n:
+            casts[c] = F.lit(None).cast("double")
+        elif counts[f"b{i}"] == n:
+            casts[c] = F.col(c) == "True"
+        elif counts[f"i{i}"] == n:
             casts[c] = F.col(c).try_cast("bigint")
-        elif n and counts[f"d{i}"] == n:
+        elif counts[f"d{i}"] == n:
             casts[c] = F.nanvl(F.col(c).try_cast("double"), F.lit(None).cast("double"))
     return df.withColumns(casts) if casts else df
 

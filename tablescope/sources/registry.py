@@ -7,7 +7,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablescope.plans.trip_report import OUTPUT_TITLES
+from tablescope.plans.trip_report import OUTPUTS
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -20,11 +20,11 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def available_outputs(spark: SparkSession, out_dir: str,
-                      names: Mapping[str, str] = OUTPUT_TITLES) -> dict[str, str]:
-    """Name -> title of every registered output present under ``out_dir``
-    (a written output is a folder with a ``_SUCCESS`` marker)."""
+                      names: Mapping[str, tuple[str, str]] = OUTPUTS) -> dict[str, tuple[str, str]]:
+    """Name -> (title, description) of every registered output present under
+    ``out_dir`` (a written output is a folder with a ``_SUCCESS`` marker)."""
     base = out_dir.rstrip("/")
-    return {n: t for n, t in names.items() if _exists(spark, f"{base}/{n}/_SUCCESS")}
+    return {n: about for n, about in names.items() if _exists(spark, f"{base}/{n}/_SUCCESS")}
 
 
 def load_output(spark: SparkSession, out_dir: str, name: str, fmt: str = "csv") -> DataFrame:

@@ -24,5 +24,5 @@ def test_entry_smoke(spark):
 
 def test_sample_is_exact_size(spark):
     import __spark_entry__ as E
-    df = E.queries()["t5_sample_exact"](spark, SMALL)
-    assert df.count() == 1500  # sf0.001 orders has 1,500 rows < 3,000
+    row = E.queries()["t5_sample_exact"](spark, SMALL).first()
+    assert tuple(row) == (1500, 1500, 1500)  # sf0.001 orders has 1,500 rows < 3,000

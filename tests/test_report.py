@@ -1,11 +1,14 @@
 """End-to-end trip report and the cross-output invariants the shipped
 reference results satisfy."""
 
+import pathlib
+
 import pytest
 from pyspark.sql import functions as F
 
 from tablescope.functions.labels import PIVOT_LABELS
 from tablescope.plans import trip_report as tr
+from tablescope.session import _shared, ensure_checkpoint_dir
 from tablescope.sources.registry import available_outputs, load_output
 from tablescope.sources.testdata import trips
 from tests.conftest import SMALL
@@ -14,13 +17,7 @@ from tests.conftest import SMALL
 @pytest.fixture(scope="module")
 def outputs(spark):
     t = tr.load_and_clean(trips(spark, SMALL))
-    return {k: v.toPandas() for k, v in tr.report_outputs(spark, t, shared_scan=True).items()}
-
-
-@pytest.fixture(scope="module")
-def direct(spark):
-    t = tr.load_and_clean(trips(spark, SMALL))
-    return {k: v.toPandas() for k, v in tr.report_outputs(spark, t, shared_scan=False).items()}
+    return {k: v.toPandas() for k, v in tr.report_outputs(spark, t).items()}
 
 
 def test_all_seven_outputs(outputs):
@@ -64,23 +61,11 @@ def test_avg_fare_is_revenue_over_trips(outputs):
     assert ((s["total_revenue"] / s["trip_count"] - s["avg_fare"]).abs() < 1e-9).all()
 
 
-def test_shared_scan_equals_direct(outputs, direct):
-    for name in ("ranked", "running_totals", "sessions", "pivot", "time_series"):
-        a = outputs[name].sort_values(list(outputs[name].columns[:2])).reset_index(drop=True)
-        b = direct[name].sort_values(list(direct[name].columns[:2])).reset_index(drop=True)
-        assert list(a.columns) == list(b.columns), name
-        for c in a.columns:
-            if a[c].dtype.kind == "f":
-                assert ((a[c] - b[c]).abs() < 1e-6).all(), (name, c)
-            else:
-                assert (a[c] == b[c]).all(), (name, c)
-
-
 def test_run_writes_and_registry_finds(spark, tmp_out):
     counts = tr.run_trip_report(spark, trips(spark, SMALL), tmp_out)
     assert set(counts) == set(tr.OUTPUT_TITLES)
     assert counts["pivot"] == 24
-    assert set(available_outputs(spark, tmp_out)) == set(tr.OUTPUT_TITLES)
+    assert available_outputs(spark, tmp_out) == tr.OUTPUTS
     back = load_output(spark, tmp_out, "sessions")
     assert back.count() == counts["sessions"]
     assert available_outputs(spark, tmp_out + "/nothing") == {}
@@ -108,3 +93,38 @@ def test_table_report_runner_writes_cleaned_once(spark, tmp_out):
     assert counts == {k: v.count() for k, v in lazy.items()}
     top = spark.read.parquet(tmp_out + "/tab/top_n")
     assert sorted(map(tuple, top.collect())) == sorted(map(tuple, lazy["top_n"].collect()))
+
+
+def tables_left(spark):
+    base = pathlib.Path(ensure_checkpoint_dir(spark).removeprefix("file:")) / "tables"
+    return set(base.iterdir()) if base.exists() else set()
+
+
+def test_runs_delete_their_tables(spark, tmp_out):
+    from tablescope.plans.table_report import run_table_report
+
+    before = tables_left(spark)
+    tr.run_trip_report(spark, trips(spark, SMALL), tmp_out + "/trips")
+    run_table_report(spark.read.parquet(f"{SMALL}/orders.parquet"), tmp_out + "/table", sample_fraction=0.5)
+    assert tables_left(spark) == before
+
+
+def test_a_cap_and_a_sample_only_where_they_are_asked_for(spark):
+    from tablescope.plans.table_report import table_report
+
+    t = tr.load_and_clean(trips(spark, SMALL))
+    n = t.df.count()
+    assert tr.report_outputs(spark, t)["joined"].count() == n
+    assert tr.report_outputs(spark, t, cap=7)["joined"].count() == 7
+    orders = spark.read.parquet(f"{SMALL}/orders.parquet")
+    assert table_report(orders, outputs=("cleaned",))["cleaned"].count() == orders.count()
+    some = table_report(orders, outputs=("cleaned",), sample_fraction=0.3)["cleaned"].count()
+    assert 0.2 * orders.count() < some < 0.4 * orders.count()
+
+
+@pytest.mark.parametrize(("folder", "master", "good"), [
+    ("/shared/ckpt", "local[4]", True), ("/shared/ckpt", "yarn", False), ("file:/data/x", "spark://h:7077", False),
+    ("file:///tmp/x", "yarn", False), ("file:///mnt/shared/x", "yarn", True), ("hdfs://n/x", "yarn", True),
+    ("s3a://b/x", "k8s://h", True)])
+def test_checkpoint_folders(folder, master, good):
+    assert _shared(folder, master) is good

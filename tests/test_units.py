@@ -112,7 +112,7 @@ def test_time_of_day_buckets(spark):
 def test_pivot_keeps_null_hour_and_zero_fills_values(spark):
     df = spark.createDataFrame([(h, 1.005 if h is None else 2.0) for h in HOURS],
                                "hour int, fare double")
-    out = A.hour_session_pivot(df, "fare")
+    out = A.hour_session_pivot(A.trip_cube(df, ["hour"], fare="fare"))
     assert out.columns == ["hour", *PIVOT_LABELS]
     got = {r[0]: r[1:] for r in out.collect()}
     assert len(got) == len(HOURS)  # null hour is its own row, not merged into 0
@@ -369,8 +369,8 @@ def test_output_orders(spark):
     df = spark.createDataFrame([(2, "b"), (None, "n"), (3, "c"), (1, "a")], "k int, s string")
     assert [r.s for r in R.sort_desc(df, "k").collect()] == ["c", "b", "a", "n"]
     assert [r.s for r in R.sort_asc(df, "k").collect()] == ["n", "a", "b", "c"]
-    sessions = A.time_of_day_summary(
-        spark.createDataFrame([(h, 1.0) for h in (8, 8, 12, 12, 12, 22)], "hour int, fare double"), "fare")
+    trips = spark.createDataFrame([(h, 1.0) for h in (8, 8, 12, 12, 12, 22)], "hour int, fare double")
+    sessions = A.time_of_day_summary(A.trip_cube(trips, ["hour"], fare="fare"))
     assert [r.trip_count for r in sessions.collect()] == [3, 2, 1]
 
 
@@ -396,7 +396,9 @@ def test_explorer_every_chart(spark):
         res = explore(df, ExplorerSpec(**base, chart=kind, x="g", y="y", color="c"))
         sizes[kind] = res.chart.count()
     assert sizes["bar"] == 3 and sizes["line"] == 41 and sizes["area"] == 41
-    assert sizes["scatter"] == 41  # fewer rows than the 3,000-row sample
+    assert sizes["scatter"] == 41  # every row ...
+    some = explore(df, ExplorerSpec(**base, chart="scatter", x="g", y="y", sample=7)).chart
+    assert some.count() == 7  # ... unless a sample is asked for
     assert sizes["box"] == 2 and sizes["pie"] == 3 and sizes["histogram"] >= 2
     assert explore(df, ExplorerSpec(chart="bar", x="g")).chart is None  # no y: no chart
     with pytest.raises(ValueError):
@@ -418,3 +420,94 @@ def test_approximate_options_are_close(spark):
     b2 = X.box_stats(li, "l_quantity", by="l_linestatus", approx=True).orderBy("l_linestatus").collect()
     for r1, r2 in zip(b1, b2):
         assert r1["n"] == r2["n"] and abs(r1["median"] - r2["median"]) <= 1.0
+
+
+def test_range_is_decided_on_the_table_before_filters(spark):
+    from tablescope.plans.explorer import ExplorerSpec, explore
+    df = spark.createDataFrame([("a", 5.0), ("a", 5.0), ("b", 50.0)], "c string, v double")
+    assert explore(df, ExplorerSpec(categories={"c": ["a"]}, ranges={"v": (10, 60)})).table.count() == 0
+    assert explore(df.filter("c = 'a'"), ExplorerSpec(ranges={"v": (10, 60)})).table.count() == 2
+
+
+def test_nan_is_missing_on_every_box_path(spark):
+    nan, inf = float("nan"), float("inf")
+    data = [("g", float(i)) for i in range(10)] + [("g", nan), ("g", None), ("h", nan), ("i", inf), ("i", 1.0), ("i", 2.0)]
+    data += [("hot", float(i % 37)) for i in range(3000)] + [("hot", 5.0)] * 1500
+    df = spark.createDataFrame(data, "k string, v double").repartition(4)
+    for by in ("k", None):
+        paths = [X.box_stats(df, "v", by=by), X.box_stats(df, "v", by=by, max_group_rows=0),
+                 X.box_stats(df, "v", by=by, max_group_rows=0, max_broadcast_groups=0)]
+        got = [sorted(repr(sorted(r.asDict().items())) for r in p.collect()) for p in paths]
+        assert got[0] == got[1] == got[2]
+    g = X.box_stats(df, "v", by="k").filter("k = 'g'").first()
+    assert (g["n"], g["max"], g["n_outliers"]) == (10, 9.0, 0)
+
+
+def test_nan_does_not_reach_a_histogram(spark):
+    df = spark.createDataFrame([(v,) for v in [0.0, 1.0, 100.0, float("nan"), None]], "_lo double")
+    got = {r["bin"]: r["count"] for r in X.histogram(df, "_lo").collect()}
+    assert got == {1: 2 if 1.0 < 100 / 50 else 1, 50: 1}
+
+
+def test_medians_are_equal_on_every_path(spark, monkeypatch):
+    from tablescope.operators import quantiles as QQ
+    data = [(f"k{i % 7}", float((i * 37) % 101)) for i in range(2000)] + [("hot", float(i % 59)) for i in range(3000)]
+    data += [("n", None), ("n", float("nan")), ("one", 3.0)]
+    df = spark.createDataFrame(data, "k string, v double").repartition(4)
+    want = rows(exact_quantiles(df, ["k"], ["v"], [0.25, 0.5]), ["k"])
+    assert rows(exact_quantiles(df, ["k"], ["v"], [0.25, 0.5], max_group_rows=100), ["k"]) == want
+    assert rows(exact_quantiles(df, ["k"], ["v"], [0.25, 0.5], max_group_rows=None), ["k"]) == want
+    monkeypatch.setattr(QQ, "MAX_BROADCAST_ROWS", 0)  # frequent groups by broadcast, others by a shuffle
+    some = QQ._quantiles_by_selection(df, ["k"], ["v"], [0.25, 0.5], {}, max_fetch=20)
+    assert rows(some, ["k"]) == want
+
+
+def test_frequent_groups_are_not_shuffled(spark):
+    """With groups too many to broadcast, the fence join sends a frequent
+    group's rows to no common task."""
+    from tablescope.operators.enrich import join_many_groups
+    df = spark.createDataFrame([("hot", i) for i in range(2000)] + [(f"k{i}", i) for i in range(4000)], "k string, v int")
+    groups = df.select("k").distinct().withColumn("x", F.length("k"))
+    joined = join_many_groups(df.repartition(8), groups, "k")
+    assert joined.count() == 6000
+    parts = joined.filter("k = 'hot'").select(F.spark_partition_id().alias("p")).distinct().count()
+    assert parts >= 4
+
+
+def test_text_that_is_no_number_or_date_is_null(spark):
+    from tablescope.operators.aggregate import compute_time_series
+    df = spark.createDataFrame([("5", "2020-01-02", 1), ("x", "never", 2), (None, None, 3)], "fare string, date string, n int")
+    assert Q.sanity_filter(df, {"fare": (1, 10)}).count() == 1
+    assert Q.filter_by_value(df, "fare", max_val=10).count() == 1
+    assert X.range_filters(df.unionByName(df.withColumn("fare", F.lit("7"))), {"fare": (1, 6)}).count() == 1
+    got = {r["month"]: r["row_count"] for r in compute_time_series(df).collect()}
+    assert got == {"2020-01": 1, None: 2}
+
+
+def test_share_of_a_zero_total_is_null(spark):
+    df = spark.createDataFrame([("a", 0.0), ("b", 0.0)], "x string, y double")
+    assert {r["share"] for r in X.share_of_total(df, "x", "y").collect()} == {None}
+
+
+def test_explorer_types(spark):
+    from tablescope.sources.files import infer_text_types
+    df = spark.createDataFrame([("12d", "1", "1.5", "True", None, "1e3"), ("34f", "-2", ".5", "False", None, None)],
+                               "code string, whole string, number string, yes string, nothing string, exp string")
+    assert dict(infer_text_types(df).dtypes) == {"code": "string", "whole": "bigint", "number": "double",
+                                                 "yes": "boolean", "nothing": "double", "exp": "double"}
+
+
+def test_first_rows_of_text_keys(spark):
+    from tablescope.operators.ranking import first_rows
+    data = [(f"{'prefix' if i % 3 else 'other'}{i * 7919 % 5000:05d}", i) for i in range(4000)] + [(None, 1), ("", 2), ("é", 3)]
+    df = spark.createDataFrame(data, "a string, b int").repartition(4)
+    want = sorted(data, key=lambda r: (r[0] is not None, (r[0] or "").encode(), r[1]))
+    for n in (1100, 2500):
+        assert [tuple(r) for r in first_rows(df, n, ["a", "b"]).collect()] == want[:n]
+
+
+def test_first_rows_that_tie_are_rows_of_the_table(spark):
+    from tablescope.operators.ranking import first_rows
+    df = spark.createDataFrame([(0, i) for i in range(9000)], "a int, b int").repartition(4)
+    got = [r.b for r in first_rows(df, 1200, ["a"]).collect()]
+    assert len(got) == len(set(got)) == 1200
