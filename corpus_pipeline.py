@@ -32,8 +32,8 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     with the smallest id stays."""
     show_workers(spark)
     found = minhash_dedup.near_duplicates(docs, words=5, percent=80)
-    gone = found.where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    gone = found.where("not kept").select("doc_id").distinct()
+    return docs.alias("d").join(gone.alias("g"), F.col("d.doc_id") == F.col("g.doc_id"), "left_anti")
 
 
 def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

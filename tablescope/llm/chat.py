@@ -16,8 +16,8 @@ level; then, from the top, each level learns the state before and after each
 of its parts. With those a segment is decoded alone, and the result is that of
 Viterbi over the whole conversation.
 
-Defined results: a null text is one empty line; a null position comes first;
-rows with equal positions are ordered by text. Rows without a conversation id
+Defined results: a null text is one empty line; a null position comes first,
+and negative ones are in the first segment; rows with equal positions are ordered by text. Rows without a conversation id
 are one conversation. Extra columns are ignored; an empty table gives an empty
 result. A role that is not in :data:`ROLES` is not counted in training.
 """
@@ -233,7 +233,7 @@ def canonical(lines: list[str], states: list[int], first: bool, last: bool) -> s
 
 
 def _dealt(rows: DataFrame) -> DataFrame:
-    rows = rows.withColumn("segment", F.floor(F.coalesce(F.col("pos"), F.lit(0)) / SEGMENT).cast("long"))
+    rows = rows.withColumn("segment", F.greatest(F.floor(F.coalesce(F.col("pos"), F.lit(0)) / SEGMENT), F.lit(0)).cast("long"))
     return rows.repartition("conv", "segment").sortWithinPartitions("conv", "segment", "pos", "text")
 
 
@@ -261,14 +261,14 @@ def parse(transcripts: DataFrame, model: Hmm, id_col: str = "conv_id", order_col
     shared = transcripts.sparkSession.sparkContext.broadcast(model)
     rows = _dealt(_rows(transcripts, id_col, order_col, text_col))
     level, seen = materialize_observed(rows.mapInArrow(_matrices(shared), "conv long, part long, matrix array<double>"),
-                                       low=F.min("part"), high=F.max("part"))
-    levels, low, high = [level], seen["low"] or 0, seen["high"] or 0
+                                       last=F.max("part"))
+    levels, last = [level], seen["last"] or 0
     up = F.floor(F.col("part") / FAN).cast("long")
-    while low // FAN != high // FAN:
+    while last >= FAN:
         rows_up = levels[-1].withColumn("up", up)
         levels.append(materialize(rows_up.repartition("conv", "up").sortWithinPartitions("conv", "up", "part")
                                   .mapInArrow(_products, "conv long, part long, matrix array<double>")))
-        low, high = low // FAN, high // FAN
+        last //= FAN
     # From the top: a whole conversation runs from the start state to the best end.
     ends = (levels[-1].withColumn("up", up).select("conv", "up").distinct()
             .withColumns({"b": F.lit(_STATES), "a": F.lit(None).cast("int"), "l": F.lit(True)}))

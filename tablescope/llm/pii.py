@@ -262,7 +262,7 @@ def _accept(kind: str, text: str) -> bool:
     if kind == "email":
         return bool(re.search(r"@|\bat\b", text)) and bool(re.search(r"\.|\bdot\b", text))
     digits = _digits(text)
-    if not digits or kind == "ip" and text.count(".") != 3:
+    if not digits or kind == "ip" and not _IP.fullmatch(text):
         return False
     if kind == "phone":
         parts = [p for p in _SEPARATORS.split(text) if p]
