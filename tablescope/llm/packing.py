@@ -98,17 +98,20 @@ def full_patterns(lengths: np.ndarray, size: int, parts: int = PATTERN_PARTS) ->
 
 def fit_repeats(patterns: list[np.ndarray], histogram: np.ndarray, steps: int = FIT_STEPS) -> list[np.ndarray]:
     """Non-negative repeats x that make the lengths used, A x, come near the
-    histogram in least squares (accelerated projected gradient)."""
+    histogram in least squares (accelerated projected gradient). A length's
+    error weighs as its square: what is left of short ones is easily placed."""
     n = len(histogram)
+    weight = (np.arange(n) / max(1, n - 1)) ** 2
 
     def used(x: list[np.ndarray]) -> np.ndarray:
         return sum((np.bincount(p[:, j], weights=v, minlength=n) for p, v in zip(patterns, x, strict=True)
                     for j in range(p.shape[1])), np.zeros(n))
 
     def back(r: np.ndarray) -> list[np.ndarray]:
+        r = r * weight
         return [r[p].sum(axis=1) for p in patterns]
 
-    # The step: the largest eigenvalue of A'A, by a few power iterations.
+    # The step: the largest eigenvalue of A'WA, by a few power iterations.
     v = [np.ones(len(p)) for p in patterns]
     top = 1.0
     for _ in range(15):
@@ -156,23 +159,19 @@ def best_fit_rest(left: dict[int, int], size: int) -> list[tuple[tuple[int, ...]
     return [(tuple(p), n) for kinds in by_room.values() for p, n in kinds]
 
 
-def plan(histogram: dict[int, int], size: int, parts: int = PATTERN_PARTS) -> list[tuple[tuple[int, ...], int]]:
-    """[(lengths of one sequence, number of such sequences)] that uses up the
-    histogram exactly."""
-    left = {k: int(v) for k, v in histogram.items() if v}
-    if not left:
-        return []
+def _planned(left: dict[int, int], size: int, patterns: list[np.ndarray]) -> list[tuple[tuple[int, ...], int]]:
+    """Fitted repeats of ``patterns``, rounded, and best fit for the rest."""
+    left = dict(left)
     counts = np.zeros(size + 1)
     for k, v in left.items():
         counts[k] = v
-    patterns = full_patterns(np.array(sorted(left)), size, parts)
     out: list[tuple[tuple[int, ...], int]] = []
     if patterns:
-        repeats = fit_repeats(patterns, counts)
-        whole = [np.rint(x).astype(np.int64) for x in repeats]
+        whole = [np.rint(x).astype(np.int64) for x in fit_repeats(patterns, counts)]
         wanted = [(int(n), tuple(map(int, row))) for p, w in zip(patterns, whole, strict=True)
                   for n, row in zip(w[w > 0], p[w > 0], strict=True)]
-        for n, row in sorted(wanted, reverse=True):  # rounding must not use more than there is
+        # Rounding must not use more than there is; long pieces, the hardest to place, come first.
+        for n, row in sorted(wanted, key=lambda x: (-x[1][0], -x[0], x[1])):
             n = min(n, *(left.get(k, 0) // row.count(k) for k in set(row)))
             if n > 0:
                 out.append((row, n))
@@ -181,6 +180,31 @@ def plan(histogram: dict[int, int], size: int, parts: int = PATTERN_PARTS) -> li
     return out + best_fit_rest({k: v for k, v in left.items() if v}, size)
 
 
+def plan(histogram: dict[int, int], size: int, parts: int = PATTERN_PARTS) -> list[tuple[tuple[int, ...], int]]:
+    """[(lengths of one sequence, number of such sequences)] that uses up the
+    histogram exactly.
+
+    Patterns of short pieces can take what long ones need to fill up, so the
+    fit is tried with all patterns, with those that hold a piece over half the
+    size, and with none; the plan of fewest sequences is taken, of equal ones
+    that with the most patterns.
+    """
+    left = {k: int(v) for k, v in histogram.items() if v}
+    if not left:
+        return []
+    patterns = full_patterns(np.array(sorted(left)), size, parts)
+    long = [p[2 * p[:, 0] > size] for p in patterns]
+    least, best = -(-sum(k * n for k, n in left.items()) // size), None
+    for choice in (patterns, [p for p in long if len(p)], []):
+        planned = _planned(left, size, choice)
+        n = sum(n for _, n in planned)
+        if best is None or n < best[0]:
+            best = n, planned
+        if n == least:
+            break
+    return best[1]
+
+
 def _slots(planned: list[tuple[tuple[int, ...], int]]) -> dict[int, tuple[np.ndarray, ...]]:
     """For each length: first rank, first sequence and offset of each slot, by
     ascending first rank."""

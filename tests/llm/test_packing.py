@@ -82,9 +82,8 @@ def test_plan_uses_the_histogram_up():
             for k in lengths:
                 used[k] += n
         assert used == histogram
-        total = sum(k * n for k, n in histogram.items())
-        assert sum(n for _, n in planned) <= max(sum(n for k, n in histogram.items() if 2 * k > size),
-                                                 -(-total // size)) * 1.1 + 2
+        # no worse than best fit, longest first, which is within 2/9 of the least
+        assert sum(n for _, n in planned) <= sum(n for _, n in P.best_fit_rest(histogram, size))
     assert P.plan({}, 10) == []
     assert P.plan({10: 3}, 10) == [((10,), 3)]
 

@@ -37,8 +37,8 @@ def test_edge_cases(edge_docs, no_docs):
 
 def test_keyed_access_knows_what_is_missing(documents):
     row = S.write_store(documents, PATH).first()
-    reader = S.ShardReader(row.payload, row.index, row.width)
-    start, length = reader.find([row.keys[3], 10 ** 15, row.keys[0], None], [0, 0, 5, 0])
+    reader, keys = S.ShardReader(row["payload"], row["index"], row["width"]), row["keys"]
+    start, length = reader.find([keys[3], 10 ** 15, keys[0], None], [0, 0, 5, 0])
     assert length[0] > 0 and reader.ids(start[0], length[0])[-1] == 2
     assert list(length[1:]) == [-1, -1, -1]
     reader.close()
