@@ -47,7 +47,7 @@ def summarise(text: str) -> dict:
 
 def main() -> None:
     from tablescope.session import build_session
-    import __spark_entry__ as E
+    from tablescope import catalog
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session("local[8]", shuffle_partitions=8)
@@ -58,7 +58,7 @@ def main() -> None:
           " into the Parquet reader). No query runs Python on rows.\n")
     print("| Query | Exchanges | Joins | Subqueries | Top-k | Windows | Scans (cols read; pushed filters) |")
     print("| --- | --- | --- | --- | --- | --- | --- |")
-    for key, fn in E.queries().items():
+    for key, fn in catalog.QUERIES.items():
         s = summarise(formatted(fn(spark, sf)))
         assert not s["python"], key
         scans = "; ".join(f"{n} cols" + (f", `{p[:60]}{'...' if len(p) > 60 else ''}`" if p else "")
