@@ -221,23 +221,37 @@ def box_stats(df: DataFrame, y: str, by: str | None = None, approx: bool = False
     interpolation;
     ``approx=True`` takes them from a one-pass quantile sketch.
 
-    When every group holds at most ``max_group_rows`` rows (default: the
-    quantile module's in-memory bound), one aggregation gathers each group's
-    values as a sorted array and everything is read off it; otherwise the
-    quartiles come from :func:`exact_quantiles` and a second pass finds the
-    whiskers against the fences.
+    For groups of at most ``max_group_rows`` rows (default: the quantile
+    module's in-memory bound) one aggregation gathers the values as a sorted
+    array and everything is read off it; for larger ones the quartiles come
+    from :func:`exact_quantiles` and a second pass finds the whiskers against
+    the fences. Both give equal results.
     """
-    from tablescope.operators.enrich import MAX_BROADCAST_ROWS, join_many_groups
-    from tablescope.operators.quantiles import MAX_IN_MEMORY_GROUP, _largest_group, exact_quantiles
-    from tablescope.session import materialize_observed
+    from tablescope.operators.quantiles import MAX_IN_MEMORY_GROUP, split_large_groups
 
     keys = [by] if by else []
     base = df.filter(not_nan(df, y).isNotNull())
     if by:
         base = base.filter(F.col(by).isNotNull())
     bound = MAX_IN_MEMORY_GROUP if max_group_rows is None else max_group_rows
-    if not approx and _largest_group(base, keys) <= bound:
-        return _box_from_sorted(base, y, keys)
+    if approx:
+        return _box_from_fences(base, y, by, True, max_broadcast_groups)
+    small, large = split_large_groups(base, keys, bound)
+    parts = [_box_from_sorted(small, y, keys)] if small is not None else []
+    if large is not None:
+        parts.append(_box_from_fences(large, y, by, False, max_broadcast_groups))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def _box_from_fences(base: DataFrame, y: str, by: str | None, approx: bool,
+                     max_broadcast_groups: int | None) -> DataFrame:
+    """Box statistics in two passes: quartiles, then each row against its
+    group's fences."""
+    from tablescope.operators.enrich import MAX_BROADCAST_ROWS, join_many_groups
+    from tablescope.operators.quantiles import exact_quantiles
+    from tablescope.session import materialize_observed
+
+    keys = [by] if by else []
     # one row per group, written once (the write also counts the groups,
     # which decides the broadcast): the fence join and the final join read
     # it instead of recomputing the quartiles

@@ -4,10 +4,10 @@ Spark's built-in ``percentile``/``median`` keep, per group, a map of every
 distinct value; a group holding a third of a 100 TB table and many distinct
 values would put them all into one task.
 
-One cheap aggregation first finds the largest group. When it holds at most
-``MAX_IN_MEMORY_GROUP`` rows, each group's values are gathered as one sorted
-array (primitive doubles) and indexed. Otherwise Spark's ``percentile`` is
-used where it is safe: it combines map-side into a value -> count map, so
+One cheap aggregation first finds the groups of more than
+``MAX_IN_MEMORY_GROUP`` rows. The values of each other group are gathered as
+one sorted array (primitive doubles) and indexed. For the large groups Spark's
+``percentile`` is used where it is safe: it combines map-side into a value -> count map, so
 its memory per group is set by the group's *distinct values*, not its rows;
 these are estimated per group and column with HyperLogLog sketches in one
 more pass (no values shuffled). A column with few distinct values (a
@@ -60,6 +60,7 @@ from operator import and_
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablescope.functions.columns import internal
 from tablescope.operators.enrich import FREQUENT, MAX_BROADCAST_ROWS, broadcastable
 from tablescope.session import ensure_checkpoint_dir, materialize, materialize_observed
 
@@ -121,21 +122,54 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
     ``<col>_q<p>`` with the dot as ``_`` (``v_q0_25``). Nulls and NaN are
     ignored; a group with no value in a column gets null for it.
 
-    When the largest group holds at most ``max_group_rows`` rows, every
-    column uses sorted per-group arrays; otherwise columns whose groups hold
-    at most that many distinct values use Spark's exact ``percentile`` and
-    the others (all of them with ``max_group_rows=None``) use the selection
-    path of this module, whose memory per task does not depend on group
-    sizes.
+    Groups of at most ``max_group_rows`` rows use sorted per-group arrays. Of
+    the larger groups, columns that hold at most that many distinct values
+    use Spark's exact ``percentile`` and the others (all groups and columns
+    with ``max_group_rows=None``) use the selection path of this module,
+    whose memory per task does not depend on group sizes. All give equal
+    results; a large group does not slow the small ones down.
     """
     keys, cols, names = list(keys), list(cols), dict(names or {})
     if max_group_rows is None:
         in_memory, by_sort = [], cols
-    elif _largest_group(df, keys) <= max_group_rows:
-        # every group's values fit: gather each as one sorted array
-        return _quantiles_by_array(df, keys, cols, probs, names)
     else:
+        small, large = split_large_groups(df, keys, max_group_rows)
+        if large is None:
+            return _quantiles_by_array(df, keys, cols, probs, names)
+        if small is not None:
+            return (_quantiles_by_array(small, keys, cols, probs, names)
+                    .unionByName(_quantiles_of_large(large, keys, cols, probs, names, seed, max_group_rows)))
         in_memory, by_sort = _split_by_distinct(df, keys, cols, max_group_rows)
+    return _quantiles_of_both(df, keys, cols, probs, names, seed, in_memory, by_sort)
+
+
+def split_large_groups(df: DataFrame, keys: list[str], bound: int) -> tuple[DataFrame | None, DataFrame | None]:
+    """(rows of groups of at most ``bound`` rows, rows of larger groups); None
+    for a part that is known to be empty. Without keys the table is one group."""
+    if not keys:
+        return (df, None) if _largest_group(df, keys) <= bound else (None, df)
+    n = internal("_n", df.columns)
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(n)).filter(F.col(n) > bound)
+    names = [internal(f"_k{i}", df.columns) for i in range(len(keys))]
+    large, seen = materialize_observed(sizes.select(*[F.col(k).alias(m) for k, m in zip(keys, names)]),
+                                       groups=F.count(F.lit(1)))
+    if not seen["groups"]:
+        return df, None
+    side = F.broadcast(large) if seen["groups"] <= MAX_BROADCAST_ROWS else large
+    cond = reduce(and_, [df[k].eqNullSafe(side[m]) for k, m in zip(keys, names)])
+    return df.join(side, cond, "left_anti"), df.join(side, cond, "left_semi")
+
+
+def _quantiles_of_large(df: DataFrame, keys: list[str], cols: list[str], probs: Sequence[float],
+                        names: Mapping[tuple[str, float], str], seed: int, bound: int) -> DataFrame:
+    in_memory, by_sort = _split_by_distinct(df, keys, cols, bound)
+    return _quantiles_of_both(df, keys, cols, probs, names, seed, in_memory, by_sort)
+
+
+def _quantiles_of_both(df: DataFrame, keys: list[str], cols: list[str], probs: Sequence[float],
+                       names: Mapping[tuple[str, float], str], seed: int,
+                       in_memory: list[str], by_sort: list[str]) -> DataFrame:
+    """``percentile`` for some columns and selection for the others."""
     parts = []
     if in_memory:
         parts.append(_quantiles_in_memory(df, keys, in_memory, probs, names))
