@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from tablescope.llm.components import connected_components
 from tablescope.llm.shingles import mix, shingle_sets
-from tablescope.llm.skew import join_by_group
+from tablescope.llm.skew import FREQUENT, join_by_group
 from tablescope.session import materialize, materialize_observed
 
 BANDS, ROWS = 42, 6
@@ -48,6 +48,8 @@ _U = np.uint64
 #: A centre's set goes to each task that checks it against some members; so
 #: many parts a centre's members are dealt to at most.
 CENTRE_PARTS = 1 << 16
+#: Parts in which the nodes of a frequent rare-first shingle meet.
+PAIR_PARTS = 32
 
 
 @lru_cache(maxsize=4)
@@ -248,9 +250,10 @@ def _rare_pairs(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     The edits of a copy are rare, so come first, and few pairs are left.
     """
     rows = (sets.join(nodes.select("id"), "id", "left_semi").mapInArrow(_shingle_rows, "shingle long, id long"))
-    seen_in = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     # A shingle that one set alone has only takes a place; a set is one group.
-    ordered = (rows.join(seen_in, "shingle").groupBy("id")
+    seen_in, seen = materialize_observed(rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1"),
+                                         rows=F.coalesce(F.sum("df"), F.lit(0)))
+    ordered = (join_by_group(rows, seen_in, "shingle", "df", seen["rows"]).groupBy("id")
                .agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("shared")))
     first = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
     prefix = (ordered.join(nodes, "id")
@@ -259,15 +262,25 @@ def _rare_pairs(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
               .select("id", "n", "component", "alone", F.posexplode(F.slice("shared", 1, F.col("use"))))
               .select("id", "n", "component", F.col("col.shingle").alias("shingle"),
                       (F.col("n") - F.col("alone") - F.col("pos")).alias("rest")))
-    prefix = materialize(prefix)
-    largest = (prefix.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("size"))
-               .groupBy("shingle").agg(F.max(F.struct("size", "component")).alias("top"), F.count(F.lit(1)).alias("parts"))
-               .where("parts > 1").select("shingle", F.col("top.component").alias("top")))
-    outside = (prefix.join(largest, "shingle").where(F.col("component") != F.col("top"))
+    prefix, seen = materialize_observed(prefix, rows=F.count(F.lit(1)))
+    largest = materialize(
+        prefix.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("size"))
+        .groupBy("shingle").agg(F.max(F.struct("size", "component")).alias("top"), F.sum("size").alias("rows"),
+                                F.count(F.lit(1)).alias("parts"))
+        .where("parts > 1").select("shingle", "rows", F.col("top.component").alias("top")))
+    outside = (join_by_group(prefix, largest, "shingle", "rows", seen["rows"])
+               .where(F.col("component") != F.col("top"))
                .select("shingle", "top", F.col("id").alias("a"), F.col("n").alias("n_a"),
                        F.col("rest").alias("rest_a"), F.col("component").alias("component_a")))
+    # The nodes of a frequent shingle (a thousand at most) meet in many parts.
+    frequent = F.broadcast(largest.where(F.col("rows") * FREQUENT > seen["rows"])
+                           .select("shingle", F.lit(True).alias("hot")))
+    part = F.when(F.col("hot"), F.pmod(F.xxhash64("a"), F.lit(PAIR_PARTS))).otherwise(0)
+    every = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(PAIR_PARTS - 1))).otherwise(F.array(F.lit(0)))
+    outside = outside.join(frequent, "shingle", "left").withColumn("part", part.cast("int")).drop("hot")
+    across = prefix.join(frequent, "shingle", "left").withColumn("part", F.explode(every)).drop("hot")
     both = ((F.col("component_a") != F.col("component"))
             & ((F.col("component") == F.col("top")) | (F.col("a") < F.col("id")))
             & _may_link(F.col("n_a"), F.col("n"), percent)
             & _may_link(F.col("n_a"), F.col("n"), percent, F.least("rest_a", "rest")))
-    return outside.join(prefix, "shingle").where(both).select("a", F.col("id").alias("b")).distinct()
+    return outside.join(across, ["shingle", "part"]).where(both).select("a", F.col("id").alias("b")).distinct()
