@@ -11,6 +11,7 @@ size bound, which changes no result.
 from __future__ import annotations
 
 import os
+import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
@@ -24,7 +25,7 @@ import regex
 #: Entries that the memory holds at most, and the longest key it takes.
 MEMO_ENTRIES, MEMO_KEY = 1 << 19, 64
 #: Bytes of text handled at once (one longer text alone).
-SLICE_BYTES = 1 << 23
+SLICE_BYTES = 1 << 22
 
 
 # How a plain byte-level pre-tokenizer shows itself, and what it splits by.
@@ -33,6 +34,10 @@ PRE_TOKEN = regex.compile(
     r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
 
 
+#: A word of Latin letters is one pre-token; most stretches are.
+_WORD = re.compile(" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+").fullmatch
+
+
 def _shown_bytes() -> dict[int, str]:
     """The characters that stand for bytes in byte-level vocabularies: visible
     Latin-1 ones stand for themselves, the others for 256, 257 and so on."""
@@ -44,9 +49,9 @@ def _shown_bytes() -> dict[int, str]:
 _SHOWN = _shown_bytes()
 
 
-def _bounded(memo: dict[str, bytes]) -> dict[str, bytes]:
+def _bounded(memo: dict[str, bytes], entries: int) -> dict[str, bytes]:
     """A full memory keeps its older half: frequent strings come first."""
-    return dict(islice(memo.items(), MEMO_ENTRIES // 2)) if len(memo) > MEMO_ENTRIES else memo
+    return dict(islice(memo.items(), entries // 2)) if len(memo) > entries else memo
 
 
 def text_slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
@@ -85,12 +90,15 @@ class StretchEncoder:
     def _parts(self, texts: list[str]) -> list[bytes]:
         """Raw ids of short texts by pre-tokens: new stretches mostly combine
         known words anew."""
-        ids_of, known, code, split = self.part_ids, self.parts, self.code, PRE_TOKEN.findall
+        ids_of, known, whole, code, split = self.part_ids, self.parts, self.known, self.code, PRE_TOKEN.findall
         out = []
         for text in texts:
+            if _WORD(text):  # will be remembered as a stretch
+                out.append(known.get(text) or array(code, ids_of(text)).tobytes())
+                continue
             own = []
             for part in split(text):
-                raw = known.get(part)
+                raw = known.get(part) or (whole.get(part[1:]) if part[0] == " " else None)
                 if raw is None:
                     raw = array(code, ids_of(part)).tobytes()
                     if len(part) <= MEMO_KEY:
@@ -105,7 +113,7 @@ class StretchEncoder:
         todo = [t for t, raw in zip(texts, found, strict=True) if raw is None]
         made = dict(zip(todo, self._parts([" " + t for t in todo]), strict=True))
         out = [made[t] if raw is None else raw for t, raw in zip(texts, found, strict=True)]
-        self.known, self.parts = _bounded(self.known), _bounded(self.parts)
+        self.known, self.parts = _bounded(self.known, MEMO_ENTRIES), _bounded(self.parts, MEMO_ENTRIES // 2)
         self.known.update((t, raw) for t, raw in made.items() if len(t) <= MEMO_KEY)
         return out
 
@@ -162,7 +170,10 @@ class TextEncoder(StretchEncoder):
         self.by_bytes = self.tokenizer.normalizer is None and str(self.tokenizer.pre_tokenizer) == _BYTE_LEVEL
 
     def part_ids(self, part: str) -> list[int]:
-        shown = part.encode().decode("latin-1").translate(_SHOWN)
+        if part.isascii() and part.isprintable():  # all but the blank stand for themselves
+            shown = part.replace(" ", _SHOWN[32])
+        else:
+            shown = part.encode().decode("latin-1").translate(_SHOWN)
         return [t.id for t in self.model.tokenize(shown)]
 
     def whole_ids(self, texts: list[str]) -> list[list[int]]:
