@@ -98,6 +98,7 @@ def _sign(k: int, bands: int, rows: int):
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(size, pa.int64()), pa.array(digest, pa.binary()),
                  pa.array(keys, pa.list_(pa.int64()))], names=["id", "n", "digest", "keys"])
+        pa.default_memory_pool().release_unused()  # the worker lives on between tasks
     return run
 
 
@@ -110,6 +111,7 @@ def _sets(k: int):
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id"), pa.array([s.tobytes() for s in shingle_sets(part.column("text"), k)],
                                                  pa.binary())], names=["id", "shingles"])
+        pa.default_memory_pool().release_unused()  # the worker lives on between tasks
     return run
 
 
@@ -136,6 +138,7 @@ def _check(percent: int):
                 common = _common(own, other)
                 linked.append(100 * common >= percent * (len(own) + len(other) - common))
             yield pa.RecordBatch.from_arrays([a, b, pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
+        pa.default_memory_pool().release_unused()  # the worker lives on between tasks
     return run
 
 
