@@ -31,6 +31,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -143,23 +144,45 @@ def _out(schema: pa.Schema, rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of a task's rows, and the state that its first row begins with
+    and its last one ends in: the move into the first row is counted later."""
     counts: Counter = Counter()
-    for (_, segment), rows in _groups(batches, ("conv", "segment")):
-        state = _STATES if segment <= 0 else None  # what precedes a later segment is in another task
-        for row in rows:
-            if row["role"] not in ROLES:
-                state = None
-                continue
-            for i, line in enumerate(_lines(row["text"])):
-                to = 2 * ROLES.index(row["role"]) + (i > 0)
-                counts.update([(to, w) for w in observe(line)])
-                if state is not None:
-                    counts[state, f"to {to}"] += 1
-                state = to
-    yield from _out(_COUNTS, ((s, w, n) for (s, w), n in counts.items()))
-
-
-_COUNTS = pa.schema([("state", pa.int32()), ("what", pa.string()), ("n", pa.int64())])
+    task, first, last, state = TaskContext.get().partitionId(), None, None, None
+    for row in (r for batch in batches for r in batch.to_pylist()):
+        role = ROLES.index(row["role"]) if row["role"] in ROLES else None
+        if first is None:
+            first = (row["conv"], None if role is None else 2 * role)
+        elif row["conv"] != last:
+            state = _STATES
+        last = row["conv"]
+        if role is None:
+            state = None
+            continue
+        for i, line in enumerate(_lines(row["text"])):
+            to = 2 * role + (i > 0)
+            counts.update([(to, w) for w in observe(line)])
+            if state is not None:
+                counts[state, f"to {to}"] += 1
+            state = to
+    if first is not None:
+        yield from _out(_COUNTS, ((None, None, s, w, n) for (s, w), n in counts.items()))
+        yield from _out(_COUNTS, iter([(task, *first, "first", 1), (task, last, state, "last", 1)]))
+
+
+_COUNTS = pa.schema([("task", pa.int64()), ("conv", pa.int64()), ("state", pa.int32()), ("what", pa.string()),
+                     ("n", pa.int64())])
+
+
+def _across(ends: dict[tuple[int, str], tuple[int | None, int | None]]) -> Iterator[tuple[int, int]]:
+    """The moves into the first rows of tasks, of (conversation, state) by
+    task and "first" or "last"."""
+    before: tuple = (object(), None)
+    for task in sorted({t for t, _ in ends}):
+        conv, to = ends[task, "first"]
+        state = before[1] if conv == before[0] else _STATES
+        if state is not None and to is not None:
+            yield state, to
+        before = ends[task, "last"]
 
 
 def _matrices(shared):
@@ -232,6 +255,13 @@ def canonical(lines: list[str], states: list[int], first: bool, last: bool) -> s
     return "\n".join([*out, "<|end|>"] if last else out) + "\n"
 
 
+def _in_order(rows: DataFrame, *by: str) -> DataFrame:
+    """Tasks of neighbouring rows, in order; also rows that are equal in ``by``
+    (no result depends on theirs) are spread over tasks."""
+    rows = rows.withColumn("tie", F.monotonically_increasing_id())
+    return rows.repartitionByRange(*by, "tie").sortWithinPartitions(*by, "tie").drop("tie")
+
+
 def _dealt(rows: DataFrame) -> DataFrame:
     rows = rows.withColumn("segment", F.greatest(F.floor(F.coalesce(F.col("pos"), F.lit(0)) / SEGMENT), F.lit(0)).cast("long"))
     return rows.repartition("conv", "segment").sortWithinPartitions("conv", "segment", "pos", "text")
@@ -244,12 +274,17 @@ def _rows(frame: DataFrame, id_col: str, order_col: str, text_col: str, *more) -
 
 def fit(labelled: DataFrame, id_col: str = "conv_id", order_col: str = "turn", text_col: str = "text",
         role_col: str = "role") -> Hmm:
-    """The model of all labelled rows, one turn each. Tasks send counts of
-    (state, feature value), whose number does not depend on the rows."""
+    """The model of all labelled rows, one turn each; of turns that share
+    position and text the role decides. Tasks send counts of (state, feature
+    value), whose number does not depend on the rows, and their ends."""
     rows = _rows(labelled, id_col, order_col, text_col, F.col(role_col).cast("string").alias("role"))
-    counts = _dealt(rows).mapInArrow(_count, "state int, what string, n long")
-    found = counts.groupBy("state", "what").agg(F.sum("n").alias("n")).collect()
-    return Hmm({(r["state"], r["what"]): r["n"] for r in found})
+    counts = (_in_order(rows, "conv", "pos", "text", "role")
+              .mapInArrow(_count, "task long, conv long, state int, what string, n long"))
+    found = counts.groupBy("task", "conv", "state", "what").agg(F.sum("n").alias("n")).collect()
+    total = Counter({(r["state"], r["what"]): r["n"] for r in found if r["task"] is None})
+    total.update((s, f"to {t}") for s, t in _across({(r["task"], r["what"]): (r["conv"], r["state"])
+                                                     for r in found if r["task"] is not None}))
+    return Hmm(total)
 
 
 def parse(transcripts: DataFrame, model: Hmm, id_col: str = "conv_id", order_col: str = "turn",

@@ -1,5 +1,6 @@
-from collections import defaultdict
+from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from tablescope.llm import chat
@@ -76,3 +77,41 @@ def test_edge_cases(spark, raw):
     assert lines == {None: 2, 2: 4, 3: 4}
     empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.parse(empty, chat.fit(empty)).count() == 0
+
+
+@pytest.fixture()
+def many_tasks(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def plain_fit(turns):
+    counts, before = Counter(), {}
+    for r in sorted(turns.collect(), key=lambda r: (r.conv_id, r.turn)):
+        state = before.get(r.conv_id, 2 * len(chat.ROLES))
+        if r.role not in chat.ROLES:
+            before[r.conv_id] = None
+            continue
+        for i, line in enumerate(r.text.split("\n")):
+            to = 2 * chat.ROLES.index(r.role) + (i > 0)
+            counts.update([(to, w) for w in chat.observe(line)])
+            if state is not None:
+                counts[state, f"to {to}"] += 1
+            state = to
+        before[r.conv_id] = state
+    return chat.Hmm(counts)
+
+
+@pytest.mark.parametrize("turn", ["turn", "100 * turn", "turn + 64", "conv_id % 100 * 64 + turn"])
+def test_fit_counts_every_move(raw, many_tasks, monkeypatch, turn):
+    """Positions far apart, late beginnings, long conversations, odd roles."""
+    id_col = "conv_id div 100" if "conv_id" in turn else "conv_id"
+    turns = raw.where("conv_id < 300").selectExpr(f"{id_col} as conv_id", f"{turn} as turn", "text",
+                                                  "if(pmod(xxhash64(text), 17) = 0, 'tool', role) as role")
+    want = plain_fit(turns)
+    for segment in (1, 3, 64):
+        monkeypatch.setattr(chat, "SEGMENT", segment)
+        got = chat.fit(turns)
+        assert np.array_equal(got.move, want.move) and got.seen.keys() == want.seen.keys()
+        assert all(np.array_equal(got.seen[w], want.seen[w]) for w in want.seen)
