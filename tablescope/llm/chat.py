@@ -8,16 +8,18 @@ last character and first letter; counts over all labelled rows give the
 probabilities. Viterbi finds the best states, and turns are rendered in one
 canonical form.
 
-No conversation need fit a task. Rows are dealt by conversation and segment
-(:data:`SEGMENT` positions). A segment is summed up as a matrix: the best score
+No conversation need fit a task. Rows are range-partitioned by conversation,
+position and text, equal ones too, and numbered within their conversation from
+per-task counts; a segment is :data:`SEGMENT` of them, whatever their
+positions. A segment is summed up as a matrix: the best score
 from each state before it to each state at its end. Matrices of one
 conversation are multiplied (maximum, plus) in groups of :data:`FAN`, level by
 level; then, from the top, each level learns the state before and after each
 of its parts. With those a segment is decoded alone, and the result is that of
 Viterbi over the whole conversation.
 
-Defined results: a null text is one empty line; a null position comes first,
-and negative ones are in the first segment; rows with equal positions are ordered by text. Rows without a conversation id
+Defined results: a null text is one empty line; a null position comes first;
+rows with equal positions are ordered by text. Rows without a conversation id
 are one conversation. Extra columns are ignored; an empty table gives an empty
 result. A role that is not in :data:`ROLES` is not counted in training.
 """
@@ -32,13 +34,13 @@ from itertools import groupby
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablescope.session import materialize, materialize_observed
 
 ROLES = ("system", "user", "assistant")
-#: Positions in one segment, and parts combined at one level.
+#: Rows in one segment, and parts combined at one level.
 SEGMENT, FAN = 64, 64
 
 # Words that are read as speaker markers.
@@ -255,6 +257,19 @@ def canonical(lines: list[str], states: list[int], first: bool, last: bool) -> s
     return "\n".join([*out, "<|end|>"] if last else out) + "\n"
 
 
+def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    task, last, n = TaskContext.get().partitionId(), object(), 0
+    for batch in batches:
+        at = []
+        for conv in batch.column("conv").to_pylist():
+            n = n + 1 if conv == last else 0
+            last = conv
+            at.append(n)
+        yield pa.RecordBatch.from_arrays([batch.column("conv"), batch.column("text"),
+                                          pa.array([task] * len(at), pa.int64()), pa.array(at, pa.int64())],
+                                         names=["conv", "text", "task", "at"])
+
+
 def _in_order(rows: DataFrame, *by: str) -> DataFrame:
     """Tasks of neighbouring rows, in order; also rows that are equal in ``by``
     (no result depends on theirs) are spread over tasks."""
@@ -262,9 +277,23 @@ def _in_order(rows: DataFrame, *by: str) -> DataFrame:
     return rows.repartitionByRange(*by, "tie").sortWithinPartitions(*by, "tie").drop("tie")
 
 
-def _dealt(rows: DataFrame) -> DataFrame:
-    rows = rows.withColumn("segment", F.greatest(F.floor(F.coalesce(F.col("pos"), F.lit(0)) / SEGMENT), F.lit(0)).cast("long"))
-    return rows.repartition("conv", "segment").sortWithinPartitions("conv", "segment", "pos", "text")
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``conv``, ``text`` and ``number``, the row's place in its conversation."""
+    placed = materialize(_in_order(rows, "conv", "pos", "text")
+                         .mapInArrow(_number, "conv long, text string, task long, at long"))
+    counts = placed.groupBy("conv", "task").agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("conv").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    # Only the conversation that a task begins with can have rows before it: one per task.
+    before = materialize(counts.select("conv", "task", F.sum("n").over(earlier).alias("before"))
+                         .where("before > 0"))
+    return (placed.alias("r").join(F.broadcast(before).alias("b"), F.col("r.conv").eqNullSafe(F.col("b.conv"))
+                                   & (F.col("r.task") == F.col("b.task")), "left")
+            .select("r.conv", "r.text", (F.col("at") + F.coalesce("before", F.lit(0))).alias("number")))
+
+
+def _dealt(numbered: DataFrame) -> DataFrame:
+    rows = numbered.withColumn("segment", F.floor(F.col("number") / SEGMENT).cast("long"))
+    return rows.repartition("conv", "segment").sortWithinPartitions("conv", "segment", "number")
 
 
 def _rows(frame: DataFrame, id_col: str, order_col: str, text_col: str, *more) -> DataFrame:
@@ -294,7 +323,7 @@ def parse(transcripts: DataFrame, model: Hmm, id_col: str = "conv_id", order_col
     S, U, A where a turn begins, small inside) and ``rendered``; the segments'
     texts one after the other are the conversation's."""
     shared = transcripts.sparkSession.sparkContext.broadcast(model)
-    rows = _dealt(_rows(transcripts, id_col, order_col, text_col))
+    rows = _dealt(_numbered(_rows(transcripts, id_col, order_col, text_col)))
     level, seen = materialize_observed(rows.mapInArrow(_matrices(shared), "conv long, part long, matrix array<double>"),
                                        last=F.max("part"))
     levels, last = [level], seen["last"] or 0
@@ -318,8 +347,8 @@ def parse(transcripts: DataFrame, model: Hmm, id_col: str = "conv_id", order_col
     known = found.alias("k")
     placed = rows.alias("r").join(known, F.col("r.conv").eqNullSafe(F.col("k.conv"))
                                   & (F.col("r.segment") == F.col("k.part")))
-    placed = placed.select("r.conv", "r.segment", "r.pos", "r.text", "before", "after", "last")
-    return (placed.repartition("conv", "segment").sortWithinPartitions("conv", "segment", "pos", "text")
+    placed = placed.select("r.conv", "r.segment", "r.number", "r.text", "before", "after", "last")
+    return (placed.repartition("conv", "segment").sortWithinPartitions("conv", "segment", "number")
             .mapInArrow(_render(shared), "conv long, segment long, n_lines long, n_turns long, states string, "
                                          "rendered string")
             .withColumnRenamed("conv", id_col))

@@ -2,6 +2,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tablescope.llm import chat
 
@@ -86,6 +87,31 @@ def many_tasks(spark):
     spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
+@pytest.mark.parametrize("turn", [None, 7])
+def test_a_conversation_at_one_position_is_cut_by_rows(spark, raw, many_tasks, turn):
+    model = chat.fit(raw)
+    texts = [f"User: what of {i % 50}?" if i % 3 else "AI: it is so." for i in range(600)] + [None, "a\nb"]
+    rows = [(None, turn, t) for t in texts] + [(5, i, f"Q: {i}") for i in range(70)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, text string").repartition(6)
+    own = chat._numbered(chat._rows(frame, "conv_id", "turn", "text"))
+    assert sorted(r.number for r in own.where("conv is null").collect()) == list(range(len(texts)))
+    found = chat.parse(frame, model).collect()
+    assert Counter(r.conv_id for r in found) == {None: -(-len(texts) // chat.SEGMENT), 5: 2}
+    assert max(r.n_lines for r in found) <= chat.SEGMENT + 1
+    lines = [x for t in sorted(texts, key=lambda t: (t is not None, t or "")) for x in (t or "").split("\n")]
+    ways = chat.trace([model.move + e for e in model.emit(lines)], 2 * len(chat.ROLES), None)
+    states = "".join(r.states for r in sorted(found, key=lambda r: r.segment) if r.conv_id is None)
+    assert states == "".join("SsUuAa"[a] for _, a in ways)
+
+
+def test_equal_rows_are_spread_over_tasks(spark, many_tasks):
+    rows = chat._rows(spark.range(4000).selectExpr("cast(null as long) c", "cast(null as long) p", "'User: a' t"),
+                      "c", "p", "t")
+    sizes = [r["count"] for r in chat._in_order(rows, "conv", "pos", "text")
+             .groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) > 4 and max(sizes) < 2000
+
+
 def plain_fit(turns):
     counts, before = Counter(), {}
     for r in sorted(turns.collect(), key=lambda r: (r.conv_id, r.turn)):
