@@ -126,14 +126,13 @@ def _common(a: np.ndarray, b: np.ndarray) -> int:
 
 def _check(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        centre, own = None, None
         for batch in batches:
             a, b = batch.column("a"), batch.column("b")
             x, y = batch.column("set_a"), batch.column("set_b")
             linked = []
             for i in range(batch.num_rows):
-                if a[i] != centre:
-                    centre, own = a[i], np.frombuffer(x[i].as_buffer(), dtype=_U)
+                # rows that share an id have sets of their own
+                own = np.frombuffer(x[i].as_buffer(), dtype=_U)
                 other = np.frombuffer(y[i].as_buffer(), dtype=_U)
                 common = _common(own, other)
                 linked.append(100 * common >= percent * (len(own) + len(other) - common))
@@ -193,7 +192,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
               .where("lo < hi").select("key"))
     members = materialize(buckets.join(shared, "key", "left_semi"))
 
-    links = _links(members, source, words, percent)
+    links = _links(members, source, words, percent).union(_one_document(with_set, nodes, seen["rows"]))
     label = connected_components(links)
     grouped = (nodes.select("digest", "node", "copies").join(label, "node", "left")
                .select("digest", "copies", F.coalesce("component", "node").alias("component")))
@@ -206,6 +205,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                         F.col("id").eqNullSafe(F.col("component")).alias("kept"))
 
 
+def _one_document(with_set: DataFrame, nodes: DataFrame, total: int) -> DataFrame:
+    """Links (a, b) of each id whose rows have several sets with their nodes,
+    which other ids may have named."""
+    digest = F.xxhash64("digest")
+    several, seen = materialize_observed(
+        with_set.groupBy("id").agg(F.min(digest).alias("lo"), F.max(digest).alias("hi")).where("lo < hi").select("id"),
+        n=F.count(F.lit(1)))
+    if not seen["n"]:
+        return several.select(F.col("id").alias("a"), F.col("id").alias("b"))
+    own = materialize(with_set.select("id", "digest").join(several, "id", "left_semi").distinct())
+    return join_by_group(own, nodes, "digest", "copies", total).select(F.col("id").alias("a"), F.col("node").alias("b"))
+
+
 def _links(members: DataFrame, source: DataFrame, words: int, percent: int) -> DataFrame:
     """Links (a, b) whose components are those of all links among the
     candidate pairs of ``members`` (key, node, n)."""

@@ -126,3 +126,26 @@ def test_extra_columns_and_null_ids(spark):
             (3, "A B C D", None, None, None, None, None, None)]
     docs = spark.createDataFrame(rows, EDGE_SCHEMA)
     assert found(docs, 3, 85) == [(3, 2, 3, True), (4, 2, 3, False), (None, 2, None, True)]
+
+
+#: A text, a near copy, and one of its own.
+Y, NEAR_Y, X = " ".join(f"y{i}" for i in range(60)), " ".join(f"y{i}" for i in range(59)), " ".join(f"x{i}" for i in range(60))
+
+
+@pytest.mark.parametrize("rows", [
+    [(5, X), (5, Y), (7, NEAR_Y)],
+    [(5, Y), (5, X), (7, NEAR_Y)],
+    [(7, X), (7, Y), (5, NEAR_Y)],
+    [(5, X), (5, Y), (3, X), (7, NEAR_Y)],
+    [(5, X), (5, Y), (3, X), (4, Y), (9, X)],
+])
+def test_rows_that_share_an_id_are_linked_by_each_of_their_texts(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert found(docs, 3, 85) == brute(rows, 3, 85)
+
+
+def test_a_pair_is_checked_by_each_set_of_its_first_id():
+    sets = [s.tobytes() for s in shingle_sets(pa.array([X, Y, NEAR_Y]), 3)]
+    batch = pa.RecordBatch.from_pydict({"a": [5, 5], "b": [7, 7], "set_a": sets[:2], "set_b": [sets[2]] * 2})
+    both = pa.RecordBatch.from_pydict({"a": [5, 5], "b": [7, 7], "set_a": sets[1::-1], "set_b": [sets[2]] * 2})
+    assert [out.column("linked").to_pylist() for out in M._check(85)([batch, both])] == [[False, True], [True, False]]
