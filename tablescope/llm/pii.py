@@ -102,6 +102,12 @@ send it to {email|maria at example dot com} today
 my box is {email|lee99 at mail dot example dot org}.
 ask {email|info [at] example.com} for help
 und {email|hans(at)beispiel(dot)de} ist da
+WRITE TO {email|ANNA (AT) EXAMPLE (DOT) COM} ABOUT IT
+Send it to {email|PETER AT MAIL DOT EXAMPLE DOT ORG} today
+Ask {email|Maria [At] Example [Dot] Net} for it
+THE DOT AT THE END OF THE LINE
+A DOT, THEN A DASH AND A DOT
+LOOK AT IT, AT ONCE
 we met at noon and at night
 look at it, at once
 the dot at the end of the line
@@ -162,7 +168,7 @@ there are 45 678 901 234 of them
 _MARK = re.compile(r"\{(email|ip|card|phone)\|([^}]*)\}")
 # Letters, digits, or one other character.
 _TOKEN = re.compile(r"[^\W\d_]+|[0-9]+|[^\s]")
-_TRIGGER = re.compile(r"[0-9@]|[\[({]\s?(?:at|dot)\s?[\])}]|\bdot\b")
+_TRIGGER = re.compile(r"[0-9@]|[\[({]\s?(?:at|dot)\s?[\])}]|\bdot\b", re.IGNORECASE)
 _SPELLED = ("dot", "(at", "[at", "{at", "( at", "[ at", "{ at")
 #: Characters read on either side of a trigger, grown to whole tokens.
 MARGIN = 40
@@ -255,12 +261,13 @@ def _windows(text: str) -> Iterator[tuple[int, int]]:
 
 
 _SEPARATORS = re.compile(r"[^0-9]+")
+_AT, _DOT = re.compile(r"@|\bat\b", re.IGNORECASE), re.compile(r"\.|\bdot\b", re.IGNORECASE)
 
 
 def _accept(kind: str, text: str) -> bool:
     """What a span of the model must satisfy besides its label."""
     if kind == "email":
-        return bool(re.search(r"@|\bat\b", text)) and bool(re.search(r"\.|\bdot\b", text))
+        return bool(_AT.search(text)) and bool(_DOT.search(text))
     digits = _digits(text)
     if not digits or kind == "ip" and not _IP.fullmatch(text):
         return False
@@ -274,7 +281,8 @@ def model_spans(texts: list[str], known: list[list[Span]], model: Crf) -> list[l
     """The spans that the model adds to the known ones of each text."""
     where, tokens = [], []
     for i, text in enumerate(texts):
-        if _DIGIT.search(text) or "@" in text or any(x in text for x in _SPELLED):
+        low = text.lower()
+        if _DIGIT.search(text) or "@" in text or any(x in low for x in _SPELLED):
             for a, b in _windows(text):
                 found = _tokens(text, a, b)
                 if found:

@@ -89,3 +89,18 @@ def test_redact(spark, edge_docs, no_docs):
 def test_model_spans_of_a_very_long_line():
     text = "12 34 at 5 " * 20_000
     assert pii.all_spans([text], pii.trained())[0] == [plain(text)]
+
+
+@pytest.mark.parametrize(("text", "part"), [
+    ("write to JANE (AT) EXAMPLE (DOT) COM", "JANE (AT) EXAMPLE (DOT) COM"),
+    ("MAIL BOB [AT] CORP [DOT] COM PLEASE", "BOB [AT] CORP [DOT] COM"),
+    ("Reach Tom (At) Sample (Dot) Org by noon", "Tom (At) Sample (Dot) Org"),
+])
+def test_held_out_spans_in_capitals(text, part):
+    at = text.index(part)
+    assert pii.all_spans([text], pii.trained()) == ([[]], [[("email", at, at + len(part))]])
+
+
+def test_capitals_without_personal_data():
+    clean = ["THE DOT AT THE TOP", "WE MET AT NOON AND AT NIGHT", "The Dot At The End", "CONNECT THE DOT, THEN LOOK AT IT"]
+    assert pii.all_spans(clean, pii.trained())[1] == [[]] * len(clean)
