@@ -45,7 +45,7 @@ def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' tokens, packed into sequences of at most 2048."""
     show_workers(spark)
-    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), special=True)
 
 
 STAGES = [

@@ -4,7 +4,8 @@ Texts are cut at single blanks between other characters, where no pre-token of
 a byte-level vocabulary crosses. The stretches of a batch of texts become a
 dictionary array, so that each distinct one is looked up, or encoded by the
 tokenizers library, once; ids are then gathered for all texts at once. A text
-that cannot be cut so is encoded as a whole. The memory of stretches has a
+that cannot be cut so, or holds a token that the library takes out of the text
+before it is split, is encoded as a whole. The memory of stretches has a
 size bound, which changes no result.
 """
 
@@ -69,6 +70,9 @@ class StretchEncoder:
     """Ids of texts, cut at blanks and gathered; a subclass says what the ids
     of a pre-token and of whole texts are."""
 
+    #: Strings whose texts are encoded as a whole.
+    uncut: tuple[str, ...] = ()
+
     def __init__(self, n_ids: int):
         wide = n_ids > 1 << 16
         self.dtype, self.code = np.dtype("<u4" if wide else "<u2"), "I" if wide else "H"
@@ -130,6 +134,8 @@ class StretchEncoder:
         stretch = coded.dictionary.to_pylist()
         alone = np.array([bool(s) and not (s[0].isspace() or s[-1].isspace()) for s in stretch])
         good = np.logical_and.reduceat(alone[at], bounds[:-1])
+        for held in self.uncut:
+            good &= ~pc.match_substring(texts, held).to_numpy(zero_copy_only=False)
         # The first stretch of a text has no blank before it: entries of their own.
         heads, head_at = np.unique(at[bounds[:-1]], return_inverse=True)
         raw = self._stretches([s if ok else "" for s, ok in zip(stretch, alone, strict=True)])
@@ -156,14 +162,18 @@ def gathered(flat: np.ndarray, size: np.ndarray, at: np.ndarray) -> tuple[np.nda
 
 
 class TextEncoder(StretchEncoder):
-    """Ids under one tokenizers file, special strings as plain text."""
+    """Ids under one tokenizers file: special tokens that a text spells out are
+    plain text, or with ``special`` the tokens, as the library reads them."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not special
+        added = [t for t in self.tokenizer.get_added_tokens_decoder().values() if special or not t.special]
+        shown = self.tokenizer.normalizer is None or not any(t.normalized for t in added)
+        self.uncut = tuple(t.content for t in added) if shown else ("",)  # any text may hold one
         self.model = self.tokenizer.model
         super().__init__(self.tokenizer.get_vocab_size())
         # A byte-level vocabulary without further steps: pre-tokens can be told apart here.
@@ -184,5 +194,5 @@ class TextEncoder(StretchEncoder):
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> TextEncoder:
-    return TextEncoder(path)
+def encoder(path: str, special: bool = False) -> TextEncoder:
+    return TextEncoder(path, special)

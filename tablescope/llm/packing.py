@@ -40,9 +40,9 @@ FIT_STEPS = 200
 _PIECES = "piece int, start long, length long, ids_crc32 long, task long, rank long"
 
 
-def _cut(path: str, end_id: int, size: int, with_ids: bool):
+def _cut(path: str, end_id: int, size: int, with_ids: bool, special: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
+        enc = encoder(path, special)
         end = np.array([end_id], dtype="<u4")
         task = TaskContext.get().partitionId()
         seen: dict[int, int] = defaultdict(int)
@@ -242,15 +242,16 @@ def _place(shared):
 
 
 def pack_documents(docs: DataFrame, path: str, *, size: int = 2048, end_id: int = 0, id_col: str = "doc_id",
-                   text_col: str = "text", with_ids: bool = False) -> DataFrame:
+                   text_col: str = "text", with_ids: bool = False, special: bool = False) -> DataFrame:
     """One row per piece: ``id_col``, ``piece``, ``start``, ``length``,
     ``ids_crc32``, (``ids``,) ``sequence_id``, ``offset``. ``path`` is a
-    tokenizers file that every executor can open."""
+    tokenizers file that every executor can open; with ``special``, special
+    tokens in texts are read as the library does, else as plain text."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     columns = f"id {kind}, {_PIECES}" + ", ids array<long>" * with_ids
-    pieces = materialize(rows.mapInArrow(_cut(path, end_id, size, with_ids), columns))
+    pieces = materialize(rows.mapInArrow(_cut(path, end_id, size, with_ids, special), columns))
     counts = materialize(pieces.groupBy("task", "length").agg(F.count(F.lit(1)).alias("n")))
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     shared = spark.sparkContext.broadcast(_slots(plan(histogram, size)))

@@ -29,7 +29,8 @@ def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                  special=True)
 
 
 def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,7 +38,8 @@ def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shards = token_store.write_store(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    shards = token_store.write_store(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                     special=True)
     return token_store.read_store(shards).withColumnRenamed("id", "doc_id")
 
 

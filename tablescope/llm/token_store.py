@@ -88,9 +88,9 @@ class _Shard:
                                                  "occurrence"])
 
 
-def _write(path: str, end_id: int, folder: str, shard_ids: int):
+def _write(path: str, end_id: int, folder: str, shard_ids: int, special: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
+        enc = encoder(path, special)
         end = np.array([end_id], dtype=enc.dtype)
         task = TaskContext.get().partitionId()
         shard, number, last, occurrence = None, 0, object(), 0
@@ -172,15 +172,16 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def write_store(docs: DataFrame, path: str, folder: str | None = None, *, end_id: int = 2, id_col: str = "doc_id",
-                text_col: str = "text", shard_ids: int = SHARD_IDS) -> DataFrame:
+                text_col: str = "text", shard_ids: int = SHARD_IDS, special: bool = False) -> DataFrame:
     """Writes the store to ``folder`` (default: a new one below the checkpoint
     folder) and returns its table of shards: ``task``, ``shard`` (their order
     is that of the ids), ``payload``, ``index``, ``width``, ``n_ids``, ``keys``,
-    ``occurrence``, ``before`` (ids in all earlier shards)."""
+    ``occurrence``, ``before`` (ids in all earlier shards). With ``special``,
+    special tokens in texts are read as the library does, else as plain text."""
     folder = folder or shared_folder(docs.sparkSession, "tokens")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     ordered = rows.repartitionByRange("id").sortWithinPartitions("id", "text")
-    shards = materialize(ordered.mapInArrow(_write(path, end_id, folder, shard_ids), _SHARD))
+    shards = materialize(ordered.mapInArrow(_write(path, end_id, folder, shard_ids, special), _SHARD))
     # One narrow row per shard, not per document: the prefix sum is small.
     earlier = Window.orderBy("task", "shard").rowsBetween(Window.unboundedPreceding, -1)
     before = (shards.select("task", "shard", "n_ids")

@@ -1,5 +1,6 @@
 import random
 import struct
+import tempfile
 import zlib
 from collections import Counter, defaultdict
 
@@ -102,3 +103,34 @@ def test_encoder_matches_the_library(tokenizer):
     got = [ids for a, b in text_slices(array) for ids in encoder(PATH).encode(array.slice(a, b - a))]
     want = [e.ids for e in tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
     assert [x.tolist() for x in got] == want and got[0].dtype == np.dtype("<u2")
+
+
+def test_special_tokens_as_the_unmodified_library_reads_them():
+    plain = Tokenizer.from_file(PATH)
+    rnd = random.Random(10)
+    parts = ["a", " ", "  ", "\n", "the", " The", "<|endoftext|>", "<|endoftext|", "|>", "é", "1"]
+    texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 12))) for _ in range(2000)]
+    texts += ["one <|endoftext|> two", None, "", "<|endoftext|>", " <|endoftext|> "]
+    got = encoder(PATH, True).encode(pa.array(texts))
+    want = [e.ids for e in plain.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    assert [x.tolist() for x in got] == want
+
+
+def test_queries_use_the_unmodified_tokenizer(spark):
+    import corpus_pipeline
+    from tablescope.llm import queries
+
+    folder = tempfile.mkdtemp(prefix="tablescope-test-special-")
+    docs = [(1, "one <|endoftext|> two"), (2, "three four"), (3, None)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    frame.write.parquet(f"{folder}/documents.parquet")
+    plain = Tokenizer.from_file(PATH)
+    ids = {i: plain.encode(t or "", add_special_tokens=False).ids for i, t in docs}
+    want = {i: (len(x) + 1, zlib.crc32(struct.pack(f"<{len(x) + 1}I", *x, 0))) for i, x in ids.items()}
+    for rows in (queries.op4_best_fit_packing(spark, folder), corpus_pipeline.packing_stage(spark, frame, folder)):
+        assert {r.doc_id: (r.length, r.ids_crc32) for r in rows.collect()} == want
+    at, want = 0, {}
+    for i, x in ids.items():
+        want[i] = (at, len(x) + 1, zlib.crc32(struct.pack(f"<{len(x) + 1}I", *x, 2)))
+        at += len(x) + 1
+    assert {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in queries.op6_token_store(spark, folder).collect()} == want
