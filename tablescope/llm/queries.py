@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablescope.llm import bpe, chat, minhash_dedup, packing, pii, quality_rules, token_store, topk, url_filter, warc
+from tablescope.llm import (bpe, chat, minhash_dedup, packing, pii, quality_rules, secret_scan, token_store, topk,
+                            url_filter, warc)
 from tablescope.llm.runtime import show_workers
 
 
@@ -72,6 +73,11 @@ def op10_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"))
 
 
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                            public_tokenizers.PATTERN)
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_byte_bpe": op2_byte_bpe,
@@ -83,6 +89,7 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_quality_rules": op9_quality_rules,
     "op10_pii_crf": op10_pii_crf,
+    "op13_secret_scan": op13_secret_scan,
 }
 
 ORACLE_SQL: dict[str, str] = {
