@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablescope.llm import (bpe, chat, minhash_dedup, packing, pii, quality_rules, secret_scan, token_store, topk,
-                            url_filter, warc)
+from tablescope.llm import (bpe, chat, lexical, minhash_dedup, packing, pii, quality_rules, secret_scan, token_store,
+                            topk, url_filter, warc)
 from tablescope.llm.runtime import show_workers
 
 
@@ -73,6 +73,10 @@ def op10_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
                             public_tokenizers.PATTERN)
@@ -89,6 +93,7 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_quality_rules": op9_quality_rules,
     "op10_pii_crf": op10_pii_crf,
+    "op12_lexical_search": op12_lexical_search,
     "op13_secret_scan": op13_secret_scan,
 }
 
@@ -152,4 +157,28 @@ ORACLE_SQL: dict[str, str] = {
                AND n_symbols <= 0.25 * n_words AND (n_words < {quality_rules.SHARE_WORDS} OR n_stop >= 0.02 * n_words)
                AND n_dup_lines <= 0.5 * n_lines AS kept
         FROM b""",
+    "op12_lexical_search": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id,
+                   regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM documents),
+        q AS (
+            SELECT row_number() OVER () AS q, item_id,
+                   regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+        z AS (SELECT count(*) AS docs, sum(len(terms)) AS words FROM d WHERE len(terms) > 0),
+        tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM d) GROUP BY r, term),
+        w AS (
+            SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+            FROM tf, z GROUP BY term, docs),
+        m AS (SELECT r, doc_id, 100 - 75 + CAST((75 * len(terms) * docs) // words AS BIGINT) AS m FROM d, z WHERE len(terms) > 0),
+        s AS (
+            SELECT q, item_id, r, doc_id,
+                   CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+            FROM (SELECT q, item_id, unnest(terms) AS term FROM q) JOIN w USING (term) JOIN tf USING (term) JOIN m USING (r)
+            GROUP BY q, item_id, r, doc_id),
+        o AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS n FROM s WHERE score > 0)
+        SELECT item_id, CAST(n AS INTEGER) AS rank, doc_id, score FROM o WHERE n <= 10""",
 }

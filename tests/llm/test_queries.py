@@ -17,6 +17,9 @@ COLUMNS = {
     "op8_chat_format": "conv_id segment n_lines n_turns states rendered",
     "op9_quality_rules": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
     "op10_pii_crf": "doc_id n_email n_ip n_card n_phone base_sha256 spans",
+    "op11_prefix_trie": "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256",
+    "op12_lexical_search": "item_id rank doc_id score",
+    "op13_secret_scan": "doc_id n_assign n_access n_hex base_sha256 spans",
 }
 
 
