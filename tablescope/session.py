@@ -78,15 +78,17 @@ def _shared(folder: str, master: str) -> bool:
     return "://" in folder
 
 
-_scratch: ContextVar[list[str] | None] = ContextVar("tablescope_scratch", default=None)
+#: The paths made inside each open block, innermost last.
+_scratch: ContextVar[tuple[list[str], ...]] = ContextVar("tablescope_scratch", default=())
 
 
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
-    """Tables materialized inside the block are deleted when it ends. For runs
-    that write their results; DataFrames that read them are of no use after."""
+    """Tables materialized inside the block are deleted when it ends, but for
+    those made with ``keep``. For runs that write their results; DataFrames
+    that read the deleted tables are of no use after."""
     made: list[str] = []
-    token = _scratch.set(made)
+    token = _scratch.set((*_scratch.get(), made))
     try:
         yield
     finally:
@@ -100,16 +102,17 @@ def _delete(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, keep: bool = False) -> DataFrame:
     """Write ``df`` once as a Parquet table under the session's checkpoint
     folder and read it back: the lineage is cut, later passes read the
     compressed columns they need, and lost executors cost nothing. Inside
-    :func:`scratch` the table lives until the block ends."""
+    :func:`scratch` the table lives until the block ends, or with ``keep``
+    (a result) until the block around it does, if there is one."""
     base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
     path = f"{base}/tables/{uuid.uuid4().hex}"
-    made = _scratch.get()
-    if made is not None:
-        made.append(path)
+    blocks = _scratch.get()[:-1] if keep else _scratch.get()
+    if blocks:
+        blocks[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
