@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablescope.llm import (bpe, chat, lexical, minhash_dedup, packing, pii, quality_rules, secret_scan, token_store,
-                            topk, url_filter, warc)
+from tablescope.llm import (bpe, chat, lexical, minhash_dedup, packing, pii, prefix_trie, quality_rules, secret_scan,
+                            token_store, topk, url_filter, warc)
 from tablescope.llm.runtime import show_workers
 
 
@@ -73,6 +73,10 @@ def op10_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -93,6 +97,7 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_quality_rules": op9_quality_rules,
     "op10_pii_crf": op10_pii_crf,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_lexical_search": op12_lexical_search,
     "op13_secret_scan": op13_secret_scan,
 }
@@ -157,6 +162,47 @@ ORACLE_SQL: dict[str, str] = {
                AND n_symbols <= 0.25 * n_words AND (n_words < {quality_rules.SHARE_WORDS} OR n_stop >= 0.02 * n_words)
                AND n_dup_lines <= 0.5 * n_lines AS kept
         FROM b""",
+    "op11_prefix_trie": """
+        WITH t AS (
+            SELECT conv_id, sha256(sha256(coalesce(role, '')) || sha256(coalesce(text, ''))) AS dig,
+                   length(coalesce(text, '')) AS chars, turn
+            FROM conversations WHERE conv_id IS NOT NULL),
+        n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, dig) - 1 AS pos FROM t),
+        c AS (
+            SELECT conv_id, conv_id - conv_id % 100 AS base,
+                   -- CRC-32 of the decimal id, bit by bit
+                   xor(list_reduce([4294967295] || list_transform(range(0, 8 * length(CAST(conv_id AS VARCHAR))),
+                           lambda k: (ascii(substr(CAST(conv_id AS VARCHAR), CAST(k // 8 + 1 AS INTEGER), 1)) >> CAST(k % 8 AS INTEGER)) & 1),
+                       lambda a, b: xor(a >> 1, CASE WHEN xor(a, b) & 1 = 1 THEN 3988292384 ELSE 0 END)), 4294967295) % 6 AS h
+            FROM (SELECT DISTINCT conv_id FROM t)),
+        r AS (
+            SELECT c.conv_id, 1 AS part, n.pos, dig, chars FROM c JOIN n ON n.conv_id = c.base AND n.pos < c.h
+            UNION ALL SELECT c.conv_id, 2, n.pos, dig, chars FROM c JOIN n ON n.conv_id = c.conv_id AND n.pos >= c.h),
+        s AS (
+            SELECT conv_id, coalesce(list(dig ORDER BY part, pos) FILTER (dig IS NOT NULL), []) AS digs,
+                   coalesce(list(chars ORDER BY part, pos) FILTER (dig IS NOT NULL), []) AS chars
+            FROM c LEFT JOIN r USING (conv_id) GROUP BY conv_id),
+        p AS (
+            SELECT conv_id, d, len(digs) = d AS ends, sha256(array_to_string(digs[1:d], ',')) AS prefix,
+                   CASE WHEN d = 0 THEN 0 ELSE chars[d] END AS chars
+            FROM s, unnest(range(0, len(digs) + 1)) AS x(d)),
+        v AS (
+            SELECT d, prefix, min(conv_id) AS node, count(*) AS n_convs, any_value(chars) AS chars,
+                   sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+            FROM p GROUP BY d, prefix),
+        m AS (SELECT conv_id, p.d, node FROM p JOIN v USING (d, prefix)),
+        u AS (
+            SELECT v.*, m.node AS parent, EXISTS (SELECT 1 FROM m AS a JOIN m AS b ON a.conv_id = b.conv_id AND b.d = a.d + 1
+                                                  WHERE a.node = v.node AND a.d = v.d) AS inner_node
+            FROM v LEFT JOIN m ON m.conv_id = v.node AND m.d = v.d - 1),
+        k AS (SELECT parent AS node, d - 1 AS d, count(*) AS n_children FROM u WHERE d > 0 GROUP BY parent, d),
+        g AS (
+            SELECT m.node, m.d, count_if(NOT u.inner_node) AS n_leaves, sum((u.n_convs - 1) * u.chars) AS saved_tokens
+            FROM u JOIN m ON m.conv_id = u.node AND m.d <= u.d GROUP BY m.node, m.d)
+        SELECT u.node AS conv_id, CAST(u.d AS BIGINT) AS depth, u.parent AS parent_conv_id, u.n_convs,
+               coalesce(n_children, 0) AS n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+               CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256
+        FROM u JOIN g ON g.node = u.node AND g.d = u.d LEFT JOIN k ON k.node = u.node AND k.d = u.d""",
     "op12_lexical_search": r"""
         WITH d AS (
             SELECT row_number() OVER () AS r, doc_id,
