@@ -52,15 +52,39 @@ def test_edge_cases(spark):
     assert found(spark, rows, 5, k=2) == brute(rows, 5, k=2)
 
 
+def test_large_components(spark):
+    """Scores of every finite vector are those of Python's integers."""
+    big = [(0, [-1e20, 1.0]), (1, [1.0, 1.0]), (2, [-2.0, 1.0]), (3, [1e20, 5.0]), (4, [-(2.0**21), 0.0]), (5, [2.0**21, 1.0]),
+           (6, [-(2.0**53) / 1024, 3.0]), (7, [2.0**53, -(2.0**53)]), (8, [1e18, 1e18]), (9, [0.0, 0.0]), (10, [-1e18, 1e18]),
+           (11, [3e38, 3e38]), (12, [-3e38, 3e38]), (13, [2.0**52, 1.0]), (14, [-(2.0**53), 0.0])]
+    big += [(100 + i, f32([random.Random(i).uniform(-1, 1) for _ in range(2)])) for i in range(60)]
+    rows = [(i, f32(v)) for i, v in big]
+    cut = lambda s: min(max(s, -(1 << 63)), (1 << 63) - 1)
+    want = [(q, n, i, cut(s)) for q, n, i, s in brute(rows, 1, k=20)]
+    assert found(spark, rows, 1, k=20) == want
+    assert any(abs(s) >= (1 << 63) - 1 for *_, s in want) and any(0 < abs(s) < 1 << 62 for *_, s in want)
+
+
+def test_block_types_hold_their_values():
+    for low, high, kind in ((-(2.0**31), 2.0**31 - 1, "<i4"), (-(2.0**31) - 1, 0, "<i8"), (0, 2.0**31, "<i8"),
+                            (-(2.0**63), 0, "<i8"), (0, 2.0**63, "<f8"), (-1e20, 1, "<f8")):
+        dense = np.array([[low, high]])
+        assert K._kind(dense) == kind and (dense.astype(kind).astype(float) == dense).all()
+
+
 def test_few_rows(spark):
     assert found(spark, [], 1) == []
     assert found(spark, [(0, [1.0])], 1) == []
     assert found(spark, [(1, [1.0]), (2, [1.0])], 50) == []
 
 
-def test_a_score_that_cannot_be_held_is_an_error(spark):
-    with pytest.raises(Exception, match="too large"):
-        found(spark, [(0, [1e20]), (1, [1e20])], 1)
+def test_a_score_beyond_64_bits_is_cut_to_them(spark):
+    """It is ranked by its exact value all the same."""
+    rows = [(0, [1e30]), (1, [1e28]), (2, [1e29]), (3, [-1e30]), (4, [1.0])]
+    most = (1 << 63) - 1
+    got = [r[2:] for r in found(spark, [(i, f32(v)) for i, v in rows], 10)]
+    assert got == [(2, most), (1, most), (4, most), (3, -most - 1)]
+
 
 
 def test_scatter_equals_product():
