@@ -802,10 +802,12 @@ def _numbered(df: DataFrame) -> DataFrame:
 
 
 @register("t2_sorted_descending", f"""
-SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY count DESC) AS INTEGER) AS place FROM ({PRIORITY_SIZES})""")
+SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY count DESC, o_orderpriority NULLS FIRST) AS INTEGER) AS place
+FROM ({PRIORITY_SIZES})""")
 def q_sort_desc(spark, sf_dir):
     from tablescope.operators.explore import category_frequency
-    return _numbered(ranking.sort_desc(category_frequency(table(spark, sf_dir, "orders"), "o_orderpriority"), "count"))
+    sizes = category_frequency(table(spark, sf_dir, "orders"), "o_orderpriority")
+    return _numbered(ranking.sort_desc(sizes, "count", tiebreak=["o_orderpriority"]))
 
 
 @register("t3_sorted_ascending", f"""

@@ -37,12 +37,15 @@ def running_totals(df: DataFrame, partition: str | Sequence[str], order: str,
     return df.withColumns({out: F.sum(src).over(w) for out, src in sums.items()})
 
 
-def sort_desc(df: DataFrame, col: str) -> DataFrame:
-    return df.orderBy(F.desc(col))
+def sort_desc(df: DataFrame, col: str, tiebreak: Sequence[str] | None = None) -> DataFrame:
+    """Largest first, nulls last. ``tiebreak`` columns (ascending, nulls first)
+    order rows that are equal in ``col``; without them their order is open."""
+    return df.orderBy(F.desc(col), *[F.asc_nulls_first(c) for c in tiebreak or ()])
 
 
-def sort_asc(df: DataFrame, col: str) -> DataFrame:
-    return df.orderBy(F.asc_nulls_first(col))
+def sort_asc(df: DataFrame, col: str, tiebreak: Sequence[str] | None = None) -> DataFrame:
+    """Smallest first, nulls first; ``tiebreak`` as for :func:`sort_desc`."""
+    return df.orderBy(*[F.asc_nulls_first(c) for c in (col, *(tiebreak or ()))])
 
 
 def compute_top_n(df: DataFrame, n: int = 20, sort_col: str | None = None,

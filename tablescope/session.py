@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -68,13 +69,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+# Where machines keep temporary files of their own.
+_TEMPORARY = ("/tmp", "/var/tmp", "/dev/shm")
+
+
 def _shared(folder: str, master: str) -> bool:
     """A folder of a local session, of a shared store, or stated in full as a
     mounted one (``file://``); a bare path or ``file:/tmp`` on a cluster is not."""
     if master.startswith("local"):
         return True
     if folder.startswith("file:"):
-        return folder.startswith("file://") and not folder.removeprefix("file://").startswith(tempfile.gettempdir() + "/")
+        # a folder for temporary files is each machine's own, whatever this driver's is set to
+        path = os.path.normpath("/" + folder.removeprefix("file:").lstrip("/"))
+        return folder.startswith("file://") and not any(
+            path == t or path.startswith(t + "/") for t in (*_TEMPORARY, os.path.normpath(tempfile.gettempdir())))
     return "://" in folder
 
 

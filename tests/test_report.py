@@ -125,6 +125,10 @@ def test_a_cap_and_a_sample_only_where_they_are_asked_for(spark):
 @pytest.mark.parametrize(("folder", "master", "good"), [
     ("/shared/ckpt", "local[4]", True), ("/shared/ckpt", "yarn", False), ("file:/data/x", "spark://h:7077", False),
     ("file:///tmp/x", "yarn", False), ("file:///mnt/shared/x", "yarn", True), ("hdfs://n/x", "yarn", True),
-    ("s3a://b/x", "k8s://h", True)])
-def test_checkpoint_folders(folder, master, good):
-    assert _shared(folder, master) is good
+    ("s3a://b/x", "k8s://h", True), ("file:///tmp", "yarn", False), ("file:///var/tmp/x", "yarn", False),
+    ("file:///mnt/../tmp/x", "yarn", False), ("file:///tmpfiles/x", "yarn", True), ("file:///own/tmp/x", "yarn", None)])
+@pytest.mark.parametrize("own", ["/tmp", "/own/tmp"])
+def test_checkpoint_folders(folder, master, good, own, monkeypatch):
+    """Whatever folder this machine's temporary files are set to."""
+    monkeypatch.setattr("tempfile.gettempdir", lambda: own)
+    assert _shared(folder, master) is (own != "/own/tmp" if good is None else good)

@@ -369,6 +369,9 @@ def test_output_orders(spark):
     df = spark.createDataFrame([(2, "b"), (None, "n"), (3, "c"), (1, "a")], "k int, s string")
     assert [r.s for r in R.sort_desc(df, "k").collect()] == ["c", "b", "a", "n"]
     assert [r.s for r in R.sort_asc(df, "k").collect()] == ["n", "a", "b", "c"]
+    ties = df.unionByName(df.withColumn("s", F.concat("s", F.lit("2"))))
+    assert [r.s for r in R.sort_desc(ties, "k", ["s"]).collect()] == ["c", "c2", "b", "b2", "a", "a2", "n", "n2"]
+    assert [r.s for r in R.sort_asc(ties, "k", ["s"]).collect()] == ["n", "n2", "a", "a2", "b", "b2", "c", "c2"]
     trips = spark.createDataFrame([(h, 1.0) for h in (8, 8, 12, 12, 12, 22)], "hour int, fare double")
     sessions = A.time_of_day_summary(A.trip_cube(trips, ["hour"], fare="fare"))
     assert [r.trip_count for r in sessions.collect()] == [3, 2, 1]
