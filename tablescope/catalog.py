@@ -582,6 +582,19 @@ def q_distinct_counts(spark, sf_dir):
     return distinct_counts(table(spark, sf_dir, "part"))
 
 
+@register("a13_low_cardinality", " UNION ALL ".join(f"""
+SELECT '{c}' AS "column", COUNT(DISTINCT {c}) <= 50 AS low_cardinality,
+       CASE WHEN COUNT(DISTINCT {c}) <= 50 THEN COUNT(DISTINCT {c}) END AS n_distinct,
+       CASE WHEN COUNT(DISTINCT {c}) <= 50 THEN array_to_string(list_sort(list(DISTINCT {c})), '|') END AS options
+FROM (SELECT *, CAST(p_partkey AS VARCHAR) AS key FROM part)""" for c in ("p_name", "p_brand", "p_type", "key")))
+def q_low_cardinality(spark, sf_dir):
+    """Which columns get a list, and the list; one column is unique."""
+    from tablescope.operators.explore import low_cardinality
+    part = table(spark, sf_dir, "part").withColumn("key", F.col("p_partkey").cast("string"))
+    return low_cardinality(part).select("column", "low_cardinality", "n_distinct",
+                                        F.array_join("values", "|").alias("options"))
+
+
 @register("a14_distinct_values", """
 SELECT DISTINCT p_brand FROM part WHERE p_brand IS NOT NULL""")
 def q_distinct_values(spark, sf_dir):
@@ -597,6 +610,12 @@ def q_bounds(spark, sf_dir):
     return numeric_bounds(table(spark, sf_dir, "lineitem"))
 
 
+@register("a15_bounds_from_footers", ORACLE_SQL["a15_numeric_bounds"])
+def q_footer_bounds(spark, sf_dir):
+    from tablescope.operators.explore import numeric_bounds
+    return numeric_bounds(table(spark, sf_dir, "lineitem"), footers=True)
+
+
 @register("a17_group_sizes", """
 SELECT o_orderstatus, o_orderpriority, COUNT(*) AS count FROM orders
 WHERE o_orderstatus IS NOT NULL AND o_orderpriority IS NOT NULL GROUP BY ALL""")
@@ -631,6 +650,20 @@ def q_hist_color(spark, sf_dir):
     return histogram(table(spark, sf_dir, "orders"), "o_totalprice", color="o_orderstatus")
 
 
+@register("a19_histogram_footer_bounds", histogram_sql("o_orderstatus"))
+def q_hist_footers(spark, sf_dir):
+    from tablescope.operators.explore import histogram
+    return histogram(table(spark, sf_dir, "orders"), "o_totalprice", color="o_orderstatus", footers=True)
+
+
+@register("l6_explorer_footer_ranges", """
+SELECT o_orderkey FROM orders WHERE o_orderstatus IN ('F', 'O') AND o_totalprice BETWEEN 10000 AND 300000""")
+def q_explorer_footers(spark, sf_dir):
+    from tablescope.plans.explorer import ExplorerSpec, explore
+    spec = ExplorerSpec(categories={"o_orderstatus": ["F", "O"]}, ranges={"o_totalprice": (10000, 300000)})
+    return explore(table(spark, sf_dir, "orders"), spec, footers=True).table.select("o_orderkey")
+
+
 @register("a20_box_stats", """
 WITH base AS (SELECT o_orderpriority, o_totalprice AS y FROM orders
               WHERE o_totalprice IS NOT NULL AND o_orderpriority IS NOT NULL),
@@ -853,6 +886,43 @@ def q_explorer_csv(spark, sf_dir):
     return read_explorer_csv(spark, path)
 
 
+@register("s2_explorer_na_spellings", """
+SELECT CASE WHEN o_orderkey % 5 <> 0 THEN o_custkey END AS whole,
+       CASE WHEN o_orderkey % 5 <> 1 THEN o_totalprice END AS number,
+       CASE WHEN o_orderkey % 5 <> 2 THEN o_orderkey % 2 = 0 END AS yes,
+       CASE WHEN o_orderkey % 5 <> 3 THEN CASE o_orderkey % 4 WHEN 0 THEN '007' WHEN 1 THEN '1e3' WHEN 2 THEN 'True'
+                                           ELSE 'part ' || CAST(o_orderkey AS VARCHAR) END END AS mixed
+FROM orders""")
+def q_explorer_na(spark, sf_dir):
+    """One value in five is missing, in every spelling; a text column of values
+    that read as something else keeps them as they are spelled."""
+    from tablescope.sources.files import NA_SPELLINGS, read_explorer_csv
+    from tablescope.sources.sinks import write_csv
+    key, path = F.col("o_orderkey"), _folder(spark)
+    missing = F.element_at(F.array(*[F.lit(x) for x in NA_SPELLINGS]), (F.floor(key / 5) % len(NA_SPELLINGS) + 1).cast("int"))
+
+    def holed(i: int, column: Column) -> Column:
+        return F.when(key % 5 == i, missing).otherwise(column.cast("string"))
+
+    mixed = F.when(key % 4 == 0, "007").when(key % 4 == 1, "1e3").when(key % 4 == 2, "True").otherwise(
+        F.concat(F.lit("part "), key.cast("string")))
+    write_csv(table(spark, sf_dir, "orders").select(
+        holed(0, F.col("o_custkey")).alias("whole"), holed(1, F.col("o_totalprice")).alias("number"),
+        holed(2, F.when(key % 2 == 0, "True").otherwise("False")).alias("yes"), holed(3, mixed).alias("mixed")), path)
+    return read_explorer_csv(spark, path)
+
+
+@register("s6_published_csv", "SELECT *, 'second, \"quoted\"' AS note, CAST(NULL AS VARCHAR) AS empty FROM orders WHERE o_orderkey % 2 = 0")
+def q_published_csv(spark, sf_dir):
+    """A CSV result is replaced; it comes back with its schema, nothing inferred."""
+    from tablescope.sources.published import publish, read_published
+    orders, path = table(spark, sf_dir, "orders"), _folder(spark)
+    publish(orders, path, "csv")
+    publish(orders.where(F.col("o_orderkey") % 2 == 0).withColumn("note", F.lit('second, "quoted"'))
+            .withColumn("empty", F.lit(None).cast("string")), path, "csv")
+    return read_published(spark, path)
+
+
 @register("s5_table_export", "SELECT 'orders' AS name, COUNT(*) AS written, COUNT(*) AS rows FROM orders")
 def q_export(spark, sf_dir):
     from tablescope.sources.files import read_parquet

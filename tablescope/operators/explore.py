@@ -11,8 +11,10 @@ only nulls is 0.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
@@ -39,18 +41,27 @@ def category_filters(df: DataFrame, selections: Mapping[str, Sequence]) -> DataF
     return df.filter(_all(preds)) if preds else df
 
 
-def varying_columns(df: DataFrame, cols: Sequence[str]) -> list[str]:
+def varying_columns(df: DataFrame, cols: Sequence[str], footers: bool = False) -> list[str]:
     """Those of ``cols`` whose values (nulls and NaN aside) are not all equal.
-    One small aggregation job over all of them; one row reaches the driver."""
+    One small aggregation job over all of them; one row reaches the driver. With
+    ``footers``, for a Parquet table as it was read, numeric columns are decided
+    by its files' footers (:mod:`tablescope.sources.footers`)."""
     if not cols:
         return []
+    if footers:
+        from tablescope.sources.footers import table_bounds
+
+        known = table_bounds(df, [c for c in cols if isinstance(df.schema[c].dataType, NumericType)])
+        others = varying_columns(df, [c for c in cols if c not in known])
+        return [c for c in cols if (known[c].varies if c in known else c in others)]
     aggs = [F.coalesce(F.min(not_nan(df, c)) < F.max(not_nan(df, c)), F.lit(False)).alias(f"v{i}")
             for i, c in enumerate(cols)]
     row = df.agg(*aggs).first()
     return [c for i, c in enumerate(cols) if row[i]]
 
 
-def range_filters(df: DataFrame, ranges: Mapping[str, tuple], table: DataFrame | None = None) -> DataFrame:
+def range_filters(df: DataFrame, ranges: Mapping[str, tuple], table: DataFrame | None = None,
+                  footers: bool = False) -> DataFrame:
     """Conjunction of inclusive ranges ``lo <= x <= hi``; null, NaN and text
     that is no number drop.
 
@@ -58,9 +69,10 @@ def range_filters(df: DataFrame, ranges: Mapping[str, tuple], table: DataFrame |
     column the explorer offers none, so it filters nothing, not even nulls.
     That is decided on ``table``, the table before any filter (default:
     ``df``), by one small job when the filter is built, so that the filters
-    themselves are plain comparisons that reach the scan.
+    themselves are plain comparisons that reach the scan; with ``footers`` that
+    job reads footers only (see :func:`varying_columns`).
     """
-    varying = varying_columns(df if table is None else table, list(ranges))
+    varying = varying_columns(df if table is None else table, list(ranges), footers)
     preds = [as_number(df, c).between(lo, hi) for c, (lo, hi) in ranges.items() if c in varying]
     return df.filter(_all(preds)) if preds else df
 
@@ -145,14 +157,68 @@ def distinct_counts(df: DataFrame, cols: Sequence[str] | None = None,
     return _long(agg, parts)
 
 
+def _few_values(columns: list[str], low: int):
+    """Per task and column its distinct values, or, beyond ``low``, only that
+    there are more."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: list[set[str] | None] = [set() for _ in columns]
+        for batch in batches:
+            for i, known in enumerate(seen):
+                if known is None:
+                    continue
+                some = pc.unique(batch.column(i).drop_null())
+                if len(some) <= low:
+                    known.update(some.to_pylist())
+                if len(some) > low or len(known) > low:
+                    seen[i] = None
+        rows = [(c, v) for c, known in zip(columns, seen, strict=True) for v in ([None] if known is None else sorted(known))]
+        yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], pa.string()) for j in (0, 1)], names=["column", "value"])
+    return run
+
+
+def low_cardinality(df: DataFrame, cols: Sequence[str] | None = None, low: int = LOW_CARDINALITY) -> DataFrame:
+    """(column, low_cardinality, n_distinct, values) per categorical column:
+    its sorted values if there are at most ``low``, else nulls for both. Nulls
+    are not counted; values of other types than text are given as text.
+
+    "At most ``low``?" needs no count: one pass over all columns keeps at most
+    ``low`` values per column and task, in Arrow batches, and a column that has
+    more somewhere sends that word alone. What leaves the tasks is written once
+    as a small table. :func:`distinct_counts` counts the other columns exactly.
+    """
+    from tablescope.session import materialize
+
+    cols = list(cols) if cols is not None else string_columns(df)
+    if not cols:
+        return df.sparkSession.createDataFrame([], "column string, low_cardinality boolean, n_distinct long, values array<string>")
+    texts = df.select(*[F.col(c).cast("string").alias(f"c{i}") for i, c in enumerate(cols)])
+    # no word of a column at all would be no row: every column gets one
+    names = df.sparkSession.createDataFrame([(i, c) for i, c in enumerate(cols)], "place int, column string")
+    found = materialize(texts.mapInArrow(_few_values(cols, low), "column string, value string").distinct())
+    counts = found.groupBy("column").agg(F.bool_or(F.col("value").isNull()).alias("more"), F.count("value").alias("n"))
+    few = counts.where(~F.col("more") & (F.col("n") <= low)).select("column")
+    values = (found.where(F.col("value").isNotNull()).join(F.broadcast(few), "column")
+              .groupBy("column").agg(F.sort_array(F.collect_list("value")).alias("values")))
+    out = names.join(F.broadcast(counts), "column", "left").join(F.broadcast(values), "column", "left")
+    is_low = ~F.coalesce("more", F.lit(False)) & (F.coalesce("n", F.lit(0)) <= low)
+    return out.select("column", is_low.alias("low_cardinality"), F.when(is_low, F.coalesce("n", F.lit(0))).alias("n_distinct"),
+                      F.when(is_low, F.coalesce("values", F.array().cast("array<string>"))).alias("values"))
+
+
 def distinct_values(df: DataFrame, col: str) -> DataFrame:
     """Distinct non-null values of one column."""
     return df.select(col).dropna().distinct()
 
 
-def numeric_bounds(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """(column, min, max) of each numeric column, as doubles, one pass."""
+def numeric_bounds(df: DataFrame, cols: Sequence[str] | None = None, footers: bool = False) -> DataFrame:
+    """(column, min, max) of each numeric column, as doubles, one pass; with
+    ``footers``, for a Parquet table as it was read, from its files' footers
+    (:mod:`tablescope.sources.footers`)."""
     cols = list(cols) if cols is not None else numeric_columns(df)
+    if footers:
+        from tablescope.sources.footers import numeric_bounds as footer_bounds
+
+        return footer_bounds(df, cols)
     aggs = []
     for i, c in enumerate(cols):
         value = not_nan(df, c).cast("double")
@@ -181,25 +247,33 @@ def chart_projection(df: DataFrame, x: str, y: str, color: str | None = None) ->
 
 
 def histogram(df: DataFrame, x: str, bins: int = HISTOGRAM_BINS,
-              color: str | None = None) -> DataFrame:
+              color: str | None = None, footers: bool = False) -> DataFrame:
     """Equal-width bins over [min, max] of ``x``, last bin closed; count per
     (bin[, color]). A constant column is one bin. Nulls and NaN are not
     counted.
 
     min and max are scalar subqueries (one small job), so the binning is a
-    plain projection followed by a partially aggregated count. A
+    plain projection followed by a partially aggregated count; with ``footers``,
+    for a Parquet table as it was read, they come from its files' footers
+    (:mod:`tablescope.sources.footers`). A
     non-numeric ``x`` is counted per value instead, as a categorical
     histogram does.
     """
     if not isinstance(df.schema[x].dataType, NumericType):
         keys = [x] + ([color] if color else [])
         return df.filter(F.col(x).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("count"))
-    known = not_nan(df, x).cast("double")
-    bounds = df.select(F.min(known).alias("lo"), F.max(known).alias("hi"))
+    if footers:
+        from tablescope.sources.footers import table_bounds
+
+        found = table_bounds(df, [x])[x]
+        least, most = F.lit(found.low).cast("double"), F.lit(found.high).cast("double")
+    else:
+        known = not_nan(df, x).cast("double")
+        bounds = df.select(F.min(known).alias("lo"), F.max(known).alias("hi"))
+        least, most = bounds.select("lo").scalar(), bounds.select("hi").scalar()
     # attach the bounds once; later expressions read the columns
     n_lo, n_hi = internal("_lo", df.columns), internal("_hi", df.columns)
-    rows = (df.filter(not_nan(df, x).isNotNull())
-              .withColumns({n_lo: bounds.select("lo").scalar(), n_hi: bounds.select("hi").scalar()}))
+    rows = df.filter(not_nan(df, x).isNotNull()).withColumns({n_lo: least, n_hi: most})
     lo, hi = F.col(n_lo), F.col(n_hi)
     xv = F.col(x).cast("double")
     raw = (F.floor((xv - lo) / (hi - lo) * F.lit(float(bins))) + 1).cast("int")

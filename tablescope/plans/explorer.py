@@ -33,9 +33,25 @@ class ExplorerResult:
     chart: DataFrame | None
 
 
-def explore(df: DataFrame, spec: ExplorerSpec) -> ExplorerResult:
+@dataclass
+class ExplorerControls:
+    """What the explorer offers for an unfiltered table."""
+
+    categories: DataFrame  # column, low_cardinality, n_distinct, values
+    bounds: DataFrame  # column, min, max
+
+
+def controls(df: DataFrame, footers: bool = False) -> ExplorerControls:
+    """The category lists and slider bounds of ``df``, one pass for each; with
+    ``footers``, for a Parquet table as it was read, the bounds take none."""
+    return ExplorerControls(categories=ex.low_cardinality(df), bounds=ex.numeric_bounds(df, footers=footers))
+
+
+def explore(df: DataFrame, spec: ExplorerSpec, footers: bool = False) -> ExplorerResult:
+    """``footers``: ``df`` is a Parquet table as it was read, whose footers say
+    which ranges apply."""
     # Which ranges apply is decided on the table before any filter.
-    rows = ex.range_filters(ex.category_filters(df, spec.categories), spec.ranges, table=df)
+    rows = ex.range_filters(ex.category_filters(df, spec.categories), spec.ranges, table=df, footers=footers)
     table = rows
     if spec.group_by and spec.aggregate:
         table = ex.group_aggregate(rows, spec.group_by, spec.aggregate, spec.func)

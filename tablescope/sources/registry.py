@@ -8,6 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from tablescope.plans.trip_report import OUTPUTS
+from tablescope.sources.published import manifest, read_published
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -22,13 +23,19 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def available_outputs(spark: SparkSession, out_dir: str,
                       names: Mapping[str, tuple[str, str]] = OUTPUTS) -> dict[str, tuple[str, str]]:
     """Name -> (title, description) of every registered output present under
-    ``out_dir`` (a written output is a folder with a ``_SUCCESS`` marker)."""
+    ``out_dir``: one that is published, or a plain folder with Spark's
+    ``_SUCCESS`` marker."""
     base = out_dir.rstrip("/")
-    return {n: about for n, about in names.items() if _exists(spark, f"{base}/{n}/_SUCCESS")}
+    return {n: about for n, about in names.items()
+            if manifest(spark, f"{base}/{n}") is not None or _exists(spark, f"{base}/{n}/_SUCCESS")}
 
 
 def load_output(spark: SparkSession, out_dir: str, name: str, fmt: str = "csv") -> DataFrame:
+    """One output, with the schema it was written with. ``fmt`` is for plain
+    folders only, whose CSV types are inferred; a published output states both."""
     path = f"{out_dir.rstrip('/')}/{name}"
+    if manifest(spark, path) is not None:
+        return read_published(spark, path)
     if fmt == "csv":
         return spark.read.option("header", True).option("inferSchema", True).csv(path)
     return spark.read.format(fmt).load(path)

@@ -1,16 +1,27 @@
 """Result sinks: distributed CSV / Parquet writes with a row count taken in
 the same job (``DataFrame.observe``), so nothing passes through the driver
-and the result is not computed twice."""
+and the result is not computed twice. Results are published
+(:mod:`tablescope.sources.published`): a write that fails leaves the result
+that was there before."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from tablescope.sources.published import publish
+
 
 def write_result(df: DataFrame, path: str, fmt: str = "csv", *,
-                 mode: str = "overwrite", partition_by: list[str] | None = None) -> int:
-    """Write ``df`` to ``path`` and return the number of rows written."""
+                 mode: str = "publish", partition_by: list[str] | None = None) -> int:
+    """Write ``df`` to ``path`` and return the number of rows written.
+
+    ``mode`` is ``publish``, or one of Spark's save modes, which write plain
+    files into ``path`` itself for readers that follow no manifest;
+    ``overwrite`` deletes what is there before the new files exist.
+    """
+    if mode == "publish":
+        return publish(df, path, fmt, partition_by=partition_by).rows
     obs = Observation("rows_written")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     writer = observed.write.mode(mode)
@@ -25,12 +36,12 @@ def write_result(df: DataFrame, path: str, fmt: str = "csv", *,
     return int(obs.get["rows"])
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> int:
+def write_csv(df: DataFrame, path: str, mode: str = "publish") -> int:
     return write_result(df, path, "csv", mode=mode)
 
 
 def write_results(outputs: dict[str, DataFrame], out_dir: str, fmt: str = "csv", *,
-                  parallel: int = 4, mode: str = "overwrite") -> dict[str, int]:
+                  parallel: int = 4, mode: str = "publish") -> dict[str, int]:
     """Write independent outputs, one directory each under ``out_dir``;
     return rows written per output, in the order given.
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tablescope.functions.labels import PIVOT_LABELS
 from tablescope.plans import trip_report as tr
 from tablescope.session import _shared, ensure_checkpoint_dir
+from tablescope.sources.files import read_parquet
 from tablescope.sources.registry import available_outputs, load_output
 from tablescope.sources.testdata import trips
 from tests.conftest import SMALL
@@ -91,7 +92,7 @@ def test_table_report_runner_writes_cleaned_once(spark, tmp_out):
     lazy = table_report(li, **opts)
     assert list(counts) == list(lazy)
     assert counts == {k: v.count() for k, v in lazy.items()}
-    top = spark.read.parquet(tmp_out + "/tab/top_n")
+    top = read_parquet(spark, tmp_out + "/tab/top_n")
     assert sorted(map(tuple, top.collect())) == sorted(map(tuple, lazy["top_n"].collect()))
 
 
