@@ -386,6 +386,15 @@ def q_dedupe(spark, sf_dir):
     return drop_duplicate_rows(o.unionByName(o))
 
 
+@register("a10_duplicates_by_digest", """
+SELECT DISTINCT * FROM (SELECT * FROM orders UNION ALL SELECT * FROM orders WHERE o_orderkey % 100 = 0)""")
+def q_dedupe_digest(spark, sf_dir):
+    """One row in a hundred is there twice."""
+    from tablescope.operators.quality import drop_duplicate_rows
+    o = table(spark, sf_dir, "orders")
+    return drop_duplicate_rows(o.unionByName(o.where(F.col("o_orderkey") % 100 == 0)), by_digest=True)
+
+
 CLEAN_SQL = f"""
 {DIRTY_SQL},
 cleaned AS (
@@ -401,6 +410,13 @@ def q_clean(spark, sf_dir):
     return clean_dataframe(dirty_customers(spark, sf_dir))
 
 
+@register("a11_clean_by_digest", f"""
+WITH {CLEAN_SQL} SELECT * FROM kept""")
+def q_clean_digest(spark, sf_dir):
+    from tablescope.operators.quality import clean_dataframe
+    return clean_dataframe(dirty_customers(spark, sf_dir), by_digest=True)
+
+
 @register("f3_filter_by_value", """
 SELECT * FROM lineitem WHERE l_quantity >= 10 AND l_quantity <= 20""")
 def q_filter_value(spark, sf_dir):
@@ -825,6 +841,16 @@ def q_first_rows_text(spark, sf_dir):
     return ranking.first_rows(table(spark, sf_dir, "orders").select(*cols), 2000, cols)
 
 
+@register("t4_first_rows_common_prefix", """
+SELECT 'a common beginning of more than forty bytes/' || CAST(o_orderkey * 7919 % 15013 AS VARCHAR) AS path, o_orderkey
+FROM orders ORDER BY path, o_orderkey LIMIT 2000""")
+def q_first_rows_prefix(spark, sf_dir):
+    key = F.col("o_orderkey")
+    paths = table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("a common beginning of more than forty bytes/"), (key * 7919 % 15013).cast("string")).alias("path"), key)
+    return ranking.first_rows(paths, 2000, ["path", "o_orderkey"])
+
+
 PRIORITY_SIZES = "SELECT o_orderpriority, COUNT(*) AS count FROM orders GROUP BY 1"
 
 

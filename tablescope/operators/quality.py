@@ -71,25 +71,31 @@ def trim_strings(df: DataFrame) -> DataFrame:
     return df.withColumns(cols) if cols else df
 
 
-def drop_duplicate_rows(df: DataFrame) -> DataFrame:
+def drop_duplicate_rows(df: DataFrame, by_digest: bool = False) -> DataFrame:
     """Exact duplicate removal.
 
     Planned as a hash aggregate on all columns with a map-side partial
     step, so a value repeated in a third of all rows is collapsed inside
-    each map task before the shuffle.
+    each map task before the shuffle. ``by_digest`` moves only rows that may be
+    repeated, for three scans (:mod:`tablescope.operators.repeats`).
     """
+    if by_digest:
+        from tablescope.operators.repeats import drop_repeated_rows
+
+        return drop_repeated_rows(df)
     return df.dropDuplicates()
 
 
-def clean_dataframe(df: DataFrame) -> DataFrame:
-    """Normalise names, trim strings, drop duplicates, drop all-null rows.
+def clean_dataframe(df: DataFrame, by_digest: bool = False) -> DataFrame:
+    """Normalise names, trim strings, drop duplicates (``by_digest``: see
+    :func:`drop_duplicate_rows`), drop all-null rows.
 
     Trimming comes before de-duplication, so ``"a "`` and ``"a"`` merge; a
     blank string becomes ``""`` which is not null and survives.
     """
     df = normalise_columns(df)
     df = trim_strings(df)
-    df = drop_duplicate_rows(df)
+    df = drop_duplicate_rows(df, by_digest)
     return drop_all_null_rows(df)
 
 

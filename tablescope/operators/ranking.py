@@ -6,7 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, NumericType, StringType, TimestampNTZType, TimestampType
+from pyspark.sql.types import (BinaryType, BooleanType, DateType, NumericType, StringType, TimestampNTZType,
+                               TimestampType)
 
 from tablescope.functions.columns import numeric_columns
 
@@ -90,11 +91,27 @@ def first_rows(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
     return _candidates(df, n, list(order)).orderBy(*sort).limit(n)
 
 
-def _thresholdable(df: DataFrame, col: str) -> bool:
-    return isinstance(df.schema[col].dataType, _THRESHOLD_TYPES)
+#: Bytes of a text that one block of the radix refinement looks at.
+_BLOCK = 5
 
 
-def _candidates(df: DataFrame, n: int, keys: list[str]) -> DataFrame:
+def _text_block(c: Column, offset: int) -> Column:
+    """The bytes of a text (or binary) from ``offset`` on as a number in their
+    order: five of them and, below those, how many of at most six there are. A
+    text that ends within the block is told apart from all that go on, so equal
+    numbers mean equal texts, or texts that all go on; exact in a double."""
+    rest = F.substring(c.cast("binary"), offset + 1, _BLOCK + 1)
+    digits = F.rpad(F.hex(F.substring(rest, 1, _BLOCK)), 2 * _BLOCK, "0")
+    return F.conv(digits, 16, 10).cast("double") * 8 + F.octet_length(rest)
+
+
+def _common_bytes(low, high) -> int:
+    """Length of the common prefix of two texts, and so of all between them."""
+    a, b = (bytes(x) if isinstance(x, (bytes, bytearray)) else x.encode() for x in (low, high))
+    return next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+
+
+def _candidates(df: DataFrame, n: int, keys: list[str], offset: int = 0) -> DataFrame:
     """A small DataFrame that contains the first ``n`` rows of ``df`` in the
     order ``keys`` (ascending, nulls first).
 
@@ -105,9 +122,12 @@ def _candidates(df: DataFrame, n: int, keys: list[str]) -> DataFrame:
     below are few and written once as a table. If the block *at* the cut is
     large (a hot value, say one date holding a third of all rows), only its
     first ``n - below`` rows are needed: they are found the same way on the
-    next key. Rows that tie on the last key too are interchangeable. A text
-    key is cut by its first bytes as a number, which keeps its order; texts
-    that agree in them are left to the final top-k.
+    next key. Rows that tie on the last key too are interchangeable.
+
+    A text key is refined by blocks of its bytes, from byte ``offset`` on: the
+    block at the cut goes on with the bytes after these, or, if its texts end
+    there and so are equal, with the next key. Where a block tells nothing
+    apart, the smallest and largest text say how many more bytes all share.
     """
     from tablescope.session import materialize, materialize_observed
 
@@ -117,27 +137,35 @@ def _candidates(df: DataFrame, n: int, keys: list[str]) -> DataFrame:
         draw = (1.2 * n + 100) / max(1, df.count())
         drawn, written = materialize_observed(df.filter(F.rand(7) < draw), rows=F.count(F.lit(1)))
         return drawn if written["rows"] >= n else df
-    lead, rest = keys[0], keys[1:]
-    c = F.col(lead)
-    if isinstance(df.schema[lead].dataType, StringType):
-        # six bytes: exact in a double, in the order of the bytes
-        c = F.conv(F.rpad(F.hex(F.substring(c.cast("binary"), 1, 6)), 12, "0"), 16, 10).cast("double")
-        rest = keys  # texts that share the bytes are still to be ordered
-    elif not _thresholdable(df, lead):
-        return df  # no sketch for this type: Spark's own top-k over df
-    stats = df.agg(F.count(F.lit(1)).alias("rows"), F.count_if(c.isNull()).alias("nulls"),
-                   F.percentile_approx(c, _GRID, _ACCURACY).alias("cuts")).first()
+    lead, kind = F.col(keys[0]), df.schema[keys[0]].dataType
+    text = isinstance(kind, (StringType, BinaryType))
+    if text:
+        c = _text_block(lead, offset)
+    elif isinstance(kind, BooleanType):
+        c = lead.cast("int")
+    elif isinstance(kind, _THRESHOLD_TYPES):
+        c = lead
+    else:
+        return df  # no order-preserving number for this type: Spark's own top-k over df
+    stats = df.agg(F.count(F.lit(1)).alias("rows"), F.count_if(lead.isNull()).alias("nulls"),
+                   F.percentile_approx(c, _GRID, _ACCURACY).alias("cuts"), F.min(c).alias("low"), F.max(c).alias("high")).first()
     total, nulls, cuts = stats["rows"], stats["nulls"], stats["cuts"]
     if total <= n:
         return df
     if nulls >= n:  # the first n rows all have a null lead: order them by the rest
-        return _candidates(df.filter(c.isNull()), n, keys[1:])
+        return _candidates(df.filter(lead.isNull()), n, keys[1:])
+    if text and stats["low"] == stats["high"] and stats["low"] % 8 > _BLOCK:
+        # this block is the same in all texts: go to the first byte that is not
+        ends = df.agg(F.min(lead).alias("low"), F.max(lead).alias("high")).first()
+        known = df.filter(lead.isNotNull())
+        rows = _candidates(known, n - nulls, keys, max(offset + _BLOCK, _common_bytes(*ends)))
+        return rows.unionByName(df.filter(lead.isNull())) if nulls else rows
     need = (1.5 * n - nulls) / (total - nulls) + 2.0 / _ACCURACY
     i = next((j for j, f in enumerate(_GRID) if f >= need), None)
     if i is None or _GRID[i] >= 1.0 or cuts is None:
         return df
     cut = F.lit(cuts[i])
-    below, at = c.isNull() | (c < cut), c == cut
+    below, at = lead.isNull() | (c < cut), c == cut
     counts = df.agg(F.count_if(below).alias("below"), F.count_if(at).alias("at")).first()
     n_below, n_at = counts["below"], counts["at"]
     if n_below >= n:
@@ -149,9 +177,9 @@ def _candidates(df: DataFrame, n: int, keys: list[str]) -> DataFrame:
     if n_at <= 4 * n:
         return materialize(df.filter(below | at))
     head = materialize(df.filter(below))
-    if rest is keys:  # a hot text prefix: its rows as they are
-        return head.unionByName(df.filter(at))
-    return head.unionByName(_candidates(df.filter(at), n - n_below, rest))
+    if text and cuts[i] % 8 > _BLOCK:  # these texts go on
+        return head.unionByName(_candidates(df.filter(at), n - n_below, keys, offset + _BLOCK))
+    return head.unionByName(_candidates(df.filter(at), n - n_below, keys[1:]))
 
 
 def cap_rows(df: DataFrame, n: int, order: Sequence[str] | None = None) -> DataFrame:

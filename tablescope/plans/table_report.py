@@ -27,19 +27,21 @@ def row_sample(df: DataFrame, fraction: float) -> DataFrame:
 def table_report(df: DataFrame, *, category_col: str | None = None,
                  date_col: str | None = None, top_col: str | None = None,
                  top_n: int = TOP_N, sample_fraction: float | None = None,
-                 outputs: tuple[str, ...] = OUTPUTS, write_cleaned: bool = True) -> dict[str, DataFrame]:
+                 outputs: tuple[str, ...] = OUTPUTS, write_cleaned: bool | None = None,
+                 by_digest: bool = False) -> dict[str, DataFrame]:
     """Outputs keyed ``summary``, ``time_series`` (when ``date_col`` is
     given or a ``date`` column exists), ``top_n`` and ``cleaned``; only those
     named in ``outputs`` are built. ``cleaned`` is every cleaned row, or a
     uniform sample of them if ``sample_fraction`` is given.
 
-    The cleaned table costs a de-duplicating shuffle of the whole input, so
-    it is written once as a Parquet table in the checkpoint folder, from
-    which every output reads its columns; ``write_cleaned=False`` keeps all
-    lazy, and each output cleans anew.
+    The cleaned table costs a de-duplicating shuffle of the whole input (of
+    digests with ``by_digest``, see :func:`quality.drop_duplicate_rows`), so
+    where two or more outputs read it, it is written once as a Parquet table in
+    the checkpoint folder, from which every output reads its columns;
+    ``write_cleaned`` says so either way, and without it each output cleans anew.
     """
-    cleaned = clean_dataframe(df)
-    if write_cleaned:
+    cleaned = clean_dataframe(df, by_digest)
+    if len(outputs) > 1 if write_cleaned is None else write_cleaned:
         cleaned = materialize(cleaned)
     out = {}
     if "summary" in outputs:

@@ -58,18 +58,19 @@ def outliers(t: Trips) -> DataFrame:
     return quality.outliers(t.df, t.fare, passengers=t.passengers)
 
 
-def base_cube(t: Trips) -> DataFrame:
+def base_cube(t: Trips, *keys: str) -> DataFrame:
     """Per (date, hour, group): the additive pieces every grouped output
-    needs. Its size is dates x 24 x groups, independent of the trip count."""
+    needs. Its size is dates x 24 x groups, independent of the trip count. A
+    single output names the ``keys`` it needs, and is grouped once."""
     _require(t.has_time, "a pickup time column")
-    keys = ["date", "hour"] + ([t.group] if t.group else [])
-    return aggregate.trip_cube(t.df, keys, t.fare, t.distance, t.passengers)
+    by = list(keys) or ["date", "hour"] + ([t.group] if t.group else [])
+    return aggregate.trip_cube(t.df, by, t.fare, t.distance, t.passengers)
 
 
 def daily(t: Trips, cube: DataFrame | None = None) -> DataFrame:
     _require(t.fare is not None and t.has_time and t.group is not None,
              "fare, pickup time or a payment/vendor column")
-    return aggregate.daily_by_group(base_cube(t) if cube is None else cube, t.group)
+    return aggregate.daily_by_group(base_cube(t, "date", t.group) if cube is None else cube, t.group)
 
 
 def ranked(t: Trips, daily_df: DataFrame | None = None) -> DataFrame:
@@ -86,16 +87,16 @@ def running(t: Trips, daily_df: DataFrame | None = None) -> DataFrame:
 
 
 def sessions(t: Trips, cube: DataFrame | None = None) -> DataFrame:
-    return aggregate.time_of_day_summary(base_cube(t) if cube is None else cube)
+    return aggregate.time_of_day_summary(base_cube(t, "hour") if cube is None else cube)
 
 
 def pivot(t: Trips, cube: DataFrame | None = None) -> DataFrame:
     _require(t.fare is not None and t.has_time, "fare or pickup time")
-    return aggregate.hour_session_pivot(base_cube(t) if cube is None else cube)
+    return aggregate.hour_session_pivot(base_cube(t, "hour") if cube is None else cube)
 
 
 def time_series(t: Trips, cube: DataFrame | None = None) -> DataFrame:
-    return aggregate.daily_series(base_cube(t) if cube is None else cube)
+    return aggregate.daily_series(base_cube(t, "date") if cube is None else cube)
 
 
 def enriched(t: Trips, spark: SparkSession, cap: int | None = None) -> DataFrame:

@@ -127,7 +127,7 @@ def table_bounds(table: DataFrame, columns: Sequence[str] | Mapping[str, str] |
         F.when(F.bool_and(F.col("known") & F.col("nulls").isNotNull()), F.sum("nulls")).alias("nulls"),
         F.collect_list(F.when(~F.col("known"), F.col("file"))).alias("unknown"))
     out, unknown = {}, {}
-    for r in merged.collect():
+    for r in merged.agg(F.collect_list(F.struct("*")).alias("columns")).first()["columns"]:  # one entry per column
         name = back[r["column"]]
         out[name] = Bounds(name, r["rows"], r["low"], r["high"], r["nulls"])
         if r["unknown"]:
