@@ -6,8 +6,8 @@ densification, banded buckets, star-shaped candidate edges, exact checks.
    ranges (one permutation), the least of each range is its value, and an
    empty range borrows the value of a filled one, chosen by a random order of
    its own (optimal densification). ``rows`` values make one band key.
-2. Documents with equal sets are one node, the smallest doc_id; copies are
-   never expanded.
+2. Documents with equal sets are one node, named by the set's digest; copies
+   are never expanded.
 3. Buckets with one node are dropped. In the others every node gets an edge to
    one centre: the node that meets others in most bands, as that is the least
    edited one. So a bucket of n nodes proposes n - 1 pairs, not n * (n - 1) / 2.
@@ -18,7 +18,9 @@ densification, banded buckets, star-shaped candidate edges, exact checks.
    pairs left are checked on the full sets too, so no candidate pair is lost.
 
 With 42 bands of 6 rows two sets of similarity 0.8 share no bucket with a
-probability of 3e-6, of 0.85 with 2e-9. Sets are compared by 64-bit digests.
+probability of 3e-6, of 0.85 with 2e-9. Sets are compared by 64-bit digests of
+shingles and are equal if their 128-bit digests are. Tables of the way are
+deleted at the end; the result is a table in the checkpoint folder.
 
 Defined results: a document without words (null, empty or blank text) has the
 empty set and is linked with nothing; so is a row whose id is null, whose
@@ -41,7 +43,7 @@ from pyspark.sql import functions as F
 from tablescope.llm.components import connected_components
 from tablescope.llm.shingles import mix, shingle_sets
 from tablescope.llm.skew import FREQUENT, join_by_group
-from tablescope.session import materialize, materialize_observed
+from tablescope.session import materialize, materialize_observed, scratch
 
 BANDS, ROWS = 42, 6
 _U = np.uint64
@@ -50,6 +52,9 @@ _U = np.uint64
 CENTRE_PARTS = 1 << 16
 #: Parts in which the nodes of a frequent rare-first shingle meet.
 PAIR_PARTS = 32
+#: Levels of rarity (a shingle of 2, 4, ... sets), bits per shingle of a level,
+#: and bits of a level at most: 16 levels of 4 MB bound what is sent.
+LEVELS, BITS_PER_SHINGLE, LEVEL_BITS = 16, 16, 1 << 25
 
 
 @lru_cache(maxsize=4)
@@ -107,10 +112,10 @@ def _sets(k: int):
         for batch in batches:
             # few texts at a time: a set takes more room than its text
             for a in range(0, batch.num_rows, 512):
-                part = batch.slice(a, 512)
+                sets = [s.tobytes() for s in shingle_sets(batch.column("text").slice(a, 512), k)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), pa.array([s.tobytes() for s in shingle_sets(part.column("text"), k)],
-                                                 pa.binary())], names=["id", "shingles"])
+                    [pa.array([xxhash.xxh3_128_digest(s) for s in sets], pa.binary()), pa.array(sets, pa.binary())],
+                    names=["node", "shingles"])
         pa.default_memory_pool().release_unused()  # the worker lives on between tasks
     return run
 
@@ -131,7 +136,6 @@ def _check(percent: int):
             x, y = batch.column("set_a"), batch.column("set_b")
             linked = []
             for i in range(batch.num_rows):
-                # rows that share an id have sets of their own
                 own = np.frombuffer(x[i].as_buffer(), dtype=_U)
                 other = np.frombuffer(y[i].as_buffer(), dtype=_U)
                 common = _common(own, other)
@@ -144,24 +148,52 @@ def _check(percent: int):
 def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(batch.num_rows):
-            s = np.frombuffer(batch.column("shingles")[i].as_buffer(), dtype=np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(s), pa.array(np.full(len(s), batch.column("id")[i].as_py(), dtype=np.int64))],
-                names=["shingle", "id"])
+                [pa.array(np.frombuffer(batch.column("shingles")[i].as_buffer(), dtype=np.int64))], names=["shingle"])
+
+
+def rarity(shingles: np.ndarray, levels: list[np.ndarray]) -> np.ndarray:
+    """The highest level whose bits hold each shingle, from 1; 0 for one that
+    only its own set has."""
+    out = np.zeros(len(shingles), dtype=np.int64)
+    for k, bits in enumerate(levels, 1):
+        at = (shingles & _U(8 * len(bits) - 1)).astype(np.int64)
+        out[(bits[at >> 3] >> (at & 7)) & 1 == 1] = k
+    return out
+
+
+def _prefixes(percent: int, levels: list[bytes]):
+    """The first shingles of each set, rarest first, that another set may have:
+    ``rest`` is how many follow from there on, itself included."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.frombuffer(x, dtype=np.uint8) for x in levels]
+        for batch in batches:
+            for i in range(batch.num_rows):
+                own = np.frombuffer(batch.column("shingles")[i].as_buffer(), dtype=_U)
+                n = len(own)
+                level = rarity(own, held)
+                order = np.lexsort((own, level))[:n - -(-n * percent // 100) + 1]
+                at = np.flatnonzero(level[order] > 0)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(own[order[at]].view(np.int64)), pa.array(n - at, pa.int64()),
+                     *(batch.column(c).take(pa.array([i] * len(at), pa.int64())) for c in ("node", "n", "component"))],
+                    names=["shingle", "rest", "node", "n", "component"])
+        pa.default_memory_pool().release_unused()  # the worker lives on between tasks
+    return run
 
 
 def _checked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``pairs`` (a, b; distinct, b seldom frequent) with ``linked``. Members of
+    """``pairs`` (a, b: nodes; distinct, b seldom frequent) with ``linked``. Members of
     a frequent ``a`` are dealt over many keys (a, part), each with a copy of
     its set; one key has few rows then, and a rare ``a`` no needless copies."""
     part = F.pmod(F.xxhash64("b"), F.lit(CENTRE_PARTS))
     pairs = pairs.select("a", "b", part.alias("part"))
-    member = sets.select(F.col("id").alias("b"), F.col("shingles").alias("set_b"))
+    member = sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
     copies = pairs.select("a", "part").distinct().join(
-        sets.select(F.col("id").alias("a"), F.col("shingles").alias("set_a")), "a")
+        sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a")), "a")
     return (pairs.join(member, "b").join(copies, ["a", "part"])
             .select("a", "b", "set_a", "set_b")
-            .mapInArrow(_check(percent), "a long, b long, linked boolean"))
+            .mapInArrow(_check(percent), "a binary, b binary, linked boolean"))
 
 
 def _may_link(n1, n2, percent: int, most=None):
@@ -176,54 +208,63 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row per document: ``id_col``, ``n_shingles``, ``component_id`` (the
     smallest id reachable over links of at least ``percent`` % similarity) and
     ``kept`` (it is its own component's smallest id)."""
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    with scratch(docs.sparkSession):
+        source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+        found = _near_duplicates(source, words, percent, bands, rows)
+        return materialize(found.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
+                                        F.col("component").alias("component_id"),
+                                        F.col("id").eqNullSafe(F.col("component")).alias("kept")), keep=True)
+
+
+def _near_duplicates(source: DataFrame, words: int, percent: int, bands: int, rows: int) -> DataFrame:
     signed, seen = materialize_observed(
         source.mapInArrow(_sign(words, bands, rows), "id long, n long, digest binary, keys array<long>"),
         rows=F.count("digest"))
     with_set = signed.where("digest is not null")
 
-    # Equal sets are one node, named by the smallest id.
-    nodes = materialize(with_set.groupBy("digest").agg(F.min("id").alias("node"), F.first("n").alias("n"),
-                                                       F.count(F.lit(1)).alias("copies")))
-    node_keys = (with_set.select(F.col("id").alias("node"), "digest", "keys")
-                 .join(nodes.select("digest", "node", "n"), ["digest", "node"]))
+    # Equal sets are one node; its id is the smallest.
+    nodes = materialize(with_set.groupBy(F.col("digest").alias("node")).agg(
+        F.min("id").alias("id"), F.first("n").alias("n"), F.count(F.lit(1)).alias("copies")))
+    node_keys = with_set.select("id", F.col("digest").alias("node"), "keys").join(nodes.select("node", "id", "n"), ["node", "id"])
     buckets = materialize(node_keys.select(F.explode("keys").alias("key"), "node", "n").distinct())
-    shared = (buckets.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
-              .where("lo < hi").select("key"))
+    shared = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("key")
     members = materialize(buckets.join(shared, "key", "left_semi"))
 
-    links = _links(members, source, words, percent).union(_one_document(with_set, nodes, seen["rows"]))
-    label = connected_components(links)
-    grouped = (nodes.select("digest", "node", "copies").join(label, "node", "left")
-               .select("digest", "copies", F.coalesce("component", "node").alias("component")))
-    grouped = materialize(grouped)
+    links = _links(members, nodes, source, words, percent).union(_one_document(with_set))
+    # A component is named by a node; its id is the smallest of its nodes.
+    label, linked = materialize_observed(connected_components(links).join(nodes.select("node", "id"), "node"),
+                                         rows=F.count(F.lit(1)))
+    smallest = materialize(label.groupBy("component").agg(F.min("id").alias("to"), F.count(F.lit(1)).alias("size")))
+    label = join_by_group(label.select("node", "component"), smallest, "component", "size", linked["rows"])
+    grouped = materialize(nodes.join(label.select("node", "to"), "node", "left").select(
+        F.col("node").alias("digest"), "copies", F.coalesce("to", "id").alias("component")))
     found = join_by_group(with_set.select("id", "n", "digest"), grouped, "digest", "copies", seen["rows"])
-    found = found.select("id", "n", "component").unionByName(
+    return found.select("id", "n", "component").unionByName(
         signed.where("digest is null").select("id", "n", F.col("id").alias("component")))
-    return found.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-                        F.col("component").alias("component_id"),
-                        F.col("id").eqNullSafe(F.col("component")).alias("kept"))
-
-
-def _one_document(with_set: DataFrame, nodes: DataFrame, total: int) -> DataFrame:
-    """Links (a, b) of each id whose rows have several sets with their nodes,
-    which other ids may have named."""
-    digest = F.xxhash64("digest")
-    several, seen = materialize_observed(
-        with_set.groupBy("id").agg(F.min(digest).alias("lo"), F.max(digest).alias("hi")).where("lo < hi").select("id"),
-        n=F.count(F.lit(1)))
-    if not seen["n"]:
-        return several.select(F.col("id").alias("a"), F.col("id").alias("b"))
-    own = materialize(with_set.select("id", "digest").join(several, "id", "left_semi").distinct())
-    return join_by_group(own, nodes, "digest", "copies", total).select(F.col("id").alias("a"), F.col("node").alias("b"))
 
 
-def _links(members: DataFrame, source: DataFrame, words: int, percent: int) -> DataFrame:
+def _one_document(with_set: DataFrame) -> DataFrame:
+    """Links (a, b) between the nodes of each id whose rows have several sets:
+    all with the least of them."""
+    own, seen = materialize_observed(with_set.select("id", F.col("digest").alias("b")).distinct(), rows=F.count(F.lit(1)))
+    several = materialize(own.groupBy("id").agg(F.min("b").alias("a"), F.count(F.lit(1)).alias("size")).where("size > 1"))
+    return join_by_group(own, several, "id", "size", seen["rows"]).where("a != b").select("a", "b")
+
+
+def _node_sets(wanted: DataFrame, source: DataFrame, words: int) -> DataFrame:
+    """``node``, ``shingles`` of the ``wanted`` nodes (node, id), once each."""
+    rows = source.where("id is not null").join(wanted.select("id").distinct(), "id", "left_semi")
+    sets = materialize(rows.mapInArrow(_sets(words), "node binary, shingles binary"))
+    # rows repeated as a whole have been read each
+    _, seen = materialize_observed(sets.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), n=F.count(F.lit(1)))
+    return materialize(sets.dropDuplicates(["node"])) if seen["n"] else sets
+
+
+def _links(members: DataFrame, nodes: DataFrame, source: DataFrame, words: int, percent: int) -> DataFrame:
     """Links (a, b) whose components are those of all links among the
     candidate pairs of ``members`` (key, node, n)."""
-    wanted = members.select(F.col("node").alias("id")).distinct()
-    sets = materialize(source.where("id is not null").join(wanted, "id", "left_semi")
-                       .mapInArrow(_sets(words), "id long, shingles binary"))
+    wanted = nodes.select("node", "id").join(members.select("node").distinct(), "node", "left_semi")
+    sets = _node_sets(wanted, source, words)
 
     # Stars: the centre of a bucket is its node with the most shared bands.
     bands_met = members.groupBy("node").agg(F.count(F.lit(1)).alias("met"))
@@ -240,11 +281,11 @@ def _links(members: DataFrame, source: DataFrame, words: int, percent: int) -> D
     # Buckets that stars left with several components; of two nodes, the star
     # was the only pair.
     placed = materialize(members.join(label, "node", "left")
-                         .select("key", F.col("node").alias("id"), "n", F.coalesce("component", "node").alias("component")))
+                         .select("key", "node", "n", F.coalesce("component", "node").alias("component")))
     split = (placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
                                        F.count(F.lit(1)).alias("size"))
              .where("lo < hi and size > 2").select("key"))
-    open_, seen = materialize_observed(placed.join(split, "key", "left_semi").select("id", "n", "component").distinct(),
+    open_, seen = materialize_observed(placed.join(split, "key", "left_semi").select("node", "n", "component").distinct(),
                                        n=F.count(F.lit(1)))
     if not seen["n"]:
         return linked
@@ -255,29 +296,47 @@ def _links(members: DataFrame, source: DataFrame, words: int, percent: int) -> D
     return linked.union(second.select("a", "b"))
 
 
+def _levels(counts: DataFrame) -> list[bytes]:
+    """Bitmaps of the shingles (by their lowest bits) that at least 2, 4, 8 ...
+    sets have. Each level has :data:`BITS_PER_SHINGLE` bits per shingle, up to
+    :data:`LEVEL_BITS`: a bound on what reaches the driver and the tasks,
+    whatever the data. A shingle that shares its bit with a more frequent one
+    only counts as one."""
+    size = counts.agg(*[F.count_if(F.col("df") >= 1 << k).alias(f"l{k}") for k in range(1, LEVELS + 1)]).first()
+    wide = [min(LEVEL_BITS, 1 << max(16, (BITS_PER_SHINGLE * size[f"l{k}"] - 1).bit_length()))
+            for k in range(1, LEVELS + 1) if size[f"l{k}"]]
+    level = F.explode(F.array(*[F.struct(F.lit(k).alias("level"), F.lit(bits).alias("bits"), F.lit(1 << k).alias("least"))
+                                for k, bits in enumerate(wide, 1)])) if wide else None
+    out = [bytearray(bits // 8) for bits in wide]
+    if wide:
+        bit = F.col("shingle").bitwiseAND(F.col("l.bits") - 1)
+        parts = (counts.select("shingle", "df", level.alias("l")).where(F.col("df") >= F.col("l.least"))
+                 .select(F.col("l.level").alias("level"), F.floor(bit / 32768).cast("long").alias("bucket"), (bit % 32768).alias("bit"))
+                 .groupBy("level", "bucket").agg(F.bitmap_construct_agg("bit").alias("bits")))
+        buckets = parts.collect()
+        for r in buckets:
+            out[r["level"] - 1][r["bucket"] * 4096:(r["bucket"] + 1) * 4096] = r["bits"]
+    return [bytes(x) for x in out]
+
+
 def _rare_pairs(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components of ``nodes`` (id, n, component)
+    """Pairs (a, b) of different components of ``nodes`` (node, n, component)
     that may reach the similarity: a superset of those that do.
 
-    Each set is put in one order for all, rarest shingle first. Two sets that
-    reach the similarity share a shingle among the first of both, and what
+    Each set is put in one order for all: by the number of sets that have a
+    shingle, in powers of two (see :func:`_levels`), then by digest. Two sets
+    that reach the similarity share a shingle among the first of both, and what
     follows it there must suffice for the rest (prefix and position filters).
-    The edits of a copy are rare, so come first, and few pairs are left.
+    The edits of a copy are rare, so come first, and few pairs are left. Only
+    these first shingles leave a task as rows; a shingle that one set alone has
+    takes a place among them but needs no row.
     """
-    rows = (sets.join(nodes.select("id"), "id", "left_semi").mapInArrow(_shingle_rows, "shingle long, id long"))
-    # A shingle that one set alone has only takes a place; a set is one group.
-    seen_in, seen = materialize_observed(rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1"),
-                                         rows=F.coalesce(F.sum("df"), F.lit(0)))
-    ordered = (join_by_group(rows, seen_in, "shingle", "df", seen["rows"]).groupBy("id")
-               .agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("shared")))
-    first = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    prefix = (ordered.join(nodes, "id")
-              .withColumn("alone", F.col("n") - F.size("shared"))
-              .withColumn("use", (first - F.col("alone")).cast("int")).where("use > 0")
-              .select("id", "n", "component", "alone", F.posexplode(F.slice("shared", 1, F.col("use"))))
-              .select("id", "n", "component", F.col("col.shingle").alias("shingle"),
-                      (F.col("n") - F.col("alone") - F.col("pos")).alias("rest")))
-    prefix, seen = materialize_observed(prefix, rows=F.count(F.lit(1)))
+    own = sets.join(nodes, "node")
+    counts = materialize(own.select("shingles").mapInArrow(_shingle_rows, "shingle long")
+                         .groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1"))
+    prefix, seen = materialize_observed(
+        own.mapInArrow(_prefixes(percent, _levels(counts)), "shingle long, rest long, node binary, n long, component binary"),
+        rows=F.count(F.lit(1)))
     largest = materialize(
         prefix.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("size"))
         .groupBy("shingle").agg(F.max(F.struct("size", "component")).alias("top"), F.sum("size").alias("rows"),
@@ -285,7 +344,7 @@ def _rare_pairs(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         .where("parts > 1").select("shingle", "rows", F.col("top.component").alias("top")))
     outside = (join_by_group(prefix, largest, "shingle", "rows", seen["rows"])
                .where(F.col("component") != F.col("top"))
-               .select("shingle", "top", F.col("id").alias("a"), F.col("n").alias("n_a"),
+               .select("shingle", "top", F.col("node").alias("a"), F.col("n").alias("n_a"),
                        F.col("rest").alias("rest_a"), F.col("component").alias("component_a")))
     # The nodes of a frequent shingle (a thousand at most) meet in many parts.
     frequent = F.broadcast(largest.where(F.col("rows") * FREQUENT > seen["rows"])
@@ -295,7 +354,7 @@ def _rare_pairs(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     outside = outside.join(frequent, "shingle", "left").withColumn("part", part.cast("int")).drop("hot")
     across = prefix.join(frequent, "shingle", "left").withColumn("part", F.explode(every)).drop("hot")
     both = ((F.col("component_a") != F.col("component"))
-            & ((F.col("component") == F.col("top")) | (F.col("a") < F.col("id")))
+            & ((F.col("component") == F.col("top")) | (F.col("a") < F.col("node")))
             & _may_link(F.col("n_a"), F.col("n"), percent)
             & _may_link(F.col("n_a"), F.col("n"), percent, F.least("rest_a", "rest")))
-    return outside.join(across, ["shingle", "part"]).where(both).select("a", F.col("id").alias("b")).distinct()
+    return outside.join(across, ["shingle", "part"]).where(both).select("a", F.col("node").alias("b")).distinct()

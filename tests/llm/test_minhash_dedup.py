@@ -149,3 +149,68 @@ def test_a_pair_is_checked_by_each_set_of_its_first_id():
     batch = pa.RecordBatch.from_pydict({"a": [5, 5], "b": [7, 7], "set_a": sets[:2], "set_b": [sets[2]] * 2})
     both = pa.RecordBatch.from_pydict({"a": [5, 5], "b": [7, 7], "set_a": sets[1::-1], "set_b": [sets[2]] * 2})
     assert [out.column("linked").to_pylist() for out in M._check(85)([batch, both])] == [[False, True], [True, False]]
+
+
+def compared(docs, monkeypatch, **more):
+    """The rows found, and how many pairs were compared on full sets."""
+    pairs = []
+    whole = M._checked
+    monkeypatch.setattr(M, "_checked", lambda p, sets, percent: pairs.append(p.count()) or whole(p, sets, percent))
+    got = found(docs, 3, 85, **more)
+    monkeypatch.undo()
+    return got, sum(pairs)
+
+
+def unlinked(size, seed=1, words=150, edits=9):
+    """Copies of one text that share bands with all others but reach the
+    similarity with none, or with few."""
+    rnd = random.Random(seed)
+    base = [f"w{rnd.randrange(5000)}" for _ in range(words)]
+    rows = []
+    for i in range(size):
+        t = list(base)
+        for at in rnd.sample(range(words), edits):
+            t[at] = f"e{rnd.randrange(10 ** 9)}"
+        rows.append((i, " ".join(t)))
+    return rows
+
+
+def test_a_group_that_stays_unlinked_costs_in_proportion(spark, monkeypatch):
+    counts = {}
+    for size in (300, 600):
+        rows = unlinked(size)
+        got, counts[size] = compared(spark.createDataFrame(rows, "doc_id long, text string"), monkeypatch)
+        assert got == brute(rows, 3, 85)
+        assert sum(r[3] for r in got) > 0.9 * size
+    assert counts[600] < 2.5 * counts[300] and counts[600] < 600 * 30
+
+
+def test_many_texts_of_one_id_cost_in_proportion(spark, monkeypatch):
+    counts = {}
+    for size in (150, 300):
+        rnd = random.Random(2)
+        texts = [" ".join(f"w{rnd.randrange(10 ** 6)}" for _ in range(60)) for _ in range(size)]
+        rows = [(7, t) for t in texts] + [(100 + i, t.rsplit(" ", 1)[0]) for i, t in enumerate(texts)]
+        got, counts[size] = compared(spark.createDataFrame(rows, "doc_id long, text string"), monkeypatch)
+        assert {r[2] for r in got} == {7}
+        assert [r[3] for r in got].count(True) == size
+    assert counts[300] <= 2.1 * counts[150] <= 2.1 * 160
+
+
+def test_rows_repeated_as_a_whole(spark, monkeypatch):
+    rows = [(i, t) for i, t in [(1, Y), (2, NEAR_Y), (3, X)] for _ in range(50)]
+    got, n = compared(spark.createDataFrame(rows, "doc_id long, text string"), monkeypatch)
+    assert got == brute(rows, 3, 85) and n == 1
+
+
+def test_levels_order_by_how_many_sets_share_a_shingle(spark):
+    rnd = random.Random(9)
+    df = {rnd.randrange(-(2 ** 63), 2 ** 63): rnd.choice([2, 3, 4, 9, 70, 5000]) for _ in range(3000)}
+    levels = M._levels(spark.createDataFrame(list(df.items()), "shingle long, df long"))
+    own = np.array(list(df), dtype=np.int64).view(np.uint64)
+    found_in = M.rarity(own, [np.frombuffer(x, np.uint8) for x in levels])
+    exact = np.array([n.bit_length() - 1 for n in df.values()])
+    assert (found_in >= exact).all() and (found_in == exact).mean() > 0.8
+    alone = np.array([rnd.randrange(2 ** 64) for _ in range(3000)], dtype=np.uint64)
+    assert (M.rarity(alone, [np.frombuffer(x, np.uint8) for x in levels]) == 0).mean() > 0.8
+    assert M._levels(spark.createDataFrame([], "shingle long, df long")) == []
