@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from tablescope.llm.components import connected_components
 from tablescope.llm.shingles import mix, shingle_sets
-from tablescope.llm.skew import FREQUENT, join_by_group
+from tablescope.llm.skew import FREQUENT, join_by_group, with_key_in
 from tablescope.session import materialize, materialize_observed, scratch
 
 BANDS, ROWS = 42, 6
@@ -150,6 +150,7 @@ def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         for i in range(batch.num_rows):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.frombuffer(batch.column("shingles")[i].as_buffer(), dtype=np.int64))], names=["shingle"])
+    pa.default_memory_pool().release_unused()  # the worker lives on between tasks
 
 
 def rarity(shingles: np.ndarray, levels: list[np.ndarray]) -> np.ndarray:
@@ -222,11 +223,10 @@ def _near_duplicates(source: DataFrame, words: int, percent: int, bands: int, ro
         rows=F.count("digest"))
     with_set = signed.where("digest is not null")
 
-    # Equal sets are one node; its id is the smallest.
+    # Equal sets are one node, with the keys that they share; its id is the smallest.
     nodes = materialize(with_set.groupBy(F.col("digest").alias("node")).agg(
-        F.min("id").alias("id"), F.first("n").alias("n"), F.count(F.lit(1)).alias("copies")))
-    node_keys = with_set.select("id", F.col("digest").alias("node"), "keys").join(nodes.select("node", "id", "n"), ["node", "id"])
-    buckets = materialize(node_keys.select(F.explode("keys").alias("key"), "node", "n").distinct())
+        F.min("id").alias("id"), F.first("n").alias("n"), F.count(F.lit(1)).alias("copies"), F.first("keys").alias("keys")))
+    buckets = nodes.select(F.explode("keys").alias("key"), "node", "n")
     shared = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("key")
     members = materialize(buckets.join(shared, "key", "left_semi"))
 
@@ -289,10 +289,11 @@ def _links(members: DataFrame, nodes: DataFrame, source: DataFrame, words: int,
                                        n=F.count(F.lit(1)))
     if not seen["n"]:
         return linked
-    pairs = _rare_pairs(open_, sets, percent)
+    own = materialize(with_key_in(sets, open_, "node", seen["n"]).join(open_, "node"))
+    pairs = _rare_pairs(own, percent)
     tried = first.select(F.col("a"), F.col("b")).union(first.select(F.col("b"), F.col("a")))
     pairs = materialize(pairs.join(tried, ["a", "b"], "left_anti"))
-    second = materialize(_checked(pairs, sets, percent).where("linked"))
+    second = materialize(_checked(pairs, own, percent).where("linked"))
     return linked.union(second.select("a", "b"))
 
 
@@ -319,9 +320,10 @@ def _levels(counts: DataFrame) -> list[bytes]:
     return [bytes(x) for x in out]
 
 
-def _rare_pairs(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components of ``nodes`` (node, n, component)
-    that may reach the similarity: a superset of those that do.
+def _rare_pairs(own: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of nodes in different components of ``own`` (node, n,
+    component, shingles) that may reach the similarity: a superset of those
+    that do.
 
     Each set is put in one order for all: by the number of sets that have a
     shingle, in powers of two (see :func:`_levels`), then by digest. Two sets
@@ -331,7 +333,6 @@ def _rare_pairs(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     these first shingles leave a task as rows; a shingle that one set alone has
     takes a place among them but needs no row.
     """
-    own = sets.join(nodes, "node")
     counts = materialize(own.select("shingles").mapInArrow(_shingle_rows, "shingle long")
                          .groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1"))
     prefix, seen = materialize_observed(

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Bits per key of a filter, and the bounds of its bits: 2^25 bits are half a
+#: million words to broadcast, whatever the data.
+BITS_PER_KEY, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 25
+
 #: A key is frequent when it holds more than one in FREQUENT of all rows, so
 #: at most FREQUENT keys can be: the broadcast side is bounded by arithmetic.
 FREQUENT = 1000
@@ -23,3 +27,24 @@ def join_by_group(rows: DataFrame, groups: DataFrame, key: str, count: str, tota
     return (rows.join(F.broadcast(frequent), key).unionByName(
         rows.join(F.broadcast(frequent.select(key)), key, "left_anti")
             .join(groups.where(~hot), key)))
+
+
+def with_key_in(rows: DataFrame, keys: DataFrame, key: str, count: int) -> DataFrame:
+    """Rows whose ``key`` is among ``keys`` (``count`` of them, distinct, in a
+    written table), for rows too wide to shuffle for it: a filter of bounded size
+    that the keys set bits of is broadcast first and drops most other rows; a
+    semi-join decides on what it lets through."""
+    bits = LEAST_BITS
+    while bits < min(MOST_BITS, BITS_PER_KEY * count):
+        bits *= 2
+
+    def place(name: str) -> tuple[Column, Column]:
+        at = F.xxhash64(name).bitwiseAND(F.lit(bits - 1))
+        one = F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(63)).cast("int"))
+        return F.shiftright(at, 6), one
+
+    word, one = place(key)
+    words = keys.groupBy(word.alias("__word")).agg(F.bit_or(one).alias("__bits"))
+    near = rows.withColumn("__at", word).join(F.broadcast(words), F.col("__at") == F.col("__word"))
+    near = near.where(F.col("__bits").bitwiseAND(one) != 0).drop("__at", "__word", "__bits")
+    return near.join(keys.select(key), key, "left_semi")
