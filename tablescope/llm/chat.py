@@ -9,7 +9,7 @@ probabilities. Viterbi finds the best states, and turns are rendered in one
 canonical form.
 
 No conversation need fit a task. Rows are range-partitioned by conversation,
-position and text, equal ones too, and numbered within their conversation from
+position and the digest of the text, equal ones too, and numbered within their conversation from
 per-task counts; a segment is :data:`SEGMENT` of them, whatever their
 positions. A segment is summed up as a matrix: the best score
 from each state before it to each state at its end. Matrices of one
@@ -19,7 +19,7 @@ of its parts. With those a segment is decoded alone, and the result is that of
 Viterbi over the whole conversation.
 
 Defined results: a null text is one empty line; a null position comes first;
-rows with equal positions are ordered by text. Rows without a conversation id
+rows with equal positions are ordered by the text's SHA-256. Rows without a conversation id
 are one conversation. Extra columns are ignored; an empty table gives an empty
 result. A role that is not in :data:`ROLES` is not counted in training.
 """
@@ -277,9 +277,15 @@ def _in_order(rows: DataFrame, *by: str) -> DataFrame:
     return rows.repartitionByRange(*by, "tie").sortWithinPartitions(*by, "tie").drop("tie")
 
 
+def _with_digest(rows: DataFrame) -> DataFrame:
+    """What orders the rows at one position: 64 characters of a text, as the
+    rows that a range partition samples go to the driver."""
+    return rows.withColumn("dig", F.sha2("text", 256))
+
+
 def _numbered(rows: DataFrame) -> DataFrame:
     """``conv``, ``text`` and ``number``, the row's place in its conversation."""
-    placed = materialize(_in_order(rows, "conv", "pos", "text")
+    placed = materialize(_in_order(_with_digest(rows), "conv", "pos", "dig")
                          .mapInArrow(_number, "conv long, text string, task long, at long"))
     counts = placed.groupBy("conv", "task").agg(F.count(F.lit(1)).alias("n"))
     earlier = Window.partitionBy("conv").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
@@ -307,7 +313,7 @@ def fit(labelled: DataFrame, id_col: str = "conv_id", order_col: str = "turn", t
     position and text the role decides. Tasks send counts of (state, feature
     value), whose number does not depend on the rows, and their ends."""
     rows = _rows(labelled, id_col, order_col, text_col, F.col(role_col).cast("string").alias("role"))
-    counts = (_in_order(rows, "conv", "pos", "text", "role")
+    counts = (_in_order(_with_digest(rows), "conv", "pos", "dig", "role")
               .mapInArrow(_count, "task long, conv long, state int, what string, n long"))
     found = counts.groupBy("task", "conv", "state", "what").agg(F.sum("n").alias("n")).collect()
     total = Counter({(r["state"], r["what"]): r["n"] for r in found if r["task"] is None})

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 import numpy as np
 
@@ -81,6 +81,31 @@ class Crf:
                 out[i] = [self.labels[x] for x in best]
         return out
 
+    def decode_slices(self, slices: Iterable[list[list[str]]]) -> np.ndarray:
+        """Best labels (their numbers) of one long sequence that comes in
+        slices: the scores are carried over, and a byte per place and label is
+        kept to find the way back."""
+        own, backs = None, []
+        for tokens in slices:
+            scores = self.emit[_ids(tokens, self.number)].sum(axis=1)
+            back = np.zeros(scores.shape, dtype=np.int8)
+            for i, e in enumerate(scores):
+                if own is None:
+                    own = self.begin + e
+                else:
+                    step = own[:, None] + self.move
+                    back[i] = step.argmax(axis=0)
+                    own = step.max(axis=0) + e
+            backs.append(back)
+        path = np.zeros(sum(map(len, backs)), dtype=np.int8)
+        place, at = len(path), 0 if own is None else int(own.argmax())
+        for back in reversed(backs):
+            for row in back[::-1]:
+                place -= 1
+                path[place] = at
+                at = row[at]
+        return path
+
     def _viterbi(self, tokens: list[list[list[str]]]) -> list[list[int]]:
         n, t, k = len(tokens), max(map(len, tokens)), len(self.labels)
         scores = np.zeros((n, t, k))

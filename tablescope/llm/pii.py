@@ -9,7 +9,8 @@ spelled-out forms, decodes them by Viterbi in numpy batches, and its spans
 count if they pass the same checks of digits (ranges, number, Luhn) and touch
 no base span. Base spans always stay.
 
-Whole texts are read in one pass without a shuffle. Offsets are code points,
+Whole texts are read in one pass without a shuffle. Memory beyond the text is
+bounded per slice of a long line, but for a few bytes per token. Offsets are code points,
 ends exclusive. Defined results: a null text is empty and has no spans; rows
 repeat as they are; other columns pass through :func:`redact` unchanged and
 are ignored by :func:`find`; an empty table gives an empty result.
@@ -19,9 +20,13 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -172,6 +177,9 @@ _TRIGGER = re.compile(r"[0-9@]|[\[({]\s?(?:at|dot)\s?[\])}]|\bdot\b", re.IGNOREC
 _SPELLED = ("dot", "(at", "[at", "{at", "( at", "[ at", "{ at")
 #: Characters read on either side of a trigger, grown to whole tokens.
 MARGIN = 40
+#: Tokens of a window that are held at once. A line of numbers is one window,
+#: however long; beyond a slice only 17 bytes per token are kept.
+SLICE = 1 << 14
 
 _WORDS = frozenset("at dot com org net de mail call phone tel fax mobile card ip version".split())
 
@@ -245,7 +253,8 @@ def _windows(text: str) -> Iterator[tuple[int, int]]:
                 continue
             start = a
         else:
-            start = max(b, text.rfind("\n", 0, m.start()) + 1, m.start() - MARGIN)
+            near = max(0, m.start() - MARGIN)
+            start = max(b, text.rfind("\n", near, m.start()) + 1, near)
             while start > 0 and start > b and not text[start - 1].isspace():
                 start -= 1
             if a >= 0:
@@ -277,33 +286,79 @@ def _accept(kind: str, text: str) -> bool:
     return _valid(kind, text)
 
 
+class _Known:
+    """Spans that others must not touch: found by their starts."""
+
+    def __init__(self, spans: list[Span]):
+        self.spans = sorted((s, e) for _, s, e in spans)
+        self.starts = [s for s, _ in self.spans]
+        self.ends = list(accumulate((e for _, e in self.spans), max))  # of all that start no later
+
+    def touch(self, start: int, end: int) -> bool:
+        before = bisect_left(self.starts, end)
+        return before > 0 and self.ends[before - 1] > start
+
+
+def _sliced(text: str, start: int, end: int, places: tuple[array, array]) -> Iterator[list[list[str]]]:
+    """Features of a long window's tokens, some at a time with the neighbours
+    that they look at; where the tokens lie is added to ``places``."""
+    left: list[tuple[str, int, int]] = []
+    held: list[tuple[str, int, int]] = []
+    for m in _TOKEN.finditer(text, start, end):
+        held.append((m.group(), *m.span()))
+        places[0].append(m.start())
+        places[1].append(m.end())
+        if len(held) == SLICE + 2:  # two tokens ahead are looked at
+            yield _features(left + held)[len(left):len(left) + SLICE]
+            left = (left + held[:SLICE])[-3:]  # two behind, and the gap before them
+            held = held[SLICE:]
+    if held:
+        yield _features(left + held)[len(left):]
+
+
+def _tagged(places: tuple, tags: np.ndarray, labels: list[str]) -> Iterator[tuple[str, int, int]]:
+    """(kind, start, end) of the runs of tokens that are not outside; ``tags``
+    are numbers of ``labels``, whose first is outside."""
+    inside = np.flatnonzero(tags)
+    k = 0
+    while k < len(inside):
+        first = last = int(inside[k])
+        kind = labels[tags[first]][2:]
+        k += 1
+        while k < len(inside) and inside[k] == last + 1 and labels[tags[inside[k]]] == "I-" + kind:
+            last = int(inside[k])
+            k += 1
+        yield kind, places[0][first], places[1][last]
+
+
 def model_spans(texts: list[str], known: list[list[Span]], model: Crf) -> list[list[Span]]:
-    """The spans that the model adds to the known ones of each text."""
+    """The spans that the model adds to the known ones of each text. A window
+    of more than SLICE tokens is decoded in slices, alone."""
+    out: list[list[Span]] = [[] for _ in texts]
+    taken: dict[int, _Known] = {}
+
+    def add(i: int, places: tuple, tags: np.ndarray) -> None:
+        for kind, start, end in _tagged(places, tags, model.labels):
+            if i not in taken:
+                taken[i] = _Known(known[i])
+            if _accept(kind, texts[i][start:end]) and not taken[i].touch(start, end):
+                out[i].append((kind, start, end))
+
     where, tokens = [], []
     for i, text in enumerate(texts):
         low = text.lower()
         if _DIGIT.search(text) or "@" in text or any(x in low for x in _SPELLED):
             for a, b in _windows(text):
-                found = _tokens(text, a, b)
-                if found:
+                if b - a > SLICE:  # a token has a character at least
+                    places = array("q"), array("q")
+                    add(i, places, model.decode_slices(_sliced(text, a, b, places)))
+                elif found := _tokens(text, a, b):
                     where.append(i)
                     tokens.append(found)
-    out: list[list[Span]] = [[] for _ in texts]
+    number = {x: n for n, x in enumerate(model.labels)}
     for i, found, tags in zip(where, tokens, model.decode([_features(t) for t in tokens]), strict=True):
-        k = 0
-        while k < len(tags):
-            if tags[k] == "O":
-                k += 1
-                continue
-            kind, first = tags[k][2:], k
-            k += 1
-            while k < len(tags) and tags[k] == "I-" + kind:
-                k += 1
-            start, end = found[first][1], found[k - 1][2]
-            if (_accept(kind, texts[i][start:end])
-                    and not any(s < end and start < e for _, s, e in known[i])):
-                out[i].append((kind, start, end))
-    return out
+        add(i, ([s for _, s, _ in found], [e for _, _, e in found]), np.array([number[t] for t in tags]))
+    return [sorted(spans, key=lambda s: s[1]) for spans in out]
 
 
 def all_spans(texts: list[str], model: Crf) -> tuple[list[list[Span]], list[list[Span]]]:

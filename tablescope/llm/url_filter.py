@@ -5,8 +5,9 @@ host and all subdomains if the URL's path starts with the rule's. The rules
 are kept as files: the 64-bit xxhash keys in ascending order, and beside them
 the full strings. A task maps the files into memory, so only pages that the
 search touches are read. Each URL is probed with every combination of a suffix
-of its host and a start of its path that has the length of some rule's path;
-a key that is found counts only if the stored string is equal, so a collision
+of its host, no longer than the longest host of a rule, and a start of its path
+that has the length of some rule's path: however long the URL is, its probes are
+bounded by the rules; a key that is found counts only if the stored string is equal, so a collision
 cannot change a verdict. The longest rule that fits decides, and of two with
 equal length the one with the longer host.
 
@@ -33,6 +34,8 @@ from tablescope.llm.files import file_system, shared_folder
 BLOCK, ALLOW = "block", "allow"
 #: Rules in one file; more rules make more files.
 FILE_RULES = 1 << 22
+#: Probes gathered before they are searched.
+PROBES = 1 << 16
 
 
 def build_index(spark, rules: Iterable[tuple[str, str]], folder: str | None = None) -> list[str]:
@@ -62,8 +65,8 @@ def build_index(spark, rules: Iterable[tuple[str, str]], folder: str | None = No
 
 
 def _file_of(rules: list[tuple[str, str]]) -> bytes:
-    """Header (rules, bytes of strings, path lengths), keys, string offsets,
-    verdicts, path lengths, strings."""
+    """Header (rules, bytes of strings, path lengths, characters of the longest
+    host), keys, string offsets, path lengths, verdicts, strings."""
     verdict: dict[str, str] = {}
     for rule, v in rules:
         host, slash, path = rule.strip().partition("/")
@@ -78,7 +81,8 @@ def _file_of(rules: list[tuple[str, str]]) -> bytes:
     blocks = np.array([verdict[text[i]] == BLOCK for i in order], dtype="u1")
     # lengths of the rules' paths, the leading slash included
     lengths = np.array(sorted({len(t.partition("/")[2]) + ("/" in t) for t in text}), dtype="<i8")
-    head = np.array([len(raw), int(offsets[-1]), len(lengths)], dtype="<i8")
+    longest = max((len(t.partition("/")[0]) for t in text), default=0)
+    head = np.array([len(raw), int(offsets[-1]), len(lengths), longest], dtype="<i8")
     return b"".join([head.tobytes(), keys[order].tobytes(), offsets.tobytes(), lengths.tobytes(),
                      blocks.tobytes(), *raw])
 
@@ -88,8 +92,8 @@ class DigestFile:
 
     def __init__(self, path: str):
         m = np.memmap(path, dtype="u1", mode="r")
-        n, size, kinds = (int(x) for x in m[:24].view("<i8"))
-        at = 24
+        n, size, kinds, self.longest_host = (int(x) for x in m[:32].view("<i8"))
+        at = 32
         self.keys, at = m[at: at + 8 * n].view("<u8"), at + 8 * n
         self.offsets, at = m[at: at + 8 * (n + 1)].view("<i8"), at + 8 * (n + 1)
         self.path_lengths, at = m[at: at + 8 * kinds].view("<i8").tolist(), at + 8 * kinds
@@ -113,11 +117,22 @@ class DigestFile:
         return out
 
 
-def _fits(host: str, path: str, path_lengths: list[int]) -> Iterator[tuple[str, int]]:
+def _suffixes(host: str, longest: int) -> Iterator[str]:
+    """The host and its parents, those of at most ``longest`` characters, from
+    the right: no more of a long host is looked at."""
+    at = len(host)
+    while True:
+        at = host.rfind(".", max(0, len(host) - longest - 1), at)
+        if at < 0:
+            break
+        yield host[at + 1:]
+    if len(host) <= longest:
+        yield host
+
+
+def _fits(host: str, path: str, path_lengths: list[int], longest: int) -> Iterator[tuple[str, int]]:
     """Every rule that would fit, with the length of its host."""
-    labels = host.split(".")
-    for i in range(len(labels)):
-        own = ".".join(labels[i:])
+    for own in _suffixes(host, longest):
         for n in path_lengths:
             if n <= len(path):
                 yield own + path[:n], len(own)
@@ -127,21 +142,30 @@ def _judge(names: list[str], default: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files = [DigestFile(SparkFiles.get(name)) for name in names]
         lengths = sorted({n for f in files for n in f.path_lengths})
+        longest = max((f.longest_host for f in files), default=0)
         for batch in batches:
+            won: dict[int, tuple] = {}
             rows, texts, ranks = [], [], []
+
+            def search() -> None:
+                keys = np.array([xxhash.xxh64_intdigest(t) for t in texts], dtype="<u8")
+                for f in files:
+                    for k in np.flatnonzero((place := f.find(keys, texts)) >= 0):
+                        mine = (*ranks[k], int(f.blocks[place[k]]), texts[k].decode())
+                        won[rows[k]] = max(won.get(rows[k], mine), mine)
+                for x in (rows, texts, ranks):
+                    x.clear()
+
             pairs = zip(batch.column("host").to_pylist(), batch.column("path").to_pylist(), strict=True)
             for i, (host, path) in enumerate(pairs):
                 if host:
-                    for text, n in _fits(host, path, lengths):
+                    for text, n in _fits(host, path, lengths, longest):
                         rows.append(i)
                         texts.append(text.encode())
                         ranks.append((len(text), n))
-            keys = np.array([xxhash.xxh64_intdigest(t) for t in texts], dtype="<u8")
-            won: dict[int, tuple] = {}
-            for f in files:
-                for k in np.flatnonzero((place := f.find(keys, texts)) >= 0):
-                    mine = (*ranks[k], int(f.blocks[place[k]]), texts[k].decode())
-                    won[rows[k]] = max(won.get(rows[k], mine), mine)
+                if len(rows) >= PROBES:
+                    search()
+            search()
             n = batch.num_rows
             rule = [won[i][3] if i in won else None for i in range(n)]
             verdict = [(BLOCK if won[i][2] else ALLOW) if i in won else default for i in range(n)]

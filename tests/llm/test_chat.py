@@ -1,3 +1,4 @@
+import hashlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -98,7 +99,7 @@ def test_a_conversation_at_one_position_is_cut_by_rows(spark, raw, many_tasks, t
     found = chat.parse(frame, model).collect()
     assert Counter(r.conv_id for r in found) == {None: -(-len(texts) // chat.SEGMENT), 5: 2}
     assert max(r.n_lines for r in found) <= chat.SEGMENT + 1
-    lines = [x for t in sorted(texts, key=lambda t: (t is not None, t or "")) for x in (t or "").split("\n")]
+    lines = [x for t in sorted(texts, key=lambda t: (t is not None, hashlib.sha256((t or "").encode()).hexdigest())) for x in (t or "").split("\n")]
     ways = chat.trace([model.move + e for e in model.emit(lines)], 2 * len(chat.ROLES), None)
     states = "".join(r.states for r in sorted(found, key=lambda r: r.segment) if r.conv_id is None)
     assert states == "".join("SsUuAa"[a] for _, a in ways)
@@ -107,11 +108,22 @@ def test_a_conversation_at_one_position_is_cut_by_rows(spark, raw, many_tasks, t
 def test_equal_rows_are_spread_over_tasks(spark, many_tasks):
     rows = chat._rows(spark.range(4000).selectExpr("cast(null as long) c", "cast(null as long) p", "'User: a' t"),
                       "c", "p", "t")
-    sizes = [r["count"] for r in chat._in_order(rows, "conv", "pos", "text")
+    sizes = [r["count"] for r in chat._in_order(chat._with_digest(rows), "conv", "pos", "dig")
              .groupBy(F.spark_partition_id()).count().collect()]
     assert len(sizes) > 4 and max(sizes) < 2000
 
 
+def test_a_sample_for_the_range_partition_holds_no_texts(spark):
+    """Long texts at one position: what orders them is short."""
+    rows = chat._with_digest(chat._rows(spark.range(50).selectExpr("1 c", "1 p", "repeat(cast(id as string), 100000) t"), "c", "p", "t"))
+    plan = chat._in_order(rows, "conv", "pos", "dig")._jdf.queryExecution().optimizedPlan().toString()
+    order = [x for x in plan.split("\n") if "RepartitionByExpression" in x][0]
+    assert "dig#" in order and "text#" not in order
+    numbered = chat._numbered(rows.drop("dig"))
+    got = [r["text"] for r in numbered.orderBy("number").collect()]
+    assert got == sorted((str(i) * 100000 for i in range(50)), key=lambda t: hashlib.sha256(t.encode()).hexdigest())
+
+
 def plain_fit(turns):
     counts, before = Counter(), {}
     for r in sorted(turns.collect(), key=lambda r: (r.conv_id, r.turn)):

@@ -104,3 +104,41 @@ def test_held_out_spans_in_capitals(text, part):
 def test_capitals_without_personal_data():
     clean = ["THE DOT AT THE TOP", "WE MET AT NOON AND AT NIGHT", "The Dot At The End", "CONNECT THE DOT, THEN LOOK AT IT"]
     assert pii.all_spans(clean, pii.trained())[1] == [[]] * len(clean)
+
+
+def test_long_windows_are_read_in_slices(monkeypatch):
+    """The same spans whatever a slice holds, and those of the whole decoded at once."""
+    rnd = random.Random(4)
+    parts = ["call (415) 555-0199 now", "version 2.0.1", "card 4111.1111.1111.1111", "10.0.12.7", "anna (at) example (dot) com", "7 8 9", "x" * 30,
+             "212 555 0187", "+1 (415) 555-0133", "a@b.co", "1,234,567"]
+    texts = [" ".join(rnd.choice(parts) for _ in range(n)) for n in (3, 40, 400)]
+    model = pii.trained()
+    want = pii.all_spans(texts, model)
+    assert sum(map(len, want[1])) > sum(map(len, want[0]))
+    for size in (1, 2, 5, 64, 1000):
+        monkeypatch.setattr(pii, "SLICE", size)
+        assert pii.all_spans(texts, model) == want, size
+
+
+def test_a_very_long_line_of_numbers():
+    """Bounded memory: features and scores of a slice, some bytes per token."""
+    import tracemalloc
+    rnd = random.Random(5)
+    text = " ".join(rnd.choice(["12", "345,", "6.7", "(415) 555-0199,", "8/9", "2024-11-05"]) for _ in range(300_000))
+    model = pii.trained()
+    tracemalloc.start()
+    base, every = pii.all_spans([text], model)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(every[0]) > 10_000 and most < 60 * len(text)
+
+
+def test_known_spans_are_found_by_their_starts():
+    rnd = random.Random(6)
+    spans = [("ip", a, a + rnd.randrange(1, 30)) for a in rnd.sample(range(1000), 60)]
+    known = pii._Known(spans)
+    for _ in range(2000):
+        a = rnd.randrange(1040)
+        b = a + rnd.randrange(1, 20)
+        assert known.touch(a, b) == any(s < b and a < e for _, s, e in spans)
+    assert not pii._Known([]).touch(0, 10)

@@ -57,7 +57,7 @@ def test_no_rules_and_no_pages(spark):
 def test_a_collision_is_confirmed_by_the_string(tmp_path):
     raw = bytearray(U._file_of([("a/", "block"), ("b/", "allow")]))
     same = np.array([77, 77], dtype="<u8").tobytes()
-    raw[24:40] = same  # both keys equal
+    raw[32:48] = same  # both keys equal
     file = tmp_path / "rules.bin"
     file.write_bytes(raw)
     d = U.DigestFile(str(file))
@@ -67,3 +67,32 @@ def test_a_collision_is_confirmed_by_the_string(tmp_path):
     stored = [d.strings[d.offsets[p]: d.offsets[p + 1]].tobytes() for p in places[:2]]
     assert stored == texts[:2]
     assert d.find(np.array([xxhash.xxh64_intdigest(b"a/")], dtype="<u8"), [b"a/"])[0] == -1
+
+
+def test_long_hosts_cost_no_more_than_the_rules(spark):
+    """A host of a million labels: only suffixes that some rule could equal are probed."""
+    rules = [("example.net/", "block"), ("b.example.net/x/", "allow"), ("net/", "allow")]
+    long = "a." * 500_000 + "b.example.net"
+    assert len(list(U._suffixes(long, len("b.example.net")))) == 3
+    assert list(U._suffixes("b.example.net", 13)) == ["net", "example.net", "b.example.net"]
+    assert list(U._suffixes("", 5)) == [""] and list(U._suffixes("x", 0)) == []
+    assert list(U._suffixes("a..b", 3)) == ["b", ".b"]
+    rows = [(1, f"http://{long}/x/1"), (2, f"http://{long}/y"), (3, "http://" + "z" * 1_000_000 + "/"), (4, "http://" + "." * 1_000_000 + "net/")]
+    got = U.judge_urls(spark.createDataFrame(rows, "page_id long, url string"), rules)
+    assert sorted((r.page_id, r.rule) for r in got.collect()) == [(1, "b.example.net/x/"), (2, "example.net/"), (3, None), (4, "net/")]
+
+
+def test_probes_are_searched_in_parts(spark, monkeypatch):
+    rules = [(f"h{i}.org/", "block") for i in range(50)]
+    names = ["f"]
+    monkeypatch.setattr(U, "PROBES", 3)
+    monkeypatch.setattr(U.SparkFiles, "get", lambda name: path)
+    import pyarrow as pa
+    import tempfile
+    with tempfile.NamedTemporaryFile(suffix=".bin") as f:
+        f.write(U._file_of(rules))
+        f.flush()
+        path = f.name
+        batch = pa.RecordBatch.from_pydict({"id": list(range(60)), "host": [f"x.h{i}.org" for i in range(60)], "path": ["/"] * 60})
+        out = next(U._judge(names, "allow")(iter([batch])))
+    assert out.column("rule").to_pylist() == [f"h{i}.org/" if i < 50 else None for i in range(60)]
