@@ -103,7 +103,7 @@ def _sign(k: int, bands: int, rows: int):
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(size, pa.int64()), pa.array(digest, pa.binary()),
                  pa.array(keys, pa.list_(pa.int64()))], names=["id", "n", "digest", "keys"])
-        pa.default_memory_pool().release_unused()  # the worker lives on between tasks
+            pa.default_memory_pool().release_unused()  # a batch leaves much behind
     return run
 
 
@@ -116,7 +116,7 @@ def _sets(k: int):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([xxhash.xxh3_128_digest(s) for s in sets], pa.binary()), pa.array(sets, pa.binary())],
                     names=["node", "shingles"])
-        pa.default_memory_pool().release_unused()  # the worker lives on between tasks
+            pa.default_memory_pool().release_unused()  # a batch leaves much behind
     return run
 
 

@@ -74,7 +74,7 @@ def _cut(path: str, end_id: int, size: int, with_ids: bool, special: bool):
                     columns.append(pa.array(values, pa.list_(pa.int64())))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names=names)
-        pa.default_memory_pool().release_unused()  # the worker lives on between tasks
+            pa.default_memory_pool().release_unused()  # a batch leaves much behind
     return run
 
 
