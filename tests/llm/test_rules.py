@@ -8,10 +8,11 @@ from tablescope.llm import queries
 
 SOURCES = sorted((pathlib.Path(queries.__file__).parent).glob("*.py")) + [pathlib.Path(corpus_pipeline.__file__)]
 #: What reaches the driver is bounded: lengths up to the sequence size, and
-#: (state, feature value) pairs, the buckets of bitmaps of bounded size, and names
-#: of files of many items.
+#: (state, feature value) pairs, the buckets of bitmaps of bounded size, names
+#: of files of many items, and where shards of many documents begin.
 BOUNDED = {"packing.py": ["histogram = {"], "chat.py": ["found = counts.groupBy"],
-           "minhash_dedup.py": ["buckets = parts.collect"], "lexical.py": ["buckets = parts.collect", "tiles = written.orderBy"]}
+           "minhash_dedup.py": ["buckets = parts.collect"], "lexical.py": ["buckets = parts.collect", "tiles = written.orderBy"],
+           "token_store.py": ["bounds = order.collect"]}
 
 
 def test_only_bounded_rows_reach_the_driver():
