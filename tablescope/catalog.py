@@ -738,6 +738,52 @@ def q_sample(spark, sf_dir):
         "known", known.select(F.count(F.lit(1))).scalar())
 
 
+@register("t5_sample_one_scan", ORACLE_SQL["t5_sample_exact"])
+def q_sample_one_scan(spark, sf_dir):
+    """The same properties, of a sample drawn without counting the rows."""
+    from tablescope.operators.sampling import sample_one_scan
+    orders = table(spark, sf_dir, "orders")
+    drawn = sample_one_scan(orders, 3000, seed=7)
+    known = drawn.join(orders.select("o_orderkey"), "o_orderkey", "left_semi")
+    return drawn.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("o_orderkey").alias("keys")).withColumn(
+        "known", known.select(F.count(F.lit(1))).scalar())
+
+
+@register("w2_w3_running_spread", """
+SELECT o_orderkey, o_orderstatus, ROUND(SUM(o_totalprice) OVER w, 2) AS price_so_far, COUNT(o_custkey) OVER w AS orders_so_far
+FROM orders WINDOW w AS (PARTITION BY o_orderstatus ORDER BY o_orderdate NULLS FIRST, o_orderkey
+                         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+def q_running_spread(spark, sf_dir):
+    """Raw rows, a third of them in each group: no group lies in one task."""
+    from tablescope.operators.segments import running_totals_spread
+    orders = table(spark, sf_dir, "orders").withColumn("one", F.when(F.col("o_custkey").isNotNull(), 1))
+    out = running_totals_spread(orders, "o_orderstatus", "o_orderdate", {"price_so_far": "o_totalprice", "orders_so_far": "one"},
+                                tiebreak=["o_orderkey"])
+    return rounded(out.select("o_orderkey", "o_orderstatus", "price_so_far", "orders_so_far"), {"price_so_far": 2})
+
+
+@register("w1_rank_spread", """
+SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag, l_quantity,
+       RANK() OVER (PARTITION BY l_returnflag ORDER BY l_quantity DESC) AS rank FROM lineitem""")
+def q_rank_spread(spark, sf_dir):
+    """Few quantities, so each rank is shared by many of a third of all rows."""
+    from tablescope.operators.segments import rank_within_spread
+    return rank_within_spread(table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "l_quantity"), "l_returnflag", "l_quantity")
+
+
+@register("f7_clustered_layout", """
+SELECT * FROM lineitem WHERE l_extendedprice BETWEEN 20000 AND 30000 AND l_quantity BETWEEN 10 AND 20""")
+def q_clustered(spark, sf_dir):
+    """Written along a curve through both columns, then filtered on both."""
+    from tablescope.operators.explore import range_filters
+    from tablescope.sources.layout import write_clustered
+    from tablescope.sources.published import read_published
+    path = _folder(spark)
+    write_clustered(table(spark, sf_dir, "lineitem"), path, ["l_extendedprice", "l_quantity"])
+    return range_filters(read_published(spark, path), {"l_extendedprice": (20000, 30000), "l_quantity": (10, 20)}, footers=True)
+
+
 EXPLORER_SPEC = dict(
     categories={"o_orderstatus": ["F", "O"]}, ranges={"o_totalprice": (10000, 300000)},
     group_by=["o_orderpriority"], aggregate=["o_totalprice", "o_custkey"], func="mean",

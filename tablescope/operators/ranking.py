@@ -95,7 +95,7 @@ def first_rows(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
 _BLOCK = 5
 
 
-def _text_block(c: Column, offset: int) -> Column:
+def text_block(c: Column, offset: int) -> Column:
     """The bytes of a text (or binary) from ``offset`` on as a number in their
     order: five of them and, below those, how many of at most six there are. A
     text that ends within the block is told apart from all that go on, so equal
@@ -140,7 +140,7 @@ def _candidates(df: DataFrame, n: int, keys: list[str], offset: int = 0) -> Data
     lead, kind = F.col(keys[0]), df.schema[keys[0]].dataType
     text = isinstance(kind, (StringType, BinaryType))
     if text:
-        c = _text_block(lead, offset)
+        c = text_block(lead, offset)
     elif isinstance(kind, BooleanType):
         c = lead.cast("int")
     elif isinstance(kind, _THRESHOLD_TYPES):

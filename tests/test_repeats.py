@@ -73,7 +73,7 @@ def test_block_numbers_keep_the_order(spark):
     rnd = random.Random(1)
     texts = {"", "a", "a\0", "a\0\0", "ab", "abcde", "abcde\0", "abcdef", "abcdeg", "\U0001f600", "é", "zz"} | {
         "".join(rnd.choice("ab\0é") for _ in range(rnd.randrange(9))) for _ in range(200)}
-    df = spark.createDataFrame([(t,) for t in texts], "t string").withColumn("n", R._text_block(F.col("t"), 0))
+    df = spark.createDataFrame([(t,) for t in texts], "t string").withColumn("n", R.text_block(F.col("t"), 0))
     rows = sorted(df.collect(), key=lambda r: r["t"].encode())
     assert [r["n"] for r in rows] == sorted(r["n"] for r in rows)
     ended = [r for r in rows if r["n"] % 8 <= 5]
