@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from tablescope.llm.components import connected_components
 from tablescope.llm.shingles import mix, shingle_sets
-from tablescope.llm.skew import FREQUENT, join_by_group, with_key_in
+from tablescope.llm.skew import FREQUENT, MOST_BITS, join_by_group, split_by_keys, with_key_in
 from tablescope.session import materialize, materialize_observed, scratch
 
 BANDS, ROWS = 42, 6
@@ -252,8 +252,13 @@ def _one_document(with_set: DataFrame) -> DataFrame:
 
 
 def _node_sets(wanted: DataFrame, source: DataFrame, words: int) -> DataFrame:
-    """``node``, ``shingles`` of the ``wanted`` nodes (node, id), once each."""
-    rows = source.where("id is not null").join(wanted.select("id").distinct(), "id", "left_semi")
+    """``node``, ``shingles`` of the ``wanted`` nodes (node, id), once each, and
+    of some others."""
+    ids, seen = materialize_observed(wanted.select("id").distinct(), n=F.count(F.lit(1)))
+    known = source.where("id is not null")
+    # Texts stay where they are, unless the filter would let through too many.
+    rows = (split_by_keys(known, ids, "id", seen["n"])[0] if 4 * seen["n"] <= MOST_BITS
+            else with_key_in(known, ids, "id", seen["n"]))
     sets = materialize(rows.mapInArrow(_sets(words), "node binary, shingles binary"))
     # rows repeated as a whole have been read each
     _, seen = materialize_observed(sets.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), n=F.count(F.lit(1)))

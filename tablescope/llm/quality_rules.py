@@ -3,8 +3,12 @@
 The main path is DataFrame functions only. :func:`measures` derives the
 counts of one text, :data:`RULES` states lower and upper bounds of ratios
 over them, and :func:`compile_rules` turns such a table into one boolean
-column. Nothing is shuffled: every row is judged on its own text.
+column. Nothing is shuffled: every row is judged on its own text. Repeated
+windows of words are told by 64-bit digests that nothing confirms: two different
+windows of one text share one with a chance of n^2 / 2^65 for n windows.
 
+A very long text is judged whole, in the row's own arrays: some six of them, of
+a word, a line or a window each, so a row takes a few times its text in memory.
 Defined results: a null or empty text has zero words, so every count is 0
 and the minimum word count rejects it. Repeated rows are judged alike and
 both returned. Extra columns of the input, whatever their names, are passed

@@ -29,22 +29,24 @@ def join_by_group(rows: DataFrame, groups: DataFrame, key: str, count: str, tota
             .join(groups.where(~hot), key)))
 
 
-def with_key_in(rows: DataFrame, keys: DataFrame, key: str, count: int) -> DataFrame:
-    """Rows whose ``key`` is among ``keys`` (``count`` of them, distinct, in a
-    written table), for rows too wide to shuffle for it: a filter of bounded size
-    that the keys set bits of is broadcast first and drops most other rows; a
-    semi-join decides on what it lets through."""
+def split_by_keys(rows: DataFrame, keys: DataFrame, key: str, count: int) -> tuple[DataFrame, DataFrame]:
+    """``rows`` whose ``key`` may be among ``keys`` (``count`` of them, distinct,
+    in a written table), and those whose key is not: told by a filter of bounded
+    size that the keys set bits of and that is broadcast, so no row moves. More
+    keys than it has bits for only make more rows that may."""
     bits = LEAST_BITS
     while bits < min(MOST_BITS, BITS_PER_KEY * count):
         bits *= 2
+    at = F.xxhash64(key).bitwiseAND(F.lit(bits - 1))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(63)).cast("int"))
+    word = F.shiftright(at, 6)
+    words = keys.groupBy(word.alias("__word")).agg(F.bit_or(one).alias("__bits"))
+    known = rows.withColumn("__at", word).join(F.broadcast(words), F.col("__at") == F.col("__word"), "left")
+    maybe = F.coalesce(F.col("__bits").bitwiseAND(one), F.lit(0)) != 0
+    return tuple(known.where(x).drop("__at", "__word", "__bits") for x in (maybe, ~maybe))
 
-    def place(name: str) -> tuple[Column, Column]:
-        at = F.xxhash64(name).bitwiseAND(F.lit(bits - 1))
-        one = F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(63)).cast("int"))
-        return F.shiftright(at, 6), one
 
-    word, one = place(key)
-    words = keys.groupBy(word.alias("__word")).agg(F.bit_or(one).alias("__bits"))
-    near = rows.withColumn("__at", word).join(F.broadcast(words), F.col("__at") == F.col("__word"))
-    near = near.where(F.col("__bits").bitwiseAND(one) != 0).drop("__at", "__word", "__bits")
-    return near.join(keys.select(key), key, "left_semi")
+def with_key_in(rows: DataFrame, keys: DataFrame, key: str, count: int) -> DataFrame:
+    """Rows whose ``key`` is among ``keys`` (see :func:`split_by_keys`), for rows
+    too wide to shuffle for it: most others are dropped where they are."""
+    return split_by_keys(rows, keys, key, count)[0].join(keys.select(key), key, "left_semi")

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from tablescope.llm import zip_reader
 from tablescope.llm.files import file_system, shared_folder
-from tablescope.llm.skew import FREQUENT
+from tablescope.llm.skew import FREQUENT, split_by_keys
 from tablescope.session import materialize, materialize_observed
 
 #: Bytes of records in one member and in one package, but for a longer record.
@@ -239,20 +239,24 @@ def write_packages(pages: DataFrame, folder: str | None = None, *, min_bytes: in
                         .otherwise(F.unhex(F.md5(F.concat_ws(":", "id", "url"))))))
     copies, seen = materialize_observed(
         rows.where("octet_length(key) = 32").groupBy("key").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")),
-        rows=F.coalesce(F.sum("n"), F.lit(0)))
+        rows=F.coalesce(F.sum("n"), F.lit(0)), repeated=F.count_if(F.col("n") > 1))
     repeated = copies.where("n > 1")
     hot = F.col("n") * FREQUENT > seen["rows"]
     frequent = F.broadcast(repeated.where(hot).select("key", "first"))
     few = repeated.where(~hot).select("key", "first")
     order = ["id", "url", "payload", "first"]
+    # Payloads move only if they may be repeated, but not frequent, ones.
+    maybe, once = split_by_keys(rows.join(frequent.select("key"), "key", "left_anti"), few, "key", seen["repeated"] or 0)
     typed = (rows.join(frequent, "key").select(order)
-             .union(rows.join(frequent.select("key"), "key", "left_anti").join(few, "key", "left").select(order)))
+             .union(maybe.join(few, "key", "left").select(order))
+             .union(once.withColumn("first", F.lit(None).cast("long")).select(order)))
     return materialize(typed.mapInArrow(_write(folder), "package string, records long"))
 
 
 def read_packages(packages: DataFrame, with_payload: bool = False) -> DataFrame:
     """One row per record of the packages named in column ``package``: ``id``,
     ``url``, ``payload_bytes``, ``payload_digest``, ``record_type``,
-    ``refers_to`` and, if asked for, ``payload`` (null for a revisit)."""
+    ``refers_to`` and, if asked for, ``payload`` (null for a revisit). A task
+    reads a package, of PACKAGE_BYTES or little more, however few bytes name it."""
     columns = _RECORD + ", payload binary" * with_payload
-    return packages.select("package").mapInArrow(_read(with_payload), columns)
+    return packages.select("package").repartition(max(1, packages.count())).mapInArrow(_read(with_payload), columns)

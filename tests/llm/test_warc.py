@@ -56,6 +56,22 @@ def test_many_copies_members_and_packages(spark, monkeypatch):
     assert found(spark, rows) == expected(rows)
 
 
+def test_only_payloads_that_may_be_repeated_move(spark):
+    """And every package is a task of its own when it is read."""
+    from tablescope.llm import skew
+    rows = spark.range(4000).selectExpr("id", "sha2(cast(id as string), 256) as key", "repeat('x', 100) as payload")
+    keys = rows.where("id % 100 = 0").select("key")
+    maybe, once = skew.split_by_keys(rows, keys, "key", 40)
+    assert maybe.where("id % 100 = 0").count() == 40 and once.where("id % 100 = 0").count() == 0
+    assert maybe.count() + once.count() == 4000 and maybe.count() < 200
+    assert skew.with_key_in(rows, keys, "key", 40).count() == 40
+    nothing = skew.split_by_keys(rows, keys.where("false"), "key", 0)
+    assert nothing[0].count() == 0 and nothing[1].count() == 4000
+    pages = spark.createDataFrame([(i, f"u{i}", f"p{i}") for i in range(40)], "page_id long, url string, html string").repartition(5)
+    packages = W.write_packages(pages)
+    assert W.read_packages(packages).rdd.getNumPartitions() == packages.count() > 1
+
+
 def test_pages_round_trip(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     read = W.read_packages(W.write_packages(pages), with_payload=True).collect()
