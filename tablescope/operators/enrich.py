@@ -62,10 +62,14 @@ def enrich(df: DataFrame, key_col: str, lookup: Lookup, *,
     All left rows are kept; unparsable, null or unmatched keys give null
     lookup columns. The lookup is broadcast when its size is bounded, so the
     fact side is never shuffled; above the bound it is a regular shuffled
-    join (AQE may still turn it into a broadcast at run time).
+    join (AQE may still turn it into a broadcast at run time) of the rows that
+    have a key: the others, which may be many, would all meet in one partition.
     """
     side = lookup.df
     if broadcastable(lookup, max_broadcast_rows):
         side = F.broadcast(side)
-    cond = as_int_key(df[key_col]) == side[lookup.key]
-    return df.join(side, cond, "left").drop(side[lookup.key])
+        return df.join(side, as_int_key(df[key_col]) == side[lookup.key], "left").drop(side[lookup.key])
+    keyed, rest = df.where(as_int_key(key_col).isNotNull()), df.where(as_int_key(key_col).isNull())
+    joined = keyed.join(side, as_int_key(keyed[key_col]) == side[lookup.key], "left").drop(side[lookup.key])
+    none = [F.lit(None).cast(f.dataType).alias(f.name) for f in side.schema.fields if f.name != lookup.key]
+    return joined.union(rest.select("*", *none))

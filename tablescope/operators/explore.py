@@ -13,8 +13,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
 
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
@@ -160,7 +158,10 @@ def distinct_counts(df: DataFrame, cols: Sequence[str] | None = None,
 def _few_values(columns: list[str], low: int):
     """Per task and column its distinct values, or, beyond ``low``, only that
     there are more."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
         seen: list[set[str] | None] = [set() for _ in columns]
         for batch in batches:
             for i, known in enumerate(seen):

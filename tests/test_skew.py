@@ -148,3 +148,17 @@ def test_first_rows_key_beyond_double_precision(spark):
     df = spark.createDataFrame(data, "a bigint, b int").repartition(3)
     got = [tuple(r) for r in first_rows(df, 1200, ["a", "b"]).collect()]
     assert got == sorted(data)[:1200]
+
+
+def test_rows_without_a_key_stay_out_of_a_large_lookup_join(spark):
+    """Above the broadcast bound, null and unparsable keys do not meet in one partition."""
+    from tablescope.operators.enrich import Lookup, enrich
+    rows = [(i, None if i % 3 == 0 else "x" if i % 3 == 1 else str(i % 7)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id int, key string")
+    side = spark.createDataFrame([(i, f"n{i}", i / 2) for i in range(5)], "k int, name string, half double")
+    lookup = Lookup(side, "k", 10**9)
+    out = enrich(df, "key", lookup)
+    small = enrich(df, "key", Lookup(side, "k", 5))
+    assert out.columns == small.columns == ["id", "key", "name", "half"]
+    assert sorted(map(str, out.collect())) == sorted(map(str, small.collect()))
+    assert "Union" in out._jdf.queryExecution().optimizedPlan().toString()
