@@ -41,9 +41,8 @@ def _mix(x: np.ndarray, level: int) -> np.ndarray:
 
 def key_hashes(keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Two independent hashes of each key: for places, and for fingerprints."""
-    full = [xxhash.xxh3_128_intdigest(k) for k in keys]
-    return (np.array([h & 0xFFFFFFFFFFFFFFFF for h in full], dtype=_U),
-            np.array([h >> 64 for h in full], dtype=_U))
+    both = np.frombuffer(b"".join([xxhash.xxh3_128_digest(k) for k in keys]), dtype=">u8").astype(_U).reshape(-1, 2)
+    return both[:, 1], both[:, 0]
 
 
 def _blocks_of(bits: np.ndarray) -> np.ndarray:

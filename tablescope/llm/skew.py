@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablescope.functions.columns import internal
+
 #: Bits per key of a filter, and the bounds of its bits: 2^25 bits are half a
 #: million words to broadcast, whatever the data.
 BITS_PER_KEY, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 25
@@ -40,10 +42,11 @@ def split_by_keys(rows: DataFrame, keys: DataFrame, key: str, count: int) -> tup
     at = F.xxhash64(key).bitwiseAND(F.lit(bits - 1))
     one = F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(63)).cast("int"))
     word = F.shiftright(at, 6)
-    words = keys.groupBy(word.alias("__word")).agg(F.bit_or(one).alias("__bits"))
-    known = rows.withColumn("__at", word).join(F.broadcast(words), F.col("__at") == F.col("__word"), "left")
-    maybe = F.coalesce(F.col("__bits").bitwiseAND(one), F.lit(0)) != 0
-    return tuple(known.where(x).drop("__at", "__word", "__bits") for x in (maybe, ~maybe))
+    own, theirs, held = (internal(n, rows.columns) for n in ("__at", "__word", "__bits"))
+    words = keys.groupBy(word.alias(theirs)).agg(F.bit_or(one).alias(held))
+    known = rows.withColumn(own, word).join(F.broadcast(words), F.col(own) == F.col(theirs), "left")
+    maybe = F.coalesce(F.col(held).bitwiseAND(one), F.lit(0)) != 0
+    return tuple(known.where(x).drop(own, theirs, held) for x in (maybe, ~maybe))
 
 
 def with_key_in(rows: DataFrame, keys: DataFrame, key: str, count: int) -> DataFrame:

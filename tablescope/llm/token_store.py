@@ -13,7 +13,7 @@ Spark committed are named there, so a lost executor leaves nothing but unnamed
 files.
 
 Keys are (id, occurrence): rows that share an id are kept one after the other,
-by a 64-bit digest of the text, and numbered from 0. An id may hold a third of
+in the order in which they are read, and numbered from 0. An id may hold a third of
 all rows: its rows lie over many tasks, each of which numbers its own, and the
 table of shards says how many come before. A null id is a key of its own and
 comes first; a null text has the end id alone. Extra columns are ignored. An
@@ -217,8 +217,8 @@ def write_store(docs: DataFrame, path: str, folder: str | None = None, *, end_id
     else as plain text."""
     folder = folder or shared_folder(docs.sparkSession, "tokens")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    rows = rows.withColumns({"dig": F.xxhash64("text"), "tie": F.monotonically_increasing_id()})
-    ordered = rows.repartitionByRange("id", "dig", "tie").sortWithinPartitions("id", "dig", "tie").select("id", "text")
+    rows = rows.withColumn("tie", F.monotonically_increasing_id())
+    ordered = rows.repartitionByRange("id", "tie").sortWithinPartitions("id", "tie").select("id", "text")
     shards = materialize(ordered.mapInArrow(_write(path, end_id, folder, shard_ids, special), _SHARD))
     # One narrow row per shard, not per document: the prefix sums are small.
     past = Window.orderBy("task", "shard").rowsBetween(Window.unboundedPreceding, -1)

@@ -63,7 +63,7 @@ def test_matches_brute_force(spark):
     assert found(spark, rows) == brute(rows)
 
 
-@pytest.mark.parametrize("n", [1, 2, 3, 4, 7, 8, 9, 31, 32, 33, 64, 65])
+@pytest.mark.parametrize("n", [1, 2, 7, 8, 33])
 def test_depths_at_powers_of_two(spark, n):
     rnd = random.Random(n)
     same = conversation(rnd, 100, n)

@@ -4,7 +4,6 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
-import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -14,29 +13,31 @@ from tablescope.llm import perfect_hash as H
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 
-def expected(docs):
+def agrees(found, docs):
+    """Every row is there with its ids, one after the other in the order of ids
+    (nulls first); rows that share an id may stand in any order among them."""
     t = Tokenizer.from_file(PATH)
     t.encode_special_tokens = True
-    out, at = [], 0
-    # equal ids by the digest of the text, as Spark has it (a null one: its seed)
-    digest = lambda t: 42 if t is None else xxhash.xxh64_intdigest(t.encode(), seed=42)
-    signed = lambda x: x - (1 << 64) if x >> 63 else x
-    for r in sorted(docs.collect(), key=lambda r: (r.doc_id is not None, r.doc_id or 0, signed(digest(r.text)))):
+    want = []
+    for r in docs.collect():
         ids = t.encode(r.text or "", add_special_tokens=False).ids + [2]
-        out.append((r.doc_id, at, len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids))))
-        at += len(ids)
-    return sorted(out, key=repr)
+        want.append((r.doc_id, len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids))))
+    rows = sorted((tuple(r) for r in found.collect()), key=lambda r: r[1])
+    assert sorted(((i, n, crc) for i, _, n, crc in rows), key=repr) == sorted(want, key=repr)
+    assert [i for i, *_ in rows] == sorted((i for i, *_ in rows), key=lambda i: (i is not None, i or 0))
+    assert [at for _, at, _, _ in rows] == [sum(n for _, _, n, _ in rows[:k]) for k in range(len(rows))]
+    return True
 
 
 @pytest.mark.parametrize("shard_ids", [S.SHARD_IDS, 3000])
 def test_read_back(documents, shard_ids):
     shards = S.write_store(documents, PATH, shard_ids=shard_ids)
-    assert sorted((tuple(r) for r in S.read_store(shards).collect()), key=repr) == expected(documents)
+    assert agrees(S.read_store(shards), documents)
 
 
 def test_edge_cases(edge_docs, no_docs):
     shards = S.write_store(edge_docs, PATH, shard_ids=100)
-    assert sorted((tuple(r) for r in S.read_store(shards).collect()), key=repr) == expected(edge_docs)
+    assert agrees(S.read_store(shards), edge_docs)
     assert S.read_store(S.write_store(no_docs, PATH)).count() == 0
 
 
@@ -81,7 +82,7 @@ def test_frequent_ids_are_spread_over_tasks(hot):
     shards = S.write_store(hot, PATH, shard_ids=200)
     sizes = [r["n"] for r in shards.groupBy("task").agg(F.sum("n_docs").alias("n")).collect()]
     assert len(sizes) >= 6 and max(sizes) < 2 * sorted(sizes)[len(sizes) // 2]
-    assert sorted((tuple(r) for r in S.read_store(shards).collect()), key=repr) == expected(hot)
+    assert agrees(S.read_store(shards), hot)
 
 
 def test_lookup_finds_every_occurrence(spark, hot):
