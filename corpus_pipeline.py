@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from tablescope.llm import minhash_dedup, packing, pii, quality_rules
 from tablescope.llm.runtime import show_workers
-from tablescope.session import materialize
+from tablescope.llm.skew import split_by_keys
+from tablescope.session import materialize, materialize_observed
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,8 +33,10 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     with the smallest id stays."""
     show_workers(spark)
     found = minhash_dedup.near_duplicates(docs, words=5, percent=80)
-    gone = found.where("not kept").select("doc_id").distinct()
-    return docs.alias("d").join(gone.alias("g"), F.col("d.doc_id") == F.col("g.doc_id"), "left_anti")
+    gone, seen = materialize_observed(found.where("not kept").select("doc_id").distinct(), n=F.count(F.lit(1)))
+    # Texts move only if a filter says that their document may go.
+    maybe, stay = split_by_keys(docs, gone, "doc_id", seen["n"])
+    return stay.unionByName(maybe.join(gone, "doc_id", "left_anti"))
 
 
 def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
