@@ -41,6 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablescope.llm.components import connected_components
+from tablescope.llm.runtime import rest
 from tablescope.llm.shingles import mix, shingle_sets
 from tablescope.llm.skew import FREQUENT, MOST_BITS, join_by_group, split_by_keys, with_key_in
 from tablescope.session import materialize, materialize_observed, scratch
@@ -103,7 +104,7 @@ def _sign(k: int, bands: int, rows: int):
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(size, pa.int64()), pa.array(digest, pa.binary()),
                  pa.array(keys, pa.list_(pa.int64()))], names=["id", "n", "digest", "keys"])
-            pa.default_memory_pool().release_unused()  # a batch leaves much behind
+            rest()
     return run
 
 
@@ -116,7 +117,7 @@ def _sets(k: int):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([xxhash.xxh3_128_digest(s) for s in sets], pa.binary()), pa.array(sets, pa.binary())],
                     names=["node", "shingles"])
-            pa.default_memory_pool().release_unused()  # a batch leaves much behind
+            rest()
     return run
 
 
@@ -141,7 +142,7 @@ def _check(percent: int):
                 common = _common(own, other)
                 linked.append(100 * common >= percent * (len(own) + len(other) - common))
             yield pa.RecordBatch.from_arrays([a, b, pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
-        pa.default_memory_pool().release_unused()  # the worker lives on between tasks
+        rest()
     return run
 
 
@@ -150,7 +151,7 @@ def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         for i in range(batch.num_rows):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.frombuffer(batch.column("shingles")[i].as_buffer(), dtype=np.int64))], names=["shingle"])
-    pa.default_memory_pool().release_unused()  # the worker lives on between tasks
+    rest()
 
 
 def rarity(shingles: np.ndarray, levels: list[np.ndarray]) -> np.ndarray:
@@ -179,7 +180,7 @@ def _prefixes(percent: int, levels: list[bytes]):
                     [pa.array(own[order[at]].view(np.int64)), pa.array(n - at, pa.int64()),
                      *(batch.column(c).take(pa.array([i] * len(at), pa.int64())) for c in ("node", "n", "component"))],
                     names=["shingle", "rest", "node", "n", "component"])
-        pa.default_memory_pool().release_unused()  # the worker lives on between tasks
+        rest()
     return run
 
 

@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablescope.llm.encoding import encoder, text_slices
+from tablescope.llm.runtime import rest
 from tablescope.session import materialize
 
 PATTERN_PARTS = 3
@@ -74,7 +75,7 @@ def _cut(path: str, end_id: int, size: int, with_ids: bool, special: bool):
                     columns.append(pa.array(values, pa.list_(pa.int64())))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names=names)
-            pa.default_memory_pool().release_unused()  # a batch leaves much behind
+            rest()
     return run
 
 

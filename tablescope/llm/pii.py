@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablescope.llm.crf import Crf
+from tablescope.llm.runtime import rest
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -424,7 +425,7 @@ def _redact(shared, text_at: int, length_at: int | None):
                     columns[length_at] = pa.array([n if not s else len(t) for n, s, t in zip(kept, every, new, strict=True)],
                                                   part.schema.field(length_at).type)
                 yield pa.RecordBatch.from_arrays(columns, schema=part.schema)
-        pa.default_memory_pool().release_unused()  # the worker lives on between tasks
+        rest()
     return run
 
 

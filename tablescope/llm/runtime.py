@@ -3,9 +3,11 @@ leave room for the task's own work."""
 
 from __future__ import annotations
 
+import ctypes
 import os
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import SparkSession
 
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -31,3 +33,12 @@ def show_workers(spark: SparkSession) -> SparkSession:
         if spark.conf.get(name, None) == usual:
             spark.conf.set(name, ours)
     return spark
+
+
+def rest() -> None:
+    """Gives back memory that a task is done with, as its worker lives on: of
+    Arrow's pool and, where the C library can, of the heap."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
